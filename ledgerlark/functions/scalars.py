@@ -43,7 +43,8 @@ def text_bar(c: Column, width: int = 20, block: str = "█") -> Column:
 
 def signed_label(c: Column, digits: int = 3) -> Column:
     sign = F.when(c > 0, F.lit("+")).otherwise(F.lit("-"))
-    return F.concat(sign, F.format_string(f"%.{digits}f", F.abs(c)))
+    text = F.concat(sign, F.format_string(f"%.{digits}f", F.abs(c)))
+    return F.when(c.isNotNull(), text)
 
 
 def squared_distance(a: Column, b: Column) -> Column:

@@ -223,7 +223,7 @@ def calendar_features(spark, sf_dir):
 def group_broadcast_features(spark, sf_dir):
     rows = dated(spark, sf_dir).withColumn("valor_abs", F.abs("valor"))
     out = features.add_day_totals(rows, "fecha", "valor_abs")
-    out = features.add_group_profile(out, "descripcion", "valor_abs")
+    out = features.add_group_profile(out, "descripcion", "valor_abs", source=rows)
     return out.select(
         "id",
         "freq_gastos_dia",
@@ -275,7 +275,7 @@ def feature_pipeline(spark, sf_dir):
     with_sql(
         OUT,
         """, edges AS (SELECT list_sort(list_distinct(quantile_cont(valor_abs, [0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM gastos)
-        SELECT id, CAST(greatest(len(list_filter(e, x -> x < valor_abs)) - 1, 0) AS INTEGER) AS quintil
+        SELECT id, CAST(greatest(len([x for x in e if x < valor_abs]) - 1, 0) AS INTEGER) AS quintil
         FROM gastos, edges""",
     )
 )

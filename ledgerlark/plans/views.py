@@ -277,7 +277,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- vectors ------------------------------------------------------------------------------------
 
 VECTORS = """vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v, label,
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
          CAST(label % 2 AS INTEGER) AS y FROM embeddings),
 points AS (SELECT vec_id, label, y, v[1] AS x0, v[2] AS x1, v[3] AS x2 FROM vectors)"""
 
