@@ -13,13 +13,17 @@ from ledgerlark.operators.rules import numeric_columns
 
 
 def frequency_table(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """Counts and shares (in percent) of the values of a column; missing values are left out."""
+    """Counts and shares (in percent) of the values of a column; missing values are left out.
+
+    With ``by`` the shares are taken within each group, and rows without a group are left out.
+    """
     counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("n"))
     if by:
-        total = F.sum("n").over(W.partitionBy(*by))
+        counts = counts.join(counts.groupBy(*by).agg(F.sum("n").alias("_total")), list(by))
     else:
-        total = counts.agg(F.sum("n")).scalar()
-    return counts.select(*by, column, "n", F.round(100.0 * F.col("n") / total, 6).alias("pct"))
+        counts = counts.withColumn("_total", counts.agg(F.sum("n")).scalar())
+    pct = F.round(100.0 * F.col("n") / F.col("_total"), 6)
+    return counts.select(*by, column, "n", pct.alias("pct"))
 
 
 def distinct_counts(df: DataFrame, column: str, ignore: object = None) -> DataFrame:

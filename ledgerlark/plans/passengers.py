@@ -349,7 +349,7 @@ def regression_metrics(spark, sf_dir):
     with_sql(
         PASSENGERS,
         """SELECT embarked, sex, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY sex), 6) AS pct
-        FROM passengers WHERE embarked IS NOT NULL GROUP BY embarked, sex""",
+        FROM passengers WHERE embarked IS NOT NULL AND sex IS NOT NULL GROUP BY embarked, sex""",
     )
 )
 def frequency_by_group(spark, sf_dir):
