@@ -59,7 +59,15 @@ def euclidean(a: Column, b: Column) -> Column:
 
 
 def literal_vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return F.expr(_vector_text(values))
+
+
+def literal_matrix(rows: Sequence[Sequence[float]]) -> Column:
+    return F.expr(f"array({', '.join(_vector_text(r) for r in rows)})")
+
+
+def _vector_text(values: Sequence[float]) -> str:
+    return f"array({', '.join(repr(float(v)) + 'D' for v in values)})"
 
 
 def as_doubles(c: Column) -> Column:

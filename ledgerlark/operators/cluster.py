@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.operators.dbscan import adaptive_eps, dbscan, reassign_noise
 from ledgerlark.operators.neighbours import (
@@ -23,7 +23,7 @@ from ledgerlark.operators.neighbours import (
     nearest_centre,
 )
 from ledgerlark.operators.quantiles import exact_quantiles
-from ledgerlark.operators.skew import attach_by_key
+from ledgerlark.operators.ranking import shuffle_key
 from ledgerlark.session import cut_lineage
 
 Centres = list[list[float]]
@@ -107,34 +107,37 @@ def elbow(curve: DataFrame) -> DataFrame:
 # --- fuzzy c-means ------------------------------------------------------------------------------
 
 
-def memberships(vector: Column, centres: Centres, m: float = 2.0) -> Column:
-    """Membership of the vector in each cluster; they add up to 1."""
-    d2 = centre_distances(vector, centres)
-    eps = float(np.finfo(np.float64).eps) ** 2
-    inverse = F.transform(d2, lambda x: F.pow(F.greatest(x, F.lit(eps)), F.lit(-1.0 / (m - 1))))
-    return F.transform(
-        inverse, lambda x: x / F.aggregate(inverse, F.lit(0.0), lambda s, y: s + y)
-    )
+def _weights(centres: Centres, vector: str, prefix: str, m: float) -> list[str]:
+    """SQL of ``d² ** (-1 / (m - 1))`` per centre, from which memberships follow by division."""
+    tiny = float(np.finfo(np.float64).eps) ** 2
+    out = []
+    for j, c in enumerate(centres):
+        centre = f"array({', '.join(repr(float(x)) + 'D' for x in c)})"
+        d2 = (
+            f"aggregate(zip_with({vector}, {centre}, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x)"
+        )
+        out.append(f"pow(greatest({d2}, {tiny!r}D), {-1.0 / (m - 1)!r}D) AS {prefix}{j}")
+    return out
 
 
-def _seeded_memberships(row_id: str, c: int, seed: int) -> Column:
-    raw = [
-        F.pmod(F.xxhash64(F.col(row_id).cast("string"), F.lit(seed), F.lit(j)), F.lit(1_000_003)) + 1.0
+def _fuzzy_round(
+    rows: DataFrame, vector: str, now: Centres, before: Centres | None, m: float
+) -> tuple[Centres, float]:
+    """The centres after ``now``, and the squared change of the memberships since ``before``."""
+    c = len(now)
+    names = [("_w", now)] + ([("_o", before)] if before else [])
+    weighed = rows.selectExpr("_v", *[x for p, s in names for x in _weights(s, vector, p, m)])
+    totals = [f"{' + '.join(f'{p}{j}' for j in range(c))} AS {p}" for p, _ in names]
+    weighed = weighed.selectExpr("*", *totals)
+    means = [
+        Summarizer.mean(F.col("_v"), F.expr(f"pow(_w{j} / _w, {m!r}D)")).alias(f"m{j}")
         for j in range(c)
     ]
-    total = sum(raw[1:], raw[0])
-    return F.array(*[x / total for x in raw])
-
-
-def _weighted_means(df: DataFrame, vector: str, u: str, c: int, m: float, old: str | None):
-    """New centres, and the squared change of the memberships since the round before."""
-    v = array_to_vector(vector)
-    means = [Summarizer.mean(v, F.pow(F.col(u)[j], F.lit(m))).alias(f"m{j}") for j in range(c)]
     change = F.lit(float("inf"))
-    if old is not None:
-        parts = [(F.col(u)[j] - F.col(old)[j]) * (F.col(u)[j] - F.col(old)[j]) for j in range(c)]
-        change = F.sum(sum(parts[1:], parts[0]))
-    row = df.agg(change.alias("change"), *means).first()
+    if before:
+        squares = [f"pow(_w{j} / _w - _o{j} / _o, 2)" for j in range(c)]
+        change = F.sum(F.expr(" + ".join(squares)))
+    row = weighed.agg(change.alias("change"), *means).first()
     return _as_lists([row[f"m{j}"] for j in range(c)]), row["change"]
 
 
@@ -151,32 +154,32 @@ def fuzzy_cmeans(
 ) -> Centres:
     """Centres of fuzzy c-means; stops when the memberships change by less than ``error`` in norm.
 
-    One scan per round: it takes the new centres and, from the two last sets of centres, the
-    change of the memberships. The memberships themselves are never stored.
+    Starts from given centres or from seeded rows. One scan per round: it takes the new centres
+    and, from the two last sets of centres, the change of the memberships, which are not stored.
     """
-    rows = df.select(row_id, vector)
+    if start is None:
+        seeds = df.select(vector, shuffle_key(row_id, seed).alias("_h"))
+        start = [list(r[0]) for r in seeds.orderBy("_h").limit(c).collect()]
+    rows = df.select(vector, array_to_vector(vector).alias("_v")).persist()
     now, before = start, None
-    for _ in range(max_rounds):
-        u = memberships(F.col(vector), now, m) if now else _seeded_memberships(row_id, c, seed)
-        step = rows.withColumn("_u", u)
-        old = None
-        if now is not None and (before is not None or start is None):
-            previous = (
-                memberships(F.col(vector), before, m)
-                if before is not None
-                else _seeded_memberships(row_id, c, seed)
-            )
-            step, old = step.withColumn("_old", previous), "_old"
-        centres, change = _weighted_means(step, vector, "_u", c, m, old)
-        if old is not None and change < error * error:
-            return now
-        before, now = now, centres
+    try:
+        for _ in range(max_rounds):
+            after, change = _fuzzy_round(rows, vector, now, before, m)
+            if change < error * error:
+                break
+            before, now = now, after
+    finally:
+        rows.unpersist()
     return now
 
 
 def with_memberships(df: DataFrame, vector: str, centres: Centres, m: float = 2.0) -> DataFrame:
     """Add the membership array and the cluster with the highest one, the lowest on ties."""
-    out = df.withColumn("membership", memberships(F.col(vector), centres, m))
+    c = range(len(centres))
+    weighed = df.selectExpr("*", *_weights(centres, vector, "_w", m))
+    weighed = weighed.selectExpr("*", f"{' + '.join(f'_w{j}' for j in c)} AS _w")
+    shares = F.array(*[F.col(f"_w{j}") / F.col("_w") for j in c])
+    out = weighed.withColumn("membership", shares).drop("_w", *[f"_w{j}" for j in c])
     best = F.array_position("membership", F.array_max("membership")) - 1
     return out.withColumn("cluster", best.cast("int"))
 

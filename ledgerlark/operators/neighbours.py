@@ -16,7 +16,9 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from ledgerlark.functions.scalars import literal_matrix, squared_distance
 from ledgerlark.operators.skew import attach_by_key, top_k_per_group
+from ledgerlark.session import cut_lineage
 
 BLOCK = 2048
 MAX_PIVOTS = 512
@@ -65,12 +67,13 @@ def with_cell(df: DataFrame, pivots: Sequence[Sequence[float]]) -> DataFrame:
 
 
 def build_cells(points: DataFrame) -> tuple[Cells, DataFrame]:
-    """Choose pivots among the points by hash and assign the points; about sqrt(n) cells."""
+    """Choose pivots among the points by hash and assign the points; about sqrt(n) / 2 cells."""
+    points = cut_lineage(points)
     n = points.count()
     m = max(1, min(MAX_PIVOTS, ceil(sqrt(n) / 2)))
     chosen = points.select("v").orderBy(F.xxhash64("v", F.lit(42)), "v").limit(m).collect()
     pivots = [list(r["v"]) for r in chosen]
-    placed = with_cell(points, pivots)
+    placed = cut_lineage(with_cell(points, pivots))
     stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("r"))
     radius, count = [0.0] * len(pivots), [0] * len(pivots)
     for row in stats.collect():
@@ -193,7 +196,7 @@ def nearest_neighbours(
     )
     pool = reduced.withColumn("pid", F.col("nid"))
     cells, placed = build_cells(pool)
-    asked = with_cell(distinct_vectors(queries, query_id, vector), cells.pivots)
+    asked = cut_lineage(with_cell(distinct_vectors(queries, query_id, vector), cells.pivots))
     id_type = dict(points.dtypes)[point_id]
     schema = f"pid {dict(queries.dtypes)[query_id]}, nid {id_type}, distance double"
     compare = _nearest_in_block(k)
@@ -204,7 +207,7 @@ def nearest_neighbours(
         F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("reach")
     )
     reaching = asked.join(bound, "pid", "left").fillna(float("inf"), ["reach"])
-    found = block_join(visits(reaching, cells), placed, cells, compare, schema)
+    found = block_join(cut_lineage(visits(reaching, cells)), placed, cells, compare, schema)
     order = W.partitionBy("pid").orderBy("distance", "nid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.join(asked.select("pid", "v", "weight"), "pid")
@@ -242,10 +245,4 @@ def nearest_centre(vector: Column, centres: Sequence[Sequence[float]]) -> Column
 
 def centre_distances(vector: Column, centres: Sequence[Sequence[float]]) -> Column:
     """Array of squared distances to each centre."""
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    return F.transform(
-        table,
-        lambda c: F.aggregate(
-            F.zip_with(vector, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x
-        ),
-    )
+    return F.transform(literal_matrix(centres), lambda c: squared_distance(vector, c))
