@@ -17,26 +17,22 @@ def nan_to_null(c: Column) -> Column:
 
 def parse_money(c: Column) -> Column:
     """``"$ 1,234.50"`` to 1234.5: drops dollar signs, spaces and thousands commas."""
-    bare = F.regexp_replace(F.trim(c.cast("string")), "[$ ,]", "")
+    bare = F.translate(F.trim(c.cast("string")), "$ ,", "")
     return nan_to_null(bare.try_cast("double"))
 
 
 def parse_day_first(c: Column, default_year: int | None = None) -> Column:
     """Day-first dates; ``12/03`` without a year takes ``default_year``, else it is NULL."""
     text = F.trim(c)
-    parsed = _whole_date(text, DAY_FIRST)
-    if default_year is None:
-        return parsed
-    yearless = F.when(
-        text.rlike(r"^\d{1,2}/\d{1,2}$"), F.concat(text, F.lit(f"/{default_year}"))
-    )
-    return F.coalesce(parsed, _whole_date(yearless, DAY_FIRST))
+    if default_year is not None:
+        yearless = text.rlike(r"^\d{1,2}/\d{1,2}$")
+        text = F.when(yearless, F.concat(text, F.lit(f"/{default_year}"))).otherwise(text)
+    return _whole_date(text, DAY_FIRST)
 
 
 def _whole_date(text: Column, pattern: str) -> Column:
-    return F.when(
-        text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_timestamp(text, F.lit(pattern)).cast("date")
-    )
+    shaped = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text)
+    return F.try_to_timestamp(shaped, F.lit(pattern)).cast("date")
 
 
 def with_date_ladder(
@@ -54,13 +50,11 @@ def with_date_ladder(
             for n, p in (("day", DAY_FIRST), ("month", MONTH_FIRST))
         ]
     )
-    fit = misfits.select(F.struct("day", "month")).scalar()
-    return df.withColumn(
-        target,
-        F.when((fit["day"] > 0) & (fit["month"] == 0), _whole_date(text, MONTH_FIRST)).otherwise(
-            parse_day_first(F.col(source), default_year)
-        ),
+    month_first = misfits.select((F.col("day") > 0) & (F.col("month") == 0)).scalar()
+    parsed = F.when(month_first, _whole_date(text, MONTH_FIRST)).otherwise(
+        parse_day_first(F.col(source), default_year)
     )
+    return df.withColumn(target, parsed)
 
 
 def clean_text(c: Column, upper: bool = False) -> Column:

@@ -31,7 +31,7 @@ def top_groups(df: DataFrame, key: str, label: str, n: int) -> DataFrame:
         .orderBy(F.col("_total").desc(), key)
         .limit(n)
     )
-    return counts.join(checked_broadcast(top.select(key), n), key, "left_semi")
+    return counts.join(F.broadcast(top.select(key)), key, "left_semi")
 
 
 def scatter_series(
@@ -50,7 +50,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str) -> DataFrame:
     edges = known.groupBy(by).agg(
         F.min(column).alias("_lo"), ((F.max(column) - F.min(column)) / bins).alias("_w")
     )
-    rows = known.join(checked_broadcast(edges), by)
+    rows = known.join(checked_broadcast(edges, df, [by]), by)
     slot = F.coalesce(F.floor(F.try_divide(F.col(column) - F.col("_lo"), F.col("_w"))), F.lit(0))
     binned = rows.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
     out = binned.groupBy(by, "bin", "_lo", "_w").agg(F.count(F.lit(1)).alias("n"))
@@ -73,9 +73,11 @@ def auto_histogram(df: DataFrame, column: str) -> DataFrame:
     sturges = F.log2("n") + 1
     diaconis = F.try_divide(span, F.try_divide(2 * F.col("iqr"), F.cbrt("n")))
     bins = F.greatest(F.lit(1.0), F.ceil(F.greatest(sturges, diaconis)).cast("double"))
-    e = base.select(F.struct("lo", (span / bins).alias("w"), bins.alias("bins"))).scalar()
+    edges = base.select(F.struct("lo", (span / bins).alias("w"), bins.alias("bins"))).scalar()
+    e = F.col("_e")
     slot = F.coalesce(F.floor(F.try_divide(F.col("x") - e["lo"], e["w"])), F.lit(0))
-    binned = known.groupBy(F.least(slot, e["bins"] - 1).cast("int").alias("bin")).agg(
+    placed = known.withColumn("_e", edges)
+    binned = placed.groupBy("_e", F.least(slot, e["bins"] - 1).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return binned.select("bin", "n", (e["lo"] + e["w"] * F.col("bin")).alias("left_edge"))
@@ -87,11 +89,11 @@ def density_curve(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataF
     Each task adds its values into the fixed grid, so only ``points`` sums per task are shuffled.
     """
     known = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    s = known.agg(
+    spread = known.agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")
     )
     width = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    s = s.select(
+    spread = spread.select(
         F.struct(
             "n",
             width.alias("h"),
@@ -100,12 +102,13 @@ def density_curve(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataF
         )
     ).scalar()
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    s = F.col("_s")
     at = s["a"] + s["step"] * F.col("i")
     z = (at - F.col("x")) / s["h"]
-    cells = known.select("x", grid.alias("i"))
-    sums = cells.groupBy("i").agg(F.sum(F.exp(-0.5 * z * z)).alias("_s"))
+    cells = known.withColumn("_s", spread).select("x", "_s", grid.alias("i"))
+    sums = cells.groupBy("_s", "i").agg(F.sum(F.exp(-0.5 * z * z)).alias("_sum"))
     norm = s["n"] * s["h"] * F.sqrt(2 * F.pi())
-    return sums.select("i", at.alias("x"), (F.col("_s") / norm).alias("density"))
+    return sums.select("i", at.alias("x"), (F.col("_sum") / norm).alias("density"))
 
 
 def box_stats(df: DataFrame, column: str, by: str, width: float = 1.5) -> DataFrame:
@@ -117,7 +120,7 @@ def box_stats(df: DataFrame, column: str, by: str, width: float = 1.5) -> DataFr
             for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
         ]
     )
-    rows = df.where(F.col(column).isNotNull()).join(checked_broadcast(wide), by)
+    rows = df.where(F.col(column).isNotNull()).join(checked_broadcast(wide, df, [by]), by)
     reach = width * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     x = F.col(column)
@@ -137,7 +140,7 @@ def fliers(df: DataFrame, column: str, by: str, width: float = 1.5) -> DataFrame
     """The rows outside the fences of their class."""
     q = exact_quantiles(df, [column], [0.25, 0.75], [by])
     wide = q.groupBy(by).agg(F.min("value").alias("_q1"), F.max("value").alias("_q3"))
-    rows = df.join(checked_broadcast(wide), by)
+    rows = df.join(checked_broadcast(wide, df, [by]), by)
     reach = width * (F.col("_q3") - F.col("_q1"))
     x = F.col(column)
     return rows.where((x < F.col("_q1") - reach) | (x > F.col("_q3") + reach)).drop("_q1", "_q3")

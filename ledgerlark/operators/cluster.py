@@ -98,10 +98,12 @@ def elbow(curve: DataFrame) -> DataFrame:
             F.max_by("inertia", "k").alias("y1"),
         )
     ).scalar()
-    dx, dy = ends["k1"] - ends["k0"], ends["y1"] - ends["y0"]
-    cross = F.abs(dx * (ends["y0"] - F.col("inertia")) - dy * (ends["k0"] - F.col("k")))
-    distance = cross / F.sqrt(dx * dx + dy * dy)
-    return curve.orderBy(F.round(distance, 12).desc(), "k").limit(1).select("k")
+    e = F.col("_e")
+    dx, dy = e["k1"] - e["k0"], e["y1"] - e["y0"]
+    cross = F.abs(dx * (e["y0"] - F.col("inertia")) - dy * (e["k0"] - F.col("k")))
+    distance = F.round(cross / F.sqrt(dx * dx + dy * dy), 12)
+    placed = curve.withColumn("_e", ends).select("k", distance.alias("_d"))
+    return placed.orderBy(F.col("_d").desc(), "k").limit(1).select("k")
 
 
 # --- fuzzy c-means ------------------------------------------------------------------------------

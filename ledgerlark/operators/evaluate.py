@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.operators.ranking import with_running_totals
+from ledgerlark.session import cut_lineage
 
 
 def _zero_div(a: Column, b: Column) -> Column:
@@ -130,35 +131,31 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
 def roc_curve(df: DataFrame, y: str, score: str) -> DataFrame:
     """Points (threshold, fpr, tpr) from high to low score; points inside a straight run are dropped.
 
-    A point is dropped when the next step adds as many positives and as many negatives as its own.
-    The point (0, 0) has no threshold.
+    A point is dropped when the next step adds as many positives and as many negatives as its own;
+    the next step is found by its position in the running totals, not by one window over all
+    scores. The point (0, 0) comes before the first step and has no threshold.
     """
     steps = with_running_totals(_score_steps(df, y, score), "score", ["pos", "neg"], descending=True)
+    steps = cut_lineage(steps.withColumn("_end", F.col("cum_pos") + F.col("cum_neg")))
+    following = steps.select(
+        (F.col("_end") - F.col("pos") - F.col("neg")).alias("_end"),
+        F.col("pos").alias("next_pos"),
+        F.col("neg").alias("next_neg"),
+    )
     total = steps.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    nxt = _next_lower(steps)
     straight = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
-    kept = nxt.where(F.col("next_pos").isNull() | ~straight)
-    points = kept.select(
-        F.col("score").alias("threshold"),
-        (F.col("cum_neg") / total["n"]).alias("fpr"),
-        (F.col("cum_pos") / total["p"]).alias("tpr"),
-    )
-    start = steps.limit(1).select(
+    kept = steps.join(following, "_end", "left").where(F.col("next_pos").isNull() | ~straight)
+    origin = F.struct(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return points.unionByName(start)
-
-
-def _next_lower(steps: DataFrame) -> DataFrame:
-    """Each step with the sizes of the next lower one, found by its position, not by one window."""
-    place = F.col("cum_pos") + F.col("cum_neg")
-    own = steps.withColumn("_end", place)
-    following = steps.select(
-        (place - F.col("pos") - F.col("neg")).alias("_end"),
-        F.col("pos").alias("next_pos"),
-        F.col("neg").alias("next_neg"),
+    point = F.struct(
+        F.col("score").alias("threshold"),
+        F.try_divide(F.col("cum_neg").cast("double"), F.col("_total")["n"]).alias("fpr"),
+        F.try_divide(F.col("cum_pos").cast("double"), F.col("_total")["p"]).alias("tpr"),
     )
-    return own.join(following, "_end", "left")
+    last = F.col("next_pos").isNull()
+    points = F.when(last, F.array(origin, point)).otherwise(F.array(point))
+    return kept.withColumn("_total", total).select(F.inline(points))
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:

@@ -33,8 +33,10 @@ def with_balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """Weight ``n / (2 n_c)`` for a row of class c."""
     n1 = F.count_if(F.col(label) == 1)
     sizes = df.agg(F.struct(F.count(F.lit(1)).alias("n"), n1.alias("n1")).alias("s")).scalar()
-    own = F.when(F.col(label) == 1, sizes["n1"]).otherwise(sizes["n"] - sizes["n1"])
-    return df.withColumn(WEIGHT, F.try_divide(sizes["n"].cast("double"), 2 * own))
+    s = F.col("_s")
+    own = F.when(F.col(label) == 1, s["n1"]).otherwise(s["n"] - s["n1"])
+    weight = F.try_divide(s["n"].cast("double"), 2 * own)
+    return df.withColumn("_s", sizes).withColumn(WEIGHT, weight).drop("_s")
 
 
 def logistic(label: str, rows: float, C: float = 1.0, balanced: bool = False) -> LogisticRegression:

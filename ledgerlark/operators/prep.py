@@ -19,8 +19,9 @@ from ledgerlark.operators.skew import attach_by_key, bounded_values
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill with the exact, interpolated median."""
-    mids = quantile_row(df, columns, [0.5])
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), mids[c][0]) for c in columns})
+    mids = F.col("_mids")
+    filled = {c: F.coalesce(F.col(c).cast("double"), mids[c][0]) for c in columns}
+    return df.withColumn("_mids", quantile_row(df, columns, [0.5])).withColumns(filled).drop("_mids")
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,27 +37,29 @@ def _learnt(df: DataFrame, columns: Sequence[str], first, second) -> Column:
 
 def scale_standard(df: DataFrame, columns: Sequence[str], suffix: str = "_std") -> DataFrame:
     """``(x - mean) / sd`` with n in the denominator of sd; a constant column becomes 0."""
-    s = _learnt(df, columns, F.avg, F.stddev_pop)
+    s = F.col("_s")
 
     def scaled(c):
         centred = F.col(c) - s[c]["a"]
         return F.when(s[c]["b"] == 0, centred).otherwise(F.try_divide(centred, s[c]["b"]))
 
-    return df.withColumns({c + suffix: scaled(c) for c in columns})
+    learnt = df.withColumn("_s", _learnt(df, columns, F.avg, F.stddev_pop))
+    return learnt.withColumns({c + suffix: scaled(c) for c in columns}).drop("_s")
 
 
 def scale_min_max(
     df: DataFrame, columns: Sequence[str], suffix: str = "_minmax", epsilon: float = 0.0
 ) -> DataFrame:
     """``(x - min) / (max - min + epsilon)``; a constant column becomes 0."""
-    s = _learnt(df, columns, F.min, F.max)
+    s = F.col("_s")
 
     def scaled(c):
         low = F.col(c) - s[c]["a"]
         span = s[c]["b"] - s[c]["a"] + F.lit(epsilon)
         return F.when(span == 0, low).otherwise(F.try_divide(low, span))
 
-    return df.withColumns({c + suffix: scaled(c) for c in columns})
+    learnt = df.withColumn("_s", _learnt(df, columns, F.min, F.max))
+    return learnt.withColumns({c + suffix: scaled(c) for c in columns}).drop("_s")
 
 
 def one_hot(
@@ -151,7 +154,7 @@ def fit_mixed(
             *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)],
         ).first()
         learnt = [(c, mids[c][0], row[f"a{i}"], row[f"s{i}"]) for i, c in enumerate(numeric)]
-    modal = {r["column"]: r["mode"] for r in modes(df, categorical).collect()} if categorical else {}
+    modal = {c: modes(df, [c]).first()["mode"] for c in categorical}
     levels = [(c, modal[c], tuple(bounded_values(df, c))) for c in categorical]
     return MixedPreprocessor(tuple(learnt), tuple(levels))
 

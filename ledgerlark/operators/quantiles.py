@@ -51,7 +51,7 @@ def exact_quantiles(
     )
     brackets = F.array(*[_bracket(i, p) for i, p in enumerate(probs)])
     sketch = sketch.select(*keys, "n", brackets.alias("_brackets"))
-    marked = long.join(checked_broadcast(sketch), keys)
+    marked = long.join(checked_broadcast(sketch, df, by), keys)
     value = F.col("value")
     inside = F.exists("_brackets", lambda b: (b["lo"] <= value) & (value <= b["hi"]))
     passed = F.array_max(
@@ -128,7 +128,10 @@ def _interpolate(i: int, p: float, method: str) -> Column:
 def quantile_row(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], method: str = "linear"
 ) -> Column:
-    """A one-row scalar: map from column name to the array of its quantiles, for use in projections."""
+    """A scalar for projections: map from column name to the array of its quantiles.
+
+    Put it into a column once; each further mention would plan the whole subquery again.
+    """
     long = exact_quantiles(df, columns, probs, method=method)
     per_column = long.groupBy("column").agg(
         F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("q")
@@ -136,6 +139,3 @@ def quantile_row(
     entry = F.struct("column", F.transform("q", lambda s: s["value"]))
     return per_column.agg(F.map_from_entries(F.collect_list(entry))).scalar()
 
-
-def medians(df: DataFrame, columns: Sequence[str]) -> Column:
-    return quantile_row(df, columns, [0.5])

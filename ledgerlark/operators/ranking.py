@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ledgerlark.session import cut_lineage
+
 RANGE_BUCKETS = 1024
 
 
@@ -75,8 +77,10 @@ def with_running_totals(
     """Add ``cum_<t>``: the total of column ``t`` over this row and all rows before it.
 
     ``order`` must be unique per row (aggregate by it first). Any cut points give right totals;
-    approximate percentiles only make the buckets even.
+    approximate percentiles only make the buckets even. The table is read three times, so it is
+    materialised first.
     """
+    df = cut_lineage(df)
     points = [i / buckets for i in range(1, buckets)]
     bounds = F.array_distinct(F.percentile_approx(F.col(order), points, 10 * buckets))
     cut = df.agg(bounds.alias("b")).scalar()

@@ -69,20 +69,16 @@ def fences(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFra
     )
 
 
-def inlier_condition(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> Column:
-    """Inside the fences in every column; a row with a missing value cannot be judged."""
+def keep_inliers(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFrame:
+    """Drop rows outside the fences of any column; a row with a missing value cannot be judged."""
     table = fences(df, columns, width)
     bounds = table.agg(
         F.map_from_entries(F.collect_list(F.struct("column", F.array("lower", "upper"))))
     ).scalar()
-    tests = [F.col(c).between(bounds[c][0], bounds[c][1]) for c in columns]
-    return reduce(lambda a, b: a & b, tests)
-
-
-def keep_inliers(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFrame:
-    """Drop rows outside the fences; rows with a missing value stay."""
-    unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    return df.where(unknown | inlier_condition(df, columns, width))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    b = F.col("_bounds")
+    inside = reduce(lambda x, y: x & y, [F.col(c).between(b[c][0], b[c][1]) for c in columns])
+    return df.withColumn("_bounds", bounds).where(~known | inside).drop("_bounds")
 
 
 @dataclass(frozen=True)

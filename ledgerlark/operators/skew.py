@@ -59,11 +59,18 @@ def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: st
     return joined.select(*df.columns, *added)
 
 
-def checked_broadcast(df: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Broadcast a table that must be small; the query fails if it has more than ``limit`` rows."""
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    message = F.lit(f"a table meant for broadcast holds more than {limit} rows")
-    return F.broadcast(df.where(F.when(rows <= limit, True).otherwise(F.raise_error(message))))
+def checked_broadcast(
+    table: DataFrame, source: DataFrame, by: Sequence[str], limit: int = 10_000
+) -> DataFrame:
+    """Broadcast a table with one row per group of ``source``; the query fails if there are too many.
+
+    The groups are counted by a sketch over the key columns alone, not by running the table twice.
+    """
+    if not by:
+        return F.broadcast(table)
+    groups = source.agg(F.approx_count_distinct(F.struct(*by))).scalar()
+    message = F.lit(f"a table meant for broadcast has more than {limit} groups of {list(by)}")
+    return F.broadcast(table.where(F.when(groups <= limit, True).otherwise(F.raise_error(message))))
 
 
 def top_k_per_group(

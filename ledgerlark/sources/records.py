@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlark.functions.parse import (
     nan_to_null,
@@ -14,25 +13,23 @@ from ledgerlark.functions.parse import (
     parse_start_year,
 )
 
-MOVIE_REPLY = StructType(
-    [
-        StructField(n, StringType())
-        for n in ("Response", "Title", "imdbRating", "imdbVotes", "Runtime", "Year")
-    ]
-)
+MOVIE_FIELDS = ["Response", "Title", "imdbRating", "imdbVotes", "Runtime", "Year"]
 
 
 def parse_movies(df: DataFrame, raw: str) -> DataFrame:
-    """Typed film records; a reply that was refused, or has any bad field, is dropped."""
-    r = F.from_json(raw, MOVIE_REPLY)
+    """Typed film records; a reply that was refused, or has any bad field, is dropped.
+
+    The text is read once, by a generator, which filters on the parsed fields cannot repeat.
+    """
+    others = [c for c in df.columns if c != raw]
+    reply = df.select(*others, F.json_tuple(raw, *MOVIE_FIELDS).alias(*MOVIE_FIELDS))
     fields = {
-        "title": F.col("_r.Title"),
-        "rating": nan_to_null(F.col("_r.imdbRating").try_cast("double")),
-        "votes": parse_grouped_integer(F.col("_r.imdbVotes")),
-        "runtime": parse_leading_integer(F.col("_r.Runtime")),
-        "year": parse_start_year(F.col("_r.Year")),
+        "title": F.col("Title"),
+        "rating": nan_to_null(F.col("imdbRating").try_cast("double")),
+        "votes": parse_grouped_integer(F.col("imdbVotes")),
+        "runtime": parse_leading_integer(F.col("Runtime")),
+        "year": parse_start_year(F.col("Year")),
     }
-    typed = df.withColumn("_r", r).where(F.col("_r.Response") == "True")
-    others = [c for c in df.columns if c != raw]
-    typed = typed.select(*others, *[c.alias(n) for n, c in fields.items()])
+    accepted = reply.where(F.col("Response") == "True")
+    typed = accepted.select(*others, *[c.alias(n) for n, c in fields.items()])
     return typed.where(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in fields]))
