@@ -38,6 +38,11 @@ def outflows(spark, sf_dir):
     return spent.withColumn("es_gasto_hormiga", label).withColumn("valor_abs", F.abs("valor"))
 
 
+def exact_mean(mean, n):
+    """The mean as cents over rows, which is the same double in every engine."""
+    return (F.round(F.col(mean) * F.col(n), 2) / F.col(n)).alias(mean)
+
+
 @query(
     with_sql(
         OUT,
@@ -217,7 +222,7 @@ def calendar_features(spark, sf_dir):
           CASE WHEN fecha IS NOT NULL THEN count(*) OVER (PARTITION BY fecha) END AS freq_gastos_dia,
           CASE WHEN fecha IS NOT NULL THEN round(sum(valor_abs) OVER (PARTITION BY fecha), 2) END AS gasto_diario_acumulado,
           count(*) OVER (PARTITION BY descripcion) AS freq_por_descripcion,
-          round(avg(valor_abs) OVER (PARTITION BY descripcion), 7) AS gasto_promedio_descripcion FROM v""",
+          round(sum(valor_abs) OVER (PARTITION BY descripcion), 2) / count(*) OVER (PARTITION BY descripcion) AS gasto_promedio_descripcion FROM v""",
     )
 )
 def group_broadcast_features(spark, sf_dir):
@@ -229,7 +234,7 @@ def group_broadcast_features(spark, sf_dir):
         "freq_gastos_dia",
         F.round("gasto_diario_acumulado", 2).alias("gasto_diario_acumulado"),
         "freq_por_descripcion",
-        F.round("gasto_promedio_descripcion", 7).alias("gasto_promedio_descripcion"),
+        exact_mean("gasto_promedio_descripcion", "freq_por_descripcion"),
     )
 
 
@@ -257,7 +262,7 @@ def lookup_frequency(spark, sf_dir):
         round(ln(1 + valor_abs), 6) AS log_valor, count(*) OVER (PARTITION BY fecha) AS freq_gastos_dia,
         round(sum(valor_abs) OVER (PARTITION BY fecha), 2) AS gasto_diario_acumulado,
         count(*) OVER (PARTITION BY descripcion) AS freq_por_descripcion,
-        round(avg(valor_abs) OVER (PARTITION BY descripcion), 7) AS gasto_promedio_descripcion FROM gastos""",
+        round(sum(valor_abs) OVER (PARTITION BY descripcion), 2) / count(*) OVER (PARTITION BY descripcion) AS gasto_promedio_descripcion FROM gastos""",
     )
 )
 def feature_pipeline(spark, sf_dir):
@@ -266,7 +271,9 @@ def feature_pipeline(spark, sf_dir):
         {
             "log_valor": F.round("log_valor", 6),
             "gasto_diario_acumulado": F.round("gasto_diario_acumulado", 2),
-            "gasto_promedio_descripcion": F.round("gasto_promedio_descripcion", 7),
+            "gasto_promedio_descripcion": exact_mean(
+                "gasto_promedio_descripcion", "freq_por_descripcion"
+            ),
         }
     )
 
@@ -431,15 +438,15 @@ def tfidf_documents(spark, sf_dir):
 @query(
     with_sql(
         OUT,
-        """SELECT es_gasto_hormiga, round(avg(valor_abs), 7) AS mean, min(valor_abs) AS min, max(valor_abs) AS max, count(*) AS n
+        """SELECT es_gasto_hormiga, round(sum(valor_abs), 2) / count(*) AS mean, min(valor_abs) AS min, max(valor_abs) AS max, count(*) AS n
         FROM gastos GROUP BY es_gasto_hormiga""",
     )
 )
 def amount_summary(spark, sf_dir):
     spent = outflows(spark, sf_dir)
     return spent.groupBy("es_gasto_hormiga").agg(
-        F.round(F.avg("valor_abs"), 7).alias("mean"),
+        F.avg("valor_abs").alias("mean"),
         F.min("valor_abs").alias("min"),
         F.max("valor_abs").alias("max"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ).withColumn("mean", exact_mean("mean", "n"))

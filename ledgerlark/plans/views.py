@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- transactions -------------------------------------------------------------------------------
 
 TX = """tx AS (
-  SELECT md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS id,
+  SELECT md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE))) AS id,
          l_orderkey AS k, CAST(l_shipdate AS DATE) AS fecha, p_name AS descripcion,
          CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE -l_extendedprice END AS valor
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -27,8 +27,9 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     amount = F.col("l_extendedprice")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate")]
     return lines.join(part, lines.l_partkey == part.p_partkey).select(
-        F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("id"),
+        F.md5(F.concat_ws(":", *keys)).alias("id"),
         F.col("l_orderkey").alias("k"),
         F.to_date("l_shipdate").alias("fecha"),
         F.col("p_name").alias("descripcion"),
