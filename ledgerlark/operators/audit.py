@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.operators.skew import attach_by_key
+from ledgerlark.operators.skew import attach_by_key, checked_broadcast
 from ledgerlark.presets import VERDICT_LOWEST, VERDICT_TIERS
 
 
@@ -24,7 +24,9 @@ def usable_algorithms(assignments: DataFrame) -> DataFrame:
     found = assignments.groupBy("algorithm").agg(F.count_distinct("cluster").alias("_k"))
     best = found.agg(F.max("_k")).scalar()
     keep = found.where((F.col("_k") >= 2) | (best < 2)).select("algorithm")
-    return assignments.join(F.broadcast(keep.limit(1000)), "algorithm", "left_semi")
+    return assignments.join(
+        checked_broadcast(keep, assignments, ["algorithm"]), "algorithm", "left_semi"
+    )
 
 
 def consensus_relabel(

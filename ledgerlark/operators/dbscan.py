@@ -32,7 +32,7 @@ def _count_within(eps: float) -> Callable:
         import pandas as pd
 
         if len(q) == 0 or len(p) == 0:
-            return pd.DataFrame({"pid": [], "n": []})
+            return pd.DataFrame()
         y, w = np.stack(p["v"].to_numpy()), p["weight"].to_numpy()
         n = np.zeros(len(q), dtype=np.int64)
         for a in range(0, len(q), 32):
@@ -49,9 +49,8 @@ def _spanning_edges(eps: float) -> Callable:
         import numpy as np
         import pandas as pd
 
-        none = pd.DataFrame({"a": [], "b": []})
         if len(q) == 0 or len(p) == 0:
-            return none
+            return pd.DataFrame()
         y = np.stack(p["v"].to_numpy())
         qid, pid = q["pid"].to_numpy(), p["pid"].to_numpy()
         near = np.zeros((len(q), len(p)), dtype=bool)
@@ -71,7 +70,8 @@ def _spanning_edges(eps: float) -> Callable:
             todo &= ~left
             members = np.unique(np.concatenate([qid[left], pid[right]]))
             edges.append(pd.DataFrame({"a": members[1:], "b": members[0]}))
-        return pd.concat(edges) if edges else none
+        edges = [e for e in edges if len(e)]
+        return pd.concat(edges) if edges else pd.DataFrame()
 
     return compare
 
@@ -82,7 +82,7 @@ def _lowest_cluster_within(eps: float) -> Callable:
         import pandas as pd
 
         if len(q) == 0 or len(p) == 0:
-            return pd.DataFrame({"pid": [], "cluster": []})
+            return pd.DataFrame()
         y, c = np.stack(p["v"].to_numpy()), p["cluster"].to_numpy()
         none = np.iinfo(np.int64).max
         best = np.full(len(q), none, dtype=np.int64)
@@ -91,6 +91,8 @@ def _lowest_cluster_within(eps: float) -> Callable:
             d = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
             best[a : a + 32] = np.where(d <= eps, c[None, :], none).min(axis=1)
         hit = best < none
+        if not hit.any():
+            return pd.DataFrame()
         return pd.DataFrame({"pid": q["pid"].to_numpy()[hit], "cluster": best[hit]})
 
     return compare
@@ -154,7 +156,8 @@ def _settle_edges() -> Callable:
                 parent[high] = low
                 parent.setdefault(low, low)
         nodes = [x for x in parent if root(x) != x]
-        yield pd.DataFrame({"a": nodes, "b": [root(x) for x in nodes]})
+        if nodes:
+            yield pd.DataFrame({"a": nodes, "b": [root(x) for x in nodes]})
 
     return settle
 

@@ -21,7 +21,7 @@ from ledgerlark.operators.skew import attach_by_key, top_k_per_group
 from ledgerlark.session import cut_lineage
 
 BLOCK = 2048
-MAX_PIVOTS = 512
+MAX_PIVOTS = 4096
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,8 @@ def visits(queries: DataFrame, cells: Cells, later_cells_only: bool = False) ->
 
 
 def _lookup(values: Sequence[int], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), index + 1)
+    table = F.expr(f"array({', '.join(str(int(v)) for v in values)})")
+    return F.element_at(table, index + 1)
 
 
 def block_join(
@@ -156,7 +157,7 @@ def _nearest_in_block(k: int) -> Callable:
         import pandas as pd
 
         if len(q) == 0 or len(p) == 0:
-            return pd.DataFrame({"pid": [], "nid": [], "distance": []})
+            return pd.DataFrame()
         p = p.sort_values("nid", kind="stable")
         y, ids = np.stack(p["v"].to_numpy()), p["nid"].to_numpy()
         out = []

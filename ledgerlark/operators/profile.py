@@ -12,6 +12,9 @@ from ledgerlark.operators.quantiles import exact_quantiles, quantile_row, unpivo
 from ledgerlark.operators.rules import numeric_columns
 
 
+MAX_CELLS = 10_000
+
+
 def frequency_table(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Counts and shares (in percent) of the values of a column; missing values are left out.
 
@@ -225,8 +228,10 @@ def contingency(df: DataFrame, row: str, column: str) -> DataFrame:
     """Long contingency table (row, column, n) with a zero for each absent cell, and row percent."""
     counts = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
     rows = counts.select(row).distinct()
-    columns = counts.agg(F.sort_array(F.collect_set(column))).scalar()
-    full = rows.select(row, F.explode(columns).alias(column))
+    found = counts.select(column).distinct().agg(F.collect_list(column).alias("c"))
+    few = F.when(F.size("c") <= MAX_CELLS, F.col("c"))
+    few = F.coalesce(few, F.raise_error(F.lit("too many columns for a table")).cast(f"array<{dict(df.dtypes)[column]}>"))
+    full = rows.select(row, F.explode(found.select(few).scalar()).alias(column))
     out = full.join(counts, [row, column], "left").fillna(0, ["n"])
     total = F.sum("n").over(W.partitionBy(row))
     pct = F.when(total > 0, 100.0 * F.col("n") / total).otherwise(F.lit(0.0))

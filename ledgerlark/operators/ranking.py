@@ -27,7 +27,7 @@ def with_shuffled_rank(
     by: Sequence[str] = (),
     rank: str = "_rank",
     size: str = "_size",
-    prefix: int = 3,
+    prefix: int = 4,
 ) -> DataFrame:
     """Add the 1-based rank of each row in seeded order, per group, and the group's size.
 
@@ -77,13 +77,12 @@ def with_running_totals(
     """Add ``cum_<t>``: the total of column ``t`` over this row and all rows before it.
 
     ``order`` must be unique per row (aggregate by it first). Any cut points give right totals;
-    approximate percentiles only make the buckets even. The table is read three times, so it is
+    here they are values drawn by hash, of any type that can be ordered. The table is read three times, so it is
     materialised first.
     """
     df = cut_lineage(df)
-    points = [i / buckets for i in range(1, buckets)]
-    bounds = F.array_distinct(F.percentile_approx(F.col(order), points, 10 * buckets))
-    cut = df.agg(bounds.alias("b")).scalar()
+    drawn = df.select(order).orderBy(F.xxhash64(order), order).limit(buckets - 1)
+    cut = drawn.agg(F.sort_array(F.collect_set(order)).alias("b")).scalar()
     placed = range_bucket(F.col(order), F.col("_bounds"), buckets)
     cells = df.withColumn("_bounds", cut).withColumn("_bucket", placed).drop("_bounds")
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())

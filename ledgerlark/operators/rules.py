@@ -69,6 +69,15 @@ def fences(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFra
     )
 
 
+def outlier_counts(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFrame:
+    """One row: rows with all columns known, those inside all fences, and the outliers."""
+    known = df.dropna(subset=list(columns))
+    kept = keep_inliers(known, columns, width).agg(F.count(F.lit(1))).scalar()
+    return known.agg(F.count(F.lit(1)).alias("judged")).select(
+        "judged", kept.alias("inliers"), (F.col("judged") - kept).alias("outliers")
+    )
+
+
 def keep_inliers(df: DataFrame, columns: Sequence[str], width: float = 1.5) -> DataFrame:
     """Drop rows outside the fences of any column; a row with a missing value cannot be judged."""
     table = fences(df, columns, width)

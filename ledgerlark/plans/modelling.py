@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators import charts, evaluate, models, prep, rules, split, tune
 from ledgerlark.operators.features import movie_features
+from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import (
     PANEL_FEATURES,
@@ -299,3 +300,20 @@ def ols_threshold(spark, sf_dir):
     model = models.least_squares("survived").fit(data)
     out = models.decide(model.transform(data), regression=True)
     return out.select("id", F.round("prediction", 6).alias("prediction"), "pred")
+
+
+@query()
+def cluster_audit_flow(spark, sf_dir):
+    """The panel's label against clusters of its complete, scaled rows."""
+    p = panel(spark, sf_dir).withColumn("id", F.concat_ws("|", "unidad", "anio"))
+    out = flows.cluster_audit(p, "id", "label", PANEL_FEATURES, restarts=3)
+    return tidy(out["agreement"].join(out["density"]))
+
+
+@query()
+def hybrid_relabel_flow(spark, sf_dir):
+    """The panel's label revised by five clusterings; models fitted on both labels."""
+    p = panel(spark, sf_dir).withColumn("id", F.concat_ws("|", "unidad", "anio"))
+    ready = prep.fit_mixed(p, PANEL_FEATURES, []).transform(p)
+    vector = vector_to_array("features").alias("v")
+    return tidy(flows.hybrid_relabel(ready.select("id", "label", vector), "id", "label", restarts=2)["comparison"])

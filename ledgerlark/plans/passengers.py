@@ -75,6 +75,17 @@ def iqr_fences(spark, sf_dir):
     )
 
 
+@query(
+    with_sql(
+        FENCES,
+        """SELECT count(*) AS judged, count(CASE WHEN age BETWEEN alo AND ahi AND fare BETWEEN flo AND fhi THEN 1 END) AS inliers,
+        count(*) - count(CASE WHEN age BETWEEN alo AND ahi AND fare BETWEEN flo AND fhi THEN 1 END) AS outliers FROM pos, b""",
+    )
+)
+def iqr_outlier_counts(spark, sf_dir):
+    return rules.outlier_counts(passengers(spark, sf_dir), ["age", "fare"], 0.4)
+
+
 @query(
     with_sql(
         FENCES,

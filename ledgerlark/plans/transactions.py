@@ -14,7 +14,7 @@ from ledgerlark.functions.parse import (
     with_date_ladder,
 )
 from ledgerlark.functions.scalars import flag_at_least
-from ledgerlark.operators import charts, features, profile, rules, text
+from ledgerlark.operators import charts, features, prep, profile, rules, text
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import TX, TX_RAW, table, tx, tx_raw, with_sql
@@ -420,6 +420,27 @@ def tfidf_top_terms(spark, sf_dir):
     return out.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
+WIDE_TERMS = ["blue", "cold", "large", "new", "red", "small"]
+
+
+@query(
+    with_sql(
+        TX,
+        """, src AS (SELECT id, string_split(descripcion, ' ')[1] AS term, string_split(descripcion, ' ')[2] AS other FROM tx),
+        df AS (SELECT term, count(*) AS df FROM src GROUP BY 1)
+        SELECT id, """
+        + ", ".join(f"CAST(CASE WHEN term = '{t}' THEN 1 ELSE 0 END AS DOUBLE) AS \"TFIDF_{t}\"" for t in WIDE_TERMS)
+        + " FROM src",
+    )
+)
+def tfidf_wide(spark, sf_dir):
+    """Weights of the adjectives as columns; each description has one, so its weight is 1."""
+    rows = tx(spark, sf_dir)
+    nouns = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget", "hot", "old"]
+    wide = text.tfidf_columns(rows, "descripcion", 6, nouns)
+    return wide.select("id", *prep.feature_columns(wide, "TFIDF_", []))
+
+
 @query(
     with_sql(
         "src AS (SELECT doc_id AS id, text AS body FROM documents)",

@@ -86,6 +86,14 @@ def test_dbscan(spark, cloud, monkeypatch, block, few):
     assert got.cluster.tolist() == brute_dbscan(cloud, 0.2, 6).tolist()
 
 
+def test_dbscan_with_text_ids(spark, cloud):
+    names = [f"r{i:04d}" for i in range(len(cloud))]
+    df = frame(spark, cloud).withColumn("id", F.format_string("r%04d", "id"))
+    got = dbscan.dbscan(df, "id", "v", 0.2, 6).toPandas().sort_values("id")
+    assert got.id.tolist() == names
+    assert got.cluster.tolist() == brute_dbscan(cloud, 0.2, 6).tolist()
+
+
 def test_dbscan_edges(spark):
     x = [[0.0], [0.1], [0.2], [1.2], [0.7], [1.3], [1.4], [9.0]]
     df = frame(spark, x)
