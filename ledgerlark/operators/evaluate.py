@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlark.operators.ranking import with_running_totals
 from ledgerlark.session import cut_lineage
@@ -179,7 +179,8 @@ def compare(tables: Sequence[tuple[str, DataFrame]], rank_by: str = "f1") -> Dat
     for i, (name, table) in enumerate(tables):
         row = table.select(F.lit(name).alias("model"), F.lit(i).alias("_i"), *table.columns)
         out = row if out is None else out.unionByName(row)
-    best = out.agg(F.max_by("_i", F.struct(F.col(rank_by), -F.col("_i")))).scalar()
+    few = W.partitionBy()  # one row per model
+    best = F.max_by("_i", F.struct(F.col(rank_by), -F.col("_i"))).over(few)
     return out.withColumn("best", (F.col("_i") == best).cast("int")).drop("_i")
 
 

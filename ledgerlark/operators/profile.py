@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -146,15 +146,15 @@ def _corr(a: str, b: str) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full matrix in long form, the diagonal included."""
-    upper = correlations(df, columns)
-    lower = upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    diagonal = df.agg(*[_corr(c, c).alias(c) for c in columns]).select(
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(c).alias("corr")) for c in columns])
-        )
-    )
-    return upper.unionByName(lower).unionByName(diagonal)
+    """The full matrix in long form, the diagonal included, from one aggregation."""
+    pairs = list(combinations_with_replacement(columns, 2))
+    one = df.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    cells = [
+        F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)
+        for x, y in dict.fromkeys([(a, b), (b, a)])
+    ]
+    return one.select(F.inline(F.array(*cells)))
 
 
 def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

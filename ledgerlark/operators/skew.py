@@ -1,9 +1,10 @@
 """Group results attached to rows without gathering a hot group in one task.
 
 A window over a key moves all rows of that key to one task. Here each group is aggregated
-first (with map-side partial results), and the small result is joined back. Keys that hold
-more than ``HOT_SHARE`` of all rows -- there can be at most ``1 / HOT_SHARE`` of them, which
-bounds what is broadcast -- are spread over ``SALTS`` partitions for that join.
+first (with map-side partial results), and the small result is joined back. The ``HOT_KEYS``
+largest groups, if they exceed ``HOT_ROWS`` rows, are spread over ``SALTS`` partitions for that
+join; no other group can hold more than a ``1 / HOT_KEYS`` share of the table, and the list of
+hot keys that is broadcast has at most ``HOT_KEYS`` rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-HOT_SHARE = 1 / 256
+HOT_KEYS = 256
+HOT_ROWS = 500_000
 SALTS = 64
 
 
@@ -36,24 +38,23 @@ def attach_group_aggregates(
 
 
 def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: str) -> DataFrame:
-    """Left join ``df`` with a one-row-per-key ``table`` holding the row count of each key."""
+    """Left join ``df`` with a one-row-per-key ``table`` holding the row count of each key.
+
+    Rows without a key match nothing and are spread as well.
+    """
     keys = list(keys)
-    total = table.agg(F.sum(rows)).scalar()
-    is_hot = F.col(rows) > total * F.lit(HOT_SHARE)
-    hot = table.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    largest = table.orderBy(F.col(rows).desc(), *keys).limit(HOT_KEYS)
+    hot = F.broadcast(largest.where(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot")))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    left = df.join(F.broadcast(hot), keys, "left").withColumn(
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    left = df.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
     )
-    right = table.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salts = F.coalesce(salts, F.array(F.lit(0)))
+    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     joined = left.join(right, keys + ["_salt"], "left")
     added = [c for c in table.columns if c not in keys]
     return joined.select(*df.columns, *added)
