@@ -53,9 +53,32 @@ def tidy(df, digits=4):
     return df.withColumns({c: F.round(c, digits) for c in doubles})
 
 
-@query()
+def _mixed_sql() -> str:
+    sql = PASSENGERS + ", learnt AS (SELECT " + ", ".join(
+        f"median({c}) AS {c}_mid" for c in PASSENGER_NUMBERS
+    ) + " FROM passengers)"
+    for c in PASSENGER_TEXTS:
+        sql += f", {c}_mode AS (SELECT {c} AS {c}_fill FROM passengers WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+    sql += ", filled AS (SELECT id, " + ", ".join(
+        f"CAST(coalesce({c}, {c}_mid) AS DOUBLE) AS {c}" for c in PASSENGER_NUMBERS
+    )
+    sql += ", " + ", ".join(f"coalesce({c}, {c}_fill) AS {c}" for c in PASSENGER_TEXTS)
+    sql += " FROM passengers, learnt, " + ", ".join(f"{c}_mode" for c in PASSENGER_TEXTS) + ")"
+    parts = [
+        f"""SELECT id, '{c}' AS feature, round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 5) AS value FROM filled"""
+        for c in PASSENGER_NUMBERS
+    ]
+    parts += [
+        f"""SELECT id, '{c}_' || l AS feature, CAST(CASE WHEN {c} = l THEN 1 ELSE 0 END AS DOUBLE) AS value
+        FROM filled, (SELECT DISTINCT {c} AS l FROM passengers WHERE {c} IS NOT NULL)"""
+        for c in PASSENGER_TEXTS
+    ]
+    return with_sql(sql, " UNION ALL ".join(parts))
+
+
+@query(_mixed_sql())
 def mixed_preprocessor(spark, sf_dir):
-    """Feature names and the scaled, encoded vector of each passenger."""
+    """Every entry of the scaled, encoded vector of each passenger, under its feature name."""
     p = passengers(spark, sf_dir)
     learnt = prep.fit_mixed(p, PASSENGER_NUMBERS, PASSENGER_TEXTS)
     cells = F.arrays_zip(
@@ -63,9 +86,7 @@ def mixed_preprocessor(spark, sf_dir):
         vector_to_array("features").alias("value"),
     )
     long = learnt.transform(p).select("id", F.inline(cells))
-    return long.groupBy("feature").agg(
-        F.round(F.avg("value"), 4).alias("mean"), F.count("value").alias("n")
-    )
+    return long.withColumn("value", F.round("value", 5))
 
 
 @query()
