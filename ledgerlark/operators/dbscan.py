@@ -190,11 +190,13 @@ def dbscan(
     rooted = core.join(component, F.col("pid") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "pid")
     )
-    roots = rooted.select("component").distinct().withColumn("one", F.lit(1))
-    numbered = with_running_totals(roots, "component", ["one"]).select(
-        "component", (F.col("cum_one") - 1).cast("bigint").alias("cluster")
+    rooted = rooted.drop("node")
+    roots = rooted.groupBy("component").agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = with_running_totals(roots.withColumn("one", F.lit(1)), "component", ["one"]).select(
+        "component", "_rows", (F.col("cum_one") - 1).cast("bigint").alias("cluster")
     )
-    core_clusters = cut_lineage(rooted.join(numbered, "component").drop("node", "component"))
+    core_clusters = attach_by_key(rooted, numbered, ["component"], "_rows")
+    core_clusters = cut_lineage(core_clusters.drop("component", "_rows"))
     rest = known.where(F.col("degree") < min_samples)
     border = block_join(
         visits(rest, cells),

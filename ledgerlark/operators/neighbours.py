@@ -229,8 +229,10 @@ def knn_classify(
 ) -> DataFrame:
     """Add ``pred``: the majority label of the k nearest training rows, the smallest on ties."""
     near = nearest_neighbours(test, train, k, row_id, row_id, vector)
+    asked_for = near.groupBy("nid").agg(F.count(F.lit(1)).alias("_times"))
     labels = train.select(F.col(row_id).alias("nid"), F.col(label).alias("_label"))
-    votes = near.join(labels, "nid").groupBy("v", "weight", "_label").agg(F.count(F.lit(1)).alias("n"))
+    labelled = attach_by_key(near, asked_for.join(labels, "nid"), ["nid"], "_times")
+    votes = labelled.groupBy("v", "weight", "_label").agg(F.count(F.lit(1)).alias("n"))
     pick = votes.groupBy("v", "weight").agg(
         F.max_by("_label", F.struct(F.col("n"), -F.col("_label"))).alias("pred")
     )

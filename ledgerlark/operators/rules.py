@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlark.functions.parse import clean_text, contains_any
 from ledgerlark.functions.scalars import flag, flag_at_least
 from ledgerlark.operators.quantiles import exact_quantiles
+from ledgerlark.operators.skew import attach_by_key
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> bool:
@@ -143,12 +144,12 @@ def stress_label(
 ) -> DataFrame:
     """1 if liquidity < 1, or cash days < 30, or cash flow is negative this year and the year before.
 
-    The year before comes from an equi-join on (unit, year), which no busy unit can skew.
+    The year before is looked up by (unit, year), so no busy unit gathers in one task.
     """
-    before = df.select(
-        F.col(unit), (F.col(year) + 1).alias(year), (F.col(cash_flow) < 0).alias("_before")
+    before = df.groupBy(unit, (F.col(year) + 1).cast(df.schema[year].dataType).alias(year)).agg(
+        F.bool_or(F.col(cash_flow) < 0).alias("_before"), F.count(F.lit(1)).alias("_rows")
     )
-    joined = df.join(before, [unit, year], "left")
+    joined = attach_by_key(df, before, [unit, year], "_rows")
     two_years = (F.col(cash_flow) < 0) & F.coalesce(F.col("_before"), F.lit(False))
     met = (
         flag(F.col(liquidity) < 1) + flag(F.col(cash_days) < 30) + flag(two_years)

@@ -261,19 +261,6 @@ def fare_on_age(spark, sf_dir):
     return prep.assemble(scaled, ["age_std"])
 
 
-@query()
-def regression_line(spark, sf_dir):
-    """Test rows in order of age, with the fare and two predicted lines."""
-    data = cut_lineage(split.split_random(fare_on_age(spark, sf_dir), "id"))
-    train = part(data, "train")
-    n, sd = train.agg(F.count(F.lit(1)), F.stddev_samp("fare")).first()
-    test = part(data, "test")
-    for name, estimator in (("ridge", models.ridge("fare", 1.0, n, sd)), ("lasso", models.lasso("fare", 1.0))):
-        model = estimator.setPredictionCol(name).fit(train)
-        test = model.transform(test)
-    return tidy(charts.regression_line(test, "age", "fare", ["ridge", "lasso"]), 2)
-
-
 FARE = PASSENGERS + """, d AS (SELECT id, fare, age FROM passengers WHERE fare IS NOT NULL AND age IS NOT NULL),
   s AS (SELECT count(*) AS n, avg(fare) AS my, covar_pop(age, fare) / stddev_pop(age) AS c FROM d)"""
 
@@ -299,6 +286,29 @@ def lasso_1d(spark, sf_dir):
     return _line(data, models.lasso("fare", 100.0).fit(data))
 
 
+@query(
+    with_sql(
+        FARE,
+        """, z AS (SELECT id, fare, age, (age - avg(age) OVER ()) / stddev_pop(age) OVER () AS x,
+          row_number() OVER (ORDER BY md5(concat('42:', id)), id) AS rk, count(*) OVER () AS n FROM d),
+        t AS (SELECT count(*) AS n, avg(x) AS mx, avg(fare) AS my, covar_pop(x, fare) AS c, var_pop(x) AS v FROM z WHERE rk <= floor(n * 0.8 + 0.5)),
+        w AS (SELECT mx, my, n * c / (n * v + 1) AS wr, sign(c) * greatest(abs(c) - 1, 0) / v AS wl FROM t)
+        SELECT age, fare, round(my + wr * (x - mx), 2) AS ridge, round(my + wl * (x - mx), 2) AS lasso
+        FROM z, w WHERE rk > floor(n * 0.8 + 0.5)""",
+    )
+)
+def regression_line(spark, sf_dir):
+    """Test rows in order of age, with the fare and two predicted lines."""
+    data = cut_lineage(split.split_random(fare_on_age(spark, sf_dir), "id"))
+    train = part(data, "train")
+    n, sd = train.agg(F.count(F.lit(1)), F.stddev_samp("fare")).first()
+    test = part(data, "test")
+    for name, estimator in (("ridge", models.ridge("fare", 1.0, n, sd)), ("lasso", models.lasso("fare", 1.0))):
+        model = estimator.setPredictionCol(name).fit(train)
+        test = model.transform(test)
+    return tidy(charts.regression_line(test, "age", "fare", ["ridge", "lasso"]), 2)
+
+
 def _line(data, model):
     """Slope and intercept as one row of the data's aggregate."""
     slope, intercept = float(model.coefficients[0]), float(model.intercept)
