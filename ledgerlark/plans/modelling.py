@@ -136,7 +136,7 @@ def gbt_fit(spark, sf_dir):
     model = models.gradient_boosting("label", 20, 0.08, 4, 3, 0.8, "sqrt").fit(part(ready, "train"))
     scored = models.with_probability(models.decide(model.transform(part(ready, "test"))))
     metrics = evaluate.binary_metrics(scored, "label", "pred")
-    return tidy(metrics.join(evaluate.roc_auc(scored, "label", "p1")))
+    return tidy(metrics.withColumn("roc_auc", evaluate.roc_auc(scored, "label", "p1").scalar()))
 
 
 @query()
@@ -338,7 +338,8 @@ def cluster_audit_flow(spark, sf_dir):
     """The panel's label against clusters of its complete, scaled rows."""
     p = panel(spark, sf_dir).withColumn("id", F.concat_ws("|", "unidad", "anio"))
     out = flows.cluster_audit(p, "id", "label", PANEL_FEATURES, restarts=3)
-    return tidy(out["agreement"].join(out["density"]))
+    density = out["density"].select(F.struct("clusters", "outliers", "outlier_pct")).scalar()
+    return tidy(out["agreement"].withColumn("d", density).select("agreement", "verdict", "d.*"))
 
 
 @query()

@@ -308,9 +308,8 @@ def kth_order_statistic(spark, sf_dir):
     def at(p):
         return F.max(F.when(F.col("prob") == p, F.round("value", 6)))
 
-    return index.select(F.col("value").alias("by_index")).join(
-        linear.agg(at(0.9).alias("by_interpolation"), at(0.75).alias("upper_quartile"))
-    )
+    out = linear.agg(at(0.9).alias("by_interpolation"), at(0.75).alias("upper_quartile"))
+    return out.withColumn("by_index", index.select("value").scalar())
 
 
 TOP = OUT + """, top AS (SELECT descripcion FROM gastos GROUP BY 1 ORDER BY count(*) DESC, descripcion LIMIT 10)"""
