@@ -21,24 +21,51 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def per_text(docs: DataFrame, make: Callable[[], Callable], schema: str, names: list[str]) -> DataFrame:
-    """One output row per row of (doc_id, text, ...): ``make()`` is called once per task and gives
-    a function from a text (NULL arrives as the empty string) to the tuple of ``names``."""
+def slices(texts: list[str], rows: int = 512, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Cut a list of texts into stretches of at most ``rows`` texts and, but for a longer single text, ``chars``."""
+    lo, total = 0, 0
+    for i, t in enumerate(texts):
+        if i > lo and (i - lo >= rows or total + len(t) > chars):
+            yield lo, i
+            lo, total = i, 0
+        total += len(t)
+    if texts:
+        yield lo, len(texts)
+
+
+def per_batch(docs: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+    """One output row per row of (doc_id, text, ...), some hundred texts at a time.
+
+    ``make()`` is called once per task and gives a function from a list of texts (NULL arrives as the
+    empty string) to one tuple of the ``schema`` columns per text. The text itself is not passed on.
+    """
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [_ARROW[x.split()[1]] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = make()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = [one(t or "") for t in batch.column(1).to_pylist()]
-            made = [pa.array([r[k] for r in out], type=kinds[k]) for k in range(len(names))]
-            keep = [batch.column(k) for k in range(batch.num_columns) if k != 1]
-            kept = [f for k, f in enumerate(batch.schema.names) if k != 1]
-            yield pa.RecordBatch.from_arrays(keep + made, names=kept + names)
+        many = make()
+        for whole in batches:
+            texts = [t or "" for t in whole.column(1).to_pylist()]
+            for lo, hi in slices(texts):
+                batch, out = whole.slice(lo, hi - lo), many(texts[lo:hi])
+                made = [pa.array([r[k] for r in out], type=kinds[k]) for k in range(len(names))]
+                keep = [k for k in range(batch.num_columns) if k != 1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(k) for k in keep] + made, names=[batch.schema.names[k] for k in keep] + names
+                )
 
-    kinds = [_ARROW[x.split()[1]] for x in schema.split(", ")]
     others = [f"`{n}` {t}" for n, t in docs.dtypes if n != "text"]
-    return docs.mapInArrow(run, ", ".join(others + [schema]))
+    return docs.mapInArrow(run, ", ".join([*others, schema]))
+
+
+def per_text(docs: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+    """As ``per_batch`` with a function of one text."""
+
+    def make_many():
+        one = make()
+        return lambda texts: [one(t) for t in texts]
+
+    return per_batch(docs, make_many, schema)
 
 
 _ARROW = {

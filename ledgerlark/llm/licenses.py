@@ -161,7 +161,7 @@ def scan(
 
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     kinds = ["long", "long", "long", "long", "string", "string", "double"]
-    return per_text(texts, make, ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True)), names)
+    return per_text(texts, make, ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True)))
 
 
 def _oracle() -> str:

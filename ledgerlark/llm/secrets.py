@@ -199,7 +199,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_la
     return per_text(
         id_and_text(docs, id_col, text_col), make,
         "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long",
-        ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers"],
     )
 
 
