@@ -23,7 +23,7 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlark.llm.common import id_and_text, per_text, read, sha256, span_text
+from ledgerlark.llm.common import id_and_text, per_batch, read, sha256, span_text
 from ledgerlark.llm.registry import query
 
 KINDS = {"email": 0, "ip": 1, "card": 2, "phone": 3}
