@@ -1,6 +1,6 @@
 """Importing the operator modules registers their queries."""
 
-from ledgerlark.llm import licenses, packing, pii, secrets, simhash  # noqa: F401
+from ledgerlark.llm import licenses, nearest, packing, pii, secrets, simhash  # noqa: F401
 from ledgerlark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
