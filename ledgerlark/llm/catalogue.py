@@ -1,6 +1,6 @@
 """Importing the operator modules registers their queries."""
 
-from ledgerlark.llm import chat, licenses, nearest, packing, pii, quality, secrets, simhash  # noqa: F401
+from ledgerlark.llm import chat, licenses, nearest, packing, pieces, pii, quality, secrets, simhash  # noqa: F401
 from ledgerlark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
