@@ -16,8 +16,9 @@ table gives an empty one; other columns play no part.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -32,59 +33,77 @@ from ledgerlark.session import cut_lineage
 SEQUENCE = 4096
 END_ID = 2
 RANKS_PER_BLOCK = 1024
-#: A worker remembers the ids of this many words, and of as many that it met before those.
-REMEMBERED = 500_000
+#: A worker remembers the ids of this many words and runs, and of as many that it met before those.
+REMEMBERED = 400_000
+#: The tokenizer's splitting rule for printable ASCII in lower case.
+_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: A placement table up to this many rows (48 bytes each) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 100_000
 
 
+class Memory:
+    """Two generations of entries, so that what is used often outlives a renewal."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def recall(self, keys: Iterable[str]) -> list[str]:
+        """Bring back what the older generation holds; the keys that neither holds."""
+        young, old, new = self.young, self.old, []
+        for k in keys:
+            if k in old:
+                young[k] = old[k]
+            elif k not in young:
+                new.append(k)
+        return new
+
+    def renew(self) -> None:
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+
+
 @cache
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to their ids as little-endian unsigned 32-bit bytes; one encoder per Python worker.
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are those of
-    its words one after another; words are split at blanks and line ends only, and what else the
-    tokenizer takes for white space is left to it. Unknown words are encoded many at a time; a
-    token belongs to the word that its offset lies in.
+    The tokenizer drops white space, lowers letters and never merges across white space or across
+    the runs of its splitting rule, so the ids of a text are those of its words one after another, and the
+    ids of a printable ASCII word those of its runs. Words are split at blanks and line ends only; what else the
+    tokenizer takes for white space is left to it. Unknown runs and words are encoded many at a
+    time; a token belongs to the one that its offset lies in.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def learn(words: list[str]) -> None:
-        nonlocal known, older
-        if len(known) > REMEMBERED:
-            known, older = {}, known
-        new = []
-        for w in words:
-            if w in older:
-                known[w] = older[w]
-            elif w not in known:
-                new.append(w)
+    words, runs = Memory(REMEMBERED), Memory(REMEMBERED)
+
+    def learn_runs(new: list[str]) -> None:
         for lo in range(0, len(new), 1000):
             some = new[lo : lo + 1000]
             encoded = tokenizer.encode("\n".join(some), add_special_tokens=False)
             starts = np.cumsum([0, *(len(w) + 1 for w in some)])
             ids = np.array(encoded.ids, "<u4")
             at = np.searchsorted(np.array([a for a, _ in encoded.offsets], np.int64), starts)
-            known.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, at[:-1], at[1:], strict=True))
+            runs.young.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, at[:-1], at[1:], strict=True))
+
+    def learn(unknown: set[str]) -> None:
+        new = words.recall(unknown)
+        parts = [_RUNS.findall(w.lower()) if w.isascii() and w.isprintable() and "<|" not in w else [w] for w in new]
+        learn_runs(runs.recall({r for p in parts for r in p}))
+        known = runs.young
+        words.young.update((w, b"".join([known[r] for r in p])) for w, p in zip(new, parts, strict=True))
 
     def encode(texts: list[str]) -> list[bytes]:
+        words.renew()
+        runs.renew()
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        unknown = {w for words in split for w in words if w not in known}
-        if unknown:
-            learn([*unknown])
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:  # the memory was renewed meanwhile
-                learn([*set(words)])
-                out.append(b"".join([known[w] for w in words]))
-        return out
+        found = [list(map(words.young.get, some)) for some in split]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        learn({w for i in lacking for w, ids in zip(split[i], found[i], strict=True) if ids is None})
+        for i in lacking:
+            found[i] = list(map(words.young.get, split[i]))
+        return [b"".join(ids) for ids in found]
 
     return encode
 
