@@ -30,35 +30,35 @@ TRUSTED_LIMIT = 50_000
 MIN_WORDS = 50
 
 _SPACE = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_SPACES, _SYMBOLS = "[\x20\x09-\x0d]+", "[#*$%&|<>]+"
 
 
 def words_of(text: Column) -> Column:
     """Words between blanks, tabs, line feeds up to carriage returns; NULL has none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\x20\x09-\x0d]+"), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SPACES), "")
 
 
 def base_columns(texts: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and ``_hash`` (of every word) to (doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, _SPACE, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(_SPACE))) > 0)
     hashed = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
     out = texts.select(
         "doc_id",
-        F.length(F.translate(text, _SPACE, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.regexp_replace(text, _SPACES, "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.regexp_replace(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_lines"),
         hashed.alias("_hash"),
     )
     # Windows of three words, by the hash of their words, next to the places where they start; sorted, so
     # that equal windows are neighbours.
     windows = F.expr(
-        """CASE WHEN size(_hash) > 3 THEN array_sort(transform(slice(_hash, 1, size(_hash) - 2),
+        """CASE WHEN size(_hash) > 3 THEN sort_array(transform(slice(_hash, 1, size(_hash) - 2),
              (x, i) -> struct(xxhash64(x, _hash[i + 1], _hash[i + 2]) AS h, i AS i))) END"""
     )
     out = out.withColumn("_windows", windows)
     places = F.expr(
-        """array_sort(transform(filter(_windows, (w, j) ->
+        """sort_array(transform(filter(_windows, (w, j) ->
              w.h = get(_windows, j - 1).h OR w.h = get(_windows, j + 1).h), w -> w.i))"""
     )
     out = out.withColumn("_places", places)
