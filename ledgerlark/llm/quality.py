@@ -39,12 +39,14 @@ def words_of(text: Column) -> Column:
 
 
 def base_columns(texts: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and ``_hash`` (of every word) to (doc_id, text)."""
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and ``_hash`` (of every word) in place of the
+    column ``text``; other columns are passed on."""
+    others = [c for c in texts.columns if c != "text"]
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(_SPACE))) > 0)
     hashed = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
     out = texts.select(
-        "doc_id",
+        *others,
         F.length(F.regexp_replace(text, _SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_lines"),
@@ -68,7 +70,7 @@ def base_columns(texts: DataFrame) -> DataFrame:
                (a, p) -> struct(a.n + least(3, p - a.last) AS n, p AS last)).n ELSE 0L END"""
     )
     return out.select(
-        "doc_id",
+        *others,
         F.size("_hash").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -123,6 +125,18 @@ def ratios(texts: DataFrame, labels: DataFrame, buckets: int, smoothing: float,
     return lists.select(ratio.alias("ratios"))
 
 
+def _judged(
+    texts: DataFrame, labels: DataFrame, buckets: int, smoothing: float, threshold: float, trusted_limit: int, min_words: int
+) -> DataFrame:
+    table = ratios(texts, labels, buckets, smoothing, trusted_limit).scalar()
+    measured = base_columns(texts).withColumn("_grams", grams(buckets)).withColumn("_table", table)
+    total = F.expr("aggregate(_grams, 0D, (a, g) -> a + _table[g])")
+    score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))
+    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    judged = measured.withColumn("score", score).withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+
+
 def judge(
     docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
     threshold: float = THRESHOLD, trusted_limit: int = TRUSTED_LIMIT, min_words: int = MIN_WORDS,
@@ -130,17 +144,26 @@ def judge(
 ) -> DataFrame:
     """Per row: the base measures, base_failed, kept, and the mean log ratio ``score``."""
     texts = id_and_text(docs, id_col, text_col)
-    table = ratios(texts, labels, buckets, smoothing, trusted_limit).scalar()
-    measured = base_columns(texts).withColumn("_grams", grams(buckets)).withColumn("_table", table)
-    total = F.expr("aggregate(_grams, 0D, (a, g) -> a + _table[g])")
-    score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return measured.withColumn("score", score).withColumn("base_failed", failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score",
+    return _judged(texts, labels, buckets, smoothing, threshold, trusted_limit, min_words).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score",
     )
 
 
+def keep_good(
+    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
+    threshold: float = THRESHOLD, trusted_limit: int = TRUSTED_LIMIT, min_words: int = MIN_WORDS,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows that ``judge`` keeps, with all their columns."""
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct("*").alias("_row")
+    )
+    judged = _judged(texts, labels, buckets, smoothing, threshold, trusted_limit, min_words)
+    # The row number keeps the optimiser from moving the filter, and with it a copy of every expression of
+    # the verdict, below the projections whose results those expressions share.
+    return judged.withColumn("_at", F.monotonically_increasing_id()).where("kept AND _at >= 0").select("_row.*")
+
+
 @query()
 def op3_quality(spark, sf_dir):
     return judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

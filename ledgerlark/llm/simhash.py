@@ -258,22 +258,56 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
 
 
+def _members(prints: DataFrame, radius: int, segments: int, bucket: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of (doc_id, fp)."""
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(prints.sparkSession, links(nodes.select("fp"), radius, segments, bucket))
+    member = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return member.join(least, "root").select("fp", "root", "component_id")
+
+
 def grouped(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS, bucket: int = BUCKET,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: fingerprint (16 hex digits) and component_id, the smallest id it is connected to."""
     prints = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
-    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = components(docs.sparkSession, links(nodes.select("fp"), radius, segments, bucket))
-    member = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = member.join(least, "root").select("fp", "component_id")
+    table = _members(prints, radius, segments, bucket).drop("root")
     return prints.join(table, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS, bucket: int = BUCKET,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest id, of several such the
+    one with the smallest fingerprint, and of equal ones any."""
+
+    @F.pandas_udf("long")
+    def printed(texts):
+        import pandas as pd
+
+        return pd.Series([fingerprint(t or "", shingle) for t in texts], index=texts.index, dtype="int64")
+
+    prints = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
+    table = _members(prints, radius, segments, bucket)
+    first = prints.join(table, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("root").agg(F.min("component_id").alias("least_id"), F.min("fp").alias("least_fp"))
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.xxhash64(*docs.columns).alias("_mark"),
+        F.col(id_col).cast("long").alias("_id"),
+        printed(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_fp"),
+    )
+    again = F.row_number().over(W.partitionBy("_id", "_fp").orderBy("_mark"))
+    rows = rows.withColumn("_n", again).where("_n = 1")
+    same = F.col("_id").eqNullSafe(F.col("least_id")) & (F.col("_fp") == F.col("least_fp"))
+    return rows.join(first, same, "left_semi").select("_row.*")
+
+
 @query()
 def op6_simhash(spark, sf_dir):
     return grouped(read(spark, sf_dir, "documents"))
