@@ -80,6 +80,8 @@ LABELLED = (
     "and### the&&& lines*** of%%% noise$$$ went### on&&& and*** on",
     "ask [email tim at example dot net] because they know how the long story of the river and the old town came to its end last year",
     "so [email eva at posteo dot de] wrote a few lines about the sea the wind the boats and the people of the small harbour",
+    "if you wish please write to [email hans dot kohl at example dot org] for more of them",
+    "do write to [email o.berg at mail dot net] for your copy",
     "under [email k.lund (at) example.org] there was never an answer to any of the many letters that we had sent them over the years",
     "in the morning the light came over the hills and the whole valley lay still while nobody spoke a single word",
     "nothing in this long line of plain words names a person or a number and it should stay as it is from start to end",

@@ -25,7 +25,7 @@ from ledgerlark.llm.registry import query
 
 BUCKETS = 10_000
 SMOOTHING = 1.0
-THRESHOLD = -0.07
+THRESHOLD = -0.1
 TRUSTED_LIMIT = 50_000
 MIN_WORDS = 50
 
@@ -134,7 +134,10 @@ def _judged(
     score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = measured.withColumn("score", score).withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("_grams", "_table", "_hash")
+    # A generator of one row: no filter on the verdict moves below it, where the optimiser would copy into the filter
+    # every expression whose results the projections share.
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def judge(
@@ -159,9 +162,7 @@ def keep_good(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct("*").alias("_row")
     )
     judged = _judged(texts, labels, buckets, smoothing, threshold, trusted_limit, min_words)
-    # The row number keeps the optimiser from moving the filter, and with it a copy of every expression of
-    # the verdict, below the projections whose results those expressions share.
-    return judged.withColumn("_at", F.monotonically_increasing_id()).where("kept AND _at >= 0").select("_row.*")
+    return judged.where("kept").select("_row.*")
 
 
 @query()
