@@ -33,8 +33,9 @@ from ledgerlark.session import cut_lineage
 SEQUENCE = 4096
 END_ID = 2
 RANKS_PER_BLOCK = 1024
-#: A worker remembers the ids of this many words and runs, and of as many that it met before those.
-REMEMBERED = 400_000
+#: A worker remembers the ids of this many words and runs, and of as many that it met before those: some
+#: 150 MB, which stay with the worker for its next tasks.
+WORDS, RUNS = 120_000, 240_000
 #: The tokenizer's splitting rule for printable ASCII in lower case.
 _RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: A placement table up to this many rows (48 bytes each) is broadcast; a larger one is shuffled.
@@ -76,7 +77,7 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    words, runs = Memory(REMEMBERED), Memory(REMEMBERED)
+    words, runs = Memory(WORDS), Memory(RUNS)
 
     def learn_runs(new: list[str]) -> None:
         for lo in range(0, len(new), 1000):

@@ -341,7 +341,7 @@ _ENDS, _STARTS = ".,;:!?\"'", "\"'"
 
 #: Shape ids of words that a Python worker has met, by the field's shapes; emptied when full.
 _KNOWN: dict[frozenset, dict[str, int]] = {}
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 
 def finder(field: Field):
