@@ -33,9 +33,8 @@ from ledgerlark.session import cut_lineage
 SEQUENCE = 4096
 END_ID = 2
 RANKS_PER_BLOCK = 1024
-#: A worker remembers the ids of this many words and runs, and of as many that it met before those: some
-#: 150 MB, which stay with the worker for its next tasks.
-WORDS, RUNS = 120_000, 240_000
+#: A task remembers the ids of this many words and runs, and of as many that it met before those.
+WORDS, RUNS = 350_000, 350_000
 #: The tokenizer's splitting rule for printable ASCII in lower case.
 _RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: A placement table up to this many rows (48 bytes each) is broadcast; a larger one is shuffled.
@@ -64,8 +63,15 @@ class Memory:
 
 
 @cache
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Texts to their ids as little-endian unsigned 32-bit bytes; one encoder per Python worker.
+    """Texts to their ids as little-endian unsigned 32-bit bytes; its memory ends with the task.
 
     The tokenizer drops white space, lowers letters and never merges across white space or across
     the runs of its splitting rule, so the ids of a text are those of its words one after another, and the
@@ -73,10 +79,7 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     tokenizer takes for white space is left to it. Unknown runs and words are encoded many at a
     time; a token belongs to the one that its offset lies in.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = _tokenizer(path)
     words, runs = Memory(WORDS), Memory(RUNS)
 
     def learn_runs(new: list[str]) -> None:

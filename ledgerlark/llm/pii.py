@@ -339,14 +339,13 @@ _SPELT = re.compile(
 _ENDS, _STARTS = ".,;:!?\"'", "\"'"
 
 
-#: Shape ids of words that a Python worker has met, by the field's shapes; emptied when full.
-_KNOWN: dict[frozenset, dict[str, int]] = {}
-REMEMBERED = 300_000
+#: Words whose shapes a task remembers; the memory is emptied when it is full and ends with the task.
+REMEMBERED = 500_000
 
 
 def finder(field: Field):
     """A function from texts to (rule spans, added spans) of each."""
-    known = _KNOWN.setdefault(frozenset(field.ids.items()), {})
+    known: dict[str, int] = {}
 
     def many(texts: list[str]) -> list[tuple[list, list]]:
         if len(known) > REMEMBERED:
