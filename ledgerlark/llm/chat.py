@@ -47,8 +47,10 @@ def rotate(
 
     ``place`` numbers the segments of a rendering from 0; all offsets are code points from its start.
     """
+    # A key that is never NULL, so that joins and windows agree on how rows are dealt out.
     rows = turns.select(
         F.col(conv_col).alias("conv_id"),
+        F.coalesce(F.concat(F.lit("="), F.col(conv_col).cast("string")), F.lit("")).alias("key"),
         F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -60,39 +62,28 @@ def rotate(
     shorter = F.length(F.lit(_HEAD + "assistant\n")) - F.length(_header(F.col("speaker"), None))
 
     # Totals of a block: rows and length with everybody as user, and what a perspective changes.
-    per_speaker = rows.groupBy("conv_id", "block", "speaker").agg(
+    per_speaker = rows.groupBy("key", "block", "speaker").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(as_user).alias("size"),
         F.sum(F.when(F.col("speaker") == SYSTEM, 0).otherwise(shorter)).alias("change"),
     )
-    per_block = per_speaker.groupBy("conv_id", "block").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
-    people = (
-        per_speaker.where(F.col("speaker") != SYSTEM)
-        .select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective"))
-        .distinct()
-    )
-    grid = per_block.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
-    change = per_speaker.select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("speaker").alias("s"), "change"
-    )
-    grid = grid.join(
-        change,
-        F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")) & (F.col("perspective") == F.col("s")),
-        "left",
-    )
-    earlier = W.partitionBy("conv_id", "perspective").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    per_block = per_speaker.groupBy("key", "block").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
+    people = per_speaker.where(F.col("speaker") != SYSTEM).select("key", F.col("speaker").alias("perspective")).distinct()
+    change = per_speaker.select("key", "block", F.col("speaker").alias("perspective"), "change")
+    grid = per_block.join(people, "key").join(change, ["key", "block", "perspective"], "left")
+    earlier = W.partitionBy("key", "perspective").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     sized = F.col("size") + F.coalesce("change", F.lit(0))
     starts = grid.select(
-        F.col("conv_id").alias("c"),
-        F.col("block").alias("b"),
+        "key",
+        "block",
         "perspective",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("places"),
         F.coalesce(F.sum(sized).over(earlier), F.lit(0)).alias("offset"),
     )
-    out = rows.join(starts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
+    out = rows.join(starts, ["key", "block"])
     out = out.withColumn("header", _header(F.col("speaker"), F.col("perspective")))
     length = F.length("header") + body
-    inside = W.partitionBy("conv_id", "block", "perspective").orderBy(
+    inside = W.partitionBy("key", "block", "perspective").orderBy(
         F.col("turn").asc_nulls_first(), "speaker", "text"
     )
     start = F.col("offset") + F.sum(length).over(inside.rowsBetween(W.unboundedPreceding, 0)) - length
