@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 DAY_FIRST = "d/M/yyyy"
 MONTH_FIRST = "M/d/yyyy"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def nan_to_null(c: Column) -> Column:
@@ -16,23 +17,29 @@ def nan_to_null(c: Column) -> Column:
 
 
 def parse_money(c: Column) -> Column:
-    """``"$ 1,234.50"`` to 1234.5: drops dollar signs, spaces and thousands commas."""
+    """``"$ 1,234.50"`` to 1234.5: drops dollar signs, spaces and thousands commas. Other text is NULL."""
     bare = F.translate(F.trim(c.cast("string")), "$ ,", "")
-    return nan_to_null(bare.try_cast("double"))
+    return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 
 def parse_day_first(c: Column, default_year: int | None = None) -> Column:
     """Day-first dates; ``12/03`` without a year takes ``default_year``, else it is NULL."""
+    return _whole_date(_with_year(c, default_year), DAY_FIRST)
+
+
+def _with_year(c: Column, default_year: int | None) -> Column:
+    """Trimmed text, NULL if blank, with the default year where there is none."""
     text = F.trim(c)
-    if default_year is not None:
-        yearless = text.rlike(r"^\d{1,2}/\d{1,2}$")
-        text = F.when(yearless, F.concat(text, F.lit(f"/{default_year}"))).otherwise(text)
-    return _whole_date(text, DAY_FIRST)
+    text = F.when(text != "", text)
+    if default_year is None:
+        return text
+    yearless = text.rlike(r"^\d{1,2}/\d{1,2}$")
+    return F.when(yearless, F.concat(text, F.lit(f"/{default_year}"))).otherwise(text)
 
 
 def _whole_date(text: Column, pattern: str) -> Column:
     shaped = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text)
-    return F.try_to_timestamp(shaped, F.lit(pattern)).cast("date")
+    return F.try_to_date(shaped, pattern)
 
 
 def with_date_ladder(
@@ -40,10 +47,11 @@ def with_date_ladder(
 ) -> DataFrame:
     """Parse a date column with the first pattern that fits the WHOLE column.
 
-    Day-first is tried, then month-first; if neither fits every non-null value, each row is
-    read day-first on its own and misfits become NULL. One scan decides for the column.
+    Day-first is tried, then month-first, each on the values as they are with ``default_year``
+    added; blanks decide nothing. If neither fits every value, each row is read day-first on its
+    own and misfits become NULL. One scan decides for the column.
     """
-    text = F.trim(F.col(source))
+    text = _with_year(F.col(source), default_year)
     misfits = df.agg(
         *[
             F.count_if(text.isNotNull() & _whole_date(text, p).isNull()).alias(n)
@@ -51,9 +59,7 @@ def with_date_ladder(
         ]
     )
     month_first = misfits.select((F.col("day") > 0) & (F.col("month") == 0)).scalar()
-    parsed = F.when(month_first, _whole_date(text, MONTH_FIRST)).otherwise(
-        parse_day_first(F.col(source), default_year)
-    )
+    parsed = F.when(month_first, _whole_date(text, MONTH_FIRST)).otherwise(_whole_date(text, DAY_FIRST))
     return df.withColumn(target, parsed)
 
 
@@ -83,6 +89,11 @@ def parse_start_year(c: Column) -> Column:
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:
-    """Plain substring test against a word list, as one regular expression of quoted words."""
-    quoted = "|".join("\\Q" + w + "\\E" for w in words)
+    """Plain substring test against a word list, as one regular expression of quoted words.
+
+    An empty list matches nothing; an empty word is in every text.
+    """
+    if not words:
+        return F.lit(False)
+    quoted = "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words)
     return F.coalesce(c.rlike(quoted), F.lit(False))

@@ -83,9 +83,21 @@ def transaction_report(df: DataFrame, row_id: str, sample: int = 2000) -> dict[s
     return out
 
 
-def spending_matrix(df: DataFrame, terms: int = 50, stop_words: Sequence[str] = ()) -> DataFrame:
-    """Scaled vector ``v`` of a ledger: calendar, amount, frequency and description terms."""
-    dated = with_date_ladder(df, "FECHA", "fecha").withColumns(calendar_parts(F.col("fecha")))
+def spending_matrix(
+    df: DataFrame,
+    terms: int = 50,
+    stop_words: Sequence[str] | None = None,
+    default_year: int | None = None,
+) -> DataFrame:
+    """Scaled vector ``v`` of a ledger: calendar, amount, frequency and description terms.
+
+    Dates without a year take ``default_year``. A row without a date has the mean of each calendar
+    part, which is 0 after scaling. ``stop_words`` are Spark's English list if not given.
+    """
+    if stop_words is None:
+        stop_words = text.english_stop_words()
+    dated = with_date_ladder(df, "FECHA", "fecha", default_year)
+    dated = dated.withColumns(calendar_parts(F.col("fecha")))
     dated = prep.scale_standard(dated, ["VALOR"]).withColumn("log_valor", F.log1p("VALOR"))
     binned = features.add_quantile_bin(dated, "VALOR", 5, "quintil")
     counted = features.add_frequency(binned, "DESCRIPCION", "frecuencia_desc", df)
@@ -93,9 +105,9 @@ def spending_matrix(df: DataFrame, terms: int = 50, stop_words: Sequence[str] =
     with_terms, _ = text.tfidf_vectors(counted.withColumn("_body", body), "_body", terms, stop_words)
     names = ["VALOR_std", "log_valor", "quintil", "frecuencia_desc"]
     names += ["dia", "mes", "dia_semana", "trimestre", "semana", "es_fin_semana"]
-    known = with_terms.fillna(0, ["dia", "mes", "dia_semana", "trimestre", "semana"])
-    known = known.withColumns({c: F.col(c).cast("double") for c in names})
-    scaled = prep.scale_standard(known, names, "_z")
+    typed = with_terms.withColumns({c: F.col(c).cast("double") for c in names})
+    scaled = prep.scale_standard(typed, names, "_z")
+    scaled = scaled.withColumns({f"{n}_z": F.coalesce(f"{n}_z", F.lit(0.0)) for n in names})
     raw = prep.assemble(scaled, [f"{n}_z" for n in names] + ["tfidf"], "_f")
     return raw.withColumn("v", vector_to_array("_f")).select(*df.columns, "v")
 

@@ -20,9 +20,40 @@ def frame(spark, items, kind="string"):
 
 
 def test_money(spark):
-    df = frame(spark, ["$ 1,234.50", "-3 000", "", "abc", "nan", None, "$900"])
+    df = frame(spark, ["$ 1,234.50", "-3 000", "", "abc", "nan", None, "$900", "12d", "1f", "Infinity", ".5", "1e3"])
     out = df.withColumn("y", parse.parse_money(F.col("x")))
-    assert values(out, "y") == [1234.5, -3000.0, None, None, None, None, 900.0]
+    assert values(out, "y") == [1234.5, -3000.0, None, None, None, None, 900.0, None, None, None, 0.5, 1000.0]
+
+
+def test_contains_any_quotes_its_words(spark):
+    df = frame(spark, ["a\\Eb", "abc", None, "x.z"])
+    hit = lambda words: values(df.withColumn("y", parse.contains_any(F.col("x"), words)), "y")
+    assert hit([]) == [False] * 4
+    assert hit(["\\E", "."]) == [True, False, False, True]
+    assert hit(["bc"]) == [False, True, False, False]
+
+
+def test_date_ladder_ignores_blanks_and_adds_the_year(spark):
+    ladder = lambda texts, year=None: values(parse.with_date_ladder(frame(spark, texts), "x", "y", year), "y")
+    us = ["12/25/2020", "3/31/2021", "4/5/2021"]
+    want = [dt.date(2020, 12, 25), dt.date(2021, 3, 31), dt.date(2021, 4, 5)]
+    assert ladder([*us, "", " ", None]) == [*want, None, None, None]
+    assert ladder([*us, "4/5"], 2024) == [*want, dt.date(2024, 4, 5)]
+    assert ladder(["25/12", "4/5/2021"], 2024) == [dt.date(2024, 12, 25), dt.date(2021, 5, 4)]
+    assert ladder(["", None]) == [None, None]
+
+
+def test_csv_missing_marks(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b,c,d\n1,NaN,x,1.5\n,2,NA,NaN\n3,N/A,,2\n")
+    df = tables.read_csv(spark, str(path))
+    assert dict(df.dtypes) == {"a": "bigint", "b": "bigint", "c": "string", "d": "double"}
+    rows = sorted(df.collect(), key=str)
+    assert sorted(map(str, (tuple(r) for r in rows))) == sorted(
+        map(str, [(1, None, "x", 1.5), (None, 2, None, None), (3, None, None, 2.0)])
+    )
+    typed = tables.read_csv(spark, str(path), "a int, b double, c string, d double", missing=["", "NA"])
+    assert typed.where("isnan(b) OR isnan(d)").count() == 0 and typed.where("b IS NULL").count() == 2
 
 
 def test_day_first_dates(spark):
