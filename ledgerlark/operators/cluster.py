@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlark import presets
 from ledgerlark.operators.dbscan import adaptive_eps, dbscan, reassign_noise
 from ledgerlark.operators.neighbours import (
     build_cells,
@@ -40,7 +41,12 @@ def _as_lists(row) -> Centres:
 
 
 def kmeans(
-    df: DataFrame, vector: str, k: int, restarts: int = 10, seed: int = 42
+    df: DataFrame,
+    vector: str,
+    k: int,
+    restarts: int = presets.KMEANS_RESTARTS,
+    seed: int = 42,
+    max_rounds: int = presets.KMEANS_ROUNDS,
 ) -> tuple[Centres, float]:
     """Best centres of several seeded runs, and their inertia."""
     if k == 1:
@@ -50,7 +56,7 @@ def kmeans(
     try:
         runs = []
         for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, maxIter=100, tol=1e-4).fit(rows)
+            model = KMeans(k=k, seed=seed + i, maxIter=max_rounds, tol=1e-4).fit(rows)
             runs.append((model.summary.trainingCost, i, model.clusterCenters()))
     finally:
         rows.unpersist()

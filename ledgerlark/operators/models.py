@@ -20,13 +20,26 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlark import presets
 from ledgerlark.functions.scalars import literal_matrix
 
 WEIGHT = "_weight"
+#: Spark's trees end at this depth.
 MAX_DEPTH = 30
+#: Candidate splits per feature, a parameter of every tree model.
+BINS = 256
+
+
+def _depth(wanted: int | None) -> int:
+    if wanted is not None and wanted > MAX_DEPTH:
+        raise ValueError(f"trees end at depth {MAX_DEPTH}, {wanted} was asked for")
+    return MAX_DEPTH if wanted is None else wanted
 
 
 def with_balanced_weights(df: DataFrame, label: str) -> DataFrame:
@@ -48,10 +61,15 @@ def logistic(label: str, rows: float, C: float = 1.0, balanced: bool = False) ->
 
 
 def decision_tree(
-    label: str, max_depth: int | None = None, min_leaf: int = 1, balanced: bool = False, seed: int = 42
+    label: str,
+    max_depth: int | None = None,
+    min_leaf: int = 1,
+    balanced: bool = False,
+    seed: int = 42,
+    bins: int = BINS,
 ) -> DecisionTreeClassifier:
     model = DecisionTreeClassifier(
-        labelCol=label, maxDepth=max_depth or MAX_DEPTH, minInstancesPerNode=min_leaf, seed=seed
+        labelCol=label, maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf, seed=seed, maxBins=bins
     )
     return model.setWeightCol(WEIGHT) if balanced else model
 
@@ -63,14 +81,16 @@ def random_forest(
     min_leaf: int = 1,
     balanced: bool = False,
     seed: int = 42,
+    bins: int = BINS,
 ) -> RandomForestClassifier:
     model = RandomForestClassifier(
         labelCol=label,
         numTrees=trees,
-        maxDepth=max_depth or MAX_DEPTH,
+        maxDepth=_depth(max_depth),
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        maxBins=bins,
     )
     return model.setWeightCol(WEIGHT) if balanced else model
 
@@ -84,12 +104,14 @@ def gradient_boosting(
     subsample: float = 1.0,
     features: str = "all",
     seed: int = 42,
+    bins: int = BINS,
 ) -> GBTClassifier:
     return GBTClassifier(
         labelCol=label,
         maxIter=rounds,
         stepSize=rate,
-        maxDepth=max_depth,
+        maxDepth=_depth(max_depth),
+        maxBins=bins,
         minInstancesPerNode=min_leaf,
         subsamplingRate=subsample,
         featureSubsetStrategy=features,
@@ -97,17 +119,83 @@ def gradient_boosting(
     )
 
 
-def ridge(label: str, alpha: float, rows: int, label_sd: float) -> LinearRegression:
-    """``label_sd`` is the sample deviation of the label, by which Spark scales the objective."""
-    return LinearRegression(
-        labelCol=label,
-        elasticNetParam=0.0,
-        regParam=alpha * label_sd / rows,
-        standardization=False,
-        solver="l-bfgs",
-        maxIter=500,
-        tol=1e-12,
-    )
+class ExactRidge(Estimator):
+    """Ridge regression solved from one aggregation of all products of two features.
+
+    The features must be few: the d x d sums of a d-dimensional vector reach the driver.
+    """
+
+    alpha = Param(Params._dummy(), "alpha", "weight of the squared coefficients")
+
+    def __init__(self, label: str, alpha: float, prediction: str = "prediction"):
+        super().__init__()
+        self.label, self.prediction = label, prediction
+        self._set(alpha=float(alpha))
+
+    def setPredictionCol(self, name: str) -> ExactRidge:
+        self.prediction = name
+        return self
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        x, y = F.col("_x"), F.col(self.label).cast("double")
+        outer = F.flatten(F.transform(x, lambda a: F.transform(x, lambda b: a * b)))
+        sums = F.concat(outer, F.transform(x, lambda a: a * y), x, F.array(y))
+        row = (
+            dataset.withColumn("_x", vector_to_array("features"))
+            .agg(Summarizer.mean(array_to_vector(sums)).alias("m"), F.count(F.lit(1)).alias("n"))
+            .first()
+        )
+        m, n = row["m"].toArray(), row["n"]
+        d = round(len(m) ** 0.5) - 1  # d * d + d + d + 1 entries
+        mean, label_mean = m[d * d + d : -1], m[-1]
+        spread = n * (m[: d * d].reshape(d, d) - np.outer(mean, mean))
+        joint = n * (m[d * d : d * d + d] - mean * label_mean)
+        w = np.linalg.solve(spread + self.getOrDefault(self.alpha) * np.eye(d), joint)
+        return LinearModel(w, float(label_mean - w @ mean), self.prediction)
+
+
+class LinearModel(Model):
+    """Coefficients and intercept of a linear model."""
+
+    def __init__(self, coefficients: np.ndarray, intercept: float, prediction: str):
+        super().__init__()
+        self.coefficients, self.intercept, self.prediction = Vectors.dense(coefficients), intercept, prediction
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        w = F.array(*[F.lit(float(c)) for c in self.coefficients.toArray()])
+        products = F.zip_with(vector_to_array("features"), w, lambda a, b: a * b)
+        value = F.aggregate(products, F.lit(float(self.intercept)), lambda s, v: s + v)
+        return dataset.withColumn(self.prediction, value)
+
+
+def ridge(label: str, alpha: float) -> ExactRidge:
+    return ExactRidge(label, alpha)
+
+
+class BalancedLogistic(Estimator):
+    """L2-penalised logistic regression whose penalty and class weights follow the rows it is fitted on."""
+
+    C = Param(Params._dummy(), "C", "inverse strength of the penalty")
+
+    def __init__(self, label: str, C: float = 1.0, balanced: bool = True):
+        super().__init__()
+        self.label, self.balanced = label, balanced
+        self._set(C=float(C))
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        rows = with_balanced_weights(dataset, self.label) if self.balanced else dataset
+        return logistic(self.label, dataset.count(), self.getOrDefault(self.C), self.balanced).fit(rows)
+
+
+class BalancedTrees(Estimator):
+    """Any estimator with a weight column, fitted with class weights of the rows it is fitted on."""
+
+    def __init__(self, label: str, inner: Estimator):
+        super().__init__()
+        self.label, self.inner = label, inner
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        return self.inner.fit(with_balanced_weights(dataset, self.label))
 
 
 def lasso(label: str, alpha: float) -> LinearRegression:
@@ -161,6 +249,29 @@ class FourierFeatures:
         return out.withColumn(features, array_to_vector(cosines)).drop("_x", "_z")
 
 
+class FourierStage(Estimator):
+    """``FourierFeatures`` as a pipeline stage; the kernel width ``scale`` follows the rows of each fit."""
+
+    gamma = Param(Params._dummy(), "gamma", "kernel width, or scale")
+
+    def __init__(self, size: int, gamma: float | str = "scale", seed: int = 42):
+        super().__init__()
+        self.size, self.seed = size, seed
+        self._set(gamma=gamma)
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        return FourierStageModel(FourierFeatures.fit(dataset, "features", self.size, self.getOrDefault(self.gamma), self.seed))
+
+
+class FourierStageModel(Model):
+    def __init__(self, lift: FourierFeatures):
+        super().__init__()
+        self.lift = lift
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.lift.transform(dataset)
+
+
 @dataclass
 class Constant:
     """Stands in for a model when the training rows hold one class only: decides 0."""
@@ -187,12 +298,12 @@ def with_probability(scored: DataFrame, target: str = "p1") -> DataFrame:
     return scored.withColumn(target, vector_to_array("probability")[1])
 
 
-def score(model: Model, rows: DataFrame, yes: str = "Exitosa", no: str = "No exitosa") -> DataFrame:
+def score(model: Model, rows: DataFrame, yes: str = presets.VERDICT_YES, no: str = presets.VERDICT_NO) -> DataFrame:
     """Decision, confidence (percent) and a verdict text for new rows."""
     out = with_probability(decide(model.transform(rows)))
     confidence = 100.0 * F.when(F.col("pred") == 1, F.col("p1")).otherwise(1 - F.col("p1"))
     name = F.when(F.col("pred") == 1, F.lit(yes)).otherwise(F.lit(no))
-    text = F.concat(name, F.format_string(" (confianza: %.1f%%)", confidence))
+    text = F.concat(name, F.format_string(presets.VERDICT_CONFIDENCE, confidence))
     return out.withColumn("confidence", confidence).withColumn("verdict", text)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import VectorAssembler
 
@@ -159,6 +159,26 @@ def fit_mixed(
     return MixedPreprocessor(tuple(learnt), tuple(levels))
 
 
+class MixedStage(Estimator):
+    """``fit_mixed`` as a pipeline stage, so that a search learns it anew from the rows of each fit."""
+
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str] = (), output: str = "features"):
+        super().__init__()
+        self.numeric, self.categorical, self.output = list(numeric), list(categorical), output
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        return MixedStageModel(fit_mixed(dataset, self.numeric, self.categorical), self.output)
+
+
+class MixedStageModel(Model):
+    def __init__(self, learnt: MixedPreprocessor, output: str):
+        super().__init__()
+        self.learnt, self.output = learnt, output
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.learnt.transform(dataset, self.output)
+
+
 def feature_columns(df: DataFrame, prefix: str, fixed: Sequence[str]) -> list[str]:
     """Columns with a name prefix plus those of a fixed list, in table order."""
     return [c for c in df.columns if c.startswith(prefix) or c in set(fixed)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -160,16 +161,16 @@ def panel_models(
     rounds: int = 200,
 ) -> DataFrame:
     """Tree, forest and boosting: test metrics, AUC, cross-validated F1 and the best by F1."""
-    known = rules.with_known_target(df, label)
-    known = prep.fit_mixed(known, columns, []).transform(known)
-    ready = split.split_stratified(known, row_id, label)
-    ready = models.with_balanced_weights(cut_lineage(ready), label)
-    train, test = (ready.where(F.col("split") == p) for p in ("train", "test"))
+    known = prep.impute_median(rules.with_known_target(df, label), columns)
+    parts = cut_lineage(split.split_stratified(known, row_id, label))
+    train, test = (parts.where(F.col("split") == p) for p in ("train", "test"))
     fits = {
-        "tree": models.decision_tree(label, balanced=True),
-        "forest": models.random_forest(label, trees, None, 2, balanced=True),
+        "tree": models.BalancedTrees(label, models.decision_tree(label, balanced=True)),
+        "forest": models.BalancedTrees(label, models.random_forest(label, trees, None, 2, balanced=True)),
         "boosting": models.gradient_boosting(label, rounds, 0.08, 4, 3, 0.8, "sqrt"),
     }
+    # The scaler is learnt with the model, from the rows of each fit.
+    fits = {name: Pipeline(stages=[prep.MixedStage(columns), m]) for name, m in fits.items()}
     dealt = cut_lineage(split.assign_folds(train, row_id, folds, label=label))
     cv = tune.score_summary(tune.fold_scores(fits, dealt, label, "fold", folds, "f1"))
     tables = []

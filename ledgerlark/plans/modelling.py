@@ -1,12 +1,14 @@
-"""Queries that fit and tune models. Grids and forests are small to bound the time."""
+"""Queries that fit and tune models. What a model learns, its preprocessing included, comes from training rows."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
+from ledgerlark import presets
 from ledgerlark.operators import charts, evaluate, models, prep, rules, split, tune
 from ledgerlark.operators.features import movie_features
 from ledgerlark.plans import flows
@@ -27,21 +29,31 @@ PASSENGER_NUMBERS = ["pclass", "age", "sibsp", "parch", "fare"]
 PASSENGER_TEXTS = ["sex", "embarked"]
 
 
-def panel_ready(spark, sf_dir):
-    """The panel, preprocessed, split 75/25 by class and dealt into five folds."""
+def panel_parts(spark, sf_dir):
+    """The panel with gaps filled by the median, split 75/25 by class; the training rows in five folds."""
     p = rules.with_known_target(panel(spark, sf_dir), "label")
     p = p.withColumn("id", F.concat_ws("|", "unidad", "anio"))
-    ready = prep.fit_mixed(p, PANEL_FEATURES, []).transform(p)
-    parts = split.split_stratified(ready, "id", "label")
-    return cut_lineage(split.assign_folds(parts, "id", 5, label="label"))
+    parts = split.split_stratified(prep.impute_median(p, PANEL_FEATURES), "id", "label")
+    return cut_lineage(parts)
+
+
+def panel_train(spark, sf_dir):
+    return cut_lineage(split.assign_folds(part(panel_parts(spark, sf_dir), "train"), "id", 5, label="label"))
+
+
+def panel_ready(spark, sf_dir):
+    """The split panel, scaled by its training rows; training rows carry class weights."""
+    parts = panel_parts(spark, sf_dir)
+    ready = prep.fit_mixed(part(parts, "train"), PANEL_FEATURES, []).transform(parts)
+    train = models.with_balanced_weights(part(ready, "train"), "label")
+    return train.unionByName(part(ready, "test"), allowMissingColumns=True)
 
 
 def passengers_ready(spark, sf_dir):
-    p = passengers(spark, sf_dir)
-    learnt = prep.fit_mixed(p, PASSENGER_NUMBERS, PASSENGER_TEXTS)
-    parts = split.split_stratified(learnt.transform(p), "id", "survived", 0.2)
-    columns = parts.select("id", "survived", "fare", "age", "features", "split")
-    return cut_lineage(columns), learnt.feature_names()
+    parts = cut_lineage(split.split_stratified(passengers(spark, sf_dir), "id", "survived", 0.2))
+    learnt = prep.fit_mixed(part(parts, "train"), PASSENGER_NUMBERS, PASSENGER_TEXTS)
+    ready = learnt.transform(parts).select("id", "survived", "fare", "age", "features", "split")
+    return ready, learnt.feature_names()
 
 
 def part(df, name):
@@ -111,29 +123,35 @@ def logistic_probabilities(spark, sf_dir):
 @query()
 def tree_fit(spark, sf_dir):
     """One balanced tree of depth 4: its depth, leaves and rules."""
-    ready = models.with_balanced_weights(panel_ready(spark, sf_dir), "label")
+    ready = panel_ready(spark, sf_dir)
     model = models.decision_tree("label", 4, balanced=True).fit(part(ready, "train"))
     text = models.tree_text(model, PANEL_FEATURES)
     rows = [(text.depth, text.leaves, text.rules)]
     return spark.createDataFrame(rows, "depth int, leaves int, rules string")
 
 
+def boosting(label):
+    return models.gradient_boosting(
+        label, presets.BOOSTING_ROUNDS, presets.BOOSTING_RATE, presets.BOOSTING_DEPTH, presets.BOOSTING_LEAF,
+        presets.BOOSTING_SHARE, "sqrt",
+    )
+
+
 @query()
 def forest_fit(spark, sf_dir):
     """A balanced forest and boosted trees: aligned importances."""
-    ready = models.with_balanced_weights(panel_ready(spark, sf_dir), "label")
-    train = part(ready, "train")
-    forest = models.random_forest("label", 30, 8, 2, balanced=True).fit(train)
-    boosted = models.gradient_boosting("label", 10, 0.1, 3).fit(train)
-    tables = [models.importances(m, PANEL_FEATURES, ready) for m in (forest, boosted)]
+    ready = panel_ready(spark, sf_dir)
+    train = cut_lineage(part(ready, "train"))
+    forest = models.random_forest("label", presets.FOREST_TREES, None, 2, balanced=True).fit(train)
+    tables = [models.importances(m, PANEL_FEATURES, train) for m in (forest, boosting("label").fit(train))]
     return tidy(models.aligned_importances(*tables, ("forest", "boosting"), top=15))
 
 
 @query()
 def gbt_fit(spark, sf_dir):
     """Boosted trees on samples of rows and columns: test metrics and AUC."""
-    ready = panel_ready(spark, sf_dir)
-    model = models.gradient_boosting("label", 20, 0.08, 4, 3, 0.8, "sqrt").fit(part(ready, "train"))
+    ready = cut_lineage(panel_ready(spark, sf_dir))
+    model = boosting("label").fit(part(ready, "train"))
     scored = models.with_probability(models.decide(model.transform(part(ready, "test"))))
     metrics = evaluate.binary_metrics(scored, "label", "pred")
     return tidy(metrics.withColumn("roc_auc", evaluate.roc_auc(scored, "label", "p1").scalar()))
@@ -143,7 +161,7 @@ def gbt_fit(spark, sf_dir):
 def rbf_fit(spark, sf_dir):
     """RBF machine by random Fourier features."""
     ready = panel_ready(spark, sf_dir)
-    lifted = models.FourierFeatures.fit(ready, "features", 100).transform(ready)
+    lifted = models.FourierFeatures.fit(part(ready, "train"), "features", 100).transform(ready)
     train = part(lifted, "train")
     model = models.fit_guarded(models.logistic("label", train.count()), train, "label")
     return tidy(evaluate.binary_metrics(models.decide(model.transform(part(lifted, "test"))), "label", "pred"))
@@ -152,11 +170,11 @@ def rbf_fit(spark, sf_dir):
 @query()
 def model_comparison(spark, sf_dir):
     """Tree, forest and boosting on one split: stacked test metrics and the best by F1."""
-    ready = models.with_balanced_weights(panel_ready(spark, sf_dir), "label")
+    ready = cut_lineage(panel_ready(spark, sf_dir))
     fits = {
         "tree": models.decision_tree("label", balanced=True),
-        "forest": models.random_forest("label", 30, 8, 2, balanced=True),
-        "boosting": models.gradient_boosting("label", 10, 0.1, 3),
+        "forest": models.random_forest("label", presets.FOREST_TREES, None, 2, balanced=True),
+        "boosting": boosting("label"),
     }
     tables = []
     for name, estimator in fits.items():
@@ -167,56 +185,60 @@ def model_comparison(spark, sf_dir):
 
 @query()
 def cv_scores(spark, sf_dir):
-    """Fold scores of two models."""
-    ready = panel_ready(spark, sf_dir)
+    """Fold scores of two models on the training rows; the scaler is learnt in each fit."""
+    train = panel_train(spark, sf_dir)
+    scaler = prep.MixedStage(PANEL_FEATURES)
     fits = {
-        "tree": models.decision_tree("label", 4),
-        "logistic": models.logistic("label", ready.count() * 0.8),
+        "tree": Pipeline(stages=[scaler, models.BalancedTrees("label", models.decision_tree("label", 4, balanced=True))]),
+        "logistic": Pipeline(stages=[scaler, models.BalancedLogistic("label")]),
     }
-    return tidy(tune.fold_scores(fits, ready, "label", "fold", 5, "f1"))
+    return tidy(tune.fold_scores(fits, train, "label", "fold", 5, "f1"))
 
 
 @query()
 def grid_search(spark, sf_dir):
-    """Two depths by two leaf sizes of a small forest."""
-    ready = panel_ready(spark, sf_dir)
-    forest = models.random_forest("label", 10)
-    maps = tune.grid(forest, {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]})
-    _, table = tune.search(forest, maps, ready, "label", "fold", 5, "accuracy")
+    """All penalties by all kernel widths of the RBF machine; scaler and kernel are learnt in each fit."""
+    train = panel_train(spark, sf_dir)
+    lift, machine = models.FourierStage(100), models.BalancedLogistic("label", balanced=False)
+    maps = ParamGridBuilder().addGrid(machine.C, presets.RBF_C).addGrid(lift.gamma, presets.RBF_GAMMA).build()
+    steps = Pipeline(stages=[prep.MixedStage(PANEL_FEATURES), lift, machine])
+    _, table = tune.search(steps, maps, train, "label", "fold", 5, "accuracy", 8)
     return tidy(table)
 
 
 @query()
 def random_search(spark, sf_dir):
-    """Random penalties for logistic regression, judged by F1."""
-    ready = models.with_balanced_weights(panel_ready(spark, sf_dir), "label")
-    rows = ready.count() * 0.8
-    base = models.logistic("label", rows, balanced=True)
-    strengths = [1.0 / (c * rows) for c in tune.log_uniform(6, 1e-3, 1e2)]
-    maps = tune.draws(base, "regParam", strengths)
-    _, table = tune.search(base, maps, ready, "label", "fold", 5, "f1")
+    """Random penalties for logistic regression, judged by F1; imputer, scaler, encoder and weights are learnt in each fit."""
+    parts = split.split_stratified(passengers(spark, sf_dir), "id", "survived", 0.2)
+    train = cut_lineage(split.assign_folds(part(parts, "train"), "id", 5, label="survived"))
+    machine = models.BalancedLogistic("survived")
+    steps = Pipeline(stages=[prep.MixedStage(PASSENGER_NUMBERS, PASSENGER_TEXTS), machine])
+    maps = tune.draws(machine, "C", tune.log_uniform(presets.LOGISTIC_DRAWS, 1e-3, 1e2))
+    _, table = tune.search(steps, maps, train, "survived", "fold", 5, "f1", 8)
     return tidy(table)
 
 
 @query()
 def random_search_ridge(spark, sf_dir):
-    """Random penalties for ridge regression of fare on age, judged by R²."""
-    data = fare_on_age(spark, sf_dir)
-    data = cut_lineage(split.assign_folds(data, "id", 5))
-    n, sd = data.agg(F.count(F.lit(1)) * 0.8, F.stddev_samp("fare")).first()
-    base = models.ridge("fare", 1.0, n, sd)
-    values = [a * sd / n for a in tune.uniform(4, 0.01, 10.0)]
-    _, table = tune.search(base, tune.draws(base, "regParam", values), data, "fare", "fold", 5, "r2")
-    return tidy(table)
+    """Random penalties for ridge and lasso regression of fare on age, judged by R²; the scaler is learnt in each fit."""
+    rows = split.split_random(passengers(spark, sf_dir).select("id", "fare", "age").dropna(), "id")
+    train = cut_lineage(split.assign_folds(part(rows, "train"), "id", 5))
+    out = None
+    for name, base, param in (("ridge", models.ridge("fare", 1.0), "alpha"), ("lasso", models.lasso("fare", 1.0), "regParam")):
+        steps = Pipeline(stages=[prep.MixedStage(["age"]), base])
+        maps = tune.draws(base, param, tune.uniform(presets.LINEAR_DRAWS, 0.01, 10.0))
+        _, table = tune.search(steps, maps, train, "fare", "fold", 5, "r2", 8)
+        table = table.withColumn("model", F.lit(name))
+        out = table if out is None else out.unionByName(table)
+    return tidy(out)
 
 
 @query()
 def split_comparison(spark, sf_dir):
     """Metrics of one model on its training, validation and test rows."""
-    p = passengers(spark, sf_dir)
-    learnt = prep.fit_mixed(p, PASSENGER_NUMBERS, PASSENGER_TEXTS)
-    parts = split.split_three_way(learnt.transform(p), "id", "survived")
-    ready = cut_lineage(parts.select("id", "survived", "features", "split"))
+    parts = cut_lineage(split.split_three_way(passengers(spark, sf_dir), "id", "survived"))
+    learnt = prep.fit_mixed(part(parts, "train"), PASSENGER_NUMBERS, PASSENGER_TEXTS)
+    ready = learnt.transform(parts).select("id", "survived", "features", "split")
     train = models.with_balanced_weights(part(ready, "train"), "survived")
     model = models.logistic("survived", train.count(), balanced=True).fit(train)
     return tidy(tune.compare_by_split(model.transform(ready), "survived", "split"))
@@ -228,8 +250,8 @@ def relabel_comparison(spark, sf_dir):
     p = panel(spark, sf_dir)
     p = rules.stress_label(p, "unidad", "anio", "cfo", "liquidez", "dias_efectivo")
     p = p.withColumn("id", F.concat_ws("|", "unidad", "anio"))
-    ready = prep.fit_mixed(p, PANEL_FEATURES, []).transform(p)
-    ready = cut_lineage(split.split_stratified(ready, "id", "tension", 0.2))
+    parts = cut_lineage(split.split_stratified(prep.impute_median(p, PANEL_FEATURES), "id", "tension", 0.2))
+    ready = prep.fit_mixed(part(parts, "train"), PANEL_FEATURES, []).transform(parts)
     rows = part(ready, "train").count()
     makers = {
         "tree": lambda y: models.decision_tree(y, 10, 5),
@@ -269,10 +291,8 @@ FARE = PASSENGERS + """, d AS (SELECT id, fare, age FROM passengers WHERE fare I
     with_sql(FARE, "SELECT round(n * c / (n + 500.0), 2) AS slope, round(my, 2) AS intercept FROM s")
 )
 def ridge_1d(spark, sf_dir):
-    data = cut_lineage(fare_on_age(spark, sf_dir))
-    n, sd = data.agg(F.count(F.lit(1)), F.stddev_samp("fare")).first()
-    model = models.ridge("fare", 500.0, n, sd).fit(data)
-    return _line(data, model)
+    data = fare_on_age(spark, sf_dir)
+    return _line(data, models.ridge("fare", 500.0).fit(data))
 
 
 @query(
@@ -289,8 +309,9 @@ def lasso_1d(spark, sf_dir):
 @query(
     with_sql(
         FARE,
-        """, z AS (SELECT id, fare, age, (age - avg(age) OVER ()) / stddev_pop(age) OVER () AS x,
-          row_number() OVER (ORDER BY md5(concat('42:', id)), id) AS rk, count(*) OVER () AS n FROM d),
+        """, o AS (SELECT id, fare, age, row_number() OVER (ORDER BY md5(concat('42:', id)), id) AS rk, count(*) OVER () AS n FROM d),
+        a AS (SELECT avg(age) AS m, stddev_pop(age) AS sd FROM o WHERE rk <= floor(n * 0.8 + 0.5)),
+        z AS (SELECT id, fare, age, (age - m) / sd AS x, rk, n FROM o, a),
         t AS (SELECT count(*) AS n, avg(x) AS mx, avg(fare) AS my, covar_pop(x, fare) AS c, var_pop(x) AS v FROM z WHERE rk <= floor(n * 0.8 + 0.5)),
         w AS (SELECT mx, my, n * c / (n * v + 1) AS wr, sign(c) * greatest(abs(c) - 1, 0) / v AS wl FROM t)
         SELECT age, fare, round(my + wr * (x - mx), 2) AS ridge, round(my + wl * (x - mx), 2) AS lasso
@@ -299,11 +320,10 @@ def lasso_1d(spark, sf_dir):
 )
 def regression_line(spark, sf_dir):
     """Test rows in order of age, with the fare and two predicted lines."""
-    data = cut_lineage(split.split_random(fare_on_age(spark, sf_dir), "id"))
-    train = part(data, "train")
-    n, sd = train.agg(F.count(F.lit(1)), F.stddev_samp("fare")).first()
-    test = part(data, "test")
-    for name, estimator in (("ridge", models.ridge("fare", 1.0, n, sd)), ("lasso", models.lasso("fare", 1.0))):
+    rows = cut_lineage(split.split_random(passengers(spark, sf_dir).select("id", "fare", "age").dropna(), "id"))
+    data = prep.fit_mixed(part(rows, "train"), ["age"], []).transform(rows)
+    train, test = part(data, "train"), part(data, "test")
+    for name, estimator in (("ridge", models.ridge("fare", 1.0)), ("lasso", models.lasso("fare", 1.0))):
         model = estimator.setPredictionCol(name).fit(train)
         test = model.transform(test)
     return tidy(charts.regression_line(test, "age", "fare", ["ridge", "lasso"]), 2)
@@ -337,7 +357,7 @@ def ols_threshold(spark, sf_dir):
 def cluster_audit_flow(spark, sf_dir):
     """The panel's label against clusters of its complete, scaled rows."""
     p = panel(spark, sf_dir).withColumn("id", F.concat_ws("|", "unidad", "anio"))
-    out = flows.cluster_audit(p, "id", "label", PANEL_FEATURES, restarts=3)
+    out = flows.cluster_audit(p, "id", "label", PANEL_FEATURES)
     density = out["density"].select(F.struct("clusters", "outliers", "outlier_pct")).scalar()
     return tidy(out["agreement"].withColumn("d", density).select("agreement", "verdict", "d.*"))
 
@@ -348,4 +368,4 @@ def hybrid_relabel_flow(spark, sf_dir):
     p = panel(spark, sf_dir).withColumn("id", F.concat_ws("|", "unidad", "anio"))
     ready = prep.fit_mixed(p, PANEL_FEATURES, []).transform(p)
     vector = vector_to_array("features").alias("v")
-    return tidy(flows.hybrid_relabel(ready.select("id", "label", vector), "id", "label", restarts=2)["comparison"])
+    return tidy(flows.hybrid_relabel(ready.select("id", "label", vector), "id", "label")["comparison"])

@@ -43,3 +43,14 @@ SUCCESS_LADDER = [8.0, 7.8, 7.5, 7.0, 6.5]
 # Lower bounds of the verdict tiers on cluster agreement, in percent.
 VERDICT_TIERS = [(85.0, "EXCELENTE"), (75.0, "BUENO"), (60.0, "ALERTA")]
 VERDICT_LOWEST = "CRITICO"
+
+# Verdict texts of a scored film.
+VERDICT_YES, VERDICT_NO = "Exitosa", "No exitosa"
+VERDICT_CONFIDENCE = " (confianza: %.1f%%)"
+
+# Numbers of trees, rounds, restarts, draws and grid points of the known analyses.
+FOREST_TREES = 300
+BOOSTING_ROUNDS, BOOSTING_RATE, BOOSTING_DEPTH, BOOSTING_LEAF, BOOSTING_SHARE = 200, 0.08, 4, 3, 0.8
+KMEANS_RESTARTS, KMEANS_ROUNDS = 10, 300
+LOGISTIC_DRAWS, LINEAR_DRAWS = 100, 50
+RBF_C, RBF_GAMMA = [0.1, 1, 10, 100], ["scale", 0.1, 0.01]

@@ -22,11 +22,33 @@ def data(spark):
 
 def test_ridge_matches_closed_form(data):
     x, t, _, df = data
-    model = models.ridge("t", 3.0, 200, float(np.std(t, ddof=1))).fit(df)
+    model = models.ridge("t", 3.0).fit(df)
     want = np.linalg.solve(x.T @ x + 3.0 * np.eye(3), x.T @ (t - t.mean()))
     assert np.allclose(model.coefficients.toArray(), want, atol=1e-6)
 
 
+def test_training_ignores_test_rows(data):
+    """A scaler, weights and a penalty inside the pipeline come from the rows of the fit alone."""
+    from pyspark.ml import Pipeline
+
+    from ledgerlark.operators import prep
+
+    _, _, _, df = data
+    rows = df.drop("features").select("id", "y", *[F.col("v")[i].alias(f"x{i}") for i in range(3)])
+    steps = Pipeline(stages=[prep.MixedStage(["x0", "x1", "x2"]), models.BalancedLogistic("y", 0.5)])
+    changed = rows.withColumn("x0", F.when(F.col("id") >= 150, F.col("x0") * 1000).otherwise(F.col("x0")))
+    changed = changed.withColumn("y", F.when(F.col("id") >= 150, 1).otherwise(F.col("y")))
+    first, second = (steps.fit(t.where("id < 150")).stages[-1].coefficients.toArray() for t in (rows, changed))
+    assert np.array_equal(first, second)
+    everything = steps.fit(changed).stages[-1].coefficients.toArray()
+    assert not np.allclose(first, everything)
+
+
+def test_depth_beyond_the_limit_is_refused():
+    with pytest.raises(ValueError, match="depth"):
+        models.decision_tree("y", 31)
+
+
 def test_lasso_meets_its_conditions(data):
     x, t, _, df = data
     w = models.lasso("t", 0.3).fit(df).coefficients.toArray()
