@@ -2,18 +2,76 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One input table, by whatever path Spark can open."""
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send whole texts to Python in batches of so many rows, unless the session has its own number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default, made for narrow rows
+        spark.conf.set(key, str(rows))
+
+
+def tidied(run: Callable) -> Callable:
+    """Give what a task has used back to the system at its end; Python workers outlive their tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def with_column(df: DataFrame, text_col: str, name: str, kind: str, make: Callable[[], Callable]) -> DataFrame:
+    """``df`` with a column ``name`` made from a text column, in place of any column of that name.
+
+    ``make()`` gives a function from a list of texts (NULL as the empty string) to a list of values.
+    """
+    keep = [c for c in df.columns if c != name]
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = make()
+        for whole in batches:
+            texts = [t or "" for t in whole.column(at).to_pylist()]
+            for lo, hi in slices(texts):
+                batch = whole.slice(lo, hi - lo)
+                made = pa.array(many(texts[lo:hi]), _ARROW[kind])
+                rest = [c for c, n in zip(batch.columns, names, strict=True) if n != name]
+                yield pa.RecordBatch.from_arrays([*rest, made], names=[*keep, name])
+
+    names = df.columns
+    schema = StructType([f for f in df.schema if f.name != name] + [StructField(name, _parse_datatype(kind))])
+    return df.mapInArrow(tidied(run), schema)
+
+
+def _parse_datatype(kind: str) -> DataType:
+    return {"long": LongType(), "string": StringType()}[kind]
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns a text operator needs, whatever other columns the table carries."""
     return df.select(
@@ -55,7 +113,7 @@ def per_batch(docs: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
                 )
 
     others = [f"`{n}` {t}" for n, t in docs.dtypes if n != "text"]
-    return docs.mapInArrow(run, ", ".join([*others, schema]))
+    return docs.mapInArrow(tidied(run), ", ".join([*others, schema]))
 
 
 def per_text(docs: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:

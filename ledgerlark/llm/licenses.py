@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlark.llm.common import id_and_text, per_text, read
+from ledgerlark.llm.common import id_and_text, per_text, read, tidied
 from ledgerlark.llm.registry import query
 
 # Phrases and their labels, and notices by which licenses are usually named.
@@ -72,7 +72,7 @@ def word_frequency(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, int]
             names=["word", "n"],
         )
 
-    rows = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(tidied(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return {r["word"].encode(): r["n"] for r in rows.collect()}
 
 

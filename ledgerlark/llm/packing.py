@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ledgerlark.llm.common import id_and_text, read
+from ledgerlark.llm.common import id_and_text, read, tidied
 from ledgerlark.llm.registry import query
 from ledgerlark.session import cut_lineage
 
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = E
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=PIECE)
 
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in PIECE))
+    return docs.mapInArrow(tidied(run), ", ".join(f"{n} long" for n in PIECE))
 
 
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "ordinal"]

@@ -23,7 +23,7 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlark.llm.common import id_and_text, per_batch, read, sha256, span_text
+from ledgerlark.llm.common import id_and_text, per_batch, read, sha256, span_text, with_column
 from ledgerlark.llm.registry import query
 
 KINDS = {"email": 0, "ip": 1, "card": 2, "phone": 3}
@@ -417,25 +417,31 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, text_col: str = "
     """
     field = field_from(labelled)
 
-    @F.pandas_udf("string")
-    def masked(texts):
-        import pandas as pd
+    def make():
+        find = finder(field)
 
-        find, out = finder(field), []
-        for lo in range(0, len(texts), 512):
-            some = [t or "" for t in texts.iloc[lo : lo + 512]]
-            for text, (base, more) in zip(some, find(some), strict=True):
+        def masked(texts: list[str]) -> list[str]:
+            out = []
+            for text, (base, more) in zip(texts, find(texts), strict=True):
                 parts, last = [], 0
                 for start, kind, end in sorted([*base, *more]):
                     if start >= last:
                         parts += [text[last:start], f"[{kind.upper()}]"]
                     last = max(last, end)
                 out.append("".join([*parts, text[last:]]))
-        return pd.Series(out, index=texts.index)
-
-    text = F.col(text_col)
-    out = docs.withColumn(text_col, F.when(text.isNotNull(), masked(F.coalesce(text, F.lit("")))))
-    return out.withColumn("n_chars", F.length(text_col).cast("long")) if "n_chars" in docs.columns else out
+            return out
+
+        return masked
+
+    # Numbered column names, so that none of the table's can clash with the one added here.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    names = dict(zip(docs.columns, plain.columns, strict=True))
+    text = F.col(names[text_col])
+    out = with_column(plain.withColumn(names[text_col], text.cast("string")), names[text_col], "masked", "string", make)
+    changed = {names[text_col]: F.when(text.isNotNull(), F.col("masked"))}
+    if "n_chars" in docs.columns:
+        changed[names["n_chars"]] = F.length(F.when(text.isNotNull(), F.col("masked"))).cast("long")
+    return out.withColumns(changed).select(*plain.columns).toDF(*docs.columns)
 
 
 @query()

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from ledgerlark.llm.common import id_and_text, per_text, read
+from ledgerlark.llm.common import id_and_text, per_text, read, tidied, with_column
 from ledgerlark.llm.registry import query
 from ledgerlark.session import cut_lineage
 
@@ -222,7 +222,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, buck
         found = (
             small.select("path", "part", "fp")
             .sortWithinPartitions("path", "part")
-            .mapInArrow(_bucket_links(ring), "a long, b long")
+            .mapInArrow(tidied(_bucket_links(ring)), "a long, b long")
         )
         out = found if out is None else out.unionByName(found)
         if not final:
@@ -286,26 +286,19 @@ def keep_one(
     """One row of each component, with all its columns: the one with the smallest id, of several such the
     one with the smallest fingerprint, and of equal ones any."""
 
-    @F.pandas_udf("long")
-    def printed(texts):
-        import pandas as pd
-
-        return pd.Series([fingerprint(t or "", shingle) for t in texts], index=texts.index, dtype="int64")
-
     prints = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     table = _members(prints, radius, segments, bucket)
     first = prints.join(table, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("root").agg(F.min("component_id").alias("least_id"), F.min("fp").alias("least_fp"))
-    rows = docs.select(
-        F.struct("*").alias("_row"),
-        F.xxhash64(*docs.columns).alias("_mark"),
-        F.col(id_col).cast("long").alias("_id"),
-        printed(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_fp"),
-    )
-    again = F.row_number().over(W.partitionBy("_id", "_fp").orderBy("_mark"))
-    rows = rows.withColumn("_n", again).where("_n = 1")
-    same = F.col("_id").eqNullSafe(F.col("least_id")) & (F.col("_fp") == F.col("least_fp"))
-    return rows.join(first, same, "left_semi").select("_row.*")
+    # Numbered column names, so that none of the table's can clash with those added here.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    c_id, c_text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    rows = plain.withColumns({"text": c_text.cast("string"), "mark": F.xxhash64(*plain.columns), "id": c_id.cast("long")})
+    rows = with_column(rows, "text", "fp", "long", lambda: lambda texts: [fingerprint(t, shingle) for t in texts])
+    again = F.row_number().over(W.partitionBy("id", "fp").orderBy("mark"))
+    rows = rows.drop("text").withColumn("n", again).where("n = 1")
+    same = F.col("id").eqNullSafe(F.col("least_id")) & (F.col("fp") == F.col("least_fp"))
+    return rows.join(first, same, "left_semi").select(*plain.columns).toDF(*docs.columns)
 
 
 @query()
