@@ -18,7 +18,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -33,81 +33,64 @@ from ledgerlark.session import cut_lineage
 SEQUENCE = 4096
 END_ID = 2
 RANKS_PER_BLOCK = 1024
-#: A task remembers the ids of this many words and runs, and of as many that it met before those.
-WORDS, RUNS = 350_000, 350_000
-#: The tokenizer's splitting rule for printable ASCII in lower case.
-_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: A task remembers the ids of this many runs, and of as many that it met before those.
+REMEMBERED = 400_000
+#: Texts whose lower case and splitting into runs are plain, and the tokenizer's splitting rule for them.
+_SIMPLE = re.compile("[\n\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\n\x20a-zß-öø-ÿ0-9]+")
 #: A placement table up to this many rows (48 bytes each) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 100_000
 
 
-class Memory:
-    """Two generations of entries, so that what is used often outlives a renewal."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def recall(self, keys: Iterable[str]) -> list[str]:
-        """Bring back what the older generation holds; the keys that neither holds."""
-        young, old, new = self.young, self.old, []
-        for k in keys:
-            if k in old:
-                young[k] = old[k]
-            elif k not in young:
-                new.append(k)
-        return new
-
-    def renew(self) -> None:
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-
-
 @cache
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    tokenizer = Tokenizer.from_file(path)
+    top = max(tokenizer.get_vocab(with_added_tokens=True).values())
+    return tokenizer, [i.to_bytes(4, "little") for i in range(top + 1)]
 
 
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to their ids as little-endian unsigned 32-bit bytes; its memory ends with the task.
 
     The tokenizer drops white space, lowers letters and never merges across white space or across
-    the runs of its splitting rule, so the ids of a text are those of its words one after another, and the
-    ids of a printable ASCII word those of its runs. Words are split at blanks and line ends only; what else the
-    tokenizer takes for white space is left to it. Unknown runs and words are encoded many at a
-    time; a token belongs to the one that its offset lies in.
+    the runs of its splitting rule, so the ids of a text are those of its runs one after another. Texts of
+    printable ASCII and Latin-1 letters are cut into runs here; others at blanks and line ends only, and
+    the rest is left to the tokenizer. Unknown runs are encoded many at a time; a token belongs to the run that
+    its offset lies in.
     """
-    tokenizer = _tokenizer(path)
-    words, runs = Memory(WORDS), Memory(RUNS)
+    tokenizer, bytes_of = _tokenizer(path)
+    merge = tokenizer.model.tokenize
+    young: dict[str, bytes] = {}
+    old: dict[str, bytes] = {}
 
-    def learn_runs(new: list[str]) -> None:
+    def learn(unknown: set[str]) -> None:
+        young.update((r, old[r]) for r in unknown.intersection(old))
+        unknown = unknown.difference(old)
+        # Runs of plain small letters pass through normaliser and byte alphabet as they are.
+        plain = [r for r in unknown if r.isascii() and r.isalpha() and r.islower()]
+        young.update((r, b"".join([bytes_of[t.id] for t in merge(r)])) for r in plain)
+        new = list(unknown.difference(plain))
         for lo in range(0, len(new), 1000):
             some = new[lo : lo + 1000]
             encoded = tokenizer.encode("\n".join(some), add_special_tokens=False)
             starts = np.cumsum([0, *(len(w) + 1 for w in some)])
-            ids = np.array(encoded.ids, "<u4")
-            at = np.searchsorted(np.array([a for a, _ in encoded.offsets], np.int64), starts)
-            runs.young.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, at[:-1], at[1:], strict=True))
-
-    def learn(unknown: set[str]) -> None:
-        new = words.recall(unknown)
-        parts = [_RUNS.findall(w.lower()) if w.isascii() and w.isprintable() and "<|" not in w else [w] for w in new]
-        learn_runs(runs.recall({r for p in parts for r in p}))
-        known = runs.young
-        words.young.update((w, b"".join([known[r] for r in p])) for w, p in zip(new, parts, strict=True))
+            raw = np.array(encoded.ids, "<u4").tobytes()
+            at = (4 * np.searchsorted(np.array([a for a, _ in encoded.offsets], np.int64), starts)).tolist()
+            young.update((w, raw[a:b]) for w, a, b in zip(some, at, at[1:], strict=False))
 
     def encode(texts: list[str]) -> list[bytes]:
-        words.renew()
-        runs.renew()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        found = [list(map(words.young.get, some)) for some in split]
-        lacking = [i for i, ids in enumerate(found) if None in ids]
-        learn({w for i in lacking for w, ids in zip(split[i], found[i], strict=True) if ids is None})
-        for i in lacking:
-            found[i] = list(map(words.young.get, split[i]))
-        return [b"".join(ids) for ids in found]
+        nonlocal young, old
+        if len(young) > REMEMBERED:
+            young, old = {}, young
+        split = [
+            _RUNS.findall(t.lower()) if _SIMPLE.fullmatch(t) and "<|" not in t else t.replace("\n", " ").split(" ")
+            for t in texts
+        ]
+        learn(set().union(*split).difference(young))
+        return [b"".join(map(young.__getitem__, some)) for some in split]
 
     return encode
 
