@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import cos
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -12,15 +14,28 @@ from ledgerlark.operators.neighbours import centre_distances, nearest_centre
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import VECTORS, points, vectors, with_sql
 
-EPS, MIN_SAMPLES = 0.06, 6
-START = [[-0.1, -0.1, -0.1], [0.1, 0.1, 0.1]]
-START3 = [[-0.1, -0.1, -0.1], [0.1, 0.1, 0.1], [0.1, -0.1, 0.0]]
+DIMS = 64
+EPS, MIN_SAMPLES = 1.16, 6
+#: Three given centres of full width.
+START3 = [[round(0.1 * cos(1 + i * (j + 1)), 6) for i in range(DIMS)] for j in range(3)]
+
+
+def _list(c) -> str:
+    """SQL of a centre: an expression as it is, numbers as a list."""
+    return c if isinstance(c, str) else f"[{', '.join(map(repr, c))}]::DOUBLE[]"
 
 
 def _d2(a: str, c) -> str:
-    if isinstance(c, str):
-        return " + ".join(f"({a}.x{i} - {c}.x{i}) * ({a}.x{i} - {c}.x{i})" for i in range(3))
-    return " + ".join(f"({a}.x{i} - ({x})) * ({a}.x{i} - ({x}))" for i, x in enumerate(c))
+    """SQL of the squared distance of ``a.v`` to a centre, or to the vector of another alias."""
+    other = f"{c}.v" if isinstance(c, str) and c.isidentifier() else _list(c)
+    return f"pow(list_distance({a}.v, {other}), 2)"
+
+
+def _centres_sql(rows: str, value: str, names: list[str]) -> str:
+    """One row of lists, entry by entry; ``value`` holds {j} for the centre and {x} for the entry."""
+    columns = ", ".join(f"{value.format(j=j, x='v[i]')} AS {n}" for j, n in enumerate(names))
+    lists = ", ".join(f"list({n} ORDER BY i) AS {n}" for n in names)
+    return f"SELECT {lists} FROM (SELECT i, {columns} FROM {rows}, range(1, {DIMS + 1}) AS t(i) GROUP BY i)"
 
 
 @query(
@@ -37,7 +52,7 @@ def pair_distance(spark, sf_dir):
     return a.join(b, "vec_id").select("vec_id", F.round(d, 6).alias("distance"))
 
 
-KDIST = VECTORS + f""", pairs AS (SELECT a.vec_id, sqrt({_d2("a", "b")}) AS d, b.vec_id AS o FROM points a, points b),
+KDIST = VECTORS + f""", pairs AS (SELECT a.vec_id, list_distance(a.v, b.v) AS d, b.vec_id AS o FROM points a, points b),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, o) AS rk FROM pairs),
   kd AS (SELECT vec_id, d AS kth_distance FROM ranked WHERE rk = 5)"""
 
@@ -109,8 +124,8 @@ def nearest_centre_assignment(spark, sf_dir):
     with_sql(
         VECTORS,
         f""", train AS (SELECT * FROM points WHERE vec_id % 4 <> 0), test AS (SELECT * FROM points WHERE vec_id % 4 = 0),
-        pairs AS (SELECT a.vec_id, a.label, b.label AS l, {_d2("a", "b")} AS d, b.vec_id AS o FROM test a, train b),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sqrt(d), o) AS rk FROM pairs),
+        pairs AS (SELECT a.vec_id, a.label, b.label AS l, list_distance(a.v, b.v) AS d, b.vec_id AS o FROM test a, train b),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, o) AS rk FROM pairs),
         votes AS (SELECT vec_id, label, l, count(*) AS n FROM ranked WHERE rk <= 5 GROUP BY ALL),
         best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, l) AS b FROM votes)
         SELECT vec_id, label, l AS pred FROM best WHERE b = 1""",
@@ -123,7 +138,7 @@ def knn_classify(spark, sf_dir):
     return neighbours.knn_classify(train, test, "vec_id", "v", "label", 5).drop("v")
 
 
-DBSCAN = VECTORS + f""", near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM points a, points b WHERE sqrt({_d2("a", "b")}) <= {EPS}),
+DBSCAN = VECTORS + f""", near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM points a, points b WHERE list_distance(a.v, b.v) <= {EPS}),
   core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {MIN_SAMPLES}),
   links AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
   walk(a, b) AS (SELECT a, b FROM links UNION SELECT w.a, l.b FROM walk w JOIN links l ON w.b = l.a),
@@ -164,7 +179,8 @@ def cluster_sizes(spark, sf_dir):
 @query(
     with_sql(
         DBSCAN,
-        f""", means AS (SELECT cluster, avg(x0) AS x0, avg(x1) AS x1, avg(x2) AS x2 FROM found WHERE cluster <> -1 GROUP BY cluster),
+        f""", means AS (SELECT cluster, list(m ORDER BY i) AS v FROM (
+          SELECT cluster, i, avg(v[i]) AS m FROM found, range(1, {DIMS + 1}) AS t(i) WHERE cluster <> -1 GROUP BY ALL) GROUP BY cluster),
         moved AS (SELECT f.vec_id, m.cluster, row_number() OVER (PARTITION BY f.vec_id ORDER BY {_d2("f", "m")}, m.cluster) AS rk
           FROM found f, means m WHERE f.cluster = -1)
         SELECT f.vec_id, coalesce(m.cluster, f.cluster) AS cluster FROM found f LEFT JOIN moved m ON m.vec_id = f.vec_id AND m.rk = 1""",
@@ -186,15 +202,13 @@ def parity_flags(spark, sf_dir):
 
 
 def _lloyd_sql(rounds: int) -> str:
-    sql, source = VECTORS, _nearest_sql(START3)
-    sql += f", a0 AS (SELECT *, {source} AS c FROM points)"
+    sql, names = VECTORS, ["c0", "c1", "c2"]
+    sql += f", a0 AS (SELECT *, {_nearest_sql(START3)} AS c FROM points)"
     for r in range(1, rounds + 1):
-        cols = ", ".join(
-            f"avg(CASE WHEN c = {j} THEN x{i} END) AS m{j}{i}" for j in range(3) for i in range(3)
-        )
-        centres = [[f"k{r}.m{j}{i}" for i in range(3)] for j in range(3)]
-        sql += f", k{r} AS (SELECT {cols} FROM a{r - 1})"
-        sql += f", a{r} AS (SELECT vec_id, label, y, x0, x1, x2, {_nearest_sql(centres)} AS c, least({', '.join(_d2('points', c) for c in centres)}) AS d FROM points, k{r})"
+        means = _centres_sql(f"a{r - 1}", "avg(CASE WHEN c = {j} THEN {x} END)", names)
+        centres = [f"k{r}.{n}" for n in names]
+        sql += f", k{r} AS ({means})"
+        sql += f", a{r} AS (SELECT points.*, {_nearest_sql(centres)} AS c, least({', '.join(_d2('points', c) for c in centres)}) AS d FROM points, k{r})"
     return sql
 
 
@@ -222,29 +236,24 @@ def kmeans_inertia_fixed(spark, sf_dir):
 def kmeans_fit(spark, sf_dir):
     """Best of several seeded runs; sizes and inertia."""
     p = points(spark, sf_dir)
-    centres, cost = cluster.kmeans(p, "v", 3, restarts=5)
+    centres, cost = cluster.kmeans(p, "v", 3)
     sizes = profile.distinct_counts(cluster.assign(p, "v", centres), "cluster")
     return sizes.withColumn("inertia", F.round(F.lit(cost), 4))
 
 
 def _fuzzy_sql() -> str:
-    sql = VECTORS
-    centres = START3
-    for r in range(2):
+    sql, names, centres = VECTORS, ["c0", "c1", "c2"], START3
+    for r in range(3):
         inv = [f"1 / greatest({_d2('points', c)}, 4.930380657631324e-32)" for c in centres]
         total = " + ".join(f"({x})" for x in inv)
-        extra = "" if r == 0 else ", f1"
+        source = "points" if r == 0 else f"points, f{r}"
+        if r == 2:
+            us = ", ".join(f"round(({x}) / ({total}), 6) AS u{j}" for j, x in enumerate(inv))
+            return sql + f", done AS (SELECT vec_id, {us}, {_nearest_sql(centres)} AS cluster FROM {source})"
         us = ", ".join(f"({x}) / ({total}) AS u{j}" for j, x in enumerate(inv))
-        sql += f", g{r} AS (SELECT points.*, {us} FROM points{extra})"
-        cols = ", ".join(
-            f"sum(u{j} * u{j} * x{i}) / sum(u{j} * u{j}) AS m{j}{i}" for j in range(3) for i in range(3)
-        )
-        sql += f", f{r + 1} AS (SELECT {cols} FROM g{r})"
-        centres = [[f"f{r + 1}.m{j}{i}" for i in range(3)] for j in range(3)]
-    inv = [f"1 / greatest({_d2('points', c)}, 4.930380657631324e-32)" for c in centres]
-    total = " + ".join(f"({x})" for x in inv)
-    us = ", ".join(f"round(({x}) / ({total}), 6) AS u{j}" for j, x in enumerate(inv))
-    return sql + f", done AS (SELECT vec_id, {us}, {_nearest_sql(centres)} AS cluster FROM points, f2)"
+        sql += f", g{r} AS (SELECT points.*, {us} FROM {source})"
+        sql += f", f{r + 1} AS ({_centres_sql(f'g{r}', 'sum(u{j} * u{j} * {x}) / sum(u{j} * u{j})', names)})"
+        centres = [f"f{r + 1}.{n}" for n in names]
 
 
 @query(with_sql(_fuzzy_sql(), "SELECT vec_id, u0, u1, u2, cluster FROM done"))
@@ -268,14 +277,15 @@ def fuzzy_cmeans_fit(spark, sf_dir):
 
 
 def _subtractive_sql() -> str:
-    sql = VECTORS + """, ext AS (SELECT min(x0) AS l0, max(x0) AS h0, min(x1) AS l1, max(x1) AS h1, min(x2) AS l2, max(x2) AS h2 FROM points),
-      s AS (SELECT vec_id, (x0 - l0) / (h0 - l0 + 1e-10) AS x0, (x1 - l1) / (h1 - l1 + 1e-10) AS x1, (x2 - l2) / (h2 - l2 + 1e-10) AS x2 FROM points, ext),
-      rad AS (SELECT quantile_cont(sqrt(x0 * x0 + x1 * x1 + x2 * x2), 0.75) / 2 AS r FROM s),"""
-    sql += f"""dens AS (SELECT a.vec_id, any_value(a.x0) AS x0, any_value(a.x1) AS x1, any_value(a.x2) AS x2,
+    sql = VECTORS + f""", ext AS (SELECT list(l ORDER BY i) AS l, list(h ORDER BY i) AS h FROM (
+        SELECT i, min(v[i]) AS l, max(v[i]) AS h FROM points, range(1, {DIMS + 1}) AS t(i) GROUP BY i)),
+      s AS (SELECT vec_id, list_transform(range(1, {DIMS + 1}), lambda i: (v[i] - l[i]) / (h[i] - l[i] + 1e-10)) AS v FROM points, ext),
+      rad AS (SELECT quantile_cont(sqrt(list_dot_product(v, v)), 0.75) / 2 AS r FROM s),"""
+    sql += f"""dens AS (SELECT a.vec_id, any_value(a.v) AS v,
         sum(exp(-({_d2("a", "b")}) / (r * r))) AS d FROM s a, s b, rad GROUP BY a.vec_id),
       c1 AS (SELECT * FROM dens ORDER BY d DESC, vec_id LIMIT 1),
-      c2 AS (SELECT dens.* FROM dens, c1, rad WHERE sqrt({_d2("dens", "c1")}) >= r * 0.5 AND dens.d > c1.d * 0.15 ORDER BY dens.d DESC, dens.vec_id LIMIT 1),
-      c3 AS (SELECT dens.* FROM dens, c1, c2, rad WHERE sqrt({_d2("dens", "c1")}) >= r * 0.5 AND sqrt({_d2("dens", "c2")}) >= r * 0.5
+      c2 AS (SELECT dens.* FROM dens, c1, rad WHERE list_distance(dens.v, c1.v) >= r * 0.5 AND dens.d > c1.d * 0.15 ORDER BY dens.d DESC, dens.vec_id LIMIT 1),
+      c3 AS (SELECT dens.* FROM dens, c1, c2, rad WHERE list_distance(dens.v, c1.v) >= r * 0.5 AND list_distance(dens.v, c2.v) >= r * 0.5
              AND dens.d > c1.d * 0.15 ORDER BY dens.d DESC, dens.vec_id LIMIT 1),
       cs AS (SELECT 0 AS i, * FROM c1 UNION ALL SELECT 1, * FROM c2 UNION ALL SELECT 2, * FROM c3),
       r AS (SELECT s.vec_id, i, row_number() OVER (PARTITION BY s.vec_id ORDER BY {_d2("s", "cs")}, i) AS rk FROM s, cs)"""
@@ -290,7 +300,7 @@ def subtractive(spark, sf_dir):
 @query(
     with_sql(
         VECTORS,
-        """, curve AS (SELECT CAST(label + 1 AS INTEGER) AS k, round(sum(x0 * x0 + x1 * x1 + x2 * x2) / (label + 1), 6) AS inertia FROM points GROUP BY label),
+        """, curve AS (SELECT CAST(label + 1 AS INTEGER) AS k, round(sum(list_dot_product(v, v)) / (label + 1), 6) AS inertia FROM points GROUP BY label),
         e AS (SELECT min(k) AS k0, arg_min(inertia, k) AS y0, max(k) AS k1, arg_max(inertia, k) AS y1 FROM curve),
         d AS (SELECT k, round(abs((k1 - k0) * (y0 - inertia) - (y1 - y0) * (k0 - k)) / sqrt((k1 - k0) * (k1 - k0) + (y1 - y0) * (y1 - y0)), 12) AS dist FROM curve, e)
         SELECT k FROM d ORDER BY dist DESC, k LIMIT 1""",
@@ -307,8 +317,8 @@ def elbow(spark, sf_dir):
 
 @query()
 def elbow_fit(spark, sf_dir):
-    """Inertia for one to six centres, and the recommended number."""
-    curve = cluster.inertia_curve(points(spark, sf_dir), "v", range(1, 7), restarts=2)
+    """Inertia for one to ten centres, and the recommended number."""
+    curve = cluster.inertia_curve(points(spark, sf_dir), "v", range(1, 11))
     return curve.withColumn("best", cluster.elbow(curve).scalar()).withColumn(
         "inertia", F.round("inertia", 4)
     )
@@ -476,5 +486,5 @@ def ward_micro(spark, sf_dir):
 @query()
 def all_clusterings(spark, sf_dir):
     """Rows per algorithm and cluster over the first three dimensions."""
-    out = cluster.all_clusterings(points(spark, sf_dir), "vec_id", "v", 3, restarts=3)
+    out = cluster.all_clusterings(points(spark, sf_dir), "vec_id", "v", 3)
     return out.groupBy("algorithm", "cluster").agg(F.count(F.lit(1)).alias("n"))

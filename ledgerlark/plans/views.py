@@ -280,7 +280,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 VECTORS = """vectors AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
          CAST(label % 2 AS INTEGER) AS y FROM embeddings),
-points AS (SELECT vec_id, label, y, v[1] AS x0, v[2] AS x1, v[3] AS x2 FROM vectors)"""
+points AS (SELECT vec_id, label, y, v, v[1] AS x0 FROM vectors)"""
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,13 +292,10 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def points(spark: SparkSession, sf_dir: str, dims: int = 3) -> DataFrame:
-    """Vectors cut to their first dimensions."""
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole vectors with their first entry beside them."""
     base = vectors(spark, sf_dir)
-    return base.select(
-        "vec_id", "label", "y", F.slice("v", 1, dims).alias("v"),
-        *[F.col("v")[i].alias(f"x{i}") for i in range(dims)],
-    )
+    return base.select("vec_id", "label", "y", "v", F.col("v")[0].alias("x0"))
 
 
 def with_sql(view: str, body: str) -> str:
