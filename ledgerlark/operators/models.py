@@ -183,10 +183,34 @@ class BalancedLogistic(Estimator):
         self._set(C=float(C))
 
     def _fit(self, dataset: DataFrame) -> Model:
-        rows = with_balanced_weights(dataset, self.label) if self.balanced else dataset
+        rows = dataset
+        if self.balanced and WEIGHT not in dataset.columns:
+            rows = with_balanced_weights(dataset, self.label)
         return logistic(self.label, dataset.count(), self.getOrDefault(self.C), self.balanced).fit(rows)
 
 
+class WeightStage(Estimator):
+    """Class weights as a pipeline stage of its own, for searches in which they are the same for all draws."""
+
+    def __init__(self, label: str):
+        super().__init__()
+        self.label = label
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        n, n1 = dataset.agg(F.count(F.lit(1)), F.count_if(F.col(self.label) == 1)).first()
+        return WeightStageModel(self.label, n / (2 * n1) if n1 else None, n / (2 * (n - n1)) if n - n1 else None)
+
+
+class WeightStageModel(Model):
+    def __init__(self, label: str, one: float | None, other: float | None):
+        super().__init__()
+        self.label, self.one, self.other = label, one, other
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        weight = F.when(F.col(self.label) == 1, F.lit(self.one)).otherwise(F.lit(self.other))
+        return dataset.withColumn(WEIGHT, weight.cast("double"))
+
+
 class BalancedTrees(Estimator):
     """Any estimator with a weight column, fitted with class weights of the rows it is fitted on."""
 

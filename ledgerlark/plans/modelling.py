@@ -212,7 +212,9 @@ def random_search(spark, sf_dir):
     parts = split.split_stratified(passengers(spark, sf_dir), "id", "survived", 0.2)
     train = cut_lineage(split.assign_folds(part(parts, "train"), "id", 5, label="survived"))
     machine = models.BalancedLogistic("survived")
-    steps = Pipeline(stages=[prep.MixedStage(PASSENGER_NUMBERS, PASSENGER_TEXTS), machine])
+    steps = Pipeline(
+        stages=[prep.MixedStage(PASSENGER_NUMBERS, PASSENGER_TEXTS), models.WeightStage("survived"), machine]
+    )
     maps = tune.draws(machine, "C", tune.log_uniform(presets.LOGISTIC_DRAWS, 1e-3, 1e2))
     _, table = tune.search(steps, maps, train, "survived", "fold", 5, "f1", 8)
     return tidy(table)
