@@ -280,7 +280,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 VECTORS = """vectors AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
          CAST(label % 2 AS INTEGER) AS y FROM embeddings),
-points AS (SELECT vec_id, label, y, v, v[1] AS x0 FROM vectors)"""
+points AS (SELECT vec_id, label, y, v, v[1] AS x0, v[2] AS x1 FROM vectors)"""
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,9 +293,9 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole vectors with their first entry beside them."""
+    """Whole vectors with their first two entries beside them, for rules that read single columns."""
     base = vectors(spark, sf_dir)
-    return base.select("vec_id", "label", "y", "v", F.col("v")[0].alias("x0"))
+    return base.select("vec_id", "label", "y", "v", F.col("v")[0].alias("x0"), F.col("v")[1].alias("x1"))
 
 
 def with_sql(view: str, body: str) -> str:
