@@ -79,12 +79,11 @@ def one_hot(
 
 
 def ordinal_encode(df: DataFrame, column: str, target: str) -> DataFrame:
-    """Code of the value in sorted order, starting at 0; the values must be few."""
-    codes = {v: i for i, v in enumerate(bounded_values(df, column))}
-    case = F.lit(None).cast("int")
-    for value, code in codes.items():
-        case = F.when(F.col(column) == F.lit(value), F.lit(code)).otherwise(case)
-    return df.withColumn(target, case)
+    """Code of the value in sorted order, starting at 0; a missing value has none."""
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = with_running_totals(values.withColumn("one", F.lit(1)), column, ["one"])
+    codes = ranked.select(column, (F.col("cum_one") - 1).cast("int").alias(target), "_rows")
+    return attach_by_key(df, codes, [column], "_rows").drop("_rows")
 
 
 def first_seen_codes(df: DataFrame, column: str, row_id: str) -> DataFrame:

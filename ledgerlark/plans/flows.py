@@ -58,6 +58,16 @@ def label_transactions(df: DataFrame, threshold: float = presets.SMALL_SPEND_THR
     return spent.withColumn(LABEL, label)
 
 
+def label_ordered(df: DataFrame, description: str = "descripcion", amount: str = "valor") -> DataFrame:
+    """Expenses labelled by the ordered keyword lists, then by amount."""
+    spent = rules.keep_outflows(rules.exclude_values(df, description, presets.NOT_AN_EXPENSE), amount)
+    label = rules.ordered_keyword_label(
+        F.col(description), F.abs(amount), presets.ALWAYS_SMALL, list(presets.NEVER_SMALL.values()),
+        float(presets.ORDERED_THRESHOLD),
+    )
+    return spent.withColumn("etiqueta", label)
+
+
 def transaction_report(df: DataFrame, row_id: str, sample: int = 2000) -> dict[str, DataFrame]:
     """Chart data of a feature table; charts whose columns are missing are left out."""
     out: dict[str, DataFrame] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window as W, functions as F
 
+from ledgerlark import presets
 from ledgerlark.functions.calendar import calendar_parts
 from ledgerlark.functions.parse import (
     clean_text,
@@ -16,6 +17,7 @@ from ledgerlark.functions.parse import (
 from ledgerlark.functions.scalars import flag_at_least
 from ledgerlark.operators import charts, features, prep, profile, rules, text
 from ledgerlark.operators.quantiles import exact_quantiles
+from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
 from ledgerlark.plans.views import TX, TX_RAW, table, tx, tx_raw, with_sql
 from ledgerlark.sources import tables
@@ -178,6 +180,34 @@ def label_ordered_rules(spark, sf_dir):
     return spent.select("id", label.alias("etiqueta"))
 
 
+#: A word of every preset list, and one of none.
+PRESET_WORDS = [
+    *presets.NOT_AN_EXPENSE, *presets.ALWAYS_SMALL, *[w for words in presets.NEVER_SMALL.values() for w in words], "TINTO",
+]
+
+
+def _any_sql(words) -> str:
+    return " OR ".join(f"contains(upper(trim(texto)), '{w}')" for w in words)
+
+
+@query(
+    with_sql(
+        TX,
+        f""", t AS (SELECT id, valor, CASE WHEN k % 3 = 0 THEN w ELSE lower(w) || ' ' || descripcion END AS texto
+          FROM (SELECT *, {PRESET_WORDS!r}[CAST(k % {len(PRESET_WORDS)} + 1 AS INTEGER)] AS w FROM tx))
+        SELECT id, CASE WHEN {_any_sql(presets.ALWAYS_SMALL)} THEN 'HORMIGA'
+          WHEN {_any_sql(w for words in presets.NEVER_SMALL.values() for w in words)} THEN 'NO_HORMIGA'
+          WHEN abs(valor) < {presets.ORDERED_THRESHOLD} THEN 'HORMIGA' ELSE 'NO_HORMIGA' END AS etiqueta
+        FROM t WHERE valor < 0 AND texto NOT IN ({", ".join(map(repr, presets.NOT_AN_EXPENSE))})""",
+    )
+)
+def label_ordered_presets(spark, sf_dir):
+    """The ordered rules with the known word lists, over descriptions that hold those words."""
+    word = F.get(F.array(*[F.lit(w) for w in PRESET_WORDS]), (F.col("k") % len(PRESET_WORDS)).cast("int"))
+    text = F.when(F.col("k") % 3 == 0, word).otherwise(F.concat(F.lower(word), F.lit(" "), "descripcion"))
+    return flows.label_ordered(tx(spark, sf_dir).withColumn("texto", text), "texto").select("id", "etiqueta")
+
+
 @query(
     with_sql(
         TX,
