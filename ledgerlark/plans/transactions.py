@@ -268,6 +268,36 @@ def group_broadcast_features(spark, sf_dir):
     )
 
 
+MATRIX = ["valor", "log_valor", "quintil", "frecuencia", "dia", "mes", "dia_semana", "trimestre", "semana", "es_fin_semana"]
+
+
+@query(
+    with_sql(
+        TX_RAW,
+        f""", r AS (SELECT id, trim(" Descripcion ") AS d, trim("FECHA") AS f,
+            abs(CASE WHEN "VALOR" LIKE '$ %' THEN CAST(replace(substr("VALOR", 3), ',', '') AS DOUBLE) END) AS valor FROM tx_raw),
+        g AS (SELECT id, d, valor, CAST(try_strptime(CASE WHEN regexp_full_match(f, '\\d{{1,2}}/\\d{{1,2}}') THEN f || '/2024' ELSE f END,
+            '%d/%m/%Y') AS DATE) AS f FROM r WHERE valor IS NOT NULL),
+        edges AS (SELECT list_sort(list_distinct(quantile_cont(valor, [0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM g),
+        c AS (SELECT d, count(*) AS n FROM g GROUP BY 1),
+        m AS (SELECT id, valor, ln(1 + valor) AS log_valor, greatest(len(list_filter(e, lambda x: x < valor)) - 1, 0) AS quintil, n AS frecuencia,
+            day(f) AS dia, month(f) AS mes, isodow(f) - 1 AS dia_semana, quarter(f) AS trimestre, weekofyear(f) AS semana,
+            CASE WHEN isodow(f) >= 6 THEN 1 ELSE 0 END AS es_fin_semana FROM g JOIN c USING (d), edges)
+        SELECT id, {", ".join(f"round(coalesce(({n} - avg({n}) OVER ()) / stddev_pop({n}) OVER (), 0), 4) + 0.0 AS {n}" for n in MATRIX)} FROM m""",
+    )
+)
+def spending_matrix(spark, sf_dir):
+    """The numbers of the scaled ledger matrix, from mixed, year-less and missing dates."""
+    raw = tx_raw(spark, sf_dir).select(
+        "id",
+        F.trim(" Descripcion ").alias("DESCRIPCION"),
+        "FECHA",
+        F.abs(parse_money(F.col("VALOR"))).alias("VALOR"),
+    )
+    out = flows.spending_matrix(raw.where("VALOR IS NOT NULL"), default_year=2024)
+    return out.select("id", *[(F.round(F.col("v")[i], 4) + 0.0).alias(n) for i, n in enumerate(MATRIX)])
+
+
 @query(
     with_sql(
         TX,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -42,7 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 @cache
 def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="ledgerlark-")
+    """Removed when the program ends."""
+    path = tempfile.mkdtemp(prefix="ledgerlark-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
