@@ -21,7 +21,7 @@ NULL component_id. An empty table gives an empty one; other columns play no part
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -288,13 +288,20 @@ def keep_one(
 
     prints = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     table = _members(prints, radius, segments, bucket)
+    return first_rows(docs, prints, table, lambda text: fingerprint(text, shingle), id_col, text_col)
+
+
+def first_rows(
+    docs: DataFrame, prints: DataFrame, table: DataFrame, number: Callable[[str], int], id_col: str, text_col: str
+) -> DataFrame:
+    """The rows that ``keep_one`` keeps, from (doc_id, fp), (fp, root, component_id) and the fp of a text."""
     first = prints.join(table, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("root").agg(F.min("component_id").alias("least_id"), F.min("fp").alias("least_fp"))
     # Numbered column names, so that none of the table's can clash with those added here.
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     c_id, c_text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
     rows = plain.withColumns({"text": c_text.cast("string"), "mark": F.xxhash64(*plain.columns), "id": c_id.cast("long")})
-    rows = with_column(rows, "text", "fp", "long", lambda: lambda texts: [fingerprint(t, shingle) for t in texts])
+    rows = with_column(rows, "text", "fp", "long", lambda: lambda texts: [number(t) for t in texts])
     again = F.row_number().over(W.partitionBy("id", "fp").orderBy("mark"))
     rows = rows.drop("text").withColumn("n", again).where("n = 1")
     same = F.col("id").eqNullSafe(F.col("least_id")) & (F.col("fp") == F.col("least_fp"))
