@@ -1,8 +1,8 @@
 """Secret scan with a worklist of decoded layers.
 
-Every text is scanned as it stands. Then each run of it that looks encoded - percent escapes,
-``\\uXXXX`` / ``\\xXX`` escapes, base64 of text or of a gzip, zlib, bzip2 or xz stream - is decoded
-into a new layer, which is scanned and searched for encoded runs again until no new layer appears. A layer
+Every text is scanned as it stands. Then its percent escapes and its ``\\uXXXX`` / ``\\xXX`` escapes are decoded
+in place, and each run of base64, also over line ends, into the bytes or the gzip, zlib, bzip2 or xz streams that it holds
+(bytes that are no UTF-8 are replaced). Each gives a new layer, which is scanned and searched for encoded runs again until no new layer appears. A layer
 whose content and place were met before is not entered twice, so self-reproducing archives end.
 What is found in a layer is mapped back to code points of the text: exactly through escapes, to
 groups of four through base64, to the whole run through a compressed stream.
@@ -39,6 +39,12 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
+#: Full lines of base64 and padding (1), the first line (2), a shorter last line (3).
+_WRAPPED = re.compile(
+    r"(([A-Za-z0-9+/_-]{16,})(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})*={0,2})"
+    r"((?:(?<!=)[\x20\t]*\r?\n[\x20\t]*(?:[A-Za-z0-9+/_-]+={0,2}|={1,2}))?)"
+)
+
 #: A decoded stream longer than this is taken for a bomb and not entered (a parameter of ``scan``).
 MAX_LAYER = 1 << 26
 
@@ -53,46 +59,42 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return spans + [(m.start(), "hex", m.end()) for m in _HEX.finditer(text)]
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _decoded(raw: bytes) -> tuple[str, list[int]]:
+    """The text and how many bytes each code point takes; a byte that is not UTF-8 gives one replacement character."""
+    text = raw.decode("utf-8", "surrogateescape")
+    width = [1 if c < "\x80" or "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text]
+    return re.sub("[\udc80-\udcff]", "\ufffd", text), width
 
 
-def _expanded(raw: bytes, limit: int) -> bytes | None:
-    """The content of a compressed stream, or None if ``raw`` is none or expands beyond ``limit``."""
+def _tool(raw: bytes):
     if raw[:2] == b"\x1f\x8b":
-        tool = zlib.decompressobj(47)
-    elif raw[:1] == b"\x78" and len(raw) > 5 and int.from_bytes(raw[:2], "big") % 31 == 0:
-        tool = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    else:
-        return None
-    try:
-        out = tool.decompress(raw, limit + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    return out if tool.eof and len(out) <= limit else None
-
-
-def _words_with(pattern: re.Pattern, layer: str):
-    """(start, end) of each run of non-space characters that holds a match."""
-    last = 0
-    for m in pattern.finditer(layer):
-        if m.start() < last:
-            continue
-        a, b = m.start(), m.end()
-        while a > last and not layer[a - 1].isspace():
-            a -= 1
-        while b < len(layer) and not layer[b].isspace():
-            b += 1
-        last = b
-        yield a, b
+        return zlib.decompressobj(47)
+    if raw[:1] == b"\x78" and len(raw) > 5 and int.from_bytes(raw[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _expanded(raw: bytes, limit: int) -> bytes | None:
+    """The content of compressed streams one after another, as far as they can be read and with what follows them as it
+    stands; None if ``raw`` is none. What expands beyond ``limit`` gives nothing."""
+    out = b""
+    while (tool := _tool(raw)) is not None:
+        try:
+            out += tool.decompress(raw, limit + 1 - len(out))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return out + raw if out else None
+        if len(out) > limit:
+            return b""
+        if not tool.eof:  # cut off
+            return out
+        raw = tool.unused_data
+        if not raw:
+            return out
+    return out + raw if out else None
 
 
 def _from_escapes(layer: str, start: int, end: int, unit: str):
@@ -130,35 +132,45 @@ def _from_escapes(layer: str, start: int, end: int, unit: str):
     return "".join("�" if 0xD800 <= ord(c) < 0xE000 else c for c in chars), places
 
 
+def _base64_runs(layer: str):
+    """(start, end) of the runs of each line, and of those that go on over line ends, with and without a short last line."""
+    yield from (m.span() for m in _BASE64.finditer(layer))
+    if "\n" in layer:
+        for m in _WRAPPED.finditer(layer):
+            if "\n" in m[1]:
+                yield m.start(), m.end(1)
+            if m[3]:
+                yield m.span()
+
+
 def _inner_layers(layer: str, limit: int):
     """(name, text, places) of every encoded run; places[i] is where code point i came from."""
     for name, sign, pattern in (("url", "%", _URL), ("unicode", "\\", _UNICODE)):
         if sign in layer:
-            for start, end in _words_with(pattern, layer):
-                yield name, *_from_escapes(layer, start, end, name)
-    for m in _BASE64.finditer(layer):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+            if pattern.search(layer):
+                yield name, *_from_escapes(layer, 0, len(layer), name)
+    for start, end in _base64_runs(layer):
+        run = layer[start:end]
+        at = [i for i, c in enumerate(run, start) if not c.isspace()]
+        body = "".join(run.split()).rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
-            continue
+            body = body[:-1]
         try:
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
         except (binascii.Error, ValueError):
             continue
-        start, end = m.span()
         out = _expanded(raw, limit)
         if out is not None:
-            text = _readable(out)
+            text, _ = _decoded(out)
             if text:
                 yield "compressed", text, [(start, end)] * len(text)
             continue
-        text = _readable(raw)
-        if text:
-            places, at = [], 0
-            for c in text:
-                width = len(c.encode())
-                places.append((start + at // 3 * 4, min(end, start + (at + width - 1) // 3 * 4 + 4)))
-                at += width
-            yield "base64", text, places
+        text, width = _decoded(raw)
+        places, byte = [], 0
+        for w in width:
+            places.append((at[byte // 3 * 4], at[min(len(at), (byte + w - 1) // 3 * 4 + 4) - 1] + 1))
+            byte += w
+        yield "base64", text, places
 
 
 def decoded_spans(text: str, limit: int = MAX_LAYER) -> tuple[set[tuple[int, str, int]], int]:
