@@ -5,8 +5,7 @@ written as Parquet and read again as the next one's ``docs``. All but the last r
 of ``documents``:
 
 * quality: texts that the quality rules reject go;
-* near_duplicates: one text of each group of near copies stays, that is of texts whose sets of five-word shingles have a
-  Jaccard similarity of 0.8 or more;
+* near_duplicates: one text of each SimHash group stays, with the shingle length and the bit distance of that operator;
 * personal_data: every span of personal data is replaced by its kind in brackets, n_chars is the new length;
 * packing: the texts are packed into sequences of tokens, one row per piece.
 
@@ -19,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import near_copies, packing, pii, quality
+from ledgerlark.llm import packing, pii, quality, simhash
 from ledgerlark.llm.common import read, short_batches
 from ledgerlark.session import scratch_path
 
@@ -30,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_batches(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
