@@ -39,7 +39,7 @@ MIN_DOCS = 30
 PRIOR, UNITS = 5, 1_000_000_000
 TOP = 50
 #: Terms of a shard and of a round's broadcast, distinct terms and slots that a task holds; none changes the result.
-SHARD, ROUND = 65_536, 2_000_000
+SHARD, ROUND = 4096, 2_000_000
 HELD, DENSE = 400_000, 8_000_000
 #: Cells of the largest block of terms by sources.
 BLOCK = 4_000_000

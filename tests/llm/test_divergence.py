@@ -62,7 +62,7 @@ def got(spark, rows, **how):
     return sorted(map(tuple, divergence.audit(df, **how).collect()))
 
 
-@pytest.mark.parametrize(("per_shard", "per_round"), [(65_536, 2_000_000), (9, 25)])
+@pytest.mark.parametrize(("per_shard", "per_round"), [(4096, 2_000_000), (9, 25)])
 def test_audit(spark, per_shard, per_round):
     r = random.Random(5)
     words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(90)] + ["Ärger", "ärger", "中文", "A1b", "x"]
