@@ -19,13 +19,18 @@ own; rows with a NULL id take part. An empty table gives an empty one; other col
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import chain
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -36,6 +41,13 @@ from ledgerlark.session import cut_lineage, scratch_path
 
 #: Codes of a round's broadcast and codes that a counting task holds; neither changes the result.
 ROUND, HELD = 4_000_000, 2_000_000
+#: Words whose ids a task remembers.
+WORDS_KEPT = 300_000
+
+# Fixed value: the words of byte-level vocabularies.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Outside these ranges versions of Unicode differ in what is a letter or a number.
+_ELSE = re.compile("[^\x00-\u052f\u2000-\u206f\u20a0-\ua7cd]")
 
 
 # --- token bytes --------------------------------------------------------------------------------
@@ -48,22 +60,66 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def level_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-    """Encoder and token bytes of a byte-level vocabulary file."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    byte = byte_of_char()
-    spelt = [b""] * made.get_vocab_size()
-    for token, i in made.get_vocab().items():
-        spelt[i] = bytes(byte.get(c, 63) for c in token)
-    return lambda texts: [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)], spelt
+class LevelEncoder:
+    """A byte-level vocabulary file as encoder: flat ids and ids per text.
 
+    Such a vocabulary never joins words, so the words of a text, by the vocabulary's own rule, are looked up, and only
+    words not seen lately are encoded. Texts with characters that the two pattern libraries may class differently, and files with
+    another rule, are encoded whole.
+    """
 
-def piece_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-    """Encoder and token bytes of a piece model file."""
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.made = Tokenizer.from_file(path)
+        self.made.encode_special_tokens = True
+        byte = byte_of_char()
+        self.bytes = [b""] * self.made.get_vocab_size()
+        for token, i in self.made.get_vocab().items():
+            self.bytes[i] = bytes(byte.get(c, 63) for c in token)
+        rule = json.loads(self.made.to_str())
+        split = rule["pre_tokenizer"] or {}
+        plain = not rule["normalizer"] and not rule["post_processor"] and split.get("type") == "ByteLevel"
+        self.by_word = plain and split.get("use_regex") and not split.get("add_prefix_space")
+        self.words = regex.compile(_WORDS)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.start, self.count, self.wrong = array("q"), array("q"), array("q"), array("b")
+
+    def _learn(self, words: list[str]) -> None:
+        for w, e in zip(words, self.made.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.number[w] = len(self.start)
+            self.start.append(len(self.flat))
+            self.count.append(len(e.ids))
+            self.flat.extend(e.ids)
+            self.wrong.append(b"".join(map(self.bytes.__getitem__, e.ids)) != w.encode("utf-8", "replace"))
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids, ids per text, and whether they spell the text."""
+        if len(self.number) > WORDS_KEPT:
+            self._forget()
+        words, each = [], []
+        for t in texts:
+            some = self.words.findall(t) if self.by_word and not _ELSE.search(t) else [t]
+            some = some if sum(map(len, some)) == len(t) else [t]
+            words += some
+            each.append(len(some))
+        self._learn([w for w in dict.fromkeys(words) if w not in self.number])
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        count = np.frombuffer(self.count, np.int64)[at]
+        upto = np.cumsum(count)
+        place = np.repeat(np.frombuffer(self.start, np.int64)[at] - upto + count, count) + np.arange(upto[-1])
+        ids = np.frombuffer(self.flat, np.int64)[place]
+        last = np.cumsum(each)
+        wrong = np.add.reduceat(np.frombuffer(self.wrong, np.int8)[at].astype(np.int64), last - each)
+        return ids, np.diff(upto[last - 1], prepend=0), wrong == 0
+
+
+def piece_encoder(path: str) -> tuple[Callable[[list[str]], tuple[np.ndarray, np.ndarray]], list[bytes]]:
+    """Encoder to flat ids and ids per text, and token bytes, of a piece model file."""
     from sentencepiece import SentencePieceProcessor
 
     made = SentencePieceProcessor(model_file=path)
@@ -71,7 +127,13 @@ def piece_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], li
     for i in range(made.get_piece_size()):
         piece = made.id_to_piece(i)
         spelt.append(bytes([int(piece[3:5], 16)]) if made.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda texts: made.encode(texts, num_threads=1), spelt
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        many = made.encode(texts, num_threads=1)
+        count = np.fromiter(map(len, many), np.int64, len(many))
+        return np.fromiter(chain.from_iterable(many), np.int64, int(count.sum())), count
+
+    return encode, spelt
 
 
 # --- divide and conquer -------------------------------------------------------------------------
@@ -115,15 +177,25 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: np.ndarray, upto_b: n
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the tokens of A and B that overlap: one pair for each stretch between two ends of either."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two ascending runs
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
+def _spelt(spelling: list[bytes], ids: np.ndarray, count: np.ndarray) -> Iterator[bytes]:
+    """The bytes of each text's tokens."""
+    last = 0
+    for n in count.tolist():
+        yield b"".join(map(spelling.__getitem__, ids[last : last + n].tolist()))
+        last += n
+
+
 class Aligner:
     """Both vocabularies; aligns some texts at a time."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.encode_a, self.bytes_a = level_encoder(path_a)
+        self.encode_a = LevelEncoder(path_a)
+        self.bytes_a = self.encode_a.bytes
         self.encode_b, self.bytes_b = piece_encoder(path_b)
         self.size_a, self.size_b = (np.array([len(x) for x in y]) for y in (self.bytes_a, self.bytes_b))
         self.written = [b"%d%s" % (i, s) for n, ends in ((len(self.bytes_a), b",|"), (len(self.bytes_b), b",;")) for s in (ends[:1], ends[1:]) for i in range(n)]
@@ -133,17 +205,17 @@ class Aligner:
         out = [(0, 0, 0, 0, "", np.empty(0, np.int64))] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
         plain = [texts[i] for i in some]
-        kept, all_a, all_b = [], [], []
-        for i, a, b in zip(some, self.encode_a([" " + t for t in plain]), self.encode_b(plain), strict=True):
-            whole = b" " + texts[i].encode("utf-8", "replace")
-            if b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
-                kept.append(i)
-                all_a.append(a)
-                all_b.append(b)
-        if not kept:
+        if not some:
             return out
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(kept)) for x in (all_a, all_b))
-        ids_a, ids_b = (np.concatenate([np.array(x, np.int64) for x in y]) for y in (all_a, all_b))
+        ids_a, n_a, kept = self.encode_a([" " + t for t in plain])
+        ids_b, n_b = self.encode_b(plain)
+        spelt = _spelt(self.bytes_b, ids_b, n_b)
+        kept &= np.array([x == b" " + t.encode("utf-8", "replace") for t, x in zip(plain, spelt, strict=True)])
+        if not kept.all():
+            ids_a, ids_b = ids_a[np.repeat(kept, n_a)], ids_b[np.repeat(kept, n_b)]
+            n_a, n_b, some = n_a[kept], n_b[kept], [i for i, k in zip(some, kept.tolist(), strict=True) if k]
+            if not some:
+                return out
         ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
         upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
         cut_a, cut_b = groups(ends_a, ends_b, upto_a, upto_b)
@@ -152,7 +224,7 @@ class Aligner:
         codes = ids_a[at_a] * len(self.bytes_b) + ids_b[at_b]
         n_groups = np.diff(np.searchsorted(cut_a, upto_a, side="right"), prepend=0)
         upto = np.searchsorted(at_a, upto_a)
-        for k, (i, lo, hi) in enumerate(zip(kept, np.append(0, upto[:-1]).tolist(), upto.tolist(), strict=True)):
+        for k, (i, lo, hi) in enumerate(zip(some, np.append(0, upto[:-1]).tolist(), upto.tolist(), strict=True)):
             out[i] = (int(n_a[k]), int(n_b[k]), int(n_groups[k]), hi - lo, digest[k], np.sort(codes[lo:hi]))
         return out
 
