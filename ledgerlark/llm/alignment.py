@@ -25,7 +25,6 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from hashlib import sha256
-from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -60,29 +59,14 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class LevelEncoder:
-    """A byte-level vocabulary file as encoder: flat ids and ids per text.
+class WordEncoder:
+    """Encodes texts by looking up their words; only words not seen lately are encoded.
 
-    Such a vocabulary never joins words, so the words of a text, by the vocabulary's own rule, are looked up, and only
-    words not seen lately are encoded. Texts with characters that the two pattern libraries may class differently, and files with
-    another rule, are encoded whole.
+    ``split`` gives a text's words by a rule over which the vocabulary never joins tokens, or the whole text as one word.
     """
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.made = Tokenizer.from_file(path)
-        self.made.encode_special_tokens = True
-        byte = byte_of_char()
-        self.bytes = [b""] * self.made.get_vocab_size()
-        for token, i in self.made.get_vocab().items():
-            self.bytes[i] = bytes(byte.get(c, 63) for c in token)
-        rule = json.loads(self.made.to_str())
-        split = rule["pre_tokenizer"] or {}
-        plain = not rule["normalizer"] and not rule["post_processor"] and split.get("type") == "ByteLevel"
-        self.by_word = plain and split.get("use_regex") and not split.get("add_prefix_space")
-        self.words = regex.compile(_WORDS)
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], spelling: list[bytes]):
+        self.split, self.encode, self.bytes = split, encode, spelling
         self._forget()
 
     def _forget(self) -> None:
@@ -90,12 +74,12 @@ class LevelEncoder:
         self.flat, self.start, self.count, self.wrong = array("q"), array("q"), array("q"), array("b")
 
     def _learn(self, words: list[str]) -> None:
-        for w, e in zip(words, self.made.encode_batch_fast(words, add_special_tokens=False), strict=True):
+        for w, ids in zip(words, self.encode(words), strict=True):
             self.number[w] = len(self.start)
             self.start.append(len(self.flat))
-            self.count.append(len(e.ids))
-            self.flat.extend(e.ids)
-            self.wrong.append(b"".join(map(self.bytes.__getitem__, e.ids)) != w.encode("utf-8", "replace"))
+            self.count.append(len(ids))
+            self.flat.extend(ids)
+            self.wrong.append(b"".join(map(self.bytes.__getitem__, ids)) != w.encode("utf-8", "replace"))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, ids per text, and whether they spell the text."""
@@ -103,7 +87,7 @@ class LevelEncoder:
             self._forget()
         words, each = [], []
         for t in texts:
-            some = self.words.findall(t) if self.by_word and not _ELSE.search(t) else [t]
+            some = self.split(t)
             some = some if sum(map(len, some)) == len(t) else [t]
             words += some
             each.append(len(some))
@@ -112,28 +96,61 @@ class LevelEncoder:
         count = np.frombuffer(self.count, np.int64)[at]
         upto = np.cumsum(count)
         place = np.repeat(np.frombuffer(self.start, np.int64)[at] - upto + count, count) + np.arange(upto[-1])
-        ids = np.frombuffer(self.flat, np.int64)[place]
         last = np.cumsum(each)
         wrong = np.add.reduceat(np.frombuffer(self.wrong, np.int8)[at].astype(np.int64), last - each)
-        return ids, np.diff(upto[last - 1], prepend=0), wrong == 0
+        return np.frombuffer(self.flat, np.int64)[place], np.diff(upto[last - 1], prepend=0), wrong == 0
 
 
-def piece_encoder(path: str) -> tuple[Callable[[list[str]], tuple[np.ndarray, np.ndarray]], list[bytes]]:
-    """Encoder to flat ids and ids per text, and token bytes, of a piece model file."""
+def level_encoder(path: str) -> WordEncoder:
+    """For a byte-level vocabulary file, which never joins words.
+
+    Texts with characters that the two pattern libraries may class differently, and files with another rule, stay whole.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = True
+    byte = byte_of_char()
+    spelling = [b""] * made.get_vocab_size()
+    for token, i in made.get_vocab().items():
+        spelling[i] = bytes(byte.get(c, 63) for c in token)
+    rule = json.loads(made.to_str())
+    how = rule["pre_tokenizer"] or {}
+    plain = not rule["normalizer"] and not rule["post_processor"] and how.get("type") == "ByteLevel"
+    by_word = plain and how.get("use_regex") and not how.get("add_prefix_space")
+    find = regex.compile(_WORDS).findall
+
+    def split(text: str) -> list[str]:
+        return find(text) if by_word and not _ELSE.search(text) else [text]
+
+    return WordEncoder(split, lambda words: [e.ids for e in made.encode_batch_fast(words, add_special_tokens=False)], spelling)
+
+
+def piece_encoder(path: str) -> WordEncoder:
+    """For a piece model file, which adds the blank that the texts here begin with.
+
+    If no piece has a blank behind another character, none reaches over the start of a run of blanks. Models that have such a
+    piece, or change what they read, take texts whole.
+    """
     from sentencepiece import SentencePieceProcessor
 
     made = SentencePieceProcessor(model_file=path)
-    spelt = []
-    for i in range(made.get_piece_size()):
-        piece = made.id_to_piece(i)
-        spelt.append(bytes([int(piece[3:5], 16)]) if made.is_byte(i) else piece.replace("▁", " ").encode())
+    pieces = [made.id_to_piece(i) for i in range(made.get_piece_size())]
+    spelling = [bytes([int(p[3:5], 16)]) if made.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+    probe = "  ﬁ  Ａ e\u0301 \u3000\tx  "
+    blank = made.piece_to_id("▁")
+    by_word = pieces[blank] == "▁" and not any(re.search("[^▁]▁", p) for p in pieces)
+    by_word = by_word and made.normalize(probe) == "▁" + probe.replace(" ", "▁")
+    find = re.compile(" *[^ ]+| +").findall
 
-    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        many = made.encode(texts, num_threads=1)
-        count = np.fromiter(map(len, many), np.int64, len(many))
-        return np.fromiter(chain.from_iterable(many), np.int64, int(count.sum())), count
+    def split(text: str) -> list[str]:
+        return find(text) if by_word and "▁" not in text else [text]
 
-    return encode, spelt
+    def encode(words: list[str]) -> list[list[int]]:
+        return [ids or [blank] for ids in made.encode([w[1:] for w in words], num_threads=1)]
+
+    return WordEncoder(split, encode, spelling)
 
 
 # --- divide and conquer -------------------------------------------------------------------------
@@ -182,21 +199,12 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-def _spelt(spelling: list[bytes], ids: np.ndarray, count: np.ndarray) -> Iterator[bytes]:
-    """The bytes of each text's tokens."""
-    last = 0
-    for n in count.tolist():
-        yield b"".join(map(spelling.__getitem__, ids[last : last + n].tolist()))
-        last += n
-
-
 class Aligner:
     """Both vocabularies; aligns some texts at a time."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.encode_a = LevelEncoder(path_a)
-        self.bytes_a = self.encode_a.bytes
-        self.encode_b, self.bytes_b = piece_encoder(path_b)
+        self.encode_a, self.encode_b = level_encoder(path_a), piece_encoder(path_b)
+        self.bytes_a, self.bytes_b = self.encode_a.bytes, self.encode_b.bytes
         self.size_a, self.size_b = (np.array([len(x) for x in y]) for y in (self.bytes_a, self.bytes_b))
         self.written = [b"%d%s" % (i, s) for n, ends in ((len(self.bytes_a), b",|"), (len(self.bytes_b), b",;")) for s in (ends[:1], ends[1:]) for i in range(n)]
 
@@ -204,13 +212,11 @@ class Aligner:
         """(n_a, n_b, n_groups, n_links, groups_sha256, codes in ascending order) per text."""
         out = [(0, 0, 0, 0, "", np.empty(0, np.int64))] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
-        plain = [texts[i] for i in some]
+        plain = [" " + texts[i] for i in some]
         if not some:
             return out
-        ids_a, n_a, kept = self.encode_a([" " + t for t in plain])
-        ids_b, n_b = self.encode_b(plain)
-        spelt = _spelt(self.bytes_b, ids_b, n_b)
-        kept &= np.array([x == b" " + t.encode("utf-8", "replace") for t, x in zip(plain, spelt, strict=True)])
+        (ids_a, n_a, right_a), (ids_b, n_b, right_b) = self.encode_a(plain), self.encode_b(plain)
+        kept = right_a & right_b
         if not kept.all():
             ids_a, ids_b = ids_a[np.repeat(kept, n_a)], ids_b[np.repeat(kept, n_b)]
             n_a, n_b, some = n_a[kept], n_b[kept], [i for i, k in zip(some, kept.tolist(), strict=True) if k]
@@ -342,7 +348,7 @@ def align(
     path = scratch_path(spark, "links")
     _aligned(id_and_text(docs, id_col, text_col), path_a, path_b).write.parquet(path)
     stored = spark.read.parquet(path)
-    n_b = len(piece_encoder(path_b)[1])
+    n_b = len(piece_encoder(path_b).bytes)
     counts = cut_lineage(code_counts(stored))
     b = F.pmod("code", F.lit(n_b))
     top = counts.groupBy(b.alias("b")).agg(F.max("n").alias("most"))  # as many rows as the vocabulary has ids, at most
