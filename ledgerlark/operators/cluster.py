@@ -7,30 +7,37 @@ rows is an aggregation with map-side partial results.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil, sqrt
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ledgerlark import presets
-from ledgerlark.operators.dbscan import adaptive_eps, dbscan, reassign_noise
+from ledgerlark.operators import neighbours
+from ledgerlark.operators.dbscan import adaptive_eps, connected_components, dbscan, reassign_noise
 from ledgerlark.operators.neighbours import (
-    build_cells,
+    block_join,
+    build_tree,
     centre_distances,
     distinct_vectors,
+    near_children,
     nearest_centre,
 )
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.operators.ranking import shuffle_key
-from ledgerlark.session import cut_lineage
+from ledgerlark.operators.skew import attach_by_key
+from ledgerlark.session import cut_lineage, rewritten
 
 Centres = list[list[float]]
 
-MICRO_CLUSTERS = 500
 CANDIDATES = 256
+#: Balls from whose bounds the densest points are looked for; any number gives the same centres.
+BALLS = 4096
 
 
 def _as_lists(row) -> Centres:
@@ -212,6 +219,48 @@ def influence_radius(df: DataFrame, vector: str) -> float:
     return q.first()["value"] / 2
 
 
+@dataclass(frozen=True)
+class Balls:
+    """Pivots with the radius of the ball that holds the points nearest to each."""
+
+    pivots: Centres
+    radius: list[float]
+
+
+def _with_ball(df: DataFrame, pivots: Centres) -> DataFrame:
+    """Add the nearest pivot (``cell``) and the distance to it (``gap``) for vectors in ``v``."""
+    fields = [StructField("cell", IntegerType()), StructField("gap", DoubleType())]
+    schema = StructType(df.schema.fields + fields)
+
+    def run(batches):
+        p = np.asarray(pivots, dtype=float)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf["v"].to_numpy())
+            cell, gap = np.empty(len(x), dtype=np.int32), np.empty(len(x))
+            for a in range(0, len(x), 128):
+                d = np.sqrt(((x[a : a + 128, None, :] - p[None, :, :]) ** 2).sum(axis=2))
+                cell[a : a + 128] = d.argmin(axis=1)
+                gap[a : a + 128] = d.min(axis=1)
+            yield pdf.assign(cell=cell, gap=gap)
+
+    return df.mapInPandas(run, schema)
+
+
+def build_balls(points: DataFrame) -> tuple[Balls, DataFrame]:
+    """Choose pivots among the points by hash and assign the points; about sqrt(n) / 2 balls."""
+    points = cut_lineage(points)
+    m = max(1, min(BALLS, ceil(sqrt(points.count()) / 2)))
+    chosen = points.select("v").orderBy(F.xxhash64("v", F.lit(42)), "v").limit(m).collect()
+    pivots = [list(r["v"]) for r in chosen]
+    placed = cut_lineage(_with_ball(points, pivots))
+    radius = [0.0] * len(pivots)
+    for row in placed.groupBy("cell").agg(F.max("gap").alias("r")).collect():
+        radius[row["cell"]] = row["r"]
+    return Balls(pivots, radius), placed
+
+
 def _with_density_bound(points: DataFrame, pivots: Centres, reach, weight, radius: float):
     """Upper bound on the density of a point, from the distance to each cell's ball."""
 
@@ -268,7 +317,7 @@ def subtractive_centres(
     """
     radius = influence_radius(df, vector)
     points = cut_lineage(distinct_vectors(df, row_id, vector))
-    cells, placed = build_cells(points)
+    cells, placed = build_balls(points)
     weight = [0] * len(cells.pivots)
     for r in placed.groupBy("cell").agg(F.sum("weight").alias("w")).collect():
         weight[r["cell"]] = r["w"]
@@ -324,49 +373,138 @@ def subtractive(df: DataFrame, row_id: str, vector: str, k: int = 3) -> DataFram
 # --- Ward ---------------------------------------------------------------------------------------
 
 
-def ward(
-    df: DataFrame, row_id: str, vector: str, k: int = 3, micro: int = MICRO_CLUSTERS, seed: int = 42
-) -> DataFrame:
-    """Add Ward clusters, merged over at most ``micro`` weighted groups of rows.
+def _cheapest_in_block(q, p):
+    """The cheapest merge of each query group with another group of the block; ties by the other's id."""
+    import pandas as pd
+
+    if len(q) == 0 or len(p) == 0:
+        return pd.DataFrame()
+    p = p.sort_values("pid", kind="stable")
+    y, m, ids = np.stack(p["v"].to_numpy()), p["weight"].to_numpy(float), p["pid"].to_numpy()
+    out = []
+    for a in range(0, len(q), 32):
+        part = q.iloc[a : a + 32]
+        x, n = np.stack(part["v"].to_numpy()), part["weight"].to_numpy(float)
+        cost = ((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2) * (np.outer(n, m) / np.add.outer(n, m))
+        cost[part["pid"].to_numpy()[:, None] == ids[None, :]] = np.inf
+        best = cost.argmin(axis=1)
+        found = pd.DataFrame({"pid": part["pid"].to_numpy(), "nid": ids[best], "cost": cost.min(axis=1)})
+        out.append(found[np.isfinite(found["cost"])])
+    return pd.concat(out)
+
+
+def _merge_reach(part, radius, least):
+    """How far a group may lie whose merge costs at most ``bound``: with d² n m / (n + m) for sizes n and m >= least."""
+    n, bound = (part[c].to_numpy(float)[:, None] for c in ("weight", "bound"))
+    return np.sqrt(bound * (1.0 / n + 1.0 / least[None, :])) * (1 + 1e-9)
+
 
-    With no more distinct vectors than that each is its own group and the result is exact; else
-    k-means makes the groups. Clusters are numbered by size, the largest first.
+def cheapest_partners(asked: DataFrame, groups: DataFrame) -> DataFrame:
+    """(pid, nid, cost): for each asked group the other group whose merge adds least to the inner variance.
+
+    Both have (pid, v, weight): the group's smallest id, its mean and its size.
     """
-    points = distinct_vectors(df, row_id, vector)
-    groups = points.select("v", "weight").limit(micro + 1).collect()
-    if len(groups) <= micro:
-        groups.sort(key=lambda r: list(r["v"]))
-        centres = [list(r["v"]) for r in groups]
-        sizes = [r["weight"] for r in groups]
-    else:
-        centres, _ = kmeans(df, vector, micro, restarts=1, seed=seed)
-        counted = assign(df, vector, centres, "_g").groupBy("_g").count().collect()
-        by_group = {r["_g"]: r["count"] for r in counted}
-        centres = [c for i, c in enumerate(centres) if i in by_group]
-        sizes = [by_group[i] for i in sorted(by_group)]
-    codes = F.array(*[F.lit(c) for c in _ward_merge(centres, sizes, k)])
-    grouped = assign(df, vector, centres, "_g")
-    return grouped.withColumn("cluster", F.element_at(codes, F.col("_g") + 1)).drop("_g")
-
-
-def _ward_merge(centres: Centres, sizes: Sequence[int], k: int) -> list[int]:
-    """Merge the pair with the least growth of inner variance until ``k`` groups are left."""
-    x, n = np.asarray(centres, dtype=float), np.asarray(sizes, dtype=float)
-    member = np.arange(len(x))
-    cost = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2) * np.outer(n, n) / np.add.outer(n, n)
-    np.fill_diagonal(cost, np.inf)
-    for _ in range(len(x) - k):
-        i, j = sorted(np.unravel_index(np.argmin(cost), cost.shape))
-        total = n + n[i] + n[j]
-        merged = ((n + n[i]) * cost[i] + (n + n[j]) * cost[j] - n * cost[i, j]) / total
-        merged[~np.isfinite(cost[i]) & ~np.isfinite(cost[j])] = np.inf
-        n[i] += n[j]
-        member[member == j] = i
-        cost[i], cost[:, i] = merged, merged
+    id_type = dict(groups.dtypes)["pid"]
+    schema = f"pid {id_type}, nid {id_type}, cost double"
+    asked = asked.select("pid", "v", "weight")
+    tree, placed = build_tree(groups.select("pid", "v", "weight"))
+    at_home = cut_lineage(tree.home(asked, 1)).withColumnRenamed("cell", "visit")
+    near = block_join(at_home, placed, _cheapest_in_block, schema).groupBy("pid").agg(F.min("cost").alias("bound"))
+    bounded = asked.join(near, "pid", "left").fillna(float("inf"), ["bound"])
+    visiting = cut_lineage(tree.visits(bounded, step=near_children(_merge_reach)))
+    found = block_join(visiting, placed, _cheapest_in_block, schema)
+    best = F.min(F.struct("cost", "nid")).alias("_m")
+    return found.groupBy("pid").agg(best).select("pid", "_m.nid", "_m.cost")
+
+
+def _last_merges(batches):
+    """The merges of the groups of one block, the cheapest first."""
+    import pandas as pd
+
+    parts = [pdf for pdf in batches if len(pdf)]
+    if not parts:
+        return
+    rows = pd.concat(parts).sort_values("pid", kind="stable")
+    ids, x, n = rows["pid"].tolist(), np.stack(rows["v"].to_numpy()), rows["weight"].to_numpy(float)
+
+    def costs(i):
+        out = ((x - x[i]) ** 2).sum(axis=1) * (n * n[i] / (n + n[i]))
+        out[gone] = np.inf
+        out[i] = np.inf
+        return out
+
+    gone = np.zeros(len(ids), bool)
+    cost = np.stack([costs(i) for i in range(len(ids))])
+    best, out = cost.argmin(axis=1), []
+    for _ in range(len(ids) - 1):
+        least = cost[np.arange(len(ids)), best]
+        i = int(least.argmin())
+        i, j = sorted((i, int(best[i])))
+        total = n[i] + n[j]
+        out.append((ids[i], ids[j], float(cost[i, j]), int(total)))
+        x[i] = (x[i] * n[i] + x[j] * n[j]) / total
+        n[i] = total
+        gone[j] = True
         cost[j], cost[:, j] = np.inf, np.inf
-        cost[i, i] = np.inf
-    order = sorted(set(member), key=lambda g: (-n[g], g))
-    return [order.index(g) for g in member]
+        cost[i] = cost[:, i] = costs(i)
+        # Merging others never makes a new group the cheaper partner: only those that had i or j look again.
+        for r in np.flatnonzero(((best == i) | (best == j)) & ~gone).tolist() + [i, j]:
+            best[r] = cost[r].argmin()
+    yield pd.DataFrame(out, columns=["a", "b", "cost", "size"])
+
+
+def ward_merges(points: DataFrame) -> DataFrame:
+    """(a, b, cost, size) of every merge of the Ward hierarchy over (pid, v, weight), one less than points.
+
+    Rounds of reciprocal partners: every group knows the group it merges with most cheaply, and all pairs that choose each
+    other merge at once. Merging others never makes a partner dearer than a new group, so a group looks
+    for a partner again only when its own has merged. Groups that have become few enough for one block of a block join
+    are merged to the end in a task. ``a`` and ``b`` are the smallest ids of the merged groups.
+    """
+    groups = cut_lineage(points.select("pid", "v", "weight"))
+    id_type = dict(groups.dtypes)["pid"]
+    known: DataFrame | None = None
+    merges: DataFrame | None = None
+    n = groups.count()
+    while n > neighbours.BLOCK:
+        asked = groups if known is None else groups.join(known, "pid", "left_anti")
+        found = cheapest_partners(asked, groups)
+        # Unions add up partitions round by round, so both tables are dealt out anew.
+        known = rewritten((found if known is None else found.unionByName(known)).repartition("pid"), "partners")
+        other = known.select(F.col("pid").alias("nid"), F.col("nid").alias("pid"))
+        mutual = known.join(other, ["pid", "nid"]).where("pid < nid")
+        sides = [groups.select(F.col("pid").alias(p), F.col("v").alias(f"v_{p}"), F.col("weight").alias(f"w_{p}")) for p in ("pid", "nid")]
+        pairs = rewritten(mutual.join(sides[0], "pid").join(sides[1], "nid"), "merges")
+        n -= pairs.count()
+        size = F.col("w_pid") + F.col("w_nid")
+        mean = F.zip_with("v_pid", "v_nid", lambda x, y: (x * F.col("w_pid") + y * F.col("w_nid")) / size)
+        gone = pairs.select(F.explode(F.array("pid", "nid")).alias("pid"))
+        merged = pairs.select("pid", mean.alias("v"), size.alias("weight"))
+        groups = rewritten(groups.join(gone, "pid", "left_anti").unionByName(merged).repartition("pid"), "groups")
+        known = known.join(gone, "pid", "left_anti").join(gone.withColumnRenamed("pid", "nid"), "nid", "left_anti")
+        known = known.select("pid", "nid", "cost")
+        new = pairs.select(F.col("pid").alias("a"), F.col("nid").alias("b"), "cost", size.alias("size"))
+        merges = new if merges is None else merges.unionByName(new)
+    last = groups.coalesce(1).mapInPandas(_last_merges, f"a {id_type}, b {id_type}, cost double, size long")
+    return last if merges is None else merges.unionByName(last)
+
+
+def ward(df: DataFrame, row_id: str, vector: str, k: int = 3) -> DataFrame:
+    """Add the ``k`` Ward clusters, numbered by size, the largest first, then by smallest row id.
+
+    The whole hierarchy is made by ``ward_merges``; without its k - 1 dearest merges the others join rows into the clusters.
+    Only numbers of clusters reach the driver. Fewer than ``k`` distinct vectors are a cluster each.
+    """
+    points = cut_lineage(distinct_vectors(df, row_id, vector))
+    merges = cut_lineage(ward_merges(points))
+    dearest = merges.orderBy(F.col("cost").desc(), F.col("size").desc(), "a", "b").limit(k - 1)
+    edges = merges.join(F.broadcast(dearest.select("a", "b")), ["a", "b"], "left_anti").select("a", "b")
+    member = points.join(connected_components(edges), F.col("pid") == F.col("node"), "left")
+    member = cut_lineage(member.select("v", "weight", "pid", F.coalesce("component", "pid").alias("root")))
+    sizes = member.groupBy("root").agg(F.sum("weight").alias("_n"))  # at most k rows
+    number = F.row_number().over(W.orderBy(F.col("_n").desc(), "root")) - 1
+    placed = member.join(F.broadcast(sizes.select("root", number.alias("cluster"))), "root")
+    return attach_by_key(df, placed.select(F.col("v").alias(vector), "cluster", "weight"), [vector], "weight").drop("weight")
 
 
 # --- all of them --------------------------------------------------------------------------------
@@ -385,7 +523,7 @@ def all_clusterings(
         "Fuzzy_CMeans": with_memberships(base, vector, fuzzy),
         "Subtractive": subtractive(base, row_id, vector, k),
         "DBSCAN": reassign_noise(dbscan(base, row_id, vector, eps, 5), vector),
-        "Hierarchical": ward(base, row_id, vector, k, seed=seed),
+        "Hierarchical": ward(base, row_id, vector, k),
     }
     out = None
     for name, table in found.items():

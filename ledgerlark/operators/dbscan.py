@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.operators.neighbours import (
     block_join,
-    build_cells,
+    build_tree,
     centre_distances,
     distinct_vectors,
     kth_distance,
-    visits,
 )
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.operators.ranking import with_running_totals
@@ -170,19 +169,16 @@ def dbscan(
     A point counts itself; ``eps`` is inclusive. Clusters are numbered by their smallest core row
     id, and a border point joins the lowest cluster it touches.
     """
-    points = distinct_vectors(df, row_id, vector).withColumn("reach", F.lit(float(eps)))
-    cells, placed = build_cells(points)
+    tree, placed = build_tree(distinct_vectors(df, row_id, vector))
+    placed = placed.withColumn("reach", F.lit(float(eps)))
     id_type = dict(df.dtypes)[row_id]
-    counted = block_join(
-        visits(placed, cells), placed, cells, _count_within(eps), f"pid {id_type}, n bigint"
-    )
+    counted = block_join(tree.visits(placed), placed, _count_within(eps), f"pid {id_type}, n bigint")
     degree = counted.groupBy("pid").agg(F.sum("n").alias("degree"))
     known = cut_lineage(placed.join(degree, "pid"))
     core = known.where(F.col("degree") >= min_samples)
     edges = block_join(
-        visits(core, cells, later_cells_only=True),
+        tree.visits(core, later_cells_only=True),
         core,
-        cells,
         _spanning_edges(eps),
         f"a {id_type}, b {id_type}",
     )
@@ -199,9 +195,8 @@ def dbscan(
     core_clusters = cut_lineage(core_clusters.drop("component", "_rows"))
     rest = known.where(F.col("degree") < min_samples)
     border = block_join(
-        visits(rest, cells),
+        tree.visits(rest),
         core_clusters,
-        cells,
         _lowest_cluster_within(eps),
         f"pid {id_type}, cluster bigint",
     )

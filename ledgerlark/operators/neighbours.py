@@ -1,39 +1,30 @@
-"""Exact nearest-neighbour and range searches as block joins.
-
-Points are assigned to the nearest of a bounded number of pivots. A query visits only the cells
-that the triangle inequality cannot rule out. A cell with many points is cut into chunks, and the
-queries that visit it into blocks, so every task compares at most about ``BLOCK`` queries with
-``BLOCK`` points. Tasks send out per-query results (the k best, a count, a spanning edge), never
-the pairs. Equal vectors are merged before, so a large group of copies costs one point.
+"""Exact nearest-neighbour and range searches as block joins over a metric tree.
+
+Points go down a tree that is built level by level: every node of more than ``BLOCK`` points draws up to ``FAN`` pivots
+among them, and its points go to the nearest one, until each leaf holds at most ``BLOCK``. A query goes down from the
+root to the children that the triangle inequality cannot rule out. The queries that visit a leaf are cut into blocks, so
+every task compares at most about ``BLOCK`` queries with ``BLOCK`` points, at any number of points. Tasks send out
+per-query results (the k best, a count, a spanning edge), never the pairs. Equal vectors are merged before, so a large
+group of copies costs one point. A level's pivots are broadcast if they take at most ``SENT`` bytes, as the upper levels with
+their large nodes do; beyond, rows meet the pivots of their node by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from math import ceil, sqrt
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ledgerlark.functions.scalars import literal_matrix, squared_distance
 from ledgerlark.operators.skew import attach_by_key, top_k_per_group
 from ledgerlark.session import cut_lineage
 
 BLOCK = 2048
-MAX_PIVOTS = 4096
-
-
-@dataclass(frozen=True)
-class Cells:
-    """Pivots with the radius and the number of points of each cell."""
-
-    pivots: list[list[float]]
-    radius: list[float]
-    count: list[int]
-
-    def chunks(self) -> list[int]:
-        return [max(1, ceil(n / BLOCK)) for n in self.count]
+FAN = 16
+#: Bytes of pivots, and rows of a table of nodes, that may be broadcast.
+SENT, SENT_ROWS = 32 << 20, 100_000
 
 
 def distinct_vectors(df: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -43,111 +34,182 @@ def distinct_vectors(df: DataFrame, row_id: str, vector: str) -> DataFrame:
     )
 
 
-def with_cell(df: DataFrame, pivots: Sequence[Sequence[float]]) -> DataFrame:
-    """Add the nearest pivot (``cell``) and the distance to it (``gap``) for vectors in ``v``."""
-    fields = [StructField("cell", IntegerType()), StructField("gap", DoubleType())]
-    schema = StructType(df.schema.fields + fields)
+@dataclass(frozen=True)
+class Tree:
+    """Per level the children (node, cell, pivot, radius, n, least) of the nodes that were split there; the root is ''.
+
+    ``least`` is the smallest weight of a child's points.
+    """
+
+    levels: list[DataFrame]
+
+    def home(self, queries: DataFrame, k: int) -> DataFrame:
+        """Add the leaf of the nearest pivots (``cell``) and a distance within which ``k`` points lie (``reach``)."""
+        rows = queries.withColumns({"visit": F.lit(""), "reach": F.lit(float("inf"))})
+        for level in self.levels:
+            rows = _step_down(rows, level, _nearest_child(k))
+        return rows.withColumnRenamed("visit", "cell")
+
+    def visits(self, queries: DataFrame, later_cells_only: bool = False, step: Callable | None = None) -> DataFrame:
+        """One row per query and leaf (``visit``) that may hold points within the query's ``reach``.
 
-    def run(batches):
+        With ``later_cells_only`` a query skips leaves before its own, which finds each unordered pair
+        of a self-join once. Another ``step`` may choose the children by other bounds.
+        """
+        rows = queries.withColumn("visit", F.lit(""))
+        for level in self.levels:
+            rows = _step_down(rows, level, step or near_children(_within_reach))
+        return rows.where("visit >= cell") if later_cells_only else rows
+
+
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    """The table for a join: broadcast if it is known to be short."""
+    return F.broadcast(table) if rows <= SENT_ROWS else table
+
+
+def _distances(x, y):
+    import numpy as np
+
+    return np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+
+
+def _nearest_child(k: int) -> Callable:
+    """A step to the nearest pivot, where ``reach`` shrinks to the ball of any child with ``k`` points."""
+
+    def step(part, children):
         import numpy as np
 
-        p = np.asarray(pivots, dtype=float)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["v"].to_numpy())
-            cell, gap = np.empty(len(x), dtype=np.int32), np.empty(len(x))
-            for a in range(0, len(x), 128):
-                d = np.sqrt(((x[a : a + 128, None, :] - p[None, :, :]) ** 2).sum(axis=2))
-                cell[a : a + 128] = d.argmin(axis=1)
-                gap[a : a + 128] = d.min(axis=1)
-            yield pdf.assign(cell=cell, gap=gap)
-
-    return df.mapInPandas(run, schema)
-
-
-def build_cells(points: DataFrame) -> tuple[Cells, DataFrame]:
-    """Choose pivots among the points by hash and assign the points; about sqrt(n) / 2 cells."""
-    points = cut_lineage(points)
-    n = points.count()
-    m = max(1, min(MAX_PIVOTS, ceil(sqrt(n) / 2)))
-    chosen = points.select("v").orderBy(F.xxhash64("v", F.lit(42)), "v").limit(m).collect()
-    pivots = [list(r["v"]) for r in chosen]
-    placed = cut_lineage(with_cell(points, pivots))
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("r"))
-    radius, count = [0.0] * len(pivots), [0] * len(pivots)
-    for row in stats.collect():
-        radius[row["cell"]], count[row["cell"]] = row["r"], row["n"]
-    return Cells(pivots, radius, count), placed
-
-
-def visits(queries: DataFrame, cells: Cells, later_cells_only: bool = False) -> DataFrame:
-    """One row per query and cell that may hold points within the query's ``reach``.
-
-    With ``later_cells_only`` a query skips cells before its own, which finds each unordered pair
-    of a self-join once.
-    """
-    schema = StructType(queries.schema.fields + [StructField("visit", IntegerType())])
-    pivots, radius, count = cells.pivots, cells.radius, cells.count
+        cell, pivot, radius, n, _ = children
+        at, gap = np.empty(len(part), np.int64), np.empty(len(part))
+        reach = part["reach"].to_numpy(float).copy()
+        x = np.stack(part["v"].to_numpy())
+        for a in range(0, len(x), 128):
+            d = _distances(x[a : a + 128], pivot)
+            at[a : a + 128], gap[a : a + 128] = d.argmin(axis=1), d.min(axis=1)
+            ball = np.where(n >= k, d + radius, np.inf).min(axis=1) * (1 + 1e-9)
+            reach[a : a + 128] = np.minimum(reach[a : a + 128], ball)
+        out = part.assign(visit=cell[at], reach=reach)
+        return out.assign(gap=gap) if "gap" in part else out
+
+    return step
+
 
-    def run(batches):
+def _within_reach(part, radius, least):
+    return part["reach"].to_numpy(float)[:, None]
+
+
+def near_children(reach: Callable) -> Callable:
+    """A step to every child whose ball comes within ``reach(part, radius, least)`` of a query."""
+
+    def step(part, children):
         import numpy as np
+        import pandas as pd
+
+        cell, pivot, radius, _, least = children
+        x, out = np.stack(part["v"].to_numpy()), []
+        for a in range(0, len(x), 128):
+            some = part.iloc[a : a + 128]
+            d = _distances(x[a : a + 128], pivot)
+            rows, cols = np.nonzero(d - radius <= reach(some, radius, least) + 1e-9 * (1.0 + d))
+            out.append(some.iloc[rows].assign(visit=cell[cols]))
+        return pd.concat(out)
+
+    return step
+
+
+def _arrays(children):
+    import numpy as np
+
+    radius, n, least = (children[c].to_numpy(float) for c in ("radius", "n", "least"))
+    return children["cell"].to_numpy(object), np.stack(children["pivot"].to_numpy()), radius, n, least
+
+
+def _step_down(rows: DataFrame, level: DataFrame, step: Callable) -> DataFrame:
+    """``step`` the rows at nodes of the level to children; other rows stay where they are."""
+    first = level.agg(F.count(F.lit(1)), F.max(F.size("pivot"))).first()
+    if first[0] * (first[1] or 0) * 8 <= SENT:
+        nodes = {node: _arrays(part) for node, part in level.toPandas().groupby("node")}
+        shared = rows.sparkSession.sparkContext.broadcast(nodes)
 
-        p, r = np.asarray(pivots, dtype=float), np.asarray(radius)
-        filled = np.asarray(count) > 0
-        for pdf in batches:
-            for a in range(0, len(pdf), 128):
-                part = pdf.iloc[a : a + 128]
-                x = np.stack(part["v"].to_numpy())
-                d = np.sqrt(((x[:, None, :] - p[None, :, :]) ** 2).sum(axis=2))
-                reach = part["reach"].to_numpy()[:, None]
-                slack = 1e-9 * (1.0 + d)
-                near = (d - r[None, :] <= reach + slack) & filled[None, :]
-                if later_cells_only:
-                    near &= np.arange(len(p))[None, :] >= part["cell"].to_numpy()[:, None]
-                rows, cols = np.nonzero(near)
-                if len(rows):
-                    yield part.iloc[rows].assign(visit=cols.astype(np.int32))
+        def run(batches):
+            for pdf in batches:
+                for node, at in pdf.groupby("visit").indices.items():
+                    part = pdf.iloc[at]
+                    yield step(part, shared.value[node]) if node in shared.value else part
 
-    return queries.mapInPandas(run, schema)
+        return rows.mapInPandas(run, rows.schema)
+    nodes = level.select(F.col("node").alias("visit")).distinct()
+    stay = rows.join(nodes, "visit", "left_anti").select(*rows.columns)
+    left, right = _blocks(rows.join(nodes, "visit", "left_semi"), level.withColumnRenamed("node", "visit"))
+    keys = ["visit", "_block"]
 
+    def meet(part, children):
+        return step(part.drop(columns="_block"), _arrays(children)) if len(part) and len(children) else part.drop(columns="_block")[:0]
 
-def _lookup(values: Sequence[int], index: Column) -> Column:
-    table = F.expr(f"array({', '.join(str(int(v)) for v in values)})")
-    return F.element_at(table, index + 1)
+    down = left.select(*rows.columns, "_block").groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, rows.schema)
+    return stay.unionByName(down)
+
+
+def _blocks(left: DataFrame, right: DataFrame, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_block``: the left rows of a ``visit`` in blocks of about ``BLOCK``, the right ones once for each.
+
+    ``rows`` says how many rows at most the left side has if there is one ``visit`` only.
+    """
+    if rows is not None:
+        blocks = max(1, ceil(rows / BLOCK))
+        left = left.withColumn("_block", F.pmod(F.xxhash64("pid", F.lit(7)), F.lit(blocks)).cast("int"))
+        right = right.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        return left.toDF(*left.columns), right.toDF(*right.columns)
+    load = left.groupBy("visit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    load = cut_lineage(load)
+    load = _sent(load, load.count())
+    left = left.join(load, "visit").withColumn("_block", F.pmod(F.xxhash64("pid", F.lit(7)), F.col("_blocks")).cast("int"))
+    right = right.join(load, "visit").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    left, right = left.drop("_blocks"), right.drop("_blocks")
+    return left.toDF(*left.columns), right.toDF(*right.columns)  # either may come from the other
+
+
+def build_tree(points: DataFrame) -> tuple[Tree, DataFrame]:
+    """The tree over (pid, v, ...), and the points with their leaf as ``cell``.
+
+    A leaf holds more than ``BLOCK`` points only if their vectors are equal; ``weight`` counts as 1 if it is not there.
+    """
+    placed = cut_lineage(points.withColumns({"visit": F.lit(""), "gap": F.lit(0.0), "reach": F.lit(0.0)}))
+    if placed.count() <= BLOCK:
+        return Tree([]), placed.withColumnRenamed("visit", "cell").drop("gap", "reach")
+    weight = F.min("weight") if "weight" in points.columns else F.lit(1)
+    sizes = placed.groupBy(F.col("visit").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    levels: list[DataFrame] = []
+    while True:
+        full = cut_lineage(sizes.where(F.col("n") > BLOCK))
+        many = full.count()
+        if not many:
+            break
+        hashed = F.xxhash64("pid", F.lit(len(levels)))
+        drawn = placed.join(_sent(full, many), F.col("visit") == F.col("node")).where(F.pmod(hashed, F.col("n")) < 4 * FAN)
+        number = F.row_number().over(W.partitionBy("node").orderBy(hashed, "pid"))
+        children = drawn.select("node", number.alias("i"), F.col("v").alias("pivot")).where(F.col("i") <= FAN)
+        children = cut_lineage(children.select("node", F.concat("node", F.format_string("/%02d", "i")).alias("cell"), "pivot"))
+        level = children.withColumns({"radius": F.lit(0.0), "n": F.lit(0), "least": F.lit(0)})
+        placed = cut_lineage(_step_down(placed, level, _nearest_child(1)))
+        stats = placed.groupBy(F.col("visit").alias("cell")).agg(
+            F.max("gap").alias("radius"), F.count(F.lit(1)).alias("n"), weight.alias("least")
+        )
+        levels.append(cut_lineage(children.join(stats, "cell")))
+        sizes = levels[-1].where("radius > 0").select(F.col("cell").alias("node"), "n")
+    return Tree(levels), placed.withColumnRenamed("visit", "cell").drop("gap", "reach")
 
 
 def block_join(
-    visiting: DataFrame,
-    points: DataFrame,
-    cells: Cells,
-    compare: Callable,
-    schema: str,
-    own_chunk: bool = False,
+    visiting: DataFrame, points: DataFrame, compare: Callable, schema: str, rows: int | None = None
 ) -> DataFrame:
     """Run ``compare(queries, points)`` on pandas blocks of bounded size.
 
-    ``visiting`` needs ``pid``, ``v`` and ``visit``; ``points`` needs ``pid``, ``v`` and ``cell``.
-    With ``own_chunk`` a query meets one chunk of the cell only, chosen by its id.
+    ``visiting`` needs ``pid``, ``v`` and ``visit``; ``points`` needs ``pid``, ``v`` and ``cell``. With a tree of one
+    leaf ``rows`` may say how many queries there are at most.
     """
-    chunks = cells.chunks()
-    load = {r["visit"]: r["n"] for r in visiting.groupBy("visit").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = [max(1, ceil(load.get(i, 0) / BLOCK)) for i in range(len(chunks))]
-    n_chunks = _lookup(chunks, F.col("visit"))
-    chunk = F.pmod(F.xxhash64("pid"), n_chunks).cast("int")
-    left = visiting.withColumn(
-        "_chunk", chunk if own_chunk else F.explode(F.sequence(F.lit(0), n_chunks - 1))
-    ).withColumn(
-        "_block", F.pmod(F.xxhash64("pid", F.lit(7)), _lookup(blocks, F.col("visit"))).cast("int")
-    )
-    right = (
-        points.withColumn("visit", F.col("cell"))
-        .withColumn("_chunk", chunk)
-        .withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), _lookup(blocks, F.col("visit")) - 1))
-        )
-    )
-    keys = ["visit", "_chunk", "_block"]
+    left, right = _blocks(visiting, points.withColumnRenamed("cell", "visit"), rows)
+    keys = ["visit", "_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, schema)
 
 
@@ -196,19 +258,17 @@ def nearest_neighbours(
         "nid",
     )
     pool = reduced.withColumn("pid", F.col("nid"))
-    cells, placed = build_cells(pool)
-    asked = cut_lineage(with_cell(distinct_vectors(queries, query_id, vector), cells.pivots))
+    tree, placed = build_tree(pool)
+    asked = cut_lineage(tree.home(distinct_vectors(queries, query_id, vector), k))
     id_type = dict(points.dtypes)[point_id]
     schema = f"pid {dict(queries.dtypes)[query_id]}, nid {id_type}, distance double"
     compare = _nearest_in_block(k)
-
-    at_home = asked.withColumn("visit", F.col("cell"))
-    first = block_join(at_home, placed, cells, compare, schema, own_chunk=True)
-    bound = first.groupBy("pid").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("reach")
-    )
-    reaching = asked.join(bound, "pid", "left").fillna(float("inf"), ["reach"])
-    found = block_join(cut_lineage(visits(reaching, cells)), placed, cells, compare, schema)
+    reaching = asked
+    if tree.levels:
+        first = block_join(asked.withColumn("visit", F.col("cell")), placed, compare, schema)
+        bound = first.groupBy("pid").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_own"))
+        reaching = asked.join(bound, "pid", "left").withColumn("reach", F.least("reach", "_own")).drop("_own")
+    found = block_join(cut_lineage(tree.visits(reaching)), placed, compare, schema)
     order = W.partitionBy("pid").orderBy("distance", "nid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.join(asked.select("pid", "v", "weight"), "pid")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import cos
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ledgerlark.functions.scalars import euclidean
 from ledgerlark.operators import audit, cluster, dbscan as density, neighbours, profile
@@ -488,3 +488,41 @@ def all_clusterings(spark, sf_dir):
     """Rows per algorithm and cluster over the first three dimensions."""
     out = cluster.all_clusterings(points(spark, sf_dir), "vec_id", "v", 3)
     return out.groupBy("algorithm", "cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- well-parted vectors: fits whose best answer is known -----------------------------------------
+
+#: Distance between the groups, far beyond any within one.
+APART = 40.0
+PARTED = VECTORS + f""", parted AS (
+  SELECT vec_id, label % 3 AS g, list_transform(v, lambda x, i: CASE WHEN i = 1 THEN x + {APART} * (label % 3) ELSE x END) AS v FROM vectors),
+  sized AS (SELECT g, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, min(vec_id)) - 1 AS cluster FROM parted GROUP BY g)"""
+
+
+def parted(spark, sf_dir):
+    """The vectors, moved apart into three groups by label."""
+    move = F.transform("v", lambda x, i: F.when(i == 0, x + APART * (F.col("label") % 3)).otherwise(x))
+    return vectors(spark, sf_dir).select("vec_id", move.alias("v"))
+
+
+@query(with_sql(PARTED, "SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM parted JOIN sized USING (g)"))
+def ward_parted(spark, sf_dir):
+    """The whole Ward hierarchy, cut at three clusters."""
+    return cluster.ward(parted(spark, sf_dir), "vec_id", "v", 3).select("vec_id", "cluster")
+
+
+@query(
+    with_sql(
+        PARTED,
+        """, entry AS (SELECT g, i, v[i] AS x FROM parted, range(1, 65) AS t(i)),
+        spread AS (SELECT sum(n) AS inertia FROM (SELECT count(*) * var_pop(x) AS n FROM entry GROUP BY g, i))
+        SELECT CAST(cluster AS INTEGER) AS place, n, round(inertia, 4) AS inertia FROM sized, spread""",
+    )
+)
+def kmeans_parted(spark, sf_dir):
+    """The best of several k-means runs: the sizes of its clusters, the largest first, and its inertia."""
+    df = parted(spark, sf_dir)
+    centres, cost = cluster.kmeans(df, "v", 3)
+    sizes = cluster.assign(df, "v", centres).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
+    place = (F.row_number().over(W.orderBy(F.col("n").desc(), "least")) - 1).alias("place")  # three rows
+    return sizes.select(place, "n", F.round(F.lit(cost), 4).alias("inertia"))

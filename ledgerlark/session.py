@@ -61,3 +61,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def rewritten(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again.
+
+    For tables that a loop makes from themselves: a checkpoint keeps what the optimiser has inferred about its columns, which
+    grows with every round.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

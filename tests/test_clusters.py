@@ -171,12 +171,70 @@ def test_subtractive_is_exact(spark, cloud, monkeypatch):
     assert np.allclose(got, x[chosen])
 
 
-def test_ward_on_few_points(spark, cloud):
-    pick = np.vstack([cloud[:20], cloud[60:90], cloud[120:130]])
-    got = cluster.ward(frame(spark, pick), "id", "v", 3).toPandas().sort_values("id").cluster.to_numpy()
-    assert got.tolist() == [1] * 20 + [0] * 30 + [2] * 10
-    grouped = cluster.ward(frame(spark, pick), "id", "v", 3, micro=12).toPandas().sort_values("id")
-    assert grouped.cluster.tolist() == got.tolist()
+def brute_ward(x, size, k):
+    """Greedy merging of the cheapest pair, one at a time, over a full cost matrix."""
+    x, n = np.array(x, float), np.array(size, float)
+    member = np.arange(len(x))
+    with np.errstate(invalid="ignore"):
+        cost = distances(x) ** 2 * np.outer(n, n) / np.add.outer(n, n)
+    np.fill_diagonal(cost, np.inf)
+    for _ in range(len(x) - k):
+        i, j = sorted(np.unravel_index(np.argmin(cost), cost.shape))
+        x[i] = (n[i] * x[i] + n[j] * x[j]) / (n[i] + n[j])
+        n[i] += n[j]
+        member[member == j] = i
+        cost[j], cost[:, j] = np.inf, np.inf
+        alive = np.isin(np.arange(len(x)), member)
+        new = np.where(alive, ((x - x[i]) ** 2).sum(1) * n * n[i] / (n + n[i]), np.inf)
+        new[i] = np.inf
+        cost[i], cost[:, i] = new, new
+    return member
+
+
+def numbered(member, weight):
+    sizes = {g: weight[member == g].sum() for g in set(member.tolist())}
+    order = sorted(sizes, key=lambda g: (-sizes[g], g))
+    return [order.index(g) for g in member.tolist()]
+
+
+@pytest.mark.parametrize("block", [2048, 40])
+def test_ward(spark, cloud, monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    cloud = cloud[::2] if block < 2048 else cloud
+    got = cluster.ward(frame(spark, cloud), "id", "v", 4).toPandas().sort_values("id").cluster.tolist()
+    vectors, first, inverse, size = np.unique(cloud, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    member = first[brute_ward(vectors, size, 4)]
+    least = {g: first[member == g].min() for g in set(member.tolist())}
+    member = np.array([least[g] for g in member.tolist()])
+    want = dict(zip(first.tolist(), numbered(member, size), strict=True))
+    assert got == [want[int(first[i])] for i in inverse]
+
+
+def test_ward_edges(spark):
+    few = frame(spark, [[0.0], [0.0], [5.0]])
+    got = {r["id"]: r["cluster"] for r in cluster.ward(few, "id", "v", 3).collect()}
+    assert got == {0: 0, 1: 0, 2: 1}
+    one = cluster.ward(frame(spark, [[1.0]] * 3), "id", "v", 2).collect()
+    assert [r["cluster"] for r in one] == [0, 0, 0]
+    ties = frame(spark, [[float(i)] for i in range(8)])  # every neighbour is as near as the other
+    sizes = sorted(r["count"] for r in cluster.ward(ties, "id", "v", 2).groupBy("cluster").count().collect())
+    assert sizes == [4, 4]
+
+
+def test_tree_leaves_are_bounded(spark, cloud, monkeypatch):
+    draw = np.random.default_rng(3)
+    x = np.vstack([draw.normal(0, 1, (900, 3)), 2.0 ** np.arange(60)[:, None] * [[1.0, 0, 0]], np.tile([[9.0, 9, 9]], (40, 1))])
+    points = neighbours.distinct_vectors(frame(spark, x), "id", "v")
+    for sent in (neighbours.SENT, 0):
+        monkeypatch.setattr(neighbours, "SENT", sent)
+        monkeypatch.setattr(neighbours, "BLOCK", 120)
+        tree, placed = neighbours.build_tree(points)
+        sizes = [r["count"] for r in placed.groupBy("cell").count().collect()]
+        assert max(sizes) <= 120 and sum(sizes) == points.count() and len(tree.levels) >= 2
+        near = neighbours.nearest_neighbours(frame(spark, x[:40]), frame(spark, x), 4, "id", "id", "v")
+        got = {(r["pid"], r["rank"]): r["distance"] for r in near.collect()}
+        want = np.sort(distances(x[:40], x), axis=1)
+        assert all(np.isclose(got[i, j + 1], want[i, j]) for i in range(40) for j in range(4))
 
 
 def test_pca(spark, cloud):
