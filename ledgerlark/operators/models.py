@@ -23,11 +23,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark import presets
 from ledgerlark.functions.scalars import literal_matrix
+from ledgerlark.operators.gram import gram
 
 WEIGHT = "_weight"
 #: Spark's trees end at this depth.
@@ -120,12 +120,13 @@ def gradient_boosting(
 
 
 class ExactRidge(Estimator):
-    """Ridge regression solved from one aggregation of all products of two features.
+    """Ridge regression solved from one aggregation of all products of two features (``gram.py``).
 
     The features must be few: the d x d sums of a d-dimensional vector reach the driver.
     """
 
-    alpha = Param(Params._dummy(), "alpha", "weight of the squared coefficients")
+    alpha = Param(Params._dummy(), "alpha", "weight of the penalty")
+    lasso = False
 
     def __init__(self, label: str, alpha: float, prediction: str = "prediction"):
         super().__init__()
@@ -137,21 +138,14 @@ class ExactRidge(Estimator):
         return self
 
     def _fit(self, dataset: DataFrame) -> Model:
-        x, y = F.col("_x"), F.col(self.label).cast("double")
-        outer = F.flatten(F.transform(x, lambda a: F.transform(x, lambda b: a * b)))
-        sums = F.concat(outer, F.transform(x, lambda a: a * y), x, F.array(y))
-        row = (
-            dataset.withColumn("_x", vector_to_array("features"))
-            .agg(Summarizer.mean(array_to_vector(sums)).alias("m"), F.count(F.lit(1)).alias("n"))
-            .first()
-        )
-        m, n = row["m"].toArray(), row["n"]
-        d = round(len(m) ** 0.5) - 1  # d * d + d + d + 1 entries
-        mean, label_mean = m[d * d + d : -1], m[-1]
-        spread = n * (m[: d * d].reshape(d, d) - np.outer(mean, mean))
-        joint = n * (m[d * d : d * d + d] - mean * label_mean)
-        w = np.linalg.solve(spread + self.getOrDefault(self.alpha) * np.eye(d), joint)
-        return LinearModel(w, float(label_mean - w @ mean), self.prediction)
+        w, intercept = gram(dataset, self.label).fit(self.getOrDefault(self.alpha), self.lasso)
+        return LinearModel(w, intercept, self.prediction)
+
+
+class ExactLasso(ExactRidge):
+    """Lasso regression by coordinate descent on the same sums."""
+
+    lasso = True
 
 
 class LinearModel(Model):
@@ -222,16 +216,8 @@ class BalancedTrees(Estimator):
         return self.inner.fit(with_balanced_weights(dataset, self.label))
 
 
-def lasso(label: str, alpha: float) -> LinearRegression:
-    return LinearRegression(
-        labelCol=label,
-        elasticNetParam=1.0,
-        regParam=alpha,
-        standardization=False,
-        solver="l-bfgs",
-        maxIter=500,
-        tol=1e-12,
-    )
+def lasso(label: str, alpha: float) -> ExactLasso:
+    return ExactLasso(label, alpha)
 
 
 def least_squares(label: str) -> LinearRegression:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ledgerlark import presets
-from ledgerlark.operators import charts, evaluate, models, prep, rules, split, tune
+from ledgerlark.operators import charts, evaluate, gram, models, prep, rules, split, tune
 from ledgerlark.operators.features import movie_features
 from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
@@ -220,19 +220,45 @@ def random_search(spark, sf_dir):
     return tidy(table)
 
 
-@query()
+#: The drawn penalties, the same for both models.
+LINEAR = tune.uniform(presets.LINEAR_DRAWS, 0.01, 10.0)
+
+
+def _linear_search_sql() -> str:
+    """Closed forms of ridge and lasso for one standardised feature, per fold and draw."""
+    draws = ", ".join(
+        f"('{kind}', {i}, '{name}={a}', {a!r}::DOUBLE)"
+        for kind, name in (("ridge", "alpha"), ("lasso", "regParam")) for i, a in enumerate(LINEAR)
+    )
+    return with_sql(PASSENGERS, f""", base AS (
+      SELECT id, age::DOUBLE AS x, fare::DOUBLE AS y, row_number() OVER (ORDER BY md5('42:' || id), id) AS rk, count(*) OVER () AS n
+      FROM passengers WHERE age IS NOT NULL AND fare IS NOT NULL),
+    train AS (SELECT x, y, (rk - 1) % 5 AS fold FROM base WHERE rk <= floor(n * 0.8 + 0.5)),
+    mid AS (
+      SELECT f.fold, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS vxy
+      FROM (SELECT DISTINCT fold FROM train) f JOIN train t ON t.fold <> f.fold GROUP BY f.fold),
+    held AS (
+      SELECT fold, sum((x - mx) * (x - mx)) AS sxx, sum((x - mx) * (y - my)) AS sxy, sum((y - my) * (y - my)) AS syy,
+             count(*) * var_pop(y) AS sst
+      FROM train JOIN mid USING (fold) GROUP BY fold),
+    draw(model, i, params, a) AS (VALUES {draws}),
+    slope AS (
+      SELECT model, i, params, fold,
+             CASE model WHEN 'ridge' THEN n * vxy / sqrt(vx) / (n + a)
+             ELSE sign(vxy) * greatest(abs(vxy) / sqrt(vx) - a, 0) END / sqrt(vx) AS s
+      FROM draw, mid),
+    score AS (SELECT model, i, params, 1 - (syy - 2 * s * sxy + s * s * sxx) / sst AS r2 FROM slope JOIN held USING (fold)),
+    judged AS (SELECT model, i, params, avg(r2) AS mean, stddev_pop(r2) AS std FROM score GROUP BY model, i, params)
+    SELECT model, params, round(mean, 4) AS mean, round(std, 4) AS std,
+           CAST(row_number() OVER (PARTITION BY model ORDER BY mean DESC, i) = 1 AS INTEGER) AS best FROM judged""")
+
+
+@query(_linear_search_sql())
 def random_search_ridge(spark, sf_dir):
     """Random penalties for ridge and lasso regression of fare on age, judged by R²; the scaler is learnt in each fit."""
     rows = split.split_random(passengers(spark, sf_dir).select("id", "fare", "age").dropna(), "id")
-    train = cut_lineage(split.assign_folds(part(rows, "train"), "id", 5))
-    out = None
-    for name, base, param in (("ridge", models.ridge("fare", 1.0), "alpha"), ("lasso", models.lasso("fare", 1.0), "regParam")):
-        steps = Pipeline(stages=[prep.MixedStage(["age"]), base])
-        maps = tune.draws(base, param, tune.uniform(presets.LINEAR_DRAWS, 0.01, 10.0))
-        _, table = tune.search(steps, maps, train, "fare", "fold", 5, "r2", 8)
-        table = table.withColumn("model", F.lit(name))
-        out = table if out is None else out.unionByName(table)
-    return tidy(out)
+    train = split.assign_folds(part(rows, "train"), "id", 5).withColumn("features", array_to_vector(F.array(F.col("age").cast("double"))))
+    return tidy(gram.search(train, "fare", "fold", {"ridge": LINEAR, "lasso": LINEAR})[1])
 
 
 @query()

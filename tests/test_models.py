@@ -3,9 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import models, split, text, tune
+from ledgerlark.operators import gram, models, split, text, tune
 
 
 @pytest.fixture(scope="module")
@@ -123,3 +124,40 @@ def test_tfidf_weights(spark):
     pan, cafe = 2 * (np.log(5 / 2) + 1), np.log(5 / 3) + 1
     assert set(got) == {(0, "pan"), (0, "café"), (1, "café")}
     assert got[0, "pan"] == pytest.approx(pan / np.hypot(pan, cafe)) and got[1, "café"] == pytest.approx(1.0)
+
+
+def test_linear_search_equals_separate_fits(spark):
+    """Every draw and fold against a model fitted on standardised rows of the other folds."""
+    draw = np.random.default_rng(8)
+    x = draw.normal([3, 50, -1, 7], [1, 9, 0.2, 0], (240, 4))  # the last one is constant
+    y = x @ [2.0, 0.3, -1.0, 0.0] + draw.normal(0, 2, 240)
+    fold = np.arange(240) % 4
+    rows = [(Vectors.dense(a), float(b), int(f)) for a, b, f in zip(x, y, fold)]
+    df = spark.createDataFrame(rows, ["features", "y", "fold"])
+    draws = {"ridge": [0.5, 40.0], "lasso": [0.05, 0.9, 50.0]}
+    best, table = gram.search(df, "y", "fold", draws)
+    got = {(r["model"], r["params"]): r for r in table.collect()}
+    for kind, values in draws.items():
+        means = []
+        for a in values:
+            scores = []
+            for i in range(4):
+                t, v = fold != i, fold == i
+                mu, sd = x[t].mean(0), x[t].std(0)
+                sd = np.where(sd > 1e-12, sd, 1.0)
+                z, c = (x[t] - mu) / sd, y[t] - y[t].mean()
+                if kind == "ridge":
+                    w = np.linalg.solve(z.T @ z + a * np.eye(4), z.T @ c)
+                else:
+                    w = np.zeros(4)
+                    for _ in range(3000):
+                        for j in range(4):
+                            rest = z[:, j] @ (c - z @ w + z[:, j] * w[j]) / t.sum()
+                            w[j] = np.sign(rest) * max(abs(rest) - a, 0)
+                error = y[v] - y[t].mean() - (x[v] - mu) / sd @ w
+                scores.append(1 - (error**2).sum() / ((y[v] - y[v].mean()) ** 2).sum())
+            r = got[kind, f"{'alpha' if kind == 'ridge' else 'regParam'}={a}"]
+            assert r["mean"] == pytest.approx(np.mean(scores), abs=1e-9) and r["std"] == pytest.approx(np.std(scores), abs=1e-9)
+            means.append(np.mean(scores))
+        assert [r["best"] for r in table.where(f"model = '{kind}'").collect()] == [int(j == np.argmax(means)) for j in range(len(values))]
+        assert len(best[kind][0]) == 4
