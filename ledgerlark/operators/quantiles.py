@@ -1,9 +1,10 @@
-"""Exact quantiles and order statistics of large columns.
+"""Exact quantiles and order statistics of large columns, by radix selection.
 
-The built-in exact ``percentile`` holds every distinct value of a group in one task. Here an
-approximate sketch gives a narrow bracket around each wanted rank, one more scan counts the rows
-outside the brackets and keeps the values inside, and the wanted ranks are read off exactly. Only
-a few millionths of a large column leave the scan. A rank outside its bracket fails the query.
+The built-in exact ``percentile`` holds every distinct value of a group in one task. Here a value is its 64 bits, in an order that is
+that of the numbers, and a wanted rank is found 16 bits at a time: one scan counts the values of each group by their first
+16 bits, which tells the bits of every wanted rank; the next scan counts by the next 16 bits among values
+that begin like a wanted one, and so on. After four scans all bits are known, whatever the size or shape of the column.
+At most 65 536 counters per group, column and wanted beginning are shuffled, and no value.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlark.operators.skew import checked_broadcast
+from ledgerlark.session import cut_lineage
 
-ACCURACY = 50_000
-SMALL, MEDIUM = 5_000, 1_000_000
-WIDE, NARROW = 1e-3, 3 / ACCURACY
+#: Bits that a scan settles; four times as many are all.
+DIGIT = 16
+_LOWEST = -(1 << 63)
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,6 +29,17 @@ def unpivot(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return df.select(*by, F.inline(cells)).where(F.col("value").isNotNull())
 
 
+def _ordered_bits(value: Column) -> Column:
+    """The bits of a double, ordered as unsigned numbers like the doubles; both zeros are one."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(_LOWEST)))
+
+
+def _double(ordered: Column) -> Column:
+    bits = F.when(ordered < 0, ordered.bitwiseXOR(F.lit(_LOWEST))).otherwise(F.bitwise_not(ordered))
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -40,61 +53,34 @@ def exact_quantiles(
     rank ``floor(n * prob)``. ``by`` must have few groups, such as a class label.
     """
     by, probs = list(by), [float(p) for p in probs]
-    long = unpivot(df, columns, by)
     keys = by + ["column"]
-    points = [min(1.0, max(0.0, p + d)) for p in probs for d in (-WIDE, WIDE, -NARROW, NARROW)]
-    sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
-        F.percentile_approx("value", points, ACCURACY).alias("_a"),
-    )
-    brackets = F.array(*[_bracket(i, p) for i, p in enumerate(probs)])
-    sketch = sketch.select(*keys, "n", brackets.alias("_brackets"))
-    marked = long.join(checked_broadcast(sketch, df, by), keys)
-    value = F.col("value")
-    inside = F.exists("_brackets", lambda b: (b["lo"] <= value) & (value <= b["hi"]))
-    passed = F.array_max(
-        F.transform(F.filter("_brackets", lambda b: b["hi"] < value), lambda b: b["hi"])
-    )
-    counts = (
-        marked.select(
-            *keys, "n", F.when(inside, value).otherwise(passed).alias("_v"), (~inside).alias("_out")
-        )
-        .groupBy(*keys, "n", "_v", "_out")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    order = W.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first(), "_out")
-    ranked = counts.withColumn(
-        "_to", F.sum("_rows").over(order.rowsBetween(W.unboundedPreceding, 0))
-    ).withColumn("_from", F.col("_to") - F.col("_rows"))
-    picked = ranked.groupBy(*keys, "n").agg(
-        *[_at_rank(_low_rank(p, method)).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[_at_rank(_high_rank(p, method)).alias(f"_hi{i}") for i, p in enumerate(probs)],
-    )
-    results = F.array(
-        *[
-            F.struct(F.lit(p).alias("prob"), _interpolate(i, p, method).alias("value"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    return picked.select(*keys, "n", F.inline(results))
-
-
-def _bracket(i: int, p: float) -> Column:
-    """The value range sure to hold the wanted rank; small columns are kept whole."""
-    a, at = F.col("_a"), 4 * i
-    n = F.col("n")
-    low = F.when(n < MEDIUM, a[at] if p > WIDE else F.col("_min")).otherwise(
-        a[at + 2] if p > NARROW else F.col("_min")
-    )
-    high = F.when(n < MEDIUM, a[at + 1] if p < 1 - WIDE else F.col("_max")).otherwise(
-        a[at + 3] if p < 1 - NARROW else F.col("_max")
-    )
-    return F.struct(
-        F.when(n < SMALL, F.col("_min")).otherwise(low).alias("lo"),
-        F.when(n < SMALL, F.col("_max")).otherwise(high).alias("hi"),
-    )
+    rows = unpivot(df, columns, by).select(*keys, _ordered_bits(F.col("value")).alias("_bits"))
+    ranks = F.array_distinct(F.array(*[r(p, method).cast("long") for p in probs for r in (_low_rank, _high_rank)]))
+    wanted: DataFrame | None = None
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        digit = F.shiftrightunsigned("_bits", shift).bitwiseAND(F.lit((1 << DIGIT) - 1)).alias("_digit")
+        within, some = keys, rows
+        if wanted is not None:
+            within = keys + ["_start"]
+            starts = checked_broadcast(wanted.select(*within).distinct(), df, by)
+            some = rows.withColumn("_start", F.shiftrightunsigned("_bits", shift + DIGIT)).join(starts, within)
+        cells = some.groupBy(*within, digit).agg(F.count(F.lit(1)).alias("_rows"))
+        upto = W.partitionBy(*within).orderBy("_digit").rowsBetween(W.unboundedPreceding, 0)
+        cells = cells.withColumn("_to", F.sum("_rows").over(upto)).withColumn("_from", F.col("_to") - F.col("_rows"))
+        if wanted is None:
+            cells = cells.withColumn("n", F.sum("_rows").over(W.partitionBy(*keys)))
+            found = cells.withColumn("rank", F.explode(ranks)).withColumn("_rest", F.col("rank"))
+            start = F.col("_digit").cast("long")
+        else:
+            found = cells.join(wanted, within)
+            start = F.shiftleft("_start", DIGIT).bitwiseOR(F.col("_digit"))
+        found = found.where((F.col("_from") <= F.col("_rest")) & (F.col("_rest") < F.col("_to")))
+        wanted = cut_lineage(found.select(*keys, "n", "rank", (F.col("_rest") - F.col("_from")).alias("_rest"), start.alias("_start")))
+    wanted = wanted.withColumn("_number", _double(F.col("_start")))
+    entry = F.struct("rank", "_number")
+    values = wanted.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(entry)).alias("_value"))
+    results = F.array(*[F.struct(F.lit(p).alias("prob"), _interpolate(p, method).alias("value")) for p in probs])
+    return values.select(*keys, "n", F.inline(results))
 
 
 def _position(p: float) -> Column:
@@ -111,15 +97,8 @@ def _high_rank(p: float, method: str) -> Column:
     return _low_rank(p, method) if method == "index" else F.ceil(_position(p))
 
 
-def _at_rank(rank: Column) -> Column:
-    hit = (F.col("_from") <= rank) & (rank < F.col("_to")) & ~F.col("_out")
-    return F.max(F.when(hit, F.col("_v")))
-
-
-def _interpolate(i: int, p: float, method: str) -> Column:
-    low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-    low = F.coalesce(low, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
-    high = F.coalesce(high, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
+def _interpolate(p: float, method: str) -> Column:
+    low, high = (F.col("_value")[r(p, method).cast("long")] for r in (_low_rank, _high_rank))
     if method == "index":
         return low
     return low + (high - low) * (_position(p) - F.floor(_position(p)))

@@ -25,22 +25,31 @@ def numbers(spark):
     return pdf, df
 
 
-@pytest.mark.parametrize("small, medium", [(5_000_000, 10_000_000), (100, 10_000_000), (100, 200)])
-def test_quantiles_in_all_size_classes(numbers, monkeypatch, small, medium):
+def test_quantiles(numbers):
     pdf, df = numbers
-    monkeypatch.setattr(quantiles, "SMALL", small)
-    monkeypatch.setattr(quantiles, "MEDIUM", medium)
-    if medium == 200:
-        monkeypatch.setattr(quantiles, "NARROW", 2e-3)
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
     out = quantiles.exact_quantiles(df, ["a", "b"], probs).collect()
+    assert len(out) == 12
     for r in out:
         assert r["value"] == pytest.approx(pdf[r["column"]].quantile(r["prob"]), abs=1e-12)
     by = quantiles.exact_quantiles(df, ["a"], [0.25, 0.75], ["g"]).collect()
+    assert len(by) == 4
     for r in by:
         assert r["value"] == pytest.approx(pdf[pdf.g == r["g"]].a.quantile(r["prob"]), abs=1e-12)
 
 
+def test_quantiles_of_any_double(spark):
+    """Signs, zeros, the least and the largest numbers, and neighbours that differ in the last bit."""
+    x = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, 1.0, np.nextafter(1.0, 2), np.nextafter(1.0, 0)]
+    x += [float("inf"), float("-inf"), -1.0, 0.1, 0.30000000000000004, 0.3]
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    probs = [i / 15 + 0.01 for i in range(15)]
+    got = {r["prob"]: r["value"] for r in quantiles.exact_quantiles(df, ["x"], probs, method="index").collect()}
+    assert [got[p] for p in probs] == sorted(x)
+    empty = quantiles.exact_quantiles(df.where("x > 1 AND x < 0"), ["x"], [0.5])
+    assert empty.collect() == []
+
+
 def test_order_statistic_by_index(numbers):
     pdf, df = numbers
     x = np.sort(pdf.a.dropna().to_numpy())
