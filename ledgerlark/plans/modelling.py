@@ -9,7 +9,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ledgerlark import presets
-from ledgerlark.operators import charts, evaluate, gram, models, prep, rules, split, tune
+from ledgerlark.operators import charts, evaluate, gram, models, prep, rules, split, trees, tune
 from ledgerlark.operators.features import movie_features
 from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
@@ -130,6 +130,60 @@ def tree_fit(spark, sf_dir):
     return spark.createDataFrame(rows, "depth int, leaves int, rules string")
 
 
+def _tree_sql(depth: int, min_split: int) -> str:
+    """The tree of ``tree_exact``, one group of subqueries per level."""
+    cells = " UNION ALL ".join(
+        f"SELECT id, {i} AS feature, CAST({c} AS DOUBLE) AS value FROM whole" for i, c in enumerate(PASSENGER_NUMBERS)
+    )
+    known = " AND ".join(f"{c} IS NOT NULL" for c in PASSENGER_NUMBERS)
+    sql = PASSENGERS + f""", whole AS (SELECT * FROM passengers WHERE {known}), long AS ({cells}),
+      a0 AS (SELECT id, survived AS y, '' AS node FROM whole)"""
+    for i in range(depth):
+        sql += f""",
+      c{i} AS (SELECT node, feature, value, count(*) AS n, sum(y) AS n1 FROM a{i} JOIN long USING (id) GROUP BY node, feature, value),
+      s{i} AS (SELECT node, feature, value, lead(value) OVER o AS nx, sum(n) OVER o AS ln, sum(n1) OVER o AS l1,
+                      sum(n) OVER g AS tn, sum(n1) OVER g AS t1
+               FROM c{i} WINDOW g AS (PARTITION BY node, feature), o AS (PARTITION BY node, feature ORDER BY value)),
+      k{i} AS (SELECT node, feature, value / 2 + nx / 2 AS cut, ln / tn * ((tn - ln) / tn) * (l1 / ln - (t1 - l1) / (tn - ln))
+                      * (l1 / ln - (t1 - l1) / (tn - ln)) AS gain
+               FROM (SELECT node, feature, value, nx, CAST(ln AS DOUBLE) AS ln, CAST(l1 AS DOUBLE) AS l1, CAST(tn AS DOUBLE) AS tn,
+                            CAST(t1 AS DOUBLE) AS t1 FROM s{i}) WHERE nx IS NOT NULL AND tn >= {min_split} AND t1 > 0 AND t1 < tn),
+      b{i} AS MATERIALIZED (SELECT node, feature, cut FROM k{i}
+               QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, feature, cut) = 1),
+      a{i + 1} AS MATERIALIZED (SELECT id, y, node || CASE WHEN value <= cut THEN '0' ELSE '1' END AS node
+               FROM a{i} JOIN b{i} USING (node) JOIN long USING (id, feature))"""
+    names = "CASE feature " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(PASSENGER_NUMBERS)) + " END"
+    levels = " UNION ALL ".join(
+        f"""SELECT t.node, CAST({i} AS INTEGER) AS depth, t.rows, t.n1, {names if i < depth else 'NULL::VARCHAR'} AS feature,
+        round({'cut' if i < depth else 'NULL::DOUBLE'}, 6) AS threshold
+        FROM (SELECT node, count(*) AS rows, CAST(sum(y) AS BIGINT) AS n1 FROM a{i} GROUP BY node) t
+        {f'LEFT JOIN b{i} USING (node)' if i < depth else ''}"""
+        for i in range(depth + 1)
+    )
+    return with_sql(sql, levels)
+
+
+@query(_tree_sql(presets.TREE_DEPTH, presets.TREE_SPLIT))
+def tree_exact(spark, sf_dir):
+    """Every node of a tree with exact thresholds and a least size of nodes to be split."""
+    p = passengers(spark, sf_dir).select("id", F.col("survived").alias("y"), *PASSENGER_NUMBERS).dropna()
+    x = F.array(*[F.col(c).cast("double") for c in PASSENGER_NUMBERS]).alias("x")
+    rows = p.select(F.lit(0).cast("long").alias("tree"), "id", x, "y", F.lit(1).cast("long").alias("n"))
+    nodes = trees.grow(rows, len(PASSENGER_NUMBERS), presets.TREE_DEPTH, presets.TREE_SPLIT).nodes
+    name = F.get(F.array(*[F.lit(c) for c in PASSENGER_NUMBERS]), F.col("feature")).alias("feature")
+    return nodes.select("node", "depth", "rows", "n1", name, F.round("threshold", 6).alias("threshold"))
+
+
+@query()
+def forest_grid(spark, sf_dir):
+    """All forests of the grid over trees, depth and split size on the panel, from one growth per fold."""
+    x = F.array(*[F.col(c).cast("double") for c in PANEL_FEATURES]).alias("x")
+    train = panel_train(spark, sf_dir).select("id", x, F.col("label").alias("y"), "fold")
+    return tidy(
+        trees.forest_search(train, len(PANEL_FEATURES), 5, presets.GRID_TREES, presets.GRID_DEPTHS, presets.GRID_SPLITS)
+    )
+
+
 def boosting(label):
     return models.gradient_boosting(
         label, presets.BOOSTING_ROUNDS, presets.BOOSTING_RATE, presets.BOOSTING_DEPTH, presets.BOOSTING_LEAF,

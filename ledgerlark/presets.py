@@ -50,6 +50,8 @@ VERDICT_CONFIDENCE = " (confianza: %.1f%%)"
 
 # Numbers of trees, rounds, restarts, draws and grid points of the known analyses.
 FOREST_TREES = 300
+TREE_DEPTH, TREE_SPLIT = 10, 10
+GRID_TREES, GRID_DEPTHS, GRID_SPLITS = [100, 200, 300], [None, 3, 5, 7, 10], [2, 5, 10]
 BOOSTING_ROUNDS, BOOSTING_RATE, BOOSTING_DEPTH, BOOSTING_LEAF, BOOSTING_SHARE = 200, 0.08, 4, 3, 0.8
 KMEANS_RESTARTS, KMEANS_ROUNDS = 10, 300
 LOGISTIC_DRAWS, LINEAR_DRAWS = 100, 50
