@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
+from math import factorial
+from operator import mul
 
-from pyspark.sql import DataFrame, functions as F
+from numpy.polynomial.hermite_e import herme2poly
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.operators.quantiles import exact_quantiles
 from ledgerlark.operators.ranking import shuffle_key
 from ledgerlark.operators.skew import checked_broadcast
 
 KDE_POINTS = 200
+#: Cells per bandwidth, bandwidths a kernel reaches, and terms of its series.
+KDE_CELLS, KDE_REACH, KDE_TERMS = 8, 8, 8
 
 
 def daily_series(df: DataFrame, day: str, label: str, amount: str) -> DataFrame:
@@ -83,10 +89,22 @@ def auto_histogram(df: DataFrame, column: str) -> DataFrame:
     return binned.select("bin", "n", (e["lo"] + e["w"] * F.col("bin")).alias("left_edge"))
 
 
+def _hermite(k: int, u: Column) -> Column:
+    """The Hermite polynomial: exp(-(u - d)² / 2) is exp(-u² / 2) times the sum of He_k(u) d^k / k!."""
+    out = F.lit(0.0)
+    for c in reversed(herme2poly([0.0] * k + [1.0])):
+        out = out * u + F.lit(float(c))
+    return out
+
+
 def density_curve(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataFrame:
-    """Gaussian kernel density on an even grid with Scott's bandwidth.
+    """Gaussian kernel density on an even grid with Scott's bandwidth, by a fast Gauss transform.
 
-    Each task adds its values into the fixed grid, so only ``points`` sums per task are shuffled.
+    Values are added up in cells ``1 / KDE_CELLS`` of a bandwidth wide: their number and the sums of the first powers of
+    their distance to the middle. A grid point takes the cells within ``KDE_REACH`` bandwidths, each by the series of
+    the kernel around its middle. Left out are less than 1.2e-12 of a kernel's height per value by the cut series and 1.3e-14
+    by the reach. Values no grid point reaches are left aside, so at most ``2 * KDE_REACH * KDE_CELLS`` cells per grid
+    point are shuffled, whatever the number of rows. NULL values take no part; without any spread the density is NULL.
     """
     known = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
     spread = known.agg(
@@ -96,19 +114,38 @@ def density_curve(df: DataFrame, column: str, points: int = KDE_POINTS) -> DataF
     spread = spread.select(
         F.struct(
             "n",
-            width.alias("h"),
+            F.nullif(width, F.lit(0.0)).alias("h"),
             (F.col("lo") - 3 * width).alias("a"),
             ((F.col("hi") - F.col("lo") + 6 * width) / (points - 1)).alias("step"),
         )
     ).scalar()
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     s = F.col("_s")
-    at = s["a"] + s["step"] * F.col("i")
-    z = (at - F.col("x")) / s["h"]
-    cells = known.withColumn("_s", spread).select("x", "_s", grid.alias("i"))
-    sums = cells.groupBy("_s", "i").agg(F.sum(F.exp(-0.5 * z * z)).alias("_sum"))
+    # Places are in bandwidths from the first grid point; the grid's step is above zero where there is a bandwidth.
+    step = s["step"] / s["h"]
+    placed = known.withColumn("_s", spread).select("_s", ((F.col("x") - s["a"]) / s["h"]).alias("z"))
+    from_grid = F.abs(F.col("z") - F.round(F.col("z") / step) * step)
+    cell = F.floor(F.col("z") * KDE_CELLS)
+    placed = placed.where(from_grid <= KDE_REACH).select("_s", "z", cell.alias("cell"))
+    d = F.col("z") - (F.col("cell") + 0.5) / KDE_CELLS
+    powers = accumulate([d] * (KDE_TERMS - 1), mul)
+    sums = [F.sum(p).alias(f"m{k}") for k, p in enumerate(powers, 1)]
+    cells = placed.groupBy("_s", "cell").agg(F.count(F.lit(1)).cast("double").alias("m0"), *sums)
+    cells = cells.withColumn("mid", (F.col("cell") + 0.5) / KDE_CELLS)
+    first = F.greatest(F.lit(0), F.ceil((F.col("mid") - KDE_REACH) / step)).cast("int")
+    last = F.least(F.lit(points - 1), F.floor((F.col("mid") + KDE_REACH) / step)).cast("int")
+    met = cells.withColumn("ends", F.struct(first.alias("first"), last.alias("last"))).where("ends.first <= ends.last")
+    met = met.withColumn("i", F.explode(F.sequence("ends.first", "ends.last")))
+    met = met.withColumn("u", F.col("i") * step - F.col("mid"))
+    series = F.lit(0.0)
+    for k in range(KDE_TERMS):
+        series = series + F.col(f"m{k}") * _hermite(k, F.col("u")) / float(factorial(k))
+    found = met.groupBy("i").agg(F.sum(F.exp(-0.5 * F.col("u") * F.col("u")) * series).alias("_sum"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i")).withColumn("_s", spread)
+    grid = grid.where(s["n"] > 0)
     norm = s["n"] * s["h"] * F.sqrt(2 * F.pi())
-    return sums.select("i", at.alias("x"), (F.col("_sum") / norm).alias("density"))
+    density = F.greatest(F.coalesce("_sum", F.lit(0.0)), F.lit(0.0)) / norm
+    at = s["a"] + s["step"] * F.col("i")
+    return grid.join(found, "i", "left").select("i", at.alias("x"), density.alias("density"))
 
 
 def box_stats(df: DataFrame, column: str, by: str, width: float = 1.5) -> DataFrame:

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from math import ceil, sqrt
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -47,6 +46,159 @@ def _as_lists(row) -> Centres:
 # --- k-means ------------------------------------------------------------------------------------
 
 
+#: Rows that a task compares with the centres of all runs at a time.
+SLICE = 4096
+
+
+def _slices(batches, *columns):
+    """The vectors of Arrow batches as matrices of at most ``SLICE`` rows, with further columns."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            part = batch.slice(at, SLICE)
+            v = part.column("v")
+            x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+            yield x, *[part.column(c).to_numpy(zero_copy_only=False) for c in columns]
+
+
+def _uniform(hashes, key: int):
+    """Numbers between 0 and 1 from the hashes of rows and one number, mixed as splitmix64 does."""
+    z = hashes.view(np.uint64) + np.uint64((key * 0x9E3779B97F4A7C15) % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def _draw_starts(rows: DataFrame, starts: list[Centres], seed: int) -> bool:
+    """Add one start to every sequence in one scan; False if no vector is left to draw.
+
+    A vector is drawn with a weight of its squared distance to the nearest start before: of all vectors the least
+    ``-log(u) / d²`` wins, so tasks send out one candidate per sequence.
+    """
+    step = len(starts[0])
+
+    def run(batches):
+        import pyarrow as pa
+
+        best = [(np.inf, None)] * len(starts)
+        for x, hashes in _slices(batches, "h"):
+            for j, chosen in enumerate(starts):
+                race = -np.log(_uniform(hashes, seed + 1000 * step + j))
+                if chosen:
+                    d2 = np.min([((x - np.asarray(c)) ** 2).sum(axis=1) for c in chosen], axis=0)
+                    race = np.divide(race, d2, out=np.full(len(x), np.inf), where=d2 > 0)
+                i = race.argmin()
+                if race[i] < best[j][0]:
+                    best[j] = (float(race[i]), x[i].tolist())
+        found = [(j, e, v) for j, (e, v) in enumerate(best) if v is not None]
+        columns = list(zip(*found)) or [(), (), ()]
+        types = [pa.int32(), pa.float64(), pa.list_(pa.float64())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)], names=["j", "race", "v"]
+        )
+
+    found = rows.mapInArrow(run, "j int, race double, v array<double>")
+    drawn = found.groupBy("j").agg(F.min(F.struct("race", "v")).alias("m")).collect()
+    for r in drawn:
+        starts[r["j"]].append(list(r["m"]["v"]))
+    return bool(drawn)
+
+
+def _scan_runs(rows: DataFrame, runs: list[Centres]) -> list[tuple[Centres, float]]:
+    """The means of each run's clusters and the cost of its centres, for all runs in one scan.
+
+    Tasks send out one sum of vectors per centre. An empty cluster keeps its centre.
+    """
+    ends = np.cumsum([0] + [len(c) for c in runs])
+
+    def run(batches):
+        import pyarrow as pa
+
+        c = np.concatenate([np.asarray(r, dtype=float) for r in runs])
+        middle = c.mean(axis=0)
+        near, half = (c - middle).T, ((c - middle) ** 2).sum(axis=1) / 2
+        n, cost, total = np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros_like(c)
+        for (x,) in _slices(batches):
+            gain = (x - middle) @ near - half
+            for a, b in zip(ends, ends[1:]):
+                at = gain[:, a:b].argmax(axis=1)
+                member = (at[:, None] == np.arange(b - a)).astype(float)
+                n[a:b] += member.sum(axis=0).astype(np.int64)
+                total[a:b] += member.T @ x
+                cost[a:b] += ((x - c[a:b][at]) ** 2).sum(axis=1) @ member
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int32)),
+                pa.array(n[some]),
+                pa.array(cost[some]),
+                pa.array(list(total[some]), pa.list_(pa.float64())),
+            ],
+            names=["at", "n", "cost", "total"],
+        )
+
+    sums = rows.select("v").mapInArrow(run, "at int, n long, cost double, total array<double>")
+    sums = sums.groupBy("at").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), Summarizer.sum(array_to_vector("total")).alias("total")
+    )
+    found = {r["at"]: r for r in sums.collect()}
+    out = []
+    for a, centres in zip(ends, runs):
+        rows_of = [found.get(a + j) for j in range(len(centres))]
+        means = [
+            c if r is None else [float(x) / r["n"] for x in r["total"].toArray()] for r, c in zip(rows_of, centres)
+        ]
+        out.append((means, sum(r["cost"] for r in rows_of if r)))
+    return out
+
+
+def kmeans_runs(
+    df: DataFrame,
+    vector: str,
+    ks: Sequence[int],
+    restarts: int = presets.KMEANS_RESTARTS,
+    seed: int = 42,
+    max_rounds: int = presets.KMEANS_ROUNDS,
+    tolerance: float = 1e-4,
+) -> dict[int, tuple[Centres, float]]:
+    """Per number of centres the best of several seeded runs: its centres and their inertia.
+
+    All runs of all numbers share the scans: one per start drawn (the runs of one restart take the first ``k`` starts of
+    one sequence), one per round of means, where a run whose centres have settled takes no more part, and one for the
+    final inertias. Starts are drawn over all vectors, by hash and not by place, copies once; means and inertias count
+    every row. NULL vectors take no part. Where fewer distinct vectors exist than ``k``, there are fewer centres.
+    """
+    rows = df.where(F.col(vector).isNotNull()).select(
+        F.col(vector).cast("array<double>").alias("v"), F.xxhash64(vector).alias("h")
+    )
+    rows = rows.persist()
+    try:
+        starts: list[Centres] = [[] for _ in range(restarts)]
+        for _ in range(max(ks)):
+            if not _draw_starts(rows, starts, seed):
+                break
+        names = [(k, j) for k in ks for j in range(1 if k == 1 else restarts)]
+        runs = {name: starts[name[1]][: name[0]] for name in names}
+        if not starts[0]:
+            return {k: ([], 0.0) for k in ks}
+        live = names
+        for _ in range(max_rounds):
+            moved = []
+            for name, (means, _) in zip(live, _scan_runs(rows, [runs[n] for n in live])):
+                gaps = ((np.array(means) - np.array(runs[name])) ** 2).sum(axis=1)
+                runs[name] = means
+                if gaps.max() > tolerance**2:
+                    moved.append(name)
+            live = moved
+            if not live:
+                break
+        costs = dict(zip(names, (cost for _, cost in _scan_runs(rows, [runs[n] for n in names]))))
+    finally:
+        rows.unpersist()
+    best = {k: min((n for n in names if n[0] == k), key=lambda n: (costs[n], n)) for k in ks}
+    return {k: (runs[n], float(costs[n])) for k, n in best.items()}
+
+
 def kmeans(
     df: DataFrame,
     vector: str,
@@ -56,19 +208,7 @@ def kmeans(
     max_rounds: int = presets.KMEANS_ROUNDS,
 ) -> tuple[Centres, float]:
     """Best centres of several seeded runs, and their inertia."""
-    if k == 1:
-        mean = _as_lists(df.agg(Summarizer.mean(array_to_vector(vector))).first())
-        return mean, inertia(df, vector, mean)
-    rows = df.select(array_to_vector(vector).alias("features")).persist()
-    try:
-        runs = []
-        for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_rounds, tol=1e-4).fit(rows)
-            runs.append((model.summary.trainingCost, i, model.clusterCenters()))
-    finally:
-        rows.unpersist()
-    cost, _, centres = min(runs, key=lambda r: (r[0], r[1]))
-    return [[float(x) for x in c] for c in centres], float(cost)
+    return kmeans_runs(df, vector, [k], restarts, seed, max_rounds)[k]
 
 
 def inertia(df: DataFrame, vector: str, centres: Centres) -> float:
@@ -96,8 +236,9 @@ def lloyd(df: DataFrame, vector: str, start: Centres, rounds: int) -> Centres:
 def inertia_curve(
     df: DataFrame, vector: str, ks: Sequence[int], restarts: int = 10, seed: int = 42
 ) -> DataFrame:
-    """Rows (k, inertia)."""
-    rows = [(int(k), float(kmeans(df, vector, k, restarts, seed)[1])) for k in ks]
+    """Rows (k, inertia), from scans that all numbers share."""
+    found = kmeans_runs(df, vector, [int(k) for k in ks], restarts, seed)
+    rows = [(k, cost) for k, (_, cost) in found.items()]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 

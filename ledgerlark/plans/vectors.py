@@ -526,3 +526,25 @@ def kmeans_parted(spark, sf_dir):
     sizes = cluster.assign(df, "v", centres).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
     place = (F.row_number().over(W.orderBy(F.col("n").desc(), "least")) - 1).alias("place")  # three rows
     return sizes.select(place, "n", F.round(F.lit(cost), 4).alias("inertia"))
+
+
+@query(
+    with_sql(
+        PARTED,
+        """, entry AS (SELECT g, i, v[i] AS x FROM parted, range(1, 65) AS t(i)),
+        cut AS (SELECT * FROM (VALUES (1, 0, 0, 0), (2, 0, 0, 1), (2, 0, 1, 1), (3, 0, 1, 2)) AS c(k, c0, c1, c2)),
+        part AS (SELECT k, c0, c1, c2, i, count(*) * var_pop(x) AS n FROM entry, cut
+          GROUP BY k, c0, c1, c2, i, CASE g WHEN 0 THEN c0 WHEN 1 THEN c1 ELSE c2 END),
+        cost AS (SELECT k, sum(n) AS n FROM part GROUP BY k, c0, c1, c2),
+        curve AS (SELECT k, min(n) AS inertia FROM cost GROUP BY k),
+        e AS (SELECT min(k) AS k0, arg_min(inertia, k) AS y0, max(k) AS k1, arg_max(inertia, k) AS y1 FROM curve),
+        d AS (SELECT k, abs((k1 - k0) * (y0 - inertia) - (y1 - y0) * (k0 - k)) AS dist FROM curve, e),
+        b AS (SELECT k AS best FROM d ORDER BY dist DESC, k LIMIT 1)
+        SELECT k, round(inertia, 4) AS inertia, best FROM curve, b""",
+    )
+)
+def elbow_parted(spark, sf_dir):
+    """Inertia of the best runs with one to three centres on parted groups, and the recommended number."""
+    curve = cluster.inertia_curve(parted(spark, sf_dir), "v", [1, 2, 3])
+    best = cluster.elbow(curve).scalar()
+    return curve.select("k", F.round("inertia", 4).alias("inertia"), best.alias("best"))

@@ -142,6 +142,31 @@ def test_kmeans_and_elbow(spark, cloud):
     assert cluster.elbow(flat).first()["k"] == 1
 
 
+def test_shared_kmeans_runs(spark, cloud):
+    """Runs that share scans settle where the plain rounds do, find the best partition, and don't depend on the partitions."""
+    df = frame(spark, cloud)
+    found = cluster.kmeans_runs(df, "v", [1, 2, 3, 5], restarts=4)
+    for k, (centres, cost) in found.items():
+        c = np.array(centres)
+        at = distances(cloud, c).argmin(1)
+        assert len(c) == k and cost == pytest.approx(((cloud - c[at]) ** 2).sum(), rel=1e-9)
+        assert np.allclose([cloud[at == j].mean(0) for j in range(k)], c, atol=1e-3)
+    alone = cluster.kmeans_runs(df.repartition(7), "v", [3], restarts=4)
+    assert np.allclose(alone[3][0], found[3][0]) and alone[3][1] == pytest.approx(found[3][1])
+    line = np.r_[np.zeros(20), np.full(30, 10.0), np.full(5, 100.0)]
+    pairs = np.stack([line, np.tile([0.0, 1.0, 2.0, 3.0, 4.0], 11)], axis=1)
+    best, cost = cluster.kmeans(frame(spark, pairs), "v", 3)
+    assert sorted(round(c[0], 6) for c in best) == [0.0, 10.0, 100.0] and cost == pytest.approx(110.0)
+
+
+def test_kmeans_of_few_vectors(spark):
+    rows = [([1.0],), ([1.0],), ([4.0],), (None,)]
+    df = spark.createDataFrame(rows, "v array<double>")
+    assert cluster.kmeans(df, "v", 3) == ([[1.0], [4.0]], 0.0) or cluster.kmeans(df, "v", 3) == ([[4.0], [1.0]], 0.0)
+    assert cluster.kmeans(df.where("v IS NULL"), "v", 3) == ([], 0.0)
+    assert cluster.inertia_curve(df, "v", [1, 2]).collect() == [(1, 6.0), (2, 0.0)]
+
+
 def test_fuzzy_memberships(spark, cloud):
     df = frame(spark, cloud)
     centres = cluster.fuzzy_cmeans(df, "id", "v", 3, error=0.05)

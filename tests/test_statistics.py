@@ -142,6 +142,28 @@ def test_histogram_edges_and_constant_class(spark):
     assert got[got.g == "b"][["bin", "n"]].values.tolist() == [[0, 3]]
 
 
+def test_density_curve_equals_the_plain_sum(spark):
+    """Also with far values, where most of the grid meets no cell, and with many copies of one value."""
+    draw = np.random.default_rng(3)
+    near = draw.normal(size=3000)
+    for x in (near, np.r_[near, 1e5, -3e4], np.r_[near, np.full(4000, 0.25)], np.array([1.0, 2.0])):
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+        got = charts.density_curve(df, "x").toPandas().sort_values("i")
+        h = x.std(ddof=1) * len(x) ** -0.2
+        at = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 200)
+        want = np.exp(-0.5 * ((at[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+        assert got.i.tolist() == list(range(200)) and np.allclose(got.x, at)
+        assert np.abs(got.density - want).max() * h < 1e-10
+
+
+def test_density_without_spread(spark):
+    for rows in ([(3.0,)], [(3.0,), (3.0,)]):
+        got = charts.density_curve(spark.createDataFrame(rows, "x double"), "x").toPandas()
+        assert len(got) == 200 and got.density.isna().all()
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert charts.density_curve(empty, "x").count() == 0
+
+
 def test_density_integrates_to_one(spark):
     df = spark.createDataFrame([(float(v),) for v in np.random.default_rng(2).normal(size=300)], "x double")
     got = charts.density_curve(df, "x").toPandas().sort_values("x")
