@@ -1,8 +1,8 @@
 """Supervised models on Spark ML, with the parameters of their usual single-machine counterparts.
 
 Inputs have a ``features`` vector and a numeric label column. Known differences: trees use binned
-thresholds, have no minimum split size and stop at depth 30; the RBF machine is approximated by
-random Fourier features.
+thresholds, have no minimum split size and stop at depth 30 (``trees.py`` has exact ones). The RBF machine is in
+``kernel.py``; the random Fourier features here are a cheaper stand-in for searches over kernel widths.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ledgerlark import presets
-from ledgerlark.operators import charts, evaluate, gram, models, prep, rules, split, trees, tune
+from ledgerlark.operators import charts, evaluate, gram, kernel, models, prep, rules, split, trees, tune
 from ledgerlark.operators.features import movie_features
 from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
@@ -213,12 +213,12 @@ def gbt_fit(spark, sf_dir):
 
 @query()
 def rbf_fit(spark, sf_dir):
-    """RBF machine by random Fourier features."""
-    ready = panel_ready(spark, sf_dir)
-    lifted = models.FourierFeatures.fit(part(ready, "train"), "features", 100).transform(ready)
-    train = part(lifted, "train")
-    model = models.fit_guarded(models.logistic("label", train.count()), train, "label")
-    return tidy(evaluate.binary_metrics(models.decide(model.transform(part(lifted, "test"))), "label", "pred"))
+    """RBF machine with hinge loss: test metrics by its decisions, AUC by its calibrated probabilities."""
+    ready = cut_lineage(panel_ready(spark, sf_dir))
+    model = kernel.KernelMachine("label").fit(part(ready, "train"))
+    scored = cut_lineage(models.with_probability(models.decide(model.transform(part(ready, "test")))))
+    metrics = evaluate.binary_metrics(scored, "label", "pred")
+    return tidy(metrics.withColumn("roc_auc", evaluate.roc_auc(scored, "label", "p1").scalar()))
 
 
 @query()

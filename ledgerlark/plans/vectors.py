@@ -8,7 +8,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window as W, functions as F
 
 from ledgerlark.functions.scalars import euclidean
-from ledgerlark.operators import audit, cluster, dbscan as density, neighbours, profile
+from ledgerlark.operators import audit, cluster, dbscan as density, kernel, neighbours, profile
+from ledgerlark.operators.models import with_probability
 from ledgerlark.operators.reduce import pca_scores
 from ledgerlark.operators.neighbours import centre_distances, nearest_centre
 from ledgerlark.plans.registry import query
@@ -502,7 +503,7 @@ PARTED = VECTORS + f""", parted AS (
 def parted(spark, sf_dir):
     """The vectors, moved apart into three groups by label."""
     move = F.transform("v", lambda x, i: F.when(i == 0, x + APART * (F.col("label") % 3)).otherwise(x))
-    return vectors(spark, sf_dir).select("vec_id", move.alias("v"))
+    return vectors(spark, sf_dir).select("vec_id", "label", move.alias("v"))
 
 
 @query(with_sql(PARTED, "SELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM parted JOIN sized USING (g)"))
@@ -548,3 +549,19 @@ def elbow_parted(spark, sf_dir):
     curve = cluster.inertia_curve(parted(spark, sf_dir), "v", [1, 2, 3])
     best = cluster.elbow(curve).scalar()
     return curve.select("k", F.round("inertia", 4).alias("inertia"), best.alias("best"))
+
+
+@query(
+    with_sql(
+        PARTED,
+        "SELECT CAST(g = 1 AS INTEGER) AS y, count(*) AS n, count(*) AS hits, CAST(1.0 AS DOUBLE) AS sure FROM parted GROUP BY y",
+    )
+)
+def kernel_parted(spark, sf_dir):
+    """The RBF machine told the group in the middle from those beside it: rows, right decisions, share of right sides of 1/2."""
+    y = (F.col("label") % 3 == 1).cast("int").alias("y")
+    rows = parted(spark, sf_dir).select("vec_id", y, array_to_vector("v").alias("features"))
+    scored = with_probability(kernel.KernelMachine("y", C=10.0).fit(rows).transform(rows))
+    right = F.col("prediction").cast("int") == F.col("y")
+    sure = F.avg(((F.col("p1") > 0.5).cast("int") == F.col("y")).cast("double"))
+    return scored.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("hits"), sure.alias("sure"))
