@@ -1,10 +1,10 @@
 """Group results attached to rows without gathering a hot group in one task.
 
 A window over a key moves all rows of that key to one task. Here each group is aggregated
-first (with map-side partial results), and the small result is joined back. The ``HOT_KEYS``
-largest groups, if they exceed ``HOT_ROWS`` rows, are spread over ``SALTS`` partitions for that
-join; no other group can hold more than a ``1 / HOT_KEYS`` share of the table, and the list of
-hot keys that is broadcast has at most ``HOT_KEYS`` rows.
+first (with map-side partial results), and the small result is joined back. For that join every key with more than
+``1 / HOT_SHARE`` of a shuffle partition's mean rows is cut into pieces of ``1 / PIECES`` of that mean, as many as its
+exact row count asks for, so the load of a partition comes from many small pieces at any table size. Fewer than
+``HOT_SHARE`` keys per partition can be that large, which bounds the list of hot keys that is broadcast.
 """
 
 from __future__ import annotations
@@ -13,9 +13,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-HOT_KEYS = 256
-HOT_ROWS = 500_000
-SALTS = 64
+HOT_SHARE = 4
+PIECES = 16
+
+
+def partitions(df: DataFrame) -> int:
+    """Partitions of a shuffle, as the session has them."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def attach_group_aggregates(
@@ -42,19 +46,18 @@ def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: st
 
     Rows without a key match nothing and are spread as well.
     """
-    keys = list(keys)
-    largest = table.orderBy(F.col(rows).desc(), *keys).limit(HOT_KEYS)
-    hot = F.broadcast(largest.where(F.col(rows) > HOT_ROWS).select(*keys, F.lit(True).alias("_hot")))
+    keys, parts = list(keys), partitions(df)
+    mean = table.agg(F.sum(rows) / parts).scalar()
+    pieces = F.ceil(PIECES * F.col(rows) / F.col("_mean")).cast("int")
+    large = table.select(*keys, rows).withColumn("_mean", mean).where(F.col(rows) * HOT_SHARE > F.col("_mean"))
+    hot = F.broadcast(large.select(*keys, pieces.alias("_pieces")))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
-    left = df.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salts = F.coalesce(salts, F.array(F.lit(0)))
-    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    spread = F.when(no_key, PIECES * parts).otherwise(F.coalesce("_pieces", F.lit(1)))
+    left = df.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*df.columns), spread).cast("int"))
+    salts = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_pieces")
     joined = left.join(right, keys + ["_salt"], "left")
     added = [c for c in table.columns if c not in keys]
     return joined.select(*df.columns, *added)
@@ -79,9 +82,9 @@ def top_k_per_group(
 ) -> DataFrame:
     """The ``k`` first rows of each group in two steps, so that a hot group is split by salt.
 
-    The first step keeps at most ``k`` rows per (group, salt); the second sees ``k * SALTS``.
+    The first step keeps at most ``k`` rows per (group, salt); the second sees ``k`` per partition of a shuffle.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_on), F.lit(SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_on), F.lit(partitions(df))))
     first = W.partitionBy(*keys, "_salt").orderBy(*order)
     last = W.partitionBy(*keys).orderBy(*order)
     return (

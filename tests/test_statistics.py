@@ -76,8 +76,7 @@ def test_running_totals(spark):
         assert (got.n.cumsum() == got.cum_n).all() and len(got) == 500
 
 
-def test_group_features_with_missing_and_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+def test_group_features_with_missing_and_hot_keys(spark):
     rows = [(i, "hot" if i % 3 == 0 else None if i % 10 == 1 else f"k{i}", float(i)) for i in range(900)]
     df = spark.createDataFrame(rows, "id int, k string, v double")
     out = features.add_group_profile(df, "k", "v").toPandas()
@@ -90,16 +89,20 @@ def test_group_features_with_missing_and_hot_keys(spark, monkeypatch):
     assert merged[merged.k.isna()].freq_por_descripcion.isna().all()
 
 
-def test_hot_key_is_spread(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 100)
-    df = spark.range(3000).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
-    out = skew.attach_group_aggregates(df, ["k"], {"n": F.count(F.lit(1))})
-    assert out.where("k = -1").select("n").distinct().collect()[0]["n"] == 1000
-    hot = out.where("k = -1").withColumn("p", F.spark_partition_id())
+@pytest.mark.parametrize("n", [4000, 40000])
+def test_hot_keys_are_spread(spark, n):
+    """One key with half of the rows, ten with most of the others: no partition gets twice the mean, at any size."""
+    i = F.col("id")
+    key = F.when(i % 2 == 0, F.lit(-1)).when(i % 20 > 1, -2 - i % 10).otherwise(i)
+    df = spark.range(n).withColumn("k", key)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert hot.select("p").distinct().count() > 4
+        out = skew.attach_group_aggregates(df, ["k"], {"n": F.count(F.lit(1))})
+        loads = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        got = out.groupBy("k").agg(F.count(F.lit(1)).alias("have"), F.min("n").alias("a"), F.max("n").alias("b"))
+        assert got.where("have != a OR have != b").count() == 0 and out.count() == n
+        assert max(loads) < 2 * n / skew.partitions(df)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", True)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
