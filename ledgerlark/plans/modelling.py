@@ -9,7 +9,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ledgerlark import presets
-from ledgerlark.operators import charts, evaluate, gram, kernel, models, prep, rules, split, trees, tune
+from ledgerlark.operators import charts, evaluate, gram, kernel, models, neighbours, prep, rules, split, trees, tune
 from ledgerlark.operators.features import movie_features
 from ledgerlark.plans import flows
 from ledgerlark.plans.registry import query
@@ -221,20 +221,26 @@ def rbf_fit(spark, sf_dir):
     return tidy(metrics.withColumn("roc_auc", evaluate.roc_auc(scored, "label", "p1").scalar()))
 
 
+def compared(train, test, label, row_id, forest_trees):
+    """Test metrics of six classifiers fitted on the same rows, stacked, with the best by F1."""
+    fits = {
+        "logistic": models.BalancedLogistic(label),
+        "tree": models.decision_tree(label, balanced=True),
+        "forest": models.random_forest(label, forest_trees, None, 2, balanced=True),
+        "boosting": boosting(label),
+        "rbf": kernel.KernelMachine(label, folds=0),
+    }
+    judged = {name: models.decide(models.fit_guarded(e, train, label).transform(test)) for name, e in fits.items()}
+    near, asked = (df.withColumn("v", vector_to_array("features")) for df in (train, test))
+    judged["neighbours"] = neighbours.knn_classify(near, asked, row_id, "v", label)
+    return evaluate.compare([(name, evaluate.binary_metrics(df, label, "pred")) for name, df in judged.items()])
+
+
 @query()
 def model_comparison(spark, sf_dir):
-    """Tree, forest and boosting on one split: stacked test metrics and the best by F1."""
+    """Six classifiers on one split of the panel: stacked test metrics and the best by F1."""
     ready = cut_lineage(panel_ready(spark, sf_dir))
-    fits = {
-        "tree": models.decision_tree("label", balanced=True),
-        "forest": models.random_forest("label", presets.FOREST_TREES, None, 2, balanced=True),
-        "boosting": boosting("label"),
-    }
-    tables = []
-    for name, estimator in fits.items():
-        judged = models.decide(estimator.fit(part(ready, "train")).transform(part(ready, "test")))
-        tables.append((name, evaluate.binary_metrics(judged, "label", "pred")))
-    return tidy(evaluate.compare(tables))
+    return tidy(compared(part(ready, "train"), part(ready, "test"), "label", "id", presets.FOREST_TREES))
 
 
 @query()
