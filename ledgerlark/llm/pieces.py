@@ -13,9 +13,10 @@ mass, truncated at the value of the whole. The queue gives regions in falling or
 are k distinct draws without replacement, and the next value in the queue is the threshold for
 inclusion: a segmentation of log probability p is included with probability 1 - exp(-exp(p - threshold)).
 
-No piece crosses the start of a word (a piece has its blank first; the model's pieces of several blanks
-have a score of minus a thousand million and are left out) or a line end, so the lattice of a text is a chain of word lattices, which are
-built once per batch, for all words of one length together.
+Pieces have their blanks first and none holds a line end, so no piece crosses the start of a word, its run of blanks included,
+or a line end. So the lattice of a text is a chain of word lattices, which are
+built once per batch, for all words of one length together. The model scores pieces of blanks alone with minus a thousand million;
+they are weighed by that as a rank.
 
 Random numbers are hashes of seed, row id, round, word and step, so results depend on the row alone,
 not on how rows are dealt out. Rows with equal ids draw alike; a NULL id counts as -1. NULL and empty
@@ -42,7 +43,7 @@ from ledgerlark.llm.registry import query
 SAMPLES = 2
 ALPHA = 0.5
 SEED = 1
-_UNIT = re.compile("▁[^▁\n]*|\n|[^▁\n]+")
+_UNIT = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,11 +79,10 @@ class Pieces:
                 surface[i] = bytes([int(text[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 surface[i] = text.replace("▁", " ").encode()
-                if "▁" not in text[1:]:
-                    if "\n" in text:
-                        raise ValueError("a piece holds a line end")
-                    ids.append(i)
-                    texts.append(text)
+                if "\n" in text or "▁" in text.lstrip("▁"):
+                    raise ValueError("a piece holds a line end, or a blank behind other characters")
+                ids.append(i)
+                texts.append(text)
         self.weight = np.full(size + 1, -np.inf)
         score = np.array([model.get_score(i) for i in ids])
         self.weight[ids] = -alpha * np.log(np.maximum(-score, 0) + 2)
@@ -326,11 +326,11 @@ def _below(limit, mass, u) -> np.ndarray:
 
 
 def _units(text: str) -> list[str]:
-    """Words with the blank before them, and line ends."""
+    """Words with the blanks before them, and line ends."""
     if not text:
         return []
     text = "▁" + text.replace(" ", "▁")
-    if "\0" in text:
+    if "\0" in text or "▁▁" in text:
         return _UNIT.findall(text)
     return list(filter(None, text.replace("▁", "\0▁").replace("\n", "\0\n\0").split("\0")))
 
@@ -484,4 +484,4 @@ def model_path() -> str:
 
 @query()
 def op1_pieces(spark, sf_dir):
-    return sample(read(spark, sf_dir, "documents"), model_path(), keep_ids=False)
+    return sample(read(spark, sf_dir, "documents"), model_path())

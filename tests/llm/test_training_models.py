@@ -281,6 +281,29 @@ def test_sampling_without_replacement(word):
     assert abs(inverse - 1) < 0.05  # inclusion scores make sums over samples unbiased
 
 
+def test_pieces_of_several_blanks():
+    """Every piece of the model that is no control and no byte stands in the lattice."""
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    model = pieces.pieces(pieces.model_path(), 0.5)
+    text = "a\n" + "b".join(" " * n for n in range(2, 8)) + "b "
+    whole = plain_segmentations(model, "a" + " " * 6 + "b")
+    assert any(processor.piece_to_id("▁" * 6) in ids for ids in whole)
+    found = pieces.sample_batch(model, list(range(400)), [text] * 400, 2, 3)
+    used = {i for some in found for ids, *_ in some for i in ids.tolist()}
+    assert {processor.piece_to_id("▁" * n) for n in (2, 3, 4, 5, 6)} <= used
+    assert all(model.decode(ids) == (" " + text).encode() for some in found for ids, *_ in some)
+
+
+def test_pieces_query_gives_the_segmentations(spark):
+    rows = pieces.decode(pieces.op1_pieces(spark, SF_DIR), pieces.model_path()).select("doc_id", "rank", "ids", "n_pieces", "ids_crc32", "decoded").collect()
+    texts = {r["doc_id"]: (r["text"] or "").replace("▁", " ") for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    assert all(r["decoded"] == texts[r["doc_id"]] and len(r["ids"]) == r["n_pieces"] for r in rows)
+    assert all(zlib.crc32(np.array(r["ids"], "<i4").tobytes()) == r["ids_crc32"] for r in rows)
+    assert {r["doc_id"] for r in rows if r["rank"] == 1} == set(texts)
+
+
 def test_pieces_decode_and_repeat(spark):
     rows = odd_rows()
     d = frame(spark, rows)
