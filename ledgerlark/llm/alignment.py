@@ -25,6 +25,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -47,6 +48,10 @@ WORDS_KEPT = 300_000
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Outside these ranges versions of Unicode differ in what is a letter or a number.
 _ELSE = re.compile("[^\x00-\u052f\u2000-\u206f\u20a0-\ua7cd]")
+#: Characters of most Latin texts whose classes are beyond doubt, and the words of such texts.
+_LATIN = re.compile("[\t-\r -~¡-©«-±´¶-¸»¿-ſ‐-‧]*")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
+_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s{_LETTER}0-9]+|\\s+(?!\\S)|\\s+")
 
 
 # --- token bytes --------------------------------------------------------------------------------
@@ -67,6 +72,7 @@ class WordEncoder:
 
     def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], spelling: list[bytes]):
         self.split, self.encode, self.bytes = split, encode, spelling
+        self.size = np.array([len(x) for x in spelling], np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -74,12 +80,23 @@ class WordEncoder:
         self.flat, self.start, self.count, self.wrong = array("q"), array("q"), array("q"), array("b")
 
     def _learn(self, words: list[str]) -> None:
-        for w, ids in zip(words, self.encode(words), strict=True):
-            self.number[w] = len(self.start)
-            self.start.append(len(self.flat))
-            self.count.append(len(ids))
-            self.flat.extend(ids)
-            self.wrong.append(b"".join(map(self.bytes.__getitem__, ids)) != w.encode("utf-8", "replace"))
+        if not words:
+            return
+        made = self.encode(words)
+        count = np.fromiter(map(len, made), np.int64, len(made))
+        flat = np.fromiter(chain.from_iterable(made), np.int64, int(count.sum()))
+        raw = [w.encode("utf-8", "replace") for w in words]
+        spelt = b"".join(map(self.bytes.__getitem__, flat.tolist()))
+        upto = np.append(0, np.cumsum(self.size[flat]))[np.cumsum(count)]
+        wrong = np.diff(upto, prepend=0) != np.fromiter(map(len, raw), np.int64, len(raw))
+        if wrong.any() or spelt != b"".join(raw):
+            wrong = [spelt[a:b] != r for a, b, r in zip([0, *upto[:-1].tolist()], upto.tolist(), raw, strict=True)]
+        known = len(self.start)
+        self.number.update(zip(words, range(known, known + len(words))))
+        self.start.frombytes((len(self.flat) + np.cumsum(count) - count).tobytes())
+        self.count.frombytes(count.tobytes())
+        self.flat.frombytes(flat.tobytes())
+        self.wrong.frombytes(np.asarray(wrong, np.int8).tobytes())
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids, ids per text, and whether they spell the text."""
@@ -122,6 +139,8 @@ def level_encoder(path: str) -> WordEncoder:
     find = regex.compile(_WORDS).findall
 
     def split(text: str) -> list[str]:
+        if by_word and _LATIN.fullmatch(text):
+            return _LATIN_WORDS.findall(text)
         return find(text) if by_word and not _ELSE.search(text) else [text]
 
     return WordEncoder(split, lambda words: [e.ids for e in made.encode_batch_fast(words, add_special_tokens=False)], spelling)
@@ -156,6 +175,12 @@ def piece_encoder(path: str) -> WordEncoder:
 # --- divide and conquer -------------------------------------------------------------------------
 
 
+def _ends_before(ends: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` bytes how many ends lie before it."""
+    here = np.bincount(ends, minlength=size)
+    return np.cumsum(here) - here
+
+
 def groups(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of A and of B up to the end of each group, in order.
 
@@ -164,6 +189,7 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: np.ndarray, upto_b: n
     lo_a, hi_a = np.append(0, upto_a[:-1]), upto_a
     lo_b, hi_b = np.append(0, upto_b[:-1]), upto_b
     tried = np.zeros(len(hi_a), np.int64)
+    before_b = _ends_before(ends_b, int(ends_a[-1]) + 1)
     done_a, done_b = [], []
     while len(lo_a):
         inner = hi_a - lo_a - 1  # ends of A inside the interval
@@ -178,7 +204,7 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: np.ndarray, upto_b: n
         first = np.cumsum(width) - width
         step = tried[at] + np.arange(len(at)) - first[at]
         end = lo_a[at] + (inner[at] - 1) // 2 + np.where(step % 2, (step + 1) // 2, -(step // 2))
-        other = np.searchsorted(ends_b, ends_a[end])
+        other = before_b[ends_a[end]]
         hit = ends_b[other] == ends_a[end]
         best = np.minimum.reduceat(np.where(hit, np.arange(len(at)), len(at)), first)
         cut = best < len(at)
@@ -194,9 +220,11 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray, upto_a: np.ndarray, upto_b: n
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the tokens of A and B that overlap: one pair for each stretch between two ends of either."""
-    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two ascending runs
-    ends = ends[np.append(ends[1:] != ends[:-1], True)]
-    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    size = int(max(ends_a[-1], ends_b[-1])) + 1
+    either = np.zeros(size, bool)
+    either[ends_a] = either[ends_b] = True
+    ends = np.flatnonzero(either)
+    return _ends_before(ends_a, size)[ends], _ends_before(ends_b, size)[ends]
 
 
 class Aligner:

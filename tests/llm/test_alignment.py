@@ -119,3 +119,21 @@ def test_groups():
 def test_packed_codes():
     codes = np.array([0, 0, 5, 5, 1_608_223_999, 10**15])
     assert alignment.unpacked(alignment.packed(codes)).tolist() == codes.tolist()
+
+
+def test_latin_words_are_the_rule():
+    """The plain pattern for Latin texts cuts as the vocabulary's rule does, and takes no other text."""
+    import regex
+
+    chars = [chr(c) for c in range(0x3000) if alignment._LATIN.fullmatch(chr(c))]
+    assert len(chars) > 300 and not {"\x1c", "\xa0", "\x85", "ª", "²", "\u2003", "\u2028", "Ω"} & set(chars)
+    for c in chars:
+        for text in (c, f"a{c}b", f" {c}{c} ", f"1{c}2", f"-{c}\n", f"{c}  x", f"it's{c}'ll"):
+            assert alignment._LATIN_WORDS.findall(text) == regex.findall(alignment._WORDS, text)
+
+
+def test_words_with_another_spelling_are_found():
+    """Among words learnt together, those whose ids spell something else are told apart."""
+    encoder = alignment.WordEncoder(lambda t: t.split("|"), lambda words: [[0, 1] if w == "xy" else [2] for w in words], [b"x", b"y", b"z"])
+    ids, count, right = encoder(["xy", "q", "z", "zz"])
+    assert (ids.tolist(), count.tolist(), right.tolist()) == ([0, 1, 2, 2, 2], [2, 1, 1, 1], [True, False, True, False])
