@@ -1,24 +1,26 @@
 """Language-model scores from a hierarchical Pitman-Yor process.
 
-The top restaurant serves words: a word with c customers at t tables has the predictive probability
+A text is read word by word, each in the context of the word before it (at the start, of the end token). Every context u has a
+restaurant that serves words: a word with c customers at t tables there has the predictive probability
 
-    (c - d t + (theta + d T) P0(word)) / (theta + N)
+    (c - d t + (theta + d T) P(word)) / (theta + C)
 
-where N counts customers and T tables. Every table is one draw of its word from the base P0, a spelling
-model that is itself a hierarchy of restaurants: one per context of two bytes, whose parents are the
-contexts of one byte, whose common parent is the restaurant without context, whose base is uniform over bytes and
-the end of the word. Each table of a restaurant is a customer of its parent. So unseen words have a probability, and what
-one context learns is shared through the parents. (Word pairs as contexts would need nearly one
-shuffled row per token of the corpus; see the README for the figures.)
+where C counts the restaurant's customers and T its tables. Every table is a customer of the restaurant without context, whose
+predictive probability P has the same form; its tables are draws from P0, a spelling model that is itself a hierarchy of
+restaurants: one per context of two bytes, whose parents are the contexts of one byte, whose common parent is the restaurant
+without context, whose base is uniform over bytes and the end of the word. So unseen words and unseen pairs have a probability, and
+what one context learns is shared through the parents.
 
 Seating is sampled by Gibbs: in each round every (restaurant, dish) gets its customers seated anew given
-all other seating (``seat``). Words are seated in parallel on Spark; the byte
-restaurants have at most 257 ** 3 cells whatever the corpus, and are seated on the driver. The
-predictive probabilities of the rounds after ``BURN_IN`` are averaged.
+all other seating (``seat``). A pair of words with one customer has one table, whatever the round: such pairs are constants, and only
+pairs with two customers or more (``seated``) are kept and seated. Pairs and words are seated in parallel on Spark, and in each
+round tell each other their tables, probabilities and contexts by shuffles; the byte restaurants have at most 257 ** 3 cells whatever
+the corpus, and are seated on the driver. After ``BURN_IN`` rounds, the means over the rounds of the tables t and T of the contexts
+and of the predictive probability P enter the formula above; so the words of every context still add up to one.
 
-Texts meet the model in blocks: a block of texts is reduced to its distinct words and, per text, to
-numbers and counts of words; the words fetch their probabilities and return to the block. A word is at most one row
-per block, however frequent.
+Texts meet the model in blocks: a block has numbers for its distinct words and asks, in one packed list per bucket of words
+and of pairs, for their counts; the answers come back in the order of the lists. Words are told apart by their XXH64;
+two words of the corpus with the same one fail the query.
 
 Texts whose crc32(id as text) mod 5 is 1 are held out; a NULL id is never held out. NULL and empty texts are one
 end token. Repeated rows count as often as they stand there and get the same scores. An empty table gives an empty
@@ -27,13 +29,15 @@ one; without training texts the model is the uniform spelling model. Other colum
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
+from copy import copy
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,6 +49,7 @@ FOLDS, HELD = 5, 1
 ROUNDS, BURN_IN = 5, 2
 #: Up to so many customers of a dish, its number of tables is drawn from the exact conditional distribution.
 EXACT = 128
+PAIR_DISCOUNT, PAIR_STRENGTH = 0.75, 5.0
 WORD_DISCOUNT, WORD_STRENGTH = 0.6, 100.0
 BYTE_DISCOUNT, BYTE_STRENGTH = 0.5, 5.0
 #: Tokens after which a task begins a new block.
@@ -62,84 +67,196 @@ def held_out(doc_id: int | None) -> bool:
 # --- texts to blocks -------------------------------------------------------------------------------
 
 
-def blocks(docs: DataFrame, tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Two kinds of rows per block: texts (kind 1) as packed word numbers and counts, and words (kind 0) with
-    their number and their count in training texts. The end token is the empty word."""
+def blocks(docs: DataFrame, buckets: int, tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Three kinds of rows per block: texts (kind 1) as packed word numbers, and per bucket its words (kind 0) and its pairs of
+    words that follow each other (kind 2), with their counts in training texts. The end token is the empty word.
+
+    Words are numbered by bucket and hash, pairs stand in the order of ``pair_order``."""
+
+    def rows(block: int, ids: list, seqs: list[np.ndarray], number: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        names = list(number)
+        h = hashes(names)
+        order = np.lexsort((h, h % np.uint64(buckets)))
+        h, names = h[order], [names[i] for i in order.tolist()]
+        place = np.empty(len(h), np.int64)
+        place[order] = np.arange(len(h))
+        of = (h % np.uint64(buckets)).astype(np.int64)
+        held = [held_out(i) for i in ids]
+        sizes = np.array([len(s) for s in seqs], np.int64)
+        after = place[np.concatenate(seqs)]
+        learnt = np.repeat(~np.array(held), sizes)
+        ends = np.cumsum(sizes)
+        for lo in range(0, len(ids), 512):
+            hi = min(lo + 512, len(ids))
+            yield _rows(
+                block=np.full(hi - lo, block), kind=np.ones(hi - lo, np.int32), doc_id=ids[lo:hi], held_out=held[lo:hi], n_tokens=sizes[lo:hi],
+                data=[_pack(after[b - n : b].astype(np.uint32)) for b, n in zip(ends[lo:hi].tolist(), sizes[lo:hi].tolist(), strict=True)],
+            )
+        count = np.bincount(after[learnt], minlength=len(h)).astype(np.uint32)
+        size = np.array([len(w) for w in names], np.uint32)
+        made, edge = [], np.searchsorted(of, np.arange(buckets + 1))
+        for k in np.unique(of).tolist():
+            lo, hi = int(edge[k]), int(edge[k + 1])
+            made.append((0, k, _pack(size[lo:hi], count[lo:hi]), _pack(np.frombuffer(b"".join(names[lo:hi]), np.uint8))))
+        pair, count = _distinct(_pairs(after, ends, int(place[0]), len(h)), learnt)
+        into, order = pair_order(pair, of, buckets)
+        pair, count, into = pair[order], count[order].astype(np.uint32), into[order]
+        edge = np.searchsorted(into, np.arange(buckets + 1))
+        for k in np.unique(into).tolist():
+            lo, hi = int(edge[k]), int(edge[k + 1])
+            made.append((2, k, _pack(h[pair[lo:hi] // len(h)], h[pair[lo:hi] % len(h)], count[lo:hi]), None))
+        kind, bucket, data, text = zip(*made, strict=True)
+        for lo in range(0, len(made), 64):
+            part = slice(lo, lo + 64)
+            n = len(kind[part])
+            yield _rows(block=np.full(n, block), kind=kind[part], bucket=bucket[part], data=data[part], text=text[part])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
         number: dict[bytes, int] = {b"": 0}
-        train = [np.zeros(0, np.int64)]
-        size = 0
-
-        def words() -> pa.RecordBatch:
-            n = len(number)
-            count = np.zeros(n, np.int64)
-            for x in train:
-                count[: len(x)] += x
-            return _rows(
-                block=pa.array(np.full(n, (task << 24) + serial)), kind=pa.array(np.zeros(n, np.int32)),
-                word=pa.array(list(number), pa.binary()), pos=pa.array(np.arange(n, dtype=np.int32)), c=pa.array(count),
-            )
-
+        ids, seqs, size = [], [], 0
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
-                ids = batch.column(0).to_pylist()
-                held, total, bag, learn = [], [], [], []
-                for i, text in zip(ids, batch.column(1).to_pylist(), strict=True):
-                    some = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
-                    nums = np.fromiter([number.setdefault(w, len(number)) for w in some], np.int32, len(some))
-                    nums = np.append(nums, np.int32(0))
-                    held.append(held_out(i))
-                    total.append(len(nums))
-                    bag.append(_packed(*np.unique(nums, return_counts=True)))
-                    if not held[-1]:
-                        learn.append(nums)
-                if learn:
-                    train.append(np.bincount(np.concatenate(learn)))
-                size += sum(total)
-                yield _rows(
-                    block=pa.array(np.full(len(ids), (task << 24) + serial)), kind=pa.array(np.ones(len(ids), np.int32)),
-                    doc_id=batch.column(0), held_out=pa.array(held), n_tokens=pa.array(total, pa.int64()),
-                    bag=pa.array(bag, pa.binary()),
-                )
+            for i, text in zip(whole.column(0).to_pylist(), whole.column(1).to_pylist(), strict=True):
+                some = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
+                seq = np.zeros(len(some) + 1, np.int32)
+                seq[:-1] = [number.setdefault(w, len(number)) for w in some]
+                ids.append(i)
+                seqs.append(seq)
+                size += len(seq)
                 if size >= tokens:
-                    yield words()
-                    serial, number, train, size = serial + 1, {b"": 0}, [np.zeros(0, np.int64)], 0
+                    yield from rows((task << 24) + serial, ids, seqs, number)
+                    serial, number, ids, seqs, size = serial + 1, {b"": 0}, [], [], 0
         if size:
-            yield words()
+            yield from rows((task << 24) + serial, ids, seqs, number)
 
     return docs.mapInArrow(tidied(run), ", ".join(f"{n} {t}" for n, (t, _) in _KINDS.items()))
 
 
 _KINDS = {
-    "block": ("long", pa.int64()), "kind": ("int", pa.int32()), "doc_id": ("long", pa.int64()),
-    "held_out": ("boolean", pa.bool_()), "n_tokens": ("long", pa.int64()), "bag": ("binary", pa.binary()), "word": ("binary", pa.binary()), "pos": ("int", pa.int32()),
-    "c": ("long", pa.int64()),
+    "block": ("long", pa.int64()), "kind": ("int", pa.int32()), "bucket": ("int", pa.int32()), "doc_id": ("long", pa.int64()),
+    "held_out": ("boolean", pa.bool_()), "n_tokens": ("long", pa.int64()), "data": ("binary", pa.binary()), "text": ("binary", pa.binary()),
 }
 
 
-def _packed(numbers: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending word numbers and their counts: differences and counts, the bytes of one weight together, compressed."""
-    both = np.concatenate([np.diff(numbers, prepend=0), counts]).astype("<u4")
-    planes = both.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return len(both).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+
+
+def _pairs(words: np.ndarray, ends: np.ndarray, end: int, size: int) -> np.ndarray:
+    """Per token size * (word before it) + word; the word before a text's first is the end token."""
+    before = np.roll(words, 1)
+    before[np.append(0, ends[:-1])] = end
+    return before * size + words
+
+
+def _distinct(pairs: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, ascending, and how often they are learnt."""
+    both = np.sort(pairs * 2 + learnt)
+    first = np.flatnonzero(np.append(True, both[1:] >> 1 != both[:-1] >> 1))
+    return both[first] >> 1, np.add.reduceat(both & 1, first)
 
 
-def _unpacked(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
-    size = int.from_bytes(bag[:4], "little")
-    planes = pa.decompress(bag[4:], decompressed_size=4 * size, codec="zstd", asbytes=True)
-    both = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    return np.cumsum(both[: size // 2]), both[size // 2 :]
+def pair_order(pair: np.ndarray, of: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a block's ascending pairs, from those of its words, and the pairs' order by bucket."""
+    into = (of[pair // len(of)] + of[pair % len(of)]) % buckets
+    return into, np.argsort(into, kind="stable")
 
 
-def _rows(**columns: pa.Array) -> pa.RecordBatch:
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, the bytes of one weight together, compressed."""
+    planes = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in map(np.ascontiguousarray, arrays))
+    return len(arrays[0]).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, *types) -> list[np.ndarray]:
+    n, at, out = int.from_bytes(data[:4], "little"), 0, []
+    if not n:
+        return [np.zeros(0, t) for t in types]
+    widths = [np.dtype(t).itemsize for t in types]
+    planes = np.frombuffer(pa.decompress(data[4:], decompressed_size=n * sum(widths), codec="zstd", asbytes=True), np.uint8)
+    for t, width in zip(types, widths, strict=True):
+        out.append(np.ascontiguousarray(planes[at : at + n * width].reshape(width, n).T).view(t).ravel())
+        at += n * width
+    return out
+
+
+def _rows(**columns) -> pa.RecordBatch:
     n = len(columns["block"])
-    made = [columns.get(k, None) if k in columns else pa.nulls(n, t) for k, (_, t) in _KINDS.items()]
+    made = [pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, (_, t) in _KINDS.items()]
     return pa.RecordBatch.from_arrays(made, names=list(_KINDS))
 
 
+# --- buckets: counts over all blocks ---------------------------------------------------------------
+
+_BUCKET = "bucket int, block long, data binary, word binary, pos long, h long, c long"
+
+
+def _bucket_rows(**columns) -> pa.Table:
+    kinds = {"bucket": pa.int32(), "block": pa.int64(), "data": pa.binary(), "word": pa.binary(), "pos": pa.int64(), "h": pa.int64(), "c": pa.int64()}
+    n = len(columns["bucket"])
+    return pa.table({k: pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()})
+
+
+def count_words(asked: pa.Table) -> pa.Table:
+    """Of one bucket: its words with their places and counts, and per block the places of the words it asked for."""
+    counts, lists = [], []
+    for data, text in zip(asked.column("data").to_pylist(), asked.column("text").to_pylist(), strict=True):
+        size, count = _unpack(data, np.uint32, np.uint32)
+        at = np.append(0, np.cumsum(size)).astype(np.int64)
+        lists.append(pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(_unpack(text, np.uint8)[0])]))
+        counts.append(count)
+    coded = pa.concat_arrays(lists).dictionary_encode()
+    place, n = coded.indices.to_numpy().astype(np.uint32), len(coded.dictionary)
+    c = np.bincount(place, weights=np.concatenate(counts), minlength=n).astype(np.int64)
+    bucket, ends = asked.column("bucket")[0].as_py(), np.cumsum([len(x) for x in counts])
+    h = hashes(coded.dictionary.to_pylist())
+    if len(np.unique(h)) < n:
+        raise ValueError("two words have the same hash")
+    words = _bucket_rows(bucket=np.full(n, bucket), word=coded.dictionary.cast(pa.binary()), pos=np.arange(n), h=h.view(np.int64), c=c)
+    routes = _bucket_rows(
+        bucket=np.full(len(ends), bucket), block=asked.column("block").combine_chunks(),
+        data=[_pack(x) for x in np.split(place, ends[:-1])],
+    )
+    return pa.concat_tables([words, routes])
+
+
+def count_pairs(asked: pa.Table) -> pa.Table:
+    """Of one bucket: the pairs with two customers or more, and per block which of them it asked for.
+
+    The pairs are one row: ``word`` holds the hashes of their words, ascending, and ``data`` per pair the places there
+    of context and word, customers, tables and the sum of the kept rounds' tables. Blocks get 0 for a pair that
+    training has not seen, 1 for one seen once, and from 2 on the places of the others.
+    """
+    lists = [_unpack(d, np.uint64, np.uint64, np.uint32) for d in asked.column("data").to_pylist()]
+    u, w, count = (np.concatenate(x) for x in zip(*lists, strict=True))
+    order = np.lexsort((w, u))
+    u, w = u[order], w[order]
+    first = np.append(True, (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
+    start = np.flatnonzero(first)
+    c = np.add.reduceat(count[order].astype(np.int64), start)
+    seated = c > 1
+    answer = np.where(seated, np.cumsum(seated) + 1, c).astype(np.uint32)
+    place = np.empty(len(order), np.uint32)
+    place[order] = answer[np.cumsum(first) - 1]
+    u, w, c = u[start[seated]], w[start[seated]], c[seated]
+    known = np.unique(np.concatenate([u, w]))
+    at = [np.searchsorted(known, x).astype(np.uint32) for x in (u, w)]
+    bucket, ends = asked.column("bucket")[0].as_py(), np.cumsum([len(x[0]) for x in lists])
+    state = _bucket_rows(bucket=[bucket], word=[_pack(known)], data=[_pair_state(*at, c, np.ones(len(c)), np.zeros(len(c)))])
+    routes = _bucket_rows(
+        bucket=np.full(len(ends), bucket), block=asked.column("block").combine_chunks(),
+        data=[_pack(x) for x in np.split(place, ends[:-1])],
+    )
+    return pa.concat_tables([state, routes])
+
+
+_PAIR = (np.uint32, np.uint32, np.int64, np.int64, np.int64)
+
+
+def _pair_state(*columns: np.ndarray) -> bytes:
+    return _pack(*(np.asarray(x).astype(t) for x, t in zip(columns, _PAIR, strict=True)))
+
+
 # --- seating ---------------------------------------------------------------------------------------
 
 
@@ -291,7 +408,7 @@ def transitions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 # --- the model on Spark ------------------------------------------------------------------------------
 
 
-def _spelled(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _spelled(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Byte transitions of all tables: at most 257 ** 3 cells, added up before they reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,31 +425,112 @@ def _spelled(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     rows = words.where("t > 0").select("word", "t").mapInArrow(run, "cell long, n long")
     got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    cell = got["cell"].to_numpy(np.int64)
-    return cell // SYMBOLS, cell % SYMBOLS, got["n"].to_numpy(np.int64)
+    return got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+
+
+def _cells(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, symbols and counts of cells, added up."""
+    cell, n = Spelling._sum(*(np.concatenate(x) for x in zip(*some, strict=True)))
+    return cell // SYMBOLS, cell % SYMBOLS, n
+
+
+class Top:
+    """The restaurant without context in one round: what a word's probability takes beside its own numbers."""
 
+    def __init__(self, spelling: Spelling, total: int, tables: int):
+        self.spelling, self.total, self.tables = copy(spelling), total, tables
+        self.spelling.state = None
 
-def _round(words: DataFrame, spelling: Spelling, total: int, tables: int, number: int, keep: bool, last: bool, seed: int) -> DataFrame:
-    """Adds the predictive probability of the state so far to ``p`` (if ``keep``), then seats all words anew
-    (unless ``last``)."""
+    def base(self, words: list[bytes]) -> np.ndarray:
+        parts = [np.exp(self.spelling.log_base(words[lo : lo + 50_000])) for lo in range(0, len(words), 50_000)]
+        return np.concatenate([np.zeros(0), *parts])
+
+    def predict(self, base: np.ndarray, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        spread = (WORD_STRENGTH + WORD_DISCOUNT * self.tables) * base
+        return (customers - WORD_DISCOUNT * tables + spread) / (WORD_STRENGTH + self.total)
+
+
+#: Words with two customers or more: bucket and place, hash, count in training; customers and tables in the restaurant without
+#: context, tables of the word's own restaurant, sums of the kept rounds' probabilities and own tables, buckets of its pairs.
+_STATE = "home int, pos long, h long, word binary, c long, m long, t long, own long, p double, kept long, asks array<int>"
+_NAMES = [x.split()[0] for x in _STATE.split(", ")]
+
+
+def _told(pairs: DataFrame) -> DataFrame:
+    """Per bucket of pairs and word: how many fewer tables than customers it has there as context (du) and as word (dw)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 50_000):
-                batch = whole.slice(lo, 50_000)
-                c, t, p = (batch.column(k).to_numpy() for k in (1, 2, 3))
-                base = np.exp(spelling.log_base(batch.column(0).to_pylist()))
-                if keep:
-                    spread = (WORD_STRENGTH + WORD_DISCOUNT * tables) * base
-                    p = p + (c - WORD_DISCOUNT * t + spread) / (WORD_STRENGTH + total)
-                if not last:
-                    t = seat(c, base, tables - t, WORD_STRENGTH, WORD_DISCOUNT, rng)
+        for batch in batches:
+            for bucket, known, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                h = _unpack(known, np.uint64)[0]
+                u, w, c, t, _ = _unpack(data, *_PAIR)
+                fewer = [np.bincount(x, weights=c - t, minlength=len(h)).astype(np.int64) for x in (u, w)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(t), pa.array(p)], names=["word", "c", "t", "p"]
+                    [pa.array(x) for x in (h.view(np.int64), np.full(len(h), bucket, np.int32), *fewer)], names=["h", "bucket", "du", "dw"]
                 )
 
-    return words.mapInArrow(tidied(run), "word binary, c long, t long, p double")
+    return pairs.select("bucket", "word", "data").mapInArrow(tidied(run), "h long, bucket int, du long, dw long")
+
+
+def _seat_words(state: DataFrame, top: Top, number: int, keep: bool, seed: int) -> DataFrame:
+    """Adds the probabilities so far to ``p`` and the tables to ``kept`` (if ``keep``), takes over what the pairs
+    tell and seats the words anew. Rows without a word are messages of ``_told`` and lie in their words' partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)
+        if not sum(x.num_rows for x in got):
+            return
+        rows = pa.Table.from_batches(got)
+        told = pc.is_null(rows.column("word"))
+        messages, rows = rows.filter(told), rows.filter(pc.invert(told)).sort_by("h")
+        h, c, m, t, own, p, kept = (rows.column(x).to_numpy() for x in ("h", "c", "m", "t", "own", "p", "kept"))
+        base = top.base(rows.column("word").to_pylist())
+        if keep:
+            p, kept = p + top.predict(base, m, t), kept + own
+        messages = messages.sort_by([("h", "ascending"), ("bucket", "ascending")])
+        at = np.searchsorted(h, messages.column("h").to_numpy())
+        du, dw = (np.bincount(at, weights=messages.column(x).to_numpy(), minlength=len(h)).astype(np.int64) for x in ("du", "dw"))
+        rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])
+        new = seat(c - dw, base, top.tables - t, WORD_STRENGTH, WORD_DISCOUNT, rng)
+        upto = np.append(0, np.cumsum(np.bincount(at, minlength=len(h)))).astype(np.int32)
+        asks = pa.ListArray.from_arrays(pa.array(upto), messages.column("bucket").combine_chunks())
+        made = dict(m=c - dw, t=new, own=c - du, p=p, kept=kept, asks=asks)
+        out = pa.table([made.get(x, rows.column(x)) for x in _NAMES], names=_NAMES)
+        yield from out.to_batches(max_chunksize=50_000)
+
+    return state.mapInArrow(tidied(run), _STATE)
+
+
+def _seat_pairs(pairs: DataFrame, state: DataFrame, top: Top, number: int, keep: bool, seed: int) -> DataFrame:
+    """Words tell the buckets of their pairs their probability and tables; pairs are seated anew."""
+
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, m, t, own = (batch.column(x).to_numpy() for x in ("h", "m", "t", "own"))
+            p = top.predict(top.base(batch.column("word").to_pylist()), m, t)
+            asks = batch.column("asks")
+            at = np.repeat(np.arange(len(h)), pc.list_value_length(asks).to_numpy())
+            yield pa.RecordBatch.from_arrays([asks.flatten(), *(pa.array(x[at]) for x in (h, p, own))], names=["bucket", "h", "p", "own"])
+
+    def take(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:  # no pairs here, or no row to keep
+            known = [_pack(np.zeros(0, np.uint64))] * left.num_rows
+            return left.append_column("word", pa.array(known, pa.binary())).select(["bucket", "word", "data"])
+        h = right.column("h").to_numpy().view(np.uint64)
+        order = np.argsort(h)
+        p, own = (right.column(x).to_numpy()[order] for x in ("p", "own"))
+        bucket = left.column("bucket")[0].as_py()
+        u, w, c, t, kept = _unpack(left.column("data")[0].as_py(), *_PAIR)
+        kept = kept + t if keep else kept
+        t = seat(c, p[w], own[u] - t, PAIR_STRENGTH, PAIR_DISCOUNT, np.random.default_rng([seed, number, bucket]))
+        data = _pair_state(u, w, c, t, kept)
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "word": pa.array([_pack(h[order])], pa.binary()), "data": pa.array([data], pa.binary())})
+
+    asked = state.where("size(asks) > 0").select("h", "word", "m", "t", "own", "asks")
+    told = asked.mapInArrow(tidied(reply), "bucket int, h long, p double, own long")
+    return (
+        pairs.select("bucket", "data").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(take, "bucket int, word binary, data binary")
+    )
 
 
 class _Tables:
@@ -351,31 +549,62 @@ class _Tables:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def train(words: DataFrame, rounds: int = ROUNDS, burn_in: int = BURN_IN, seed: int = SEED):
-    """(word, c, spelt) for all words, N, V, and the log10 probability of an unknown word.
+def train(words: DataFrame, pairs: DataFrame, rounds: int = ROUNDS, burn_in: int = BURN_IN, seed: int = SEED):
+    """From the words and pairs of all buckets: (home, pos, c, p, own) of all words, the pairs' (bucket, data), and how many rounds
+    they sum up.
 
-    ``spelt`` is log10 of the word's averaged predictive probability. Taken as one outcome, as the base score takes
-    them, all words that training has not seen have the probability that the known words leave.
+    ``p`` is the word's mean predictive probability without context, ``own`` the mean number of tables of its own restaurant.
     """
     store = _Tables(words.sparkSession)
-    state, path = store.keep(
-        words.groupBy("word").agg(F.sum("c").alias("c")).select(
-            "word", "c", F.least("c", F.lit(1)).cast("long").alias("t"), F.lit(0.0).alias("p")
-        )
-    )
-    spelling, rng = Spelling(), np.random.default_rng(seed)
-    total, distinct = 0, 0
+    words = words.select(F.col("bucket").alias("home"), "pos", "h", "word", "c")
+    once = words.where("c = 1").agg(F.count("*")).collect()[0][0]
+    single = _spelled(words.where("c = 1").withColumn("t", F.col("c")))
+    start = {"m": F.col("c"), "t": F.lit(1).cast("long"), "own": F.col("c"), "p": F.lit(0.0), "kept": F.lit(0).cast("long")}
+    state = words.where("c > 1").withColumns(start | {"asks": F.array().cast("array<int>")}).select(_NAMES)
+    spelling, rng, tops = Spelling(), np.random.default_rng(seed), []
+
+    def now(rounds: int) -> Top:
+        customers, tables = (x or 0 for x in state.agg(F.sum("m"), F.sum("t")).collect()[0])
+        spelling.gibbs(*_cells(single, _spelled(state)), rng, rounds)
+        return Top(spelling, customers + once, tables + once)
+
+    def told() -> DataFrame:
+        return _told(pairs).withColumns({n: F.lit(None).cast(k) for n, k in (x.split() for x in _STATE.split(", ")) if n != "h"})
+
+    silent = {n: F.lit(None).cast(k) for n, k in (("bucket", "int"), ("du", "long"), ("dw", "long"))}
+    state, path = store.keep(_seat_words(state.withColumns(silent).unionByName(told()).repartition("h"), now(3), 0, False, seed))
+    gone = []
     for number in range(rounds + 1):
-        sums = state.agg(F.sum("c"), F.sum("t"), F.count(F.when(F.col("c") > 0, 1))).collect()[0]
-        total, tables, distinct = sums[0] or 0, sums[1] or 0, sums[2]
-        spelling.gibbs(*_spelled(state), rng, rounds=3 if number == 0 else 1)
-        new = _round(state, spelling, total, tables, number, number > burn_in, number == rounds, seed)
-        new, fresh = store.keep(new)
-        store.drop(path)
-        state, path = new, fresh
-    p = F.col("p") / (rounds - burn_in)
-    known = state.where("c > 0").agg(F.sum(p)).collect()[0][0] or 0.0
-    return state.select("word", "c", F.log10(p).alias("spelt")), total, distinct, math.log10(max(1.0 - known, 1e-300))
+        top, keep = now(1), number > burn_in
+        if keep:
+            tops.append(top)
+        if number == rounds:
+            break
+        pairs, seats = store.keep(_seat_pairs(pairs, state, top, number, keep, seed))
+        asked, lone = (state.where(x).withColumns(silent) for x in ("size(asks) > 0", "size(asks) = 0"))
+        fresh = _seat_words(asked.unionByName(told()).repartition("h"), top, 2 * number + 1, keep, seed)
+        gone += [path]
+        state, path = store.keep(fresh.unionByName(_seat_words(lone, top, 2 * number + 2, keep, seed)))
+        for old in gone:
+            store.drop(old)
+        gone = [seats]
+    n = len(tops)
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, t, own, p, kept = (batch.column(x).to_numpy() for x in ("m", "t", "own", "p", "kept"))
+            p = (p + tops[-1].predict(tops[-1].base(batch.column("word").to_pylist()), m, t)) / n
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("home", "pos", "c")), pa.array(p), pa.array((kept + own) / n)], names=names)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c, some = batch.column("c").to_numpy(), batch.column("word").to_pylist()
+            p = sum(x.predict(x.base(some), c, c) for x in tops) / n
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("home", "pos", "c")), pa.array(p), pa.array(c.astype(np.float64))], names=names)
+
+    names, schema = ["home", "pos", "c", "p", "own"], "home int, pos long, c long, p double, own double"
+    model = state.drop("asks").mapInArrow(tidied(seen), schema).unionByName(words.where("c < 2").mapInArrow(tidied(rare), schema))
+    return model, pairs.select("bucket", "data"), n
 
 
 def score(
@@ -388,38 +617,78 @@ def score(
     perplexities compare; ``spelt_score`` is the probability of the very words, letter by letter where unknown.
     """
     store = _Tables(docs.sparkSession)
-    made, _ = store.keep(blocks(id_and_text(docs, id_col, text_col)))
-    words = made.where("kind = 0").select("block", "word", "pos", "c")
-    model, total, distinct, unknown = train(words.select("word", "c"), rounds, burn_in, seed)
-    # Back to the blocks, some thousand words to a row.
-    answers = (
-        words.drop("c")
-        .join(model, "word")
-        .select("block", "pos", "c", "spelt")
-        .repartition("block")
-        .groupBy("block", F.floor(F.col("pos") / 4096).alias("part"))
-        .agg(F.collect_list(F.struct("pos", "c", "spelt")).alias("words"))
-    )
-    texts = made.where("kind = 1").select(F.col("block").alias("home"), "doc_id", "held_out", "n_tokens", "bag")
+    texts = id_and_text(docs, id_col, text_col)
+    buckets = 2 * max(1, texts.rdd.getNumPartitions())
+    made, _ = store.keep(blocks(texts, buckets))
+    asked = made.select("block", "kind", "bucket", "data", "text")
+    words, _ = store.keep(asked.where("kind = 0").groupBy("bucket").applyInArrow(count_words, _BUCKET))
+    pairs, _ = store.keep(asked.where("kind = 2").groupBy("bucket").applyInArrow(count_pairs, _BUCKET))
+    known = words.where("block IS NULL")
+    total, distinct = (x or 0 for x in known.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).collect()[0])
+    model, seated, kept = train(known, pairs.where("block IS NULL"), rounds, burn_in, seed)
+    model, _ = store.keep(model)
+    unknown = max(1.0 - (model.where("c > 0").agg(F.sum("p")).collect()[0][0] or 0.0), 1e-300)
     flat = 0.5 * (distinct + 1) + total
 
+    def of_words(left: pa.Table, right: pa.Table) -> pa.Table:
+        pos = right.column("pos").to_numpy()
+        c, p, own = (np.empty(len(pos), t) for t in _ANSWER)
+        c[pos], p[pos], own[pos] = (right.column(x).to_numpy() for x in ("c", "p", "own"))
+        return told(left, 0, [_pack(c[at], p[at], own[at]) for at in places(left)])
+
+    def of_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, _, c, t, sums = _unpack(right.column("data")[0].as_py(), *_PAIR)
+        left_over = np.concatenate([[0.0, 1 - PAIR_DISCOUNT], c - PAIR_DISCOUNT * (sums + t) / kept])
+        return told(left, 1, [_pack(left_over[at]) for at in places(left)])
+
+    def places(left: pa.Table) -> Iterator[np.ndarray]:
+        return (_unpack(x, np.uint32)[0] for x in left.column("data").to_pylist())
+
+    def told(left: pa.Table, kind: int, data: list[bytes]) -> pa.Table:
+        kinds = pa.array(np.full(left.num_rows, kind, np.int32))
+        return pa.table([left.column("block"), kinds, left.column("bucket"), pa.array(data, pa.binary())], names=["block", "kind", "bucket", "data"])
+
+    schema, route = "block long, kind int, bucket int, data binary", ["bucket", "block", "data"]
+    answers = (
+        words.where("block IS NOT NULL").select(route).groupBy("bucket").cogroup(model.groupBy("home")).applyInArrow(of_words, schema)
+    ).unionByName(
+        pairs.where("block IS NOT NULL").select(route).groupBy("bucket").cogroup(seated.groupBy("bucket")).applyInArrow(of_pairs, schema)
+    )
+
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = right.column("words").combine_chunks().flatten()
-        pos, c, spelt = (found.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-        value = np.empty((4, len(pos)))
-        value[:, pos] = c > 0, np.log10((c + 0.5) / flat), np.where(c > 0, spelt, unknown), spelt
-        sums = np.empty((4, left.num_rows))
-        for i, bag in enumerate(left.column("bag").to_pylist()):
-            numbers, counts = _unpacked(bag)
-            sums[:, i] = value[:, numbers] @ counts
+        right = right.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        lists = {0: [], 1: []}
+        of = []
+        for kind, bucket, data in zip(*(right.column(x).to_pylist() for x in ("kind", "bucket", "data")), strict=True):
+            lists[kind].append(_unpack(data, *(_ANSWER if kind == 0 else _ANSWER[1:2])))
+            if kind == 0:
+                of.append(np.full(len(lists[0][-1][0]), bucket))
+        c, p, own = (np.concatenate(x) for x in zip(*lists[0], strict=True))
+        seqs = [_unpack(x, np.uint32)[0].astype(np.int64) for x in left.column("data").to_pylist()]
+        ends = np.cumsum([len(x) for x in seqs])
+        after = np.concatenate(seqs)
+        code = _pairs(after, ends, int(after[-1]), len(c))
+        pair = np.unique(code)
+        _, order = pair_order(pair, np.concatenate(of), buckets)
+        surplus = np.empty(len(pair))
+        surplus[order] = np.concatenate([x[0] for x in lists[1]])
+        before = code // len(c)
+        surplus, below = surplus[np.searchsorted(pair, code)], PAIR_STRENGTH + PAIR_DISCOUNT * own[before]
+        free = PAIR_STRENGTH + c[before]
+        top = np.where(c > 0, p, unknown)
+        first = np.append(0, ends[:-1])
+        base = np.log10((c + 0.5) / flat)
+        some = (np.where(c > 0, 1, 0)[after], base[after], np.log10((surplus + below * top[after]) / free), np.log10((surplus + below * p[after]) / free))
+        sums = [np.add.reduceat(x, first) for x in some]
         return pa.table(
             {
                 "doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": left.column("n_tokens"),
-                "n_known": sums[0].round().astype(np.int64), "train_tokens": np.full(left.num_rows, total),
+                "n_known": sums[0].astype(np.int64), "train_tokens": np.full(left.num_rows, total),
                 "base_score": sums[1], "score": sums[2], "spelt_score": sums[3],
             }
         )
 
+    texts = made.where("kind = 1").select(F.col("block").alias("home"), "doc_id", "held_out", "n_tokens", "data")
     return (
         texts.groupBy("home")
         .cogroup(answers.groupBy("block"))
@@ -431,6 +700,10 @@ def score(
     )
 
 
+#: Of a word: its count in training, mean probability without context, and mean tables of its own restaurant.
+_ANSWER = (np.int64, np.float64, np.float64)
+
+
 def perplexity(scored: DataFrame) -> DataFrame:
     """(held_out, tokens, perplexity, base_perplexity) of training and held-out texts."""
     tokens = F.sum("n_tokens")

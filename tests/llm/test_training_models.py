@@ -355,6 +355,59 @@ def test_seating_follows_its_conditional():
     assert (many >= 1).all() and many.max() < 5000
 
 
+def test_word_contexts_by_hand(spark, monkeypatch):
+    """Scores against the formula over plain counts of words and pairs; the words of every context add up to one."""
+    texts = {0: "a b a b c a b", 1: "b a b d a b c", 2: "c c c a b", 4: "", 6: None, 9: "b a a B c", 11: "d e f"}
+    asked = {3: "a b zzz b a", 5: "b a zzz b a", 7: "zzz", 8: "e d a b"}
+    assert [pitman.held_out(i) for i in (*texts, *asked)] == [False] * len(texts) + [True] * len(asked)
+    made, plain = [], pitman.train
+    monkeypatch.setattr(pitman, "train", lambda *a: made.append((a, plain(*a))) or made[0][1])
+    d = spark.createDataFrame([*texts.items(), *asked.items()], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in pitman.score(d).collect()}
+    (all_words, all_pairs, *_), (model, pairs, kept) = made[0]
+    tokens = {i: [*words(lower(t or "")), ""] for i, t in (texts | asked).items()}
+    follows = {i: list(zip(["", *t[:-1]], t, strict=True)) for i, t in tokens.items()}
+    one = collections.Counter(w for i in texts for w in tokens[i])
+    two = collections.Counter(x for i in texts for x in follows[i])
+    named = {(r["bucket"], r["pos"]): r["word"].decode() for r in all_words.collect()}
+    assert sorted(named.values()) == sorted({w for t in tokens.values() for w in t})
+    mean = {named[r["home"], r["pos"]]: r for r in model.collect()}
+    assert {w: r["c"] for w, r in mean.items() if r["c"]} == one
+    by_hash = {xxhash.xxh64_intdigest(w.encode(), 42): w for w in mean}
+    known = {r["bucket"]: [by_hash[h] for h in pitman._unpack(r["word"], np.uint64)[0].tolist()] for r in all_pairs.collect()}
+    tables = {x: 1.0 for x, n in two.items() if n == 1}
+    for r in pairs.collect():
+        for u, w, c, t, before in zip(*pitman._unpack(r["data"], *pitman._PAIR), strict=True):
+            x = known[r["bucket"]][u], known[r["bucket"]][w]
+            tables[x] = float(t + before) / kept
+            assert two[x] == c and 1 <= tables[x] <= c
+    assert set(tables) == set(two) and max(tables.values()) > 1
+    unknown = 1 - sum(r["p"] for r in mean.values() if r["c"])
+    theta, part = pitman.PAIR_STRENGTH, pitman.PAIR_DISCOUNT
+
+    def chance(u, w, p):
+        served = sum(t for (v, _), t in tables.items() if v == u)
+        assert mean[u]["own"] == pytest.approx(served)
+        left = two[u, w] - part * tables[u, w] if two[u, w] else 0
+        return (left + (theta + part * served) * p) / (theta + one[u])
+
+    for u in mean:
+        assert sum(chance(u, w, mean[w]["p"]) for w in one) + chance(u, "zzz", unknown) == pytest.approx(1)
+    for i, t in follows.items():
+        want = sum(math.log10(chance(u, w, mean[w]["p"] if one[w] else unknown)) for u, w in t)
+        assert got[i]["score"] == pytest.approx(want, rel=1e-9)
+        want = sum(math.log10(chance(u, w, mean[w]["p"])) for u, w in t)
+        assert got[i]["spelt_score"] == pytest.approx(want, rel=1e-9)
+
+
+def test_word_order_counts(spark):
+    rows = [(i, "the cat sat on the mat and the dog sat on the rug") for i in range(0, 40)]
+    rows += [(1000, "the cat sat on the mat"), (1001, "mat the on sat cat the")]
+    got = {r["doc_id"]: r for r in pitman.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000]["base_score"] == pytest.approx(got[1001]["base_score"])
+    assert got[1000]["score"] > got[1001]["score"] + 3
+
+
 def test_spelling_is_a_distribution():
     spelling = pitman.Spelling()
     context, symbol, _ = pitman.transitions([b"the", b"then", b"", b"ten", b"the"])
