@@ -23,9 +23,10 @@ import json
 import os
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, count, islice
 from math import ceil
 
 import numpy as np
@@ -76,7 +77,7 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = defaultdict(count().__next__)
         self.flat, self.start, self.count, self.wrong = array("q"), array("q"), array("q"), array("b")
 
     def _learn(self, words: list[str]) -> None:
@@ -91,8 +92,6 @@ class WordEncoder:
         wrong = np.diff(upto, prepend=0) != np.fromiter(map(len, raw), np.int64, len(raw))
         if wrong.any() or spelt != b"".join(raw):
             wrong = [spelt[a:b] != r for a, b, r in zip([0, *upto[:-1].tolist()], upto.tolist(), raw, strict=True)]
-        known = len(self.start)
-        self.number.update(zip(words, range(known, known + len(words))))
         self.start.frombytes((len(self.flat) + np.cumsum(count) - count).tobytes())
         self.count.frombytes(count.tobytes())
         self.flat.frombytes(flat.tobytes())
@@ -108,8 +107,8 @@ class WordEncoder:
             some = some if sum(map(len, some)) == len(t) else [t]
             words += some
             each.append(len(some))
-        self._learn([w for w in dict.fromkeys(words) if w not in self.number])
         at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self._learn(list(islice(self.number, len(self.start), None)))  # the words that have just got a number
         count = np.frombuffer(self.count, np.int64)[at]
         upto = np.cumsum(count)
         place = np.repeat(np.frombuffer(self.start, np.int64)[at] - upto + count, count) + np.arange(upto[-1])

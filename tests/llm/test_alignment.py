@@ -4,6 +4,7 @@ import bisect
 import collections
 import hashlib
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -137,3 +138,21 @@ def test_words_with_another_spelling_are_found():
     encoder = alignment.WordEncoder(lambda t: t.split("|"), lambda words: [[0, 1] if w == "xy" else [2] for w in words], [b"x", b"y", b"z"])
     ids, count, right = encoder(["xy", "q", "z", "zz"])
     assert (ids.tolist(), count.tolist(), right.tolist()) == ([0, 1, 2, 2, 2], [2, 1, 1, 1], [True, False, True, False])
+
+
+def test_words_are_looked_up_once():
+    """An encoder hashes every word of a text once, and a new word once more to encode it."""
+    looked = []
+
+    class Word(str):
+        def __hash__(self):
+            looked.append(self)
+            return super().__hash__()
+
+    encode = alignment.WordEncoder(lambda t: [Word(w) for w in re.findall(" [^ ]*", t)], lambda many: [list(w.encode()) for w in many], [bytes([i]) for i in range(256)])
+    texts = [" a bc a", " bc", " d a a"]
+    for new in (3, 0):
+        looked.clear()
+        ids, count, right = encode(texts)
+        assert bytes(ids.tolist()).decode() == "".join(texts) and count.tolist() == list(map(len, texts)) and right.all()
+        assert len(looked) <= 7 + new
