@@ -159,12 +159,11 @@ class Lattices:
                 raw = "".join([words[w] for w in some.tolist()]).encode("utf-32-le", "surrogatepass")
                 parts.append(self._group(some, np.frombuffer(raw, "<u4").reshape(len(some), int(n)), known))
         node = np.concatenate([p[0] for p in parts])
-        length = np.concatenate([p[1] for p in parts])
-        place = np.argsort(node * 1024 - length)  # by node, the longest first
-        self.length = length[place].astype(np.int8)
-        self.piece = np.concatenate([p[2] for p in parts])[place].astype(np.int32)
-        self.logp = np.concatenate([p[3] for p in parts])[place]
-        self.edge = np.searchsorted(node[place], np.arange(total + 1))
+        self.edge = np.append(0, np.cumsum(np.bincount(node, minlength=total)))
+        place = self.edge[node] + np.concatenate([p[4] for p in parts])  # by node, the longest first
+        self.length, self.piece, self.logp = np.empty(len(node), np.int8), np.empty(len(node), np.int32), np.empty(len(node))
+        for to, k in ((self.length, 1), (self.piece, 2), (self.logp, 3)):
+            to[place] = np.concatenate([p[k] for p in parts])
         chance = np.exp(self.logp)
         upto = np.cumsum(chance)
         self.upto = upto - np.repeat((upto - chance)[self.edge[:-1]], np.diff(self.edge))
@@ -200,12 +199,14 @@ class Lattices:
                 weight[0, here] = model.per_byte * len(raw)
             reach = weight + beta[i + 1 : i + most + 1]
             best = reach.max(axis=0)
-            beta[i] = best + np.log(np.exp(reach - best).sum(axis=0))
-            single = np.isfinite(reach).sum(axis=0) == 1
-            beta[i] = np.where(single, best, beta[i])
-            size, word = np.nonzero(np.isfinite(reach))
-            out.append((base[word] + i, size + 1, found[size, word], np.minimum(reach[size, word] - beta[i][word], 0.0)))
-        return [np.concatenate([o[k] for o in out]) for k in range(4)]
+            there = found != model.size
+            size, word = np.nonzero(there)
+            reach = reach[size, word]
+            single = np.bincount(word, minlength=count) == 1
+            beta[i] = np.where(single, best, best + np.log(np.bincount(word, np.exp(reach - best[word]), count)))
+            longer = np.cumsum(there[::-1], axis=0, dtype=np.int8)[::-1][size, word] - 1
+            out.append((base[word] + i, size + 1, found[size, word], np.minimum(reach - beta[i][word], 0.0), longer))
+        return [np.concatenate([o[k] for o in out]) for k in range(5)]
 
     def walk(self, words: np.ndarray, keys: np.ndarray):
         """A random path through each word: (pieces, pieces per word, log probability of each)."""

@@ -296,6 +296,24 @@ def test_pieces_of_several_blanks():
     assert all(model.decode(ids) == (" " + text).encode() for some in found for ids, *_ in some)
 
 
+def test_lattice_weighs_its_edges_alone(monkeypatch):
+    """Exponentials are taken of edges, not of all places where a piece could have been; edges stand longest first."""
+    model, taken, plain = pieces.pieces(pieces.model_path(), pieces.ALPHA), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x: taken.append(np.size(x)) or plain(x))
+    some = ["▁" + w for w in words(lower(prose(3000, 5)))] + ["▁é世", "\n", "▁" * 9 + "a"]
+    made = pieces.Lattices(model, some)
+    assert sum(taken) <= 2 * len(made.length)
+    assert made.edge[0] == 0 and made.edge[-1] == len(made.length) and len(made.edge) == sum(map(len, some)) + 1
+    for lo, hi in zip(made.edge[:-1].tolist(), made.edge[1:].tolist(), strict=True):
+        assert (np.diff(made.length[lo:hi]) < 0).all() and plain(made.logp[lo:hi]).sum() == pytest.approx(1)
+    for w, text in enumerate(some):
+        for at, char in enumerate(text, start=int(made.first[w])):
+            last = int(made.edge[at + 1]) - 1
+            assert made.length[last] == 1
+            number = int(made.piece[last])
+            assert number >= model.size or model.surface[model.starts[number] : model.starts[number] + model.lengths[number]].tobytes().decode() == char.replace("▁", " ")
+
+
 def test_pieces_query_gives_the_segmentations(spark):
     rows = pieces.decode(pieces.op1_pieces(spark, SF_DIR), pieces.model_path()).select("doc_id", "rank", "ids", "n_pieces", "ids_crc32", "decoded").collect()
     texts = {r["doc_id"]: (r["text"] or "").replace("▁", " ") for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
