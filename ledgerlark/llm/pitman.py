@@ -19,8 +19,10 @@ the corpus, and are seated on the driver. After ``BURN_IN`` rounds, the means ov
 and of the predictive probability P enter the formula above; so the words of every context still add up to one.
 
 Texts meet the model in blocks: a block has numbers for its distinct words and asks, in one packed list per bucket of words
-and of pairs, for their counts; the answers come back in the order of the lists. Words are told apart by their XXH64;
-two words of the corpus with the same one fail the query.
+and of pairs, for their counts; the answers come back in the order of the lists. Only the texts and words of the blocks are kept
+in files; their pairs go straight to their buckets, which form a grid (``cell``): a word meets one row of it as context and one
+column as the word after. The seating of a bucket is one packed row, and buckets of words and of pairs tell each other one packed
+list per round. Words are told apart by their XXH64; two words of the corpus with the same one fail the query.
 
 Texts whose crc32(id as text) mod 5 is 1 are held out; a NULL id is never held out. NULL and empty texts are one
 end token. Repeated rows count as often as they stand there and get the same scores. An empty table gives an empty
@@ -30,9 +32,10 @@ one; without training texts the model is the uniform spelling model. Other colum
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from copy import copy
 from functools import cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -67,49 +70,27 @@ def held_out(doc_id: int | None) -> bool:
 # --- texts to blocks -------------------------------------------------------------------------------
 
 
+_BLOCK = "block long, ids array<long>, sizes binary, data binary, width binary, text binary, home binary"
+_BLOCK_NAMES = [x.split()[0] for x in _BLOCK.split(", ")]
+
+
 def blocks(docs: DataFrame, buckets: int, tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Three kinds of rows per block: texts (kind 1) as packed word numbers, and per bucket its words (kind 0) and its pairs of
-    words that follow each other (kind 2), with their counts in training texts. The end token is the empty word.
+    """One row per block: its texts' ids and packed lengths and word numbers, and its words' packed lengths, bytes and buckets.
 
-    Words are numbered by bucket and hash, pairs stand in the order of ``pair_order``."""
+    Words are numbered by how often they stand in the block. The end token is the empty word, the last of every text."""
 
-    def rows(block: int, ids: list, seqs: list[np.ndarray], number: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    def row(block: int, ids: list, seqs: list[np.ndarray], number: dict[bytes, int]) -> pa.RecordBatch:
+        seq, sizes = np.concatenate(seqs), np.array([len(x) for x in seqs], np.uint32)
+        order = np.argsort(-np.bincount(seq, minlength=len(number)), kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
         names = list(number)
-        h = hashes(names)
-        order = np.lexsort((h, h % np.uint64(buckets)))
-        h, names = h[order], [names[i] for i in order.tolist()]
-        place = np.empty(len(h), np.int64)
-        place[order] = np.arange(len(h))
-        of = (h % np.uint64(buckets)).astype(np.int64)
-        held = [held_out(i) for i in ids]
-        sizes = np.array([len(s) for s in seqs], np.int64)
-        after = place[np.concatenate(seqs)]
-        learnt = np.repeat(~np.array(held), sizes)
-        ends = np.cumsum(sizes)
-        for lo in range(0, len(ids), 512):
-            hi = min(lo + 512, len(ids))
-            yield _rows(
-                block=np.full(hi - lo, block), kind=np.ones(hi - lo, np.int32), doc_id=ids[lo:hi], held_out=held[lo:hi], n_tokens=sizes[lo:hi],
-                data=[_pack(after[b - n : b].astype(np.uint32)) for b, n in zip(ends[lo:hi].tolist(), sizes[lo:hi].tolist(), strict=True)],
-            )
-        count = np.bincount(after[learnt], minlength=len(h)).astype(np.uint32)
-        size = np.array([len(w) for w in names], np.uint32)
-        made, edge = [], np.searchsorted(of, np.arange(buckets + 1))
-        for k in np.unique(of).tolist():
-            lo, hi = int(edge[k]), int(edge[k + 1])
-            made.append((0, k, _pack(size[lo:hi], count[lo:hi]), _pack(np.frombuffer(b"".join(names[lo:hi]), np.uint8))))
-        pair, count = _distinct(_pairs(after, ends, int(place[0]), len(h)), learnt)
-        into, order = pair_order(pair, of, buckets)
-        pair, count, into = pair[order], count[order].astype(np.uint32), into[order]
-        edge = np.searchsorted(into, np.arange(buckets + 1))
-        for k in np.unique(into).tolist():
-            lo, hi = int(edge[k]), int(edge[k + 1])
-            made.append((2, k, _pack(h[pair[lo:hi] // len(h)], h[pair[lo:hi] % len(h)], count[lo:hi]), None))
-        kind, bucket, data, text = zip(*made, strict=True)
-        for lo in range(0, len(made), 64):
-            part = slice(lo, lo + 64)
-            n = len(kind[part])
-            yield _rows(block=np.full(n, block), kind=kind[part], bucket=bucket[part], data=data[part], text=text[part])
+        names = [names[i] for i in order.tolist()]
+        width, home = np.array([len(w) for w in names], np.uint32), (hashes(names) % np.uint64(buckets)).astype(np.uint32)
+        packed = [_pack(x) for x in (sizes, place[seq], width, np.frombuffer(b"".join(names), np.uint8), home)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in packed)], names=_BLOCK_NAMES
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
@@ -124,29 +105,104 @@ def blocks(docs: DataFrame, buckets: int, tokens: int = BLOCK_TOKENS) -> DataFra
                 seqs.append(seq)
                 size += len(seq)
                 if size >= tokens:
-                    yield from rows((task << 24) + serial, ids, seqs, number)
+                    yield row((task << 24) + serial, ids, seqs, number)
                     serial, number, ids, seqs, size = serial + 1, {b"": 0}, [], [], 0
         if size:
-            yield from rows((task << 24) + serial, ids, seqs, number)
+            yield row((task << 24) + serial, ids, seqs, number)
 
-    return docs.mapInArrow(tidied(run), ", ".join(f"{n} {t}" for n, (t, _) in _KINDS.items()))
+    return docs.mapInArrow(tidied(run), _BLOCK)
 
 
-_KINDS = {
-    "block": ("long", pa.int64()), "kind": ("int", pa.int32()), "bucket": ("int", pa.int32()), "doc_id": ("long", pa.int64()),
-    "held_out": ("boolean", pa.bool_()), "n_tokens": ("long", pa.int64()), "data": ("binary", pa.binary()), "text": ("binary", pa.binary()),
-}
+class Block:
+    """One row of ``blocks``."""
 
+    def __init__(self, row: dict):
+        self.number, self.ids = row["block"], row["ids"]
+        self.sizes = _unpack(row["sizes"], np.uint32)[0].astype(np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.words = _unpack(row["data"], np.uint32)[0].astype(np.int64)
+        self.home = _unpack(row["home"], np.uint32)[0].astype(np.int64)
+        self.width, self.text = row.get("width"), row.get("text")
+        self.held = [held_out(i) for i in self.ids]
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+    def learnt(self) -> np.ndarray:
+        return np.repeat(~np.array(self.held), self.sizes)
+
+    def names(self) -> list[bytes]:
+        return _cut(_unpack(self.width, np.uint32)[0], _unpack(self.text, np.uint8)[0])
+
+    def code(self) -> np.ndarray:
+        """Per token the word before it and itself, as one number; before a text's first word stands the end token of the last text."""
+        return self.before() * len(self.home) + self.words
+
+    def before(self) -> np.ndarray:
+        return np.roll(self.words, 1)
+
+
+_ASKED = "bucket int, block long, data binary, text binary"
+
+
+def _lists(made: DataFrame, lists: Callable[[Block], Iterator[tuple[int, bytes, bytes]]]) -> DataFrame:
+    """The lists that blocks send to buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block = Block(batch.slice(k, 1).to_pylist()[0])
+                made = list(lists(block))
+                for lo in range(0, len(made), 64):
+                    bucket, data, text = zip(*made[lo : lo + 64], strict=True)
+                    n = len(bucket)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket, pa.int32()), pa.array(np.full(n, block.number)), pa.array(data, pa.binary()), pa.array(text, pa.binary())],
+                        names=["bucket", "block", "data", "text"],
+                    )
 
+    return made.mapInArrow(tidied(run), _ASKED)
 
-def _pairs(words: np.ndarray, ends: np.ndarray, end: int, size: int) -> np.ndarray:
-    """Per token size * (word before it) + word; the word before a text's first is the end token."""
-    before = np.roll(words, 1)
-    before[np.append(0, ends[:-1])] = end
-    return before * size + words
+
+def word_lists(block: Block) -> Iterator[tuple[int, bytes, bytes]]:
+    """Per bucket the block's words, by number: lengths and counts in training texts, and bytes."""
+    names = block.names()
+    count = np.bincount(block.words[block.learnt()], minlength=len(names)).astype(np.uint32)
+    order = np.argsort(block.home, kind="stable")
+    for some in _runs(order, block.home[order]):
+        mine = [names[i] for i in some.tolist()]
+        size = np.array([len(w) for w in mine], np.uint32)
+        yield int(block.home[some[0]]), _pack(size, count[some]), _pack(np.frombuffer(b"".join(mine), np.uint8))
+
+
+def pair_lists(buckets: int) -> Callable[[Block], Iterator[tuple[int, bytes, bytes]]]:
+    """Per bucket the block's pairs, in the order of ``pair_order``: places of context and word among the words that stand there,
+    counts in training texts; and the hashes of those words."""
+
+    def lists(block: Block) -> Iterator[tuple[int, bytes, bytes]]:
+        pair, count = _distinct(block.code(), block.learnt())
+        into, order = pair_order(pair, block.home, buckets)
+        h, size = hashes(block.names()), len(block.home)
+        for some in _runs(order, into[order]):
+            u, w = pair[some] // size, pair[some] % size
+            known, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+            at = at.astype(np.uint32)
+            step = np.diff(at[: len(u)], prepend=np.uint32(0))
+            yield int(into[some[0]]), _pack(step, at[len(u) :], count[some].astype(np.uint32)), _pack(h[known])
+
+    return lists
+
+
+def _runs(values: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """Values cut where their ascending key changes."""
+    return np.split(values, np.flatnonzero(np.diff(key)) + 1) if len(values) else []
+
+
+def _cut(width: np.ndarray, text: np.ndarray) -> list[bytes]:
+    at = np.append(0, np.cumsum(width.astype(np.int64))).tolist()
+    whole = text.tobytes()
+    return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
 
 
 def _distinct(pairs: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +212,16 @@ def _distinct(pairs: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.nda
     return both[first] >> 1, np.add.reduceat(both & 1, first)
 
 
-def pair_order(pair: np.ndarray, of: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def cell(context: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of pairs, from those of their words: a grid, in which a word stands in one row and one column."""
+    rows = isqrt(buckets)
+    columns = buckets // rows
+    return (context % rows) * columns + word % columns
+
+
+def pair_order(pair: np.ndarray, home: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a block's ascending pairs, from those of its words, and the pairs' order by bucket."""
-    into = (of[pair // len(of)] + of[pair % len(of)]) % buckets
+    into = cell(home[pair // len(home)], home[pair % len(home)], buckets)
     return into, np.argsort(into, kind="stable")
 
 
@@ -180,12 +243,6 @@ def _unpack(data: bytes, *types) -> list[np.ndarray]:
     return out
 
 
-def _rows(**columns) -> pa.RecordBatch:
-    n = len(columns["block"])
-    made = [pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, (_, t) in _KINDS.items()]
-    return pa.RecordBatch.from_arrays(made, names=list(_KINDS))
-
-
 # --- buckets: counts over all blocks ---------------------------------------------------------------
 
 _BUCKET = "bucket int, block long, data binary, word binary, pos long, h long, c long"
@@ -227,20 +284,23 @@ def count_pairs(asked: pa.Table) -> pa.Table:
     of context and word, customers, tables and the sum of the kept rounds' tables. Blocks get 0 for a pair that
     training has not seen, 1 for one seen once, and from 2 on the places of the others.
     """
-    lists = [_unpack(d, np.uint64, np.uint64, np.uint32) for d in asked.column("data").to_pylist()]
-    u, w, count = (np.concatenate(x) for x in zip(*lists, strict=True))
-    order = np.lexsort((w, u))
-    u, w = u[order], w[order]
-    first = np.append(True, (u[1:] != u[:-1]) | (w[1:] != w[:-1]))
+    names = [_unpack(d, np.uint64)[0] for d in asked.column("text").to_pylist()]
+    lists = [_unpack(d, np.uint32, np.uint32, np.uint32) for d in asked.column("data").to_pylist()]
+    known, at = np.unique(np.concatenate(names), return_inverse=True)
+    at = np.split(at, np.cumsum([len(x) for x in names])[:-1])
+    key = np.concatenate([x[np.cumsum(step, dtype=np.int64)] * len(known) + x[w] for x, (step, w, _) in zip(at, lists, strict=True)])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.append(True, key[1:] != key[:-1])
     start = np.flatnonzero(first)
-    c = np.add.reduceat(count[order].astype(np.int64), start)
+    c = np.add.reduceat(np.concatenate([x[2] for x in lists])[order].astype(np.int64), start)
     seated = c > 1
     answer = np.where(seated, np.cumsum(seated) + 1, c).astype(np.uint32)
     place = np.empty(len(order), np.uint32)
     place[order] = answer[np.cumsum(first) - 1]
-    u, w, c = u[start[seated]], w[start[seated]], c[seated]
-    known = np.unique(np.concatenate([u, w]))
-    at = [np.searchsorted(known, x).astype(np.uint32) for x in (u, w)]
+    key, c = key[start[seated]], c[seated]
+    used, at = np.unique(np.concatenate([key // len(known), key % len(known)]), return_inverse=True)
+    known, at = known[used], np.split(at.astype(np.uint32), 2)
     bucket, ends = asked.column("bucket")[0].as_py(), np.cumsum([len(x[0]) for x in lists])
     state = _bucket_rows(bucket=[bucket], word=[_pack(known)], data=[_pair_state(*at, c, np.ones(len(c)), np.zeros(len(c)))])
     routes = _bucket_rows(
@@ -408,24 +468,31 @@ def transitions(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 # --- the model on Spark ------------------------------------------------------------------------------
 
 
-def _spelled(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Byte transitions of all tables: at most 257 ** 3 cells, added up before they reach the driver."""
+def _spelled(words: DataFrame, read: Callable[[pa.RecordBatch], Iterator[tuple]]) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Byte transitions of all tables, at most 257 ** 3 cells, added up before they reach the driver; customers and tables.
+
+    ``read`` gives words, customers and tables of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, count = np.zeros(0, np.int64), np.zeros(0, np.float64)
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 100_000):
-                batch = whole.slice(lo, 100_000)
-                t = batch.column(1).to_numpy()
-                context, symbol, owner = transitions(batch.column(0).to_pylist())
-                u, inverse = np.unique(np.concatenate([cell, context * SYMBOLS + symbol]), return_inverse=True)
-                count = np.bincount(inverse, weights=np.concatenate([count, t[owner]]))
-                cell = u
+        cell, count = np.array([_CUSTOMERS, _TABLES]), np.zeros(2)
+        for batch in batches:
+            for names, m, t in read(batch):
+                for lo in range(0, len(names), 100_000):
+                    context, symbol, owner = transitions(names[lo : lo + 100_000])
+                    some, n = t[lo : lo + 100_000], m[lo : lo + 100_000]
+                    u, inverse = np.unique(np.concatenate([cell, context * SYMBOLS + symbol]), return_inverse=True)
+                    count = np.bincount(inverse, weights=np.concatenate([count, some[owner]]))
+                    cell = u
+                    count[:2] += n.sum(), some.sum()
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(count.astype(np.int64))], names=["cell", "n"])
 
-    rows = words.where("t > 0").select("word", "t").mapInArrow(run, "cell long, n long")
-    got = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    return got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+    got = words.mapInArrow(tidied(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
+    cell, n = got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+    totals = dict(zip(cell[cell < 0].tolist(), n[cell < 0].tolist(), strict=True))
+    return cell[cell >= 0], n[cell >= 0], totals.get(_CUSTOMERS, 0), totals.get(_TABLES, 0)
+
+
+_CUSTOMERS, _TABLES = -2, -1
 
 
 def _cells(*some: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -450,87 +517,158 @@ class Top:
         return (customers - WORD_DISCOUNT * tables + spread) / (WORD_STRENGTH + self.total)
 
 
-#: Words with two customers or more: bucket and place, hash, count in training; customers and tables in the restaurant without
-#: context, tables of the word's own restaurant, sums of the kept rounds' probabilities and own tables, buckets of its pairs.
-_STATE = "home int, pos long, h long, word binary, c long, m long, t long, own long, p double, kept long, asks array<int>"
-_NAMES = [x.split()[0] for x in _STATE.split(", ")]
+#: What the rounds keep and send, one row per bucket. HOME: the words of a bucket with two customers or more (lengths, places, counts,
+#: bytes; customers and tables in the restaurant without context, tables of the word's own restaurant, sums of the kept rounds' own
+#: tables and probabilities), the buckets of their pairs and which words stand there, as contexts (1) or words (2). PAIRS: the pairs
+#: of a bucket (``count_pairs``). REPLY, from words to pairs: probabilities and own tables. TOLD, from pairs to words: how many fewer
+#: tables than customers a word has there as context (du) and as word (dw).
+_ROUND = "kind int, bucket int, source int, words binary, text binary, data binary, partners array<int>, places array<binary>"
+HOME, PAIRS, REPLY, TOLD = range(4)
+_WORDS, _SEATS = (np.uint32, np.uint32, np.int64), (np.int64, np.int64, np.int64, np.int64, np.float64)
+
 
+def _round_rows(rows: list[dict]) -> pa.Table:
+    kinds = {
+        "kind": pa.int32(), "bucket": pa.int32(), "source": pa.int32(), "words": pa.binary(), "text": pa.binary(), "data": pa.binary(),
+        "partners": pa.list_(pa.int32()), "places": pa.list_(pa.binary()),
+    }
+    return pa.table({k: pa.array([r.get(k) for r in rows], t) for k, t in kinds.items()})
 
-def _told(pairs: DataFrame) -> DataFrame:
-    """Per bucket of pairs and word: how many fewer tables than customers it has there as context (du) and as word (dw)."""
 
+def _of_kind(rows: DataFrame, kind: int) -> DataFrame:
+    return rows.where(F.col("kind") == kind)
+
+
+class Home:
+    """A HOME row, opened."""
+
+    def __init__(self, row: dict):
+        self.bucket, self.row = row["bucket"], row
+        width, self.pos, self.c = _unpack(row["words"], *_WORDS)
+        self.names = _cut(width, _unpack(row["text"], np.uint8)[0])
+        self.m, self.t, self.own, self.kept, self.p = _unpack(row["data"], *_SEATS)
+
+    @staticmethod
+    def begun(bucket: int, names: list[bytes], pos: np.ndarray, c: np.ndarray, partners: list[int], places: list[bytes]) -> Home:
+        width, none = np.array([len(w) for w in names], np.uint32), np.zeros(len(c), np.int64)
+        words, text = _pack(width, pos.astype(np.uint32), c), _pack(np.frombuffer(b"".join(names), np.uint8))
+        data = _pack(c, np.minimum(c, 1), c, none, none.astype(np.float64))
+        return Home({"kind": HOME, "bucket": bucket, "words": words, "text": text, "data": data, "partners": partners, "places": places})
+
+    def places(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for partner, data in zip(self.row["partners"], self.row["places"], strict=True):
+            yield partner, *_unpack(data, np.uint32, np.uint8)
+
+    def seated(self, told: list[dict], top: Top, keep: bool, rng: np.random.Generator) -> dict:
+        """Adds the probabilities so far and the tables to the sums (if ``keep``), takes over what the pairs tell and seats the words anew."""
+        base = top.base(self.names)
+        kept, p = (self.kept + self.own, self.p + top.predict(base, self.m, self.t)) if keep else (self.kept, self.p)
+        news = {x["source"]: x["data"] for x in told}
+        m, own = self.c.copy(), self.c.copy()
+        for partner, at, _ in self.places():
+            du, dw = _unpack(news.pop(partner), np.int64, np.int64)
+            own[at] -= du
+            m[at] -= dw
+        t = seat(m, base, top.tables - self.t, WORD_STRENGTH, WORD_DISCOUNT, rng)
+        return self.row | {"data": _pack(m, t, own, kept, p)}
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[Home]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Home(batch.slice(k, 1).to_pylist()[0])
+
+
+def _tell(bucket: int, known: np.ndarray, data: bytes, buckets: int, first: bool) -> list[dict]:
+    """TOLD rows of a bucket of pairs; the first ones name the words."""
+    u, w, c, t, _ = _unpack(data, *_PAIR)
+    if not len(known):
+        return []
+    home = (known % np.uint64(buckets)).astype(np.int64)
+    du, dw = (np.bincount(x, weights=c - t, minlength=len(known)).astype(np.int64) for x in (u, w))
+    role = np.zeros(len(known), np.uint8)
+    role[u] |= 1
+    role[w] |= 2
+    order = np.argsort(home, kind="stable")
+    return [
+        {"kind": TOLD, "bucket": int(home[x[0]]), "source": bucket, "data": _pack(du[x], dw[x]), "words": _pack(known[x], role[x]) if first else None}
+        for x in _runs(order, home[order])
+    ]
+
+
+def _first_told(pairs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, known, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                h = _unpack(known, np.uint64)[0]
-                u, w, c, t, _ = _unpack(data, *_PAIR)
-                fewer = [np.bincount(x, weights=c - t, minlength=len(h)).astype(np.int64) for x in (u, w)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (h.view(np.int64), np.full(len(h), bucket, np.int32), *fewer)], names=["h", "bucket", "du", "dw"]
-                )
+                yield from _round_rows(_tell(bucket, _unpack(known, np.uint64)[0], data, buckets, True)).to_batches()
 
-    return pairs.select("bucket", "word", "data").mapInArrow(tidied(run), "h long, bucket int, du long, dw long")
+    return pairs.select("bucket", "word", "data").mapInArrow(tidied(run), _ROUND)
 
 
-def _seat_words(state: DataFrame, top: Top, number: int, keep: bool, seed: int) -> DataFrame:
-    """Adds the probabilities so far to ``p`` and the tables to ``kept`` (if ``keep``), takes over what the pairs
-    tell and seats the words anew. Rows without a word are messages of ``_told`` and lie in their words' partition."""
+def _begin(words: DataFrame, told: DataFrame, top: Top, number: int, seed: int) -> DataFrame:
+    """The first HOME rows, from words with two customers or more and the first TOLD rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if not sum(x.num_rows for x in got):
-            return
-        rows = pa.Table.from_batches(got)
-        told = pc.is_null(rows.column("word"))
-        messages, rows = rows.filter(told), rows.filter(pc.invert(told)).sort_by("h")
-        h, c, m, t, own, p, kept = (rows.column(x).to_numpy() for x in ("h", "c", "m", "t", "own", "p", "kept"))
-        base = top.base(rows.column("word").to_pylist())
-        if keep:
-            p, kept = p + top.predict(base, m, t), kept + own
-        messages = messages.sort_by([("h", "ascending"), ("bucket", "ascending")])
-        at = np.searchsorted(h, messages.column("h").to_numpy())
-        du, dw = (np.bincount(at, weights=messages.column(x).to_numpy(), minlength=len(h)).astype(np.int64) for x in ("du", "dw"))
-        rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])
-        new = seat(c - dw, base, top.tables - t, WORD_STRENGTH, WORD_DISCOUNT, rng)
-        upto = np.append(0, np.cumsum(np.bincount(at, minlength=len(h)))).astype(np.int32)
-        asks = pa.ListArray.from_arrays(pa.array(upto), messages.column("bucket").combine_chunks())
-        made = dict(m=c - dw, t=new, own=c - du, p=p, kept=kept, asks=asks)
-        out = pa.table([made.get(x, rows.column(x)) for x in _NAMES], names=_NAMES)
-        yield from out.to_batches(max_chunksize=50_000)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, told = left.sort_by("pos"), right.sort_by("source").to_pylist()
+        h = left.column("h").to_numpy().view(np.uint64)
+        order, partners, places = np.argsort(h), [], []
+        for row in told:
+            known, role = _unpack(row["words"], np.uint64, np.uint8)
+            partners.append(row["source"])
+            places.append(_pack(order[np.searchsorted(h, known, sorter=order)].astype(np.uint32), role))
+        bucket = left.column("bucket")[0].as_py()
+        home = Home.begun(bucket, left.column("word").to_pylist(), left.column("pos").to_numpy(), left.column("c").to_numpy(), partners, places)
+        return _round_rows([home.seated(told, top, False, np.random.default_rng([seed, number, bucket]))])
 
-    return state.mapInArrow(tidied(run), _STATE)
+    return words.select("bucket", "pos", "h", "word", "c").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, _ROUND)
 
 
-def _seat_pairs(pairs: DataFrame, state: DataFrame, top: Top, number: int, keep: bool, seed: int) -> DataFrame:
-    """Words tell the buckets of their pairs their probability and tables; pairs are seated anew."""
+def _seat_words(state: DataFrame, told: DataFrame, top: Top, number: int, keep: bool, seed: int) -> DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
+        home, told = None, []
+        for k in range(rows.num_rows):
+            row = rows.slice(k, 1).to_pylist()[0]
+            if row["kind"] == HOME:
+                home = Home(row)
+            else:
+                told.append(row)
+        return _round_rows([home.seated(told, top, keep, np.random.default_rng([seed, number, home.bucket]))])
 
-    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, m, t, own = (batch.column(x).to_numpy() for x in ("h", "m", "t", "own"))
-            p = top.predict(top.base(batch.column("word").to_pylist()), m, t)
-            asks = batch.column("asks")
-            at = np.repeat(np.arange(len(h)), pc.list_value_length(asks).to_numpy())
-            yield pa.RecordBatch.from_arrays([asks.flatten(), *(pa.array(x[at]) for x in (h, p, own))], names=["bucket", "h", "p", "own"])
-
-    def take(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows:  # no pairs here, or no row to keep
-            known = [_pack(np.zeros(0, np.uint64))] * left.num_rows
-            return left.append_column("word", pa.array(known, pa.binary())).select(["bucket", "word", "data"])
-        h = right.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        p, own = (right.column(x).to_numpy()[order] for x in ("p", "own"))
-        bucket = left.column("bucket")[0].as_py()
-        u, w, c, t, kept = _unpack(left.column("data")[0].as_py(), *_PAIR)
+    return state.unionByName(told).groupBy("bucket").applyInArrow(run, _ROUND)
+
+
+def _replies(state: DataFrame, top: Top) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for home in _opened(batches):
+            p = top.predict(top.base(home.names), home.m, home.t)
+            rows = [
+                {"kind": REPLY, "bucket": partner, "source": home.bucket, "data": _pack(np.where(role & 2, p[at], 0.0), np.where(role & 1, home.own[at], 0))}
+                for partner, at, role in home.places()
+            ]
+            yield from _round_rows(rows).to_batches()
+
+    return state.mapInArrow(tidied(run), _ROUND)
+
+
+def _seat_pairs(pairs: DataFrame, replies: DataFrame, number: int, keep: bool, seed: int, buckets: int) -> DataFrame:
+    """PAIRS rows seated anew, after the words' replies, and the TOLD rows that come of it."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        state = rows.filter(pc.equal(rows.column("kind"), PAIRS)).to_pylist()[0]
+        told = rows.filter(pc.equal(rows.column("kind"), REPLY)).sort_by("source").column("data").to_pylist()
+        bucket, known = state["bucket"], _unpack(state["words"], np.uint64)[0]
+        if not told:
+            return _round_rows([state])
+        order = np.argsort((known % np.uint64(buckets)).astype(np.int64), kind="stable")
+        p, own = np.empty(len(known)), np.empty(len(known), np.int64)
+        p[order], own[order] = (np.concatenate(x) for x in zip(*(_unpack(x, np.float64, np.int64) for x in told), strict=True))
+        u, w, c, t, kept = _unpack(state["data"], *_PAIR)
         kept = kept + t if keep else kept
         t = seat(c, p[w], own[u] - t, PAIR_STRENGTH, PAIR_DISCOUNT, np.random.default_rng([seed, number, bucket]))
         data = _pair_state(u, w, c, t, kept)
-        return pa.table({"bucket": pa.array([bucket], pa.int32()), "word": pa.array([_pack(h[order])], pa.binary()), "data": pa.array([data], pa.binary())})
+        return _round_rows([state | {"data": data}, *_tell(bucket, known, data, buckets, False)])
 
-    asked = state.where("size(asks) > 0").select("h", "word", "m", "t", "own", "asks")
-    told = asked.mapInArrow(tidied(reply), "bucket int, h long, p double, own long")
-    return (
-        pairs.select("bucket", "data").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(take, "bucket int, word binary, data binary")
-    )
+    return pairs.unionByName(replies).groupBy("bucket").applyInArrow(run, _ROUND)
 
 
 class _Tables:
@@ -540,8 +678,14 @@ class _Tables:
         self.spark = spark
 
     def keep(self, df: DataFrame) -> tuple[DataFrame, str]:
-        path = scratch_path(self.spark, "pitman")
-        df.write.parquet(path)
+        """The written table is all that is read later, so Spark may remove the shuffle files of the job that made it."""
+        path, key = scratch_path(self.spark, "pitman"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(key, before)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def drop(self, path: str) -> None:
@@ -549,52 +693,55 @@ class _Tables:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def train(words: DataFrame, pairs: DataFrame, rounds: int = ROUNDS, burn_in: int = BURN_IN, seed: int = SEED):
+def train(words: DataFrame, pairs: DataFrame, rounds: int, burn_in: int, seed: int, buckets: int):
     """From the words and pairs of all buckets: (home, pos, c, p, own) of all words, the pairs' (bucket, data), and how many rounds
     they sum up.
 
     ``p`` is the word's mean predictive probability without context, ``own`` the mean number of tables of its own restaurant.
     """
     store = _Tables(words.sparkSession)
-    words = words.select(F.col("bucket").alias("home"), "pos", "h", "word", "c")
-    once = words.where("c = 1").agg(F.count("*")).collect()[0][0]
-    single = _spelled(words.where("c = 1").withColumn("t", F.col("c")))
-    start = {"m": F.col("c"), "t": F.lit(1).cast("long"), "own": F.col("c"), "p": F.lit(0.0), "kept": F.lit(0).cast("long")}
-    state = words.where("c > 1").withColumns(start | {"asks": F.array().cast("array<int>")}).select(_NAMES)
+
+    def plain(batch: pa.RecordBatch) -> Iterator[tuple]:
+        c = batch.column(1).to_numpy()
+        yield batch.column(0).to_pylist(), c, np.minimum(c, 1)
+
+    def packed(batch: pa.RecordBatch) -> Iterator[tuple]:
+        return ((x.names, x.m, x.t) for x in _opened([batch]))
+
+    *single, once, _ = _spelled(words.where("c = 1").select("word", "c"), plain)
     spelling, rng, tops = Spelling(), np.random.default_rng(seed), []
 
-    def now(rounds: int) -> Top:
-        customers, tables = (x or 0 for x in state.agg(F.sum("m"), F.sum("t")).collect()[0])
-        spelling.gibbs(*_cells(single, _spelled(state)), rng, rounds)
+    def now(rounds: int, rows: DataFrame, read: Callable) -> Top:
+        *cells, customers, tables = _spelled(rows, read)
+        spelling.gibbs(*_cells(single, cells), rng, rounds)
         return Top(spelling, customers + once, tables + once)
 
-    def told() -> DataFrame:
-        return _told(pairs).withColumns({n: F.lit(None).cast(k) for n, k in (x.split() for x in _STATE.split(", ")) if n != "h"})
-
-    silent = {n: F.lit(None).cast(k) for n, k in (("bucket", "int"), ("du", "long"), ("dw", "long"))}
-    state, path = store.keep(_seat_words(state.withColumns(silent).unionByName(told()).repartition("h"), now(3), 0, False, seed))
-    gone = []
+    often = words.where("c > 1")
+    top = now(3, often.select("word", "c"), plain)
+    state, path = store.keep(_begin(often, _first_told(pairs, buckets), top, 2 * rounds + 1, seed))
+    none = {n: F.lit(None).cast(k) for n, k in (x.split() for x in _ROUND.split(", "))}
+    seats, seats_path = pairs.select([F.lit(PAIRS).alias("kind"), "bucket", F.col("word").alias("words"), "data"]).withColumns(
+        {n: x for n, x in none.items() if n not in ("kind", "bucket", "words", "data")}
+    ), None
     for number in range(rounds + 1):
-        top, keep = now(1), number > burn_in
+        top, keep = now(1, state, packed), number > burn_in
         if keep:
             tops.append(top)
         if number == rounds:
             break
-        pairs, seats = store.keep(_seat_pairs(pairs, state, top, number, keep, seed))
-        asked, lone = (state.where(x).withColumns(silent) for x in ("size(asks) > 0", "size(asks) = 0"))
-        fresh = _seat_words(asked.unionByName(told()).repartition("h"), top, 2 * number + 1, keep, seed)
-        gone += [path]
-        state, path = store.keep(fresh.unionByName(_seat_words(lone, top, 2 * number + 2, keep, seed)))
-        for old in gone:
-            store.drop(old)
-        gone = [seats]
+        made, made_path = store.keep(_seat_pairs(_of_kind(seats, PAIRS), _replies(state, top), 2 * number, keep, seed, buckets))
+        fresh, fresh_path = store.keep(_seat_words(state, _of_kind(made, TOLD), top, 2 * number + 1, keep, seed))
+        for old in (path, seats_path):
+            if old:
+                store.drop(old)
+        state, path, seats, seats_path = fresh, fresh_path, made, made_path
     n = len(tops)
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m, t, own, p, kept = (batch.column(x).to_numpy() for x in ("m", "t", "own", "p", "kept"))
-            p = (p + tops[-1].predict(tops[-1].base(batch.column("word").to_pylist()), m, t)) / n
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("home", "pos", "c")), pa.array(p), pa.array((kept + own) / n)], names=names)
+        for x in _opened(batches):
+            p = (x.p + tops[-1].predict(tops[-1].base(x.names), x.m, x.t)) / n
+            home = pa.array(np.full(len(p), x.bucket), pa.int32())
+            yield pa.RecordBatch.from_arrays([home, pa.array(x.pos.astype(np.int64)), pa.array(x.c), pa.array(p), pa.array((x.kept + x.own) / n)], names=names)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -603,8 +750,10 @@ def train(words: DataFrame, pairs: DataFrame, rounds: int = ROUNDS, burn_in: int
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("home", "pos", "c")), pa.array(p), pa.array(c.astype(np.float64))], names=names)
 
     names, schema = ["home", "pos", "c", "p", "own"], "home int, pos long, c long, p double, own double"
-    model = state.drop("asks").mapInArrow(tidied(seen), schema).unionByName(words.where("c < 2").mapInArrow(tidied(rare), schema))
-    return model, pairs.select("bucket", "data"), n
+    rest = words.where("c < 2").select(F.col("bucket").alias("home"), "pos", "word", "c")
+    model, _ = store.keep(state.mapInArrow(tidied(seen), schema).unionByName(rest.mapInArrow(tidied(rare), schema)))
+    store.drop(path)
+    return model, _of_kind(seats, PAIRS).select("bucket", "data"), n
 
 
 def score(
@@ -620,26 +769,25 @@ def score(
     texts = id_and_text(docs, id_col, text_col)
     buckets = 2 * max(1, texts.rdd.getNumPartitions())
     made, _ = store.keep(blocks(texts, buckets))
-    asked = made.select("block", "kind", "bucket", "data", "text")
-    words, _ = store.keep(asked.where("kind = 0").groupBy("bucket").applyInArrow(count_words, _BUCKET))
-    pairs, _ = store.keep(asked.where("kind = 2").groupBy("bucket").applyInArrow(count_pairs, _BUCKET))
+    words, _ = store.keep(_lists(made, word_lists).groupBy("bucket").applyInArrow(count_words, _BUCKET))
+    pairs, _ = store.keep(_lists(made, pair_lists(buckets)).groupBy("bucket").applyInArrow(count_pairs, _BUCKET))
     known = words.where("block IS NULL")
     total, distinct = (x or 0 for x in known.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).collect()[0])
-    model, seated, kept = train(known, pairs.where("block IS NULL"), rounds, burn_in, seed)
-    model, _ = store.keep(model)
+    model, seated, kept = train(known, pairs.where("block IS NULL"), rounds, burn_in, seed, buckets)
     unknown = max(1.0 - (model.where("c > 0").agg(F.sum("p")).collect()[0][0] or 0.0), 1e-300)
     flat = 0.5 * (distinct + 1) + total
 
     def of_words(left: pa.Table, right: pa.Table) -> pa.Table:
         pos = right.column("pos").to_numpy()
-        c, p, own = (np.empty(len(pos), t) for t in _ANSWER)
-        c[pos], p[pos], own[pos] = (right.column(x).to_numpy() for x in ("c", "p", "own"))
-        return told(left, 0, [_pack(c[at], p[at], own[at]) for at in places(left)])
+        c, own, p = (np.empty(len(pos), t) for t in _ANSWER)
+        c[pos], p[pos] = (right.column(x).to_numpy() for x in ("c", "p"))
+        own[pos] = np.rint(right.column("own").to_numpy() * kept)
+        return told(left, 0, [_pack(c[at], own[at], p[at]) for at in places(left)])
 
     def of_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
         _, _, c, t, sums = _unpack(right.column("data")[0].as_py(), *_PAIR)
-        left_over = np.concatenate([[0.0, 1 - PAIR_DISCOUNT], c - PAIR_DISCOUNT * (sums + t) / kept])
-        return told(left, 1, [_pack(left_over[at]) for at in places(left)])
+        c, tables = np.append([0, 1], c), np.append([0, kept], sums + t)
+        return told(left, 1, [_pack(c[at], tables[at]) for at in places(left)])
 
     def places(left: pa.Table) -> Iterator[np.ndarray]:
         return (_unpack(x, np.uint32)[0] for x in left.column("data").to_pylist())
@@ -657,40 +805,37 @@ def score(
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-        lists = {0: [], 1: []}
-        of = []
-        for kind, bucket, data in zip(*(right.column(x).to_pylist() for x in ("kind", "bucket", "data")), strict=True):
-            lists[kind].append(_unpack(data, *(_ANSWER if kind == 0 else _ANSWER[1:2])))
-            if kind == 0:
-                of.append(np.full(len(lists[0][-1][0]), bucket))
-        c, p, own = (np.concatenate(x) for x in zip(*lists[0], strict=True))
-        seqs = [_unpack(x, np.uint32)[0].astype(np.int64) for x in left.column("data").to_pylist()]
-        ends = np.cumsum([len(x) for x in seqs])
-        after = np.concatenate(seqs)
-        code = _pairs(after, ends, int(after[-1]), len(c))
-        pair = np.unique(code)
-        _, order = pair_order(pair, np.concatenate(of), buckets)
+        block, lists = Block(left.to_pylist()[0]), {0: [], 1: []}
+        for kind, data in zip(right.column("kind").to_pylist(), right.column("data").to_pylist(), strict=True):
+            lists[kind].append(_unpack(data, *(_ANSWER if kind == 0 else _ANSWER[:2])))
+        order = np.argsort(block.home, kind="stable")
+        c, own, p = (np.empty(len(order), t) for t in _ANSWER)
+        c[order], own[order], p[order] = (np.concatenate(x) for x in zip(*lists[0], strict=True))
+        code, after = block.code(), block.words
+        pair, at = np.unique(code, return_inverse=True)
+        order = pair_order(pair, block.home, buckets)[1]
+        customers, tables = (np.concatenate(x) for x in zip(*lists[1], strict=True))
         surplus = np.empty(len(pair))
-        surplus[order] = np.concatenate([x[0] for x in lists[1]])
-        before = code // len(c)
-        surplus, below = surplus[np.searchsorted(pair, code)], PAIR_STRENGTH + PAIR_DISCOUNT * own[before]
+        surplus[order] = customers - PAIR_DISCOUNT * tables / kept
+        before = block.before()
+        surplus, below = surplus[at], PAIR_STRENGTH + PAIR_DISCOUNT * own[before] / kept
         free = PAIR_STRENGTH + c[before]
         top = np.where(c > 0, p, unknown)
-        first = np.append(0, ends[:-1])
+        first = np.append(0, block.ends[:-1])
         base = np.log10((c + 0.5) / flat)
         some = (np.where(c > 0, 1, 0)[after], base[after], np.log10((surplus + below * top[after]) / free), np.log10((surplus + below * p[after]) / free))
         sums = [np.add.reduceat(x, first) for x in some]
         return pa.table(
             {
-                "doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": left.column("n_tokens"),
-                "n_known": sums[0].astype(np.int64), "train_tokens": np.full(left.num_rows, total),
+                "doc_id": pa.array(block.ids, pa.int64()), "held_out": block.held, "n_tokens": block.sizes,
+                "n_known": sums[0].astype(np.int64), "train_tokens": np.full(len(block.ids), total),
                 "base_score": sums[1], "score": sums[2], "spelt_score": sums[3],
             }
         )
 
-    texts = made.where("kind = 1").select(F.col("block").alias("home"), "doc_id", "held_out", "n_tokens", "data")
     return (
-        texts.groupBy("home")
+        made.drop("width", "text")
+        .groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
             solve,
@@ -700,8 +845,9 @@ def score(
     )
 
 
-#: Of a word: its count in training, mean probability without context, and mean tables of its own restaurant.
-_ANSWER = (np.int64, np.float64, np.float64)
+#: Of a word: its count in training, the kept rounds' tables of its own restaurant, mean probability without context. Of a pair:
+#: its count in training and its tables in the kept rounds.
+_ANSWER = (np.int64, np.int64, np.float64)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

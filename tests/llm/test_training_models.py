@@ -4,6 +4,7 @@ import collections
 import math
 import re
 import sys
+import uuid
 import zlib
 from pathlib import Path
 
@@ -426,6 +427,22 @@ def test_word_order_counts(spark):
     assert got[1000]["score"] > got[1001]["score"] + 3
 
 
+def test_pitman_disk(spark, tmp_path, monkeypatch):
+    """No file holds the blocks' pairs, replaced files are gone, and so are the shuffle files of jobs whose table is written."""
+    monkeypatch.setattr(pitman, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}-{uuid.uuid4().hex}")
+    folders = [str(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled() -> dict[str, int]:
+        return {str(f): f.stat().st_size for x in folders for f in Path(x).glob("*/shuffle_*.data")}
+
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before, text = shuffled(), documents.agg(F.sum(F.octet_length("text"))).collect()[0][0]
+    pitman.score(documents)
+    left = sum(n for f, n in shuffled().items() if f not in before)
+    files = sum(f.stat().st_size for f in tmp_path.glob("*/part-*"))
+    assert left < 0.3 * text and files < 2.5 * text
+
+
 def test_spelling_is_a_distribution():
     spelling = pitman.Spelling()
     context, symbol, _ = pitman.transitions([b"the", b"then", b"", b"ten", b"the"])
