@@ -133,10 +133,13 @@ class Block:
 
     def code(self) -> np.ndarray:
         """Per token the word before it and itself, as one number; before a text's first word stands the end token of the last text."""
-        return self.before() * len(self.home) + self.words
+        return np.roll(self.words, 1) * len(self.home) + self.words
 
-    def before(self) -> np.ndarray:
-        return np.roll(self.words, 1)
+    def stretches(self, tokens: int = 250_000) -> Iterator[slice]:
+        """Its texts in stretches of some ``tokens``, for arrays that need not be as long as the block."""
+        ends = np.searchsorted(self.ends, np.arange(tokens, self.ends[-1], tokens)) + 1
+        cuts = np.unique(np.concatenate([[0], ends, [len(self.ends)]])).tolist()
+        return (slice(lo, hi) for lo, hi in zip(cuts, cuts[1:]))
 
 
 _ASKED = "bucket int, block long, data binary, text binary"
@@ -811,20 +814,22 @@ def score(
         order = np.argsort(block.home, kind="stable")
         c, own, p = (np.empty(len(order), t) for t in _ANSWER)
         c[order], own[order], p[order] = (np.concatenate(x) for x in zip(*lists[0], strict=True))
-        code, after = block.code(), block.words
-        pair, at = np.unique(code, return_inverse=True)
+        pair, at = np.unique(block.code(), return_inverse=True)
         order = pair_order(pair, block.home, buckets)[1]
         customers, tables = (np.concatenate(x) for x in zip(*lists[1], strict=True))
         surplus = np.empty(len(pair))
         surplus[order] = customers - PAIR_DISCOUNT * tables / kept
-        before = block.before()
-        surplus, below = surplus[at], PAIR_STRENGTH + PAIR_DISCOUNT * own[before] / kept
-        free = PAIR_STRENGTH + c[before]
-        top = np.where(c > 0, p, unknown)
-        first = np.append(0, block.ends[:-1])
-        base = np.log10((c + 0.5) / flat)
-        some = (np.where(c > 0, 1, 0)[after], base[after], np.log10((surplus + below * top[after]) / free), np.log10((surplus + below * p[after]) / free))
-        sums = [np.add.reduceat(x, first) for x in some]
+        del lists, pair, order, customers, tables
+        below, free = PAIR_STRENGTH + PAIR_DISCOUNT * own / kept, PAIR_STRENGTH + c
+        known, top, base = np.where(c > 0, 1, 0), np.where(c > 0, p, unknown), np.log10((c + 0.5) / flat)
+        parts = []
+        for texts in block.stretches():
+            a, b = block.ends[texts.start] - block.sizes[texts.start], block.ends[texts.stop - 1]
+            after, before, more = block.words[a:b], np.append(block.words[a - 1], block.words[a : b - 1]), surplus[at[a:b]]
+            some = (known[after], base[after], *(np.log10((more + below[before] * x[after]) / free[before]) for x in (top, p)))
+            first = np.append(0, block.ends[texts.start : texts.stop - 1] - a)
+            parts.append([np.add.reduceat(x, first) for x in some])
+        sums = [np.concatenate(x) for x in zip(*parts, strict=True)]
         return pa.table(
             {
                 "doc_id": pa.array(block.ids, pa.int64()), "held_out": block.held, "n_tokens": block.sizes,

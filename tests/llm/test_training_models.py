@@ -443,6 +443,21 @@ def test_pitman_disk(spark, tmp_path, monkeypatch):
     assert left < 0.3 * text and files < 2.5 * text
 
 
+def test_stretches_and_grid():
+    block = pitman.Block.__new__(pitman.Block)
+    for sizes in ([1], [3, 1, 1, 5, 20, 1], [10] * 7, [100, 1], [1] * 23):
+        block.ends = np.cumsum(sizes)
+        got = list(block.stretches(10))
+        assert [k for x in got for k in range(x.start, x.stop)] == list(range(len(sizes)))
+        assert all(sum(sizes[x][:-1]) < 10 for x in got)
+    for buckets in (1, 2, 3, 16, 17, 64):
+        u, w = np.divmod(np.arange(buckets * buckets), buckets)
+        cells = pitman.cell(u, w, buckets).reshape(buckets, buckets)
+        assert 0 <= cells.min() and cells.max() < buckets
+        most = 2 * math.isqrt(buckets) + 2  # buckets of pairs that one word meets, as context or as word
+        assert all(len(set(cells[k]) | set(cells[:, k])) <= most for k in range(buckets))
+
+
 def test_spelling_is_a_distribution():
     spelling = pitman.Spelling()
     context, symbol, _ = pitman.transitions([b"the", b"then", b"", b"ten", b"the"])
