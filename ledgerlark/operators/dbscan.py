@@ -214,7 +214,7 @@ def adaptive_eps(
     df: DataFrame, row_id: str, vector: str, k: int = 5, share: float = 0.9, method: str = "index"
 ) -> DataFrame:
     """One row ``eps``: the ``share`` rank (``index``) or percentile (``linear``) of k-distances."""
-    distances = kth_distance(df, row_id, vector, k)
+    distances = cut_lineage(kth_distance(df, row_id, vector, k).select("kth_distance"))  # read by each scan of the selection
     q = exact_quantiles(distances, ["kth_distance"], [share], method=method)
     return q.select(F.col("value").alias("eps"))
 

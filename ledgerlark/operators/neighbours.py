@@ -7,6 +7,9 @@ every task compares at most about ``BLOCK`` queries with ``BLOCK`` points, at an
 per-query results (the k best, a count, a spanning edge), never the pairs. Equal vectors are merged before, so a large
 group of copies costs one point. A level's pivots are broadcast if they take at most ``SENT`` bytes, as the upper levels with
 their large nodes do; beyond, rows meet the pivots of their node by a join.
+
+In many dimensions nearly every query visits every leaf, and a row per query and leaf would be many times the table. So up to ``MANY``
+points the leaves meet as packs (``packs.py``), which costs no shuffle; beyond, a table of all pairs of packs would be too long.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlark.functions.scalars import literal_matrix, squared_distance
+from ledgerlark.operators import packs
 from ledgerlark.operators.skew import attach_by_key, top_k_per_group
 from ledgerlark.session import cut_lineage
 
@@ -25,6 +29,10 @@ BLOCK = 2048
 FAN = 16
 #: Bytes of pivots, and rows of a table of nodes, that may be broadcast.
 SENT, SENT_ROWS = 32 << 20, 100_000
+#: Points up to which leaves meet as packs.
+MANY = 8_000_000
+#: Packs of queries and of points that a task holds: few results per query, and enough tasks.
+ASKED, POOL = 8, 64
 
 
 def distinct_vectors(df: DataFrame, row_id: str, vector: str) -> DataFrame:
@@ -220,28 +228,48 @@ def _nearest_in_block(k: int) -> Callable:
 
         if len(q) == 0 or len(p) == 0:
             return pd.DataFrame()
-        p = p.sort_values("nid", kind="stable")
-        y, ids = np.stack(p["v"].to_numpy()), p["nid"].to_numpy()
-        out = []
-        for a in range(0, len(q), 32):
-            part = q.iloc[a : a + 32]
-            x = np.stack(part["v"].to_numpy())
-            d = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            out.append(
-                pd.DataFrame(
-                    {
-                        "pid": np.repeat(part["pid"].to_numpy(), best.shape[1]),
-                        "nid": ids[best].ravel(),
-                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(out)
+        x, y = np.stack(q["v"].to_numpy()), np.stack(p["v"].to_numpy())
+        best, product, ids = packs.Nearest(len(x), k), packs.Product(x, y), p["nid"].to_numpy()
+        for a in range(0, len(x), packs.TILE):
+            rows, cols = packs.at_most(product, a, best.limits(), k)
+            best.add(a + rows, packs.distances(x, y, a + rows, cols), ids[cols])
+        pid = np.repeat(q["pid"].to_numpy(), best.found.sum(axis=1))
+        return pd.DataFrame({"pid": pid, "nid": best.ids[best.found], "distance": best.d[best.found]})
 
     return compare
 
 
+def _nearest_in_packs(k: int) -> Callable:
+    def run(pairs):
+        import numpy as np
+        import pyarrow as pa
+
+        def results():
+            if best is None or best.ids is None:
+                return
+            d, pid, nid = best.d[best.found], np.repeat(asked["pid"], best.found.sum(axis=1)), best.ids[best.found]
+            columns = [pa.array(pid, from_pandas=True), pa.array(nid, from_pandas=True), pa.array(d)]
+            yield pa.RecordBatch.from_arrays(columns, names=["pid", "nid", "distance"])
+
+        asked, best = None, None
+        for a, b in pairs:
+            if a is not asked:
+                yield from results()
+                asked, best = a, packs.Nearest(len(a.x), k)
+            limits = np.minimum(best.limits(), a["reach"] * (1 + 1e-9))
+            gap = np.sqrt(((a.x - b.middle) ** 2).sum(axis=1))
+            rows = np.flatnonzero(~(gap - b.radius > limits + 1e-9 * (1 + gap)))
+            if not len(rows):
+                continue
+            product = packs.Product(a.x[rows], b.x)
+            for at in range(0, len(rows), packs.TILE):
+                r, c = packs.at_most(product, at, limits[rows], k)
+                best.add(rows[at + r], packs.distances(product.x, b.x, at + r, c), b["nid"][c])
+        yield from results()
+
+    return run
+
+
 def nearest_neighbours(
     queries: DataFrame, points: DataFrame, k: int, query_id: str, point_id: str, vector: str
 ) -> DataFrame:
@@ -268,9 +296,14 @@ def nearest_neighbours(
         first = block_join(asked.withColumn("visit", F.col("cell")), placed, compare, schema)
         bound = first.groupBy("pid").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_own"))
         reaching = asked.join(bound, "pid", "left").withColumn("reach", F.least("reach", "_own")).drop("_own")
-    found = block_join(cut_lineage(tree.visits(reaching)), placed, compare, schema)
+    if max(asked.count(), placed.count()) <= MANY:
+        left = packs.packs(cut_lineage(reaching), ["pid", "reach"], BLOCK, ASKED)
+        found = packs.meet(left, packs.packs(placed.drop("reach"), ["nid"], BLOCK, POOL), _nearest_in_packs(k), schema)
+    else:
+        found = block_join(cut_lineage(tree.visits(reaching)), placed, compare, schema)
     order = W.partitionBy("pid").orderBy("distance", "nid")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # Callers read the result several times, and the search is not to run again for each.
+    ranked = cut_lineage(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
     return ranked.join(asked.select("pid", "v", "weight"), "pid")
 
 
