@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ledgerlark import presets
-from ledgerlark.operators import neighbours
+from ledgerlark.operators import neighbours, packs
 from ledgerlark.operators.dbscan import adaptive_eps, connected_components, dbscan, reassign_noise
 from ledgerlark.operators.neighbours import (
     block_join,
@@ -35,6 +35,8 @@ from ledgerlark.session import cut_lineage, rewritten
 Centres = list[list[float]]
 
 CANDIDATES = 256
+#: Bytes of means of groups, and cheapest partners of each, from which a task takes Ward's merges.
+MERGED, PARTNERS = 1 << 27, 16
 #: Balls from whose bounds the densest points are looked for; any number gives the same centres.
 BALLS = 4096
 
@@ -549,6 +551,8 @@ def cheapest_partners(asked: DataFrame, groups: DataFrame) -> DataFrame:
     schema = f"pid {id_type}, nid {id_type}, cost double"
     asked = asked.select("pid", "v", "weight")
     tree, placed = build_tree(groups.select("pid", "v", "weight"))
+    if placed.count() <= neighbours.MANY:
+        return cheapest_merges(placed.join(asked.select("pid"), "pid", "left_semi").drop("reach"), placed.drop("reach"), 1)
     at_home = cut_lineage(tree.home(asked, 1)).withColumnRenamed("cell", "visit")
     near = block_join(at_home, placed, _cheapest_in_block, schema).groupBy("pid").agg(F.min("cost").alias("bound"))
     bounded = asked.join(near, "pid", "left").fillna(float("inf"), ["bound"])
@@ -558,6 +562,131 @@ def cheapest_partners(asked: DataFrame, groups: DataFrame) -> DataFrame:
     return found.groupBy("pid").agg(best).select("pid", "_m.nid", "_m.cost")
 
 
+def _cheapest_in_packs(k: int):
+    def run(pairs):
+        import pyarrow as pa
+
+        def results():
+            if best is None or best.ids is None:
+                return
+            pid, nid, cost = np.repeat(asked["pid"], best.found.sum(axis=1)), best.ids[best.found], best.d[best.found]
+            columns = [pa.array(pid, from_pandas=True), pa.array(nid, from_pandas=True), pa.array(cost)]
+            yield pa.RecordBatch.from_arrays(columns, names=["pid", "nid", "cost"])
+
+        asked, best = None, None
+        for a, b in pairs:
+            if a is not asked:
+                yield from results()
+                asked, best, n = a, packs.Nearest(len(a.x), k), a["weight"].astype(float)
+            m = b["weight"].astype(float)
+            limits = best.limits()
+            gap = np.sqrt(((a.x - b.middle) ** 2).sum(axis=1))
+            apart = np.maximum(gap - b.radius, 0.0) ** 2 * (1 - 1e-9) / (1.0 / n + 1.0 / m.min())
+            rows = np.flatnonzero(~(apart > limits))
+            if not len(rows):
+                continue
+            product = packs.Product(a.x[rows], b.x)
+            for at in range(0, len(rows), packs.TILE):
+                # A group itself is among its cheapest and goes.
+                r, c = packs.cheapest(product, at, n[rows], m, limits[rows], k + 1)
+                other = a["pid"][rows[at + r]] != b["pid"][c]
+                r, c = r[other], c[other]
+                cost = packs.costs(product.x, b.x, n[rows], m, at + r, c)
+                best.add(rows[at + r], cost, b["pid"][c])
+        yield from results()
+
+    return run
+
+
+def _merge_far(k: int):
+    """How far a pack's groups have to look for their ``k`` cheapest merges, from those inside the pack; sizes are 1 at least."""
+
+    def far(x, columns):
+        n = columns["weight"].astype(float)
+        if len(x) <= k:
+            return np.full(len(x), np.nan)
+        product, out = packs.Product(x, x, single=False), np.empty(len(x))
+        for a in range(0, len(x), packs.TILE):
+            size = n[a : a + packs.TILE, None]
+            most = (product.tile(a) + product.slack(0.0)) * (size * n / (size + n)) * (1 + 1e-9)
+            out[a : a + packs.TILE] = np.sqrt(np.partition(most, k, axis=1)[:, k] * (1.0 / size[:, 0] + 1.0))
+        return out * (1 + 1e-9)
+
+    return far
+
+
+def cheapest_merges(asked: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+    """(pid, nid, cost): for each asked group the ``k`` other groups whose merges add least to the inner variance.
+
+    Both have (pid, v, weight, cell), asked groups being among ``groups``.
+    """
+    id_type = dict(groups.dtypes)["pid"]
+    left = packs.packs(asked, ["pid", "weight"], neighbours.BLOCK, neighbours.ASKED, _merge_far(k))
+    right = packs.packs(groups, ["pid", "weight"], neighbours.BLOCK, neighbours.POOL)
+    found = packs.meet(left, right, _cheapest_in_packs(k), f"pid {id_type}, nid {id_type}, cost double")
+    # The dearest of k from any task bounds the k cheapest of all.
+    first = F.array_sort(F.collect_list(F.struct("cost", "nid")))
+    return found.groupBy("pid").agg(F.slice(first, 1, k).alias("m")).select("pid", F.inline("m")).select("pid", "nid", "cost")
+
+
+def _certain_merges(batches):
+    """The merges that the cheapest merges of each group settle, and the groups they leave.
+
+    A group that is not among a group's listed partners costs at least its dearest listed one, its bound. This stays so when groups
+    merge, as a merged group is no cheaper than the cheaper one of its parts was. A partner listed for a part is one of the whole; with a
+    group of r rows that is listed for neither part, the whole costs ((n + r) A + (m + r) B - r c) / (n + m + r) by the formula of Lance and
+    Williams, where c is the cost of the merge and A and B are at least the bounds of the parts: least for the smallest r or the
+    largest. So a group knows its cheapest partner as long as that costs no more than its bound, and partners that choose
+    each other merge. Rounds end when nobody can.
+    """
+    import pandas as pd
+
+    parts = [pdf for pdf in batches if len(pdf)]
+    if not parts:
+        return
+    rows = pd.concat(parts).sort_values("pid", kind="stable", ignore_index=True)
+    ids, x, n = rows["pid"].to_numpy(), np.stack(rows["v"].to_numpy()), rows["weight"].to_numpy(float)
+    bound = rows["bound"].to_numpy(float, na_value=np.inf).copy()
+    partners = [p if p is not None else [] for p in rows["partners"]]
+    owner = np.repeat(np.arange(len(ids)), [len(p) for p in partners])
+    places = np.flatnonzero(~pd.Index(ids).duplicated())
+    other = places[pd.Index(ids[places]).get_indexer(np.concatenate(partners))] if len(owner) else owner
+    del rows, parts, partners
+    root, merges = np.arange(len(ids)), []
+    cost = packs.costs(x, x, n, n, owner, other)
+    while len(owner):
+        order = np.lexsort((other, cost, owner))
+        first = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
+        sure = first[cost[first] <= bound[owner[first]]]
+        choice = np.full(len(ids), -1)
+        choice[owner[sure]] = other[sure]
+        i = owner[sure][(choice[other[sure]] == owner[sure]) & (owner[sure] < other[sure])]
+        if not len(i):
+            break
+        j = choice[i]
+        dear, total = packs.costs(x, x, n, n, i, j), n[i] + n[j]
+        merges.append(pd.DataFrame({"a": ids[i], "b": ids[j], "cost": dear, "size": total.astype(np.int64)}))
+        both, r = bound[i] + bound[j] - dear, n[root == np.arange(len(ids))].min()
+        least = (n[i] * bound[i] + n[j] * bound[j] + r * both) / (total + r)
+        x[i] = (x[i] * n[i, None] + x[j] * n[j, None]) / total[:, None]
+        n[i], root[j], bound[i] = total, i, np.minimum(least, both) * (1 - 1e-12)
+        new = np.zeros(len(ids), bool)
+        new[i] = True
+        owner, other = root[owner], root[other]
+        stale = new[owner] | new[other]
+        pair = np.unique(owner[stale] * len(ids) + other[stale])
+        again = np.divmod(pair[pair // len(ids) != pair % len(ids)], len(ids))
+        owner, other = np.concatenate([owner[~stale], again[0]]), np.concatenate([other[~stale], again[1]])
+        cost = np.concatenate([cost[~stale], packs.costs(x, x, n, n, *again)])
+    left = np.flatnonzero(root == np.arange(len(ids)))
+    for a in range(0, len(left), 10_000):
+        some = left[a : a + 10_000]
+        kept = pd.DataFrame({"pid": ids[some], "v": list(x[some]), "weight": n[some].astype(np.int64)})
+        yield kept.assign(a=None, b=None, cost=None, size=None)
+    for made in merges:
+        yield made.assign(pid=None, v=None, weight=None)[["pid", "v", "weight", "a", "b", "cost", "size"]]
+
+
 def _last_merges(batches):
     """The merges of the groups of one block, the cheapest first."""
     import pandas as pd
@@ -599,14 +728,32 @@ def ward_merges(points: DataFrame) -> DataFrame:
 
     Rounds of reciprocal partners: every group knows the group it merges with most cheaply, and all pairs that choose each
     other merge at once. Merging others never makes a partner dearer than a new group, so a group looks
-    for a partner again only when its own has merged. Groups that have become few enough for one block of a block join
-    are merged to the end in a task. ``a`` and ``b`` are the smallest ids of the merged groups.
+    for a partner again only when its own has merged. Groups whose means take at most ``MERGED`` bytes look for their
+    ``PARTNERS`` cheapest merges at once, with which a task goes on for as many rounds as these settle. Groups that have become few
+    enough for one block of a block join are merged to the end in a task. ``a`` and ``b`` are the smallest ids of the merged groups.
     """
     groups = cut_lineage(points.select("pid", "v", "weight"))
     id_type = dict(groups.dtypes)["pid"]
     known: DataFrame | None = None
     merges: DataFrame | None = None
     n = groups.count()
+    width = 8 * (groups.agg(F.max(F.size("v"))).first()[0] or 0)
+    while n > neighbours.BLOCK and n * width <= MERGED:
+        tree_cells = build_tree(groups.select("pid", "v", "weight"))[1]
+        found = cheapest_merges(tree_cells, tree_cells, PARTNERS)
+        # Lists that hold all others bound nothing.
+        listed = found.groupBy("pid").agg(
+            F.collect_list("nid").alias("partners"), F.when(F.count(F.lit(1)) >= PARTNERS, F.max("cost")).alias("bound")
+        )
+        rows = groups.join(listed, "pid", "left").select("pid", "v", "weight", "partners", "bound")
+        schema = f"pid {id_type}, v array<double>, weight long, a {id_type}, b {id_type}, cost double, size long"
+        done = cut_lineage(rows.coalesce(1).mapInPandas(_certain_merges, schema))
+        groups = done.where("v IS NOT NULL").select("pid", "v", "weight")
+        new = done.where("v IS NULL").select("a", "b", "cost", "size")
+        merges = new if merges is None else merges.unionByName(new)
+        before, n = n, groups.count()
+        if n == before:
+            break
     while n > neighbours.BLOCK:
         asked = groups if known is None else groups.join(known, "pid", "left_anti")
         found = cheapest_partners(asked, groups)

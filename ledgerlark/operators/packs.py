@@ -52,10 +52,11 @@ def matrix(v) -> np.ndarray:
     return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
 
 
-def packs(rows: DataFrame, columns: Sequence[str], size: int, group: int) -> DataFrame:
+def packs(rows: DataFrame, columns: Sequence[str], size: int, group: int, reach_of: Callable | None = None) -> DataFrame:
     """``rows`` (cell, pid, v, reach, ...) as packs of at most ``size`` vectors, about ``group`` of them a partition at most.
 
-    ``far`` is the largest ``reach`` of a pack, NULL if there is no such column; ``columns`` become arrays.
+    ``far`` is the largest ``reach`` of a pack, NULL if there is no such column; ``columns`` become arrays. ``reach_of`` may say
+    the reach of a pack's rows, from the matrix of vectors and the columns.
     """
     types = dict(rows.dtypes)
     reach = F.col("reach") if "reach" in types else F.lit(None).cast("double").alias("reach")
@@ -81,7 +82,9 @@ def packs(rows: DataFrame, columns: Sequence[str], size: int, group: int) -> Dat
             middle = x.mean(axis=0)
             radius = float(np.sqrt(((x - middle) ** 2).sum(axis=1)).max())
             far = part.column("reach").to_numpy(zero_copy_only=False)
-            entries = [[middle.tolist()], [radius], [None if np.isnan(far).all() else float(np.nanmax(far))], [x.tobytes()]]
+            if reach_of is not None:
+                far = reach_of(x, {c: plain(part.column(c)) for c in columns})
+            entries = [[middle.tolist()], [radius], [None if np.isnan(far).any() else float(far.max())], [x.tobytes()]]
             types = [pa.list_(pa.float64()), pa.float64(), pa.float64(), pa.binary()]
             arrays = [pa.array(e, t) for e, t in zip(entries, types)]
             arrays += [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), part.column(c)) for c in columns]
@@ -212,6 +215,38 @@ def at_most(product: Product, a: int, limits: np.ndarray, k: int) -> tuple[np.nd
     return np.divmod(at, g.shape[1])
 
 
+def cheapest(product: Product, a: int, n: np.ndarray, m: np.ndarray, limits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the tile and rows of ``y``: all pairs of groups of sizes ``n`` and ``m`` that may be among the ``k`` merges
+    that add least to the inner variance, and add at most the row's limit."""
+    if product.single and product.size * max(n.max(), m.max()) > 1e30:
+        product = product.double()
+    g = product.tile(a)
+    size, other = n[a : a + TILE, None].astype(product.kind), m[None, :].astype(product.kind)
+    share = size * other / (size + other)
+    # What a product may be off by; a few units more for the sizes.
+    slack = product.kind(product.slack(0.0))
+    least = (g - slack) * share * product.kind(1 - 1e-6)
+    bound = limits[a : a + TILE].copy()
+    loose = ~np.isfinite(bound)
+    if loose.any() and k <= g.shape[1]:
+        most = (g[loose] + slack) * share[loose] * product.kind(1 + 1e-6)
+        some = np.partition(most, k - 1, axis=1)[:, k - 1].astype(float)
+        bound[loose] = np.where(np.isfinite(some), some, np.inf)
+    at = np.flatnonzero(~(least > (bound * (1 + 1e-6)).astype(product.kind)[:, None]))
+    if product.single and len(at) > max(OPEN * g.size, 2 * k * len(g)):
+        return cheapest(product.double(), a, n, m, limits, k)
+    return np.divmod(at, g.shape[1])
+
+
+def costs(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """What the merges of chosen pairs of groups with means ``x`` and ``y`` add to the inner variance, by the plain formula."""
+    out = np.empty(len(rows))
+    for a in range(0, len(rows), SOME):
+        r, c = rows[a : a + SOME], cols[a : a + SOME]
+        out[a : a + SOME] = ((x[r] - y[c]) ** 2).sum(axis=1) * (n[r] * m[c] / (n[r] + m[c]))
+    return out
+
+
 class Nearest:
     """The ``k`` nearest of the points seen so far, for each of ``n`` queries; ties go to the smaller id."""
 

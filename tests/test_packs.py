@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import dbscan, neighbours, packs
+from ledgerlark.operators import cluster, dbscan, neighbours, packs
 
 
 def frame(spark, x, name="r%04d"):
@@ -79,3 +79,35 @@ def test_packs_refuse_vectors_of_unequal_length(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0], ""), (2, [0.0], "")], "pid long, v array<double>, cell string")
     with pytest.raises(Exception, match="same length"):
         packs.packs(df, ["pid"], 16, 4)
+
+
+def ward_by_pairs(x, size, k):
+    """The cheapest pair of all, one at a time."""
+    x, n, member = x.copy(), size.astype(float), np.arange(len(x))
+    alive = list(range(len(x)))
+    while len(alive) > k:
+        cost = ((x[alive][:, None] - x[alive][None]) ** 2).sum(2) * np.outer(n[alive], n[alive]) / np.add.outer(n[alive], n[alive])
+        np.fill_diagonal(cost, np.inf)
+        i, j = sorted(np.unravel_index(cost.argmin(), cost.shape))
+        i, j = alive[i], alive[j]
+        x[i], n[i] = (n[i] * x[i] + n[j] * x[j]) / (n[i] + n[j]), n[i] + n[j]
+        member[member == j] = i
+        alive.remove(j)
+    return member
+
+
+@pytest.mark.parametrize("merged, many", [(cluster.MERGED, 8_000_000), (0, 8_000_000), (0, 0)])
+def test_ward_micro_needs_few_searches(spark, wide, monkeypatch, merged, many):
+    monkeypatch.setattr(neighbours, "BLOCK", 60)
+    monkeypatch.setattr(cluster, "MERGED", merged)
+    monkeypatch.setattr(neighbours, "MANY", many)
+    searches, build = [], cluster.build_tree
+    monkeypatch.setattr(cluster, "build_tree", lambda points: searches.append(1) or build(points))
+    x = wide[:180] * np.r_[4.0, 2.0, np.ones(22)]
+    x = np.vstack([x, x[:30]])
+    got = cluster.ward(frame(spark, x), "n", "v", 5).toPandas().sort_values("n").cluster.to_numpy()
+    member = ward_by_pairs(x[:180], np.r_[np.full(30, 2), np.ones(150)], 5)
+    member = np.r_[member, member[:30]]
+    order = sorted(set(member.tolist()), key=lambda g: (-(member == g).sum(), g))
+    assert got.tolist() == [order.index(g) for g in member.tolist()]
+    assert not merged or len(searches) <= 3
