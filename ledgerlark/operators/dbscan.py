@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlark.operators import neighbours, packs
 from ledgerlark.operators.neighbours import (
     block_join,
     build_tree,
@@ -23,6 +24,8 @@ from ledgerlark.session import cut_lineage
 NOISE = -1
 MAX_CENTRES = 10_000
 FEW_EDGES = 200_000
+#: Packs on each side of a task: a task sends out one edge and one count per point it holds.
+GROUP = 32
 
 
 def _count_within(eps: float) -> Callable:
@@ -34,10 +37,8 @@ def _count_within(eps: float) -> Callable:
             return pd.DataFrame()
         y, w = np.stack(p["v"].to_numpy()), p["weight"].to_numpy()
         n = np.zeros(len(q), dtype=np.int64)
-        for a in range(0, len(q), 32):
-            x = np.stack(q["v"].iloc[a : a + 32].to_numpy())
-            d = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-            n[a : a + 32] = (d <= eps) @ w
+        for a, near in packs.within(np.stack(q["v"].to_numpy()), y, eps):
+            n[a : a + len(near)] = near @ w
         return pd.DataFrame({"pid": q["pid"].to_numpy(), "n": n})
 
     return compare
@@ -52,10 +53,7 @@ def _spanning_edges(eps: float) -> Callable:
             return pd.DataFrame()
         y = np.stack(p["v"].to_numpy())
         qid, pid = q["pid"].to_numpy(), p["pid"].to_numpy()
-        near = np.zeros((len(q), len(p)), dtype=bool)
-        for a in range(0, len(q), 32):
-            x = np.stack(q["v"].iloc[a : a + 32].to_numpy())
-            near[a : a + 32] = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)) <= eps
+        near = np.vstack([tile for _, tile in packs.within(np.stack(q["v"].to_numpy()), y, eps)])
         todo, edges = near.any(axis=1), []
         while todo.any():
             front = np.zeros(len(q), dtype=bool)
@@ -85,10 +83,8 @@ def _lowest_cluster_within(eps: float) -> Callable:
         y, c = np.stack(p["v"].to_numpy()), p["cluster"].to_numpy()
         none = np.iinfo(np.int64).max
         best = np.full(len(q), none, dtype=np.int64)
-        for a in range(0, len(q), 32):
-            x = np.stack(q["v"].iloc[a : a + 32].to_numpy())
-            d = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-            best[a : a + 32] = np.where(d <= eps, c[None, :], none).min(axis=1)
+        for a, near in packs.within(np.stack(q["v"].to_numpy()), y, eps):
+            best[a : a + len(near)] = np.where(near, c[None, :], none).min(axis=1)
         hit = best < none
         if not hit.any():
             return pd.DataFrame()
@@ -97,6 +93,116 @@ def _lowest_cluster_within(eps: float) -> Callable:
     return compare
 
 
+def _count_in_packs(eps: float, enough: int) -> Callable:
+    """Rows within ``eps`` of every point of the task's packs; those that have ``enough`` need no further ones."""
+
+    def run(pairs):
+        import numpy as np
+        import pyarrow as pa
+
+        ids, counts = {}, {}
+        for a, b in pairs:
+            for side in (a, b):
+                if side.number not in counts:
+                    ids[side.number], counts[side.number] = side["pid"].copy(), np.zeros(len(side.x), np.int64)
+            n, m = counts[a.number], counts[b.number]
+            rows = np.arange(len(n)) if m.min() < enough else np.flatnonzero(n < enough)
+            cols = np.arange(len(m)) if n.min() < enough else np.flatnonzero(m < enough)
+            if not len(rows) or not len(cols):
+                continue
+            w, u = b["weight"][cols], a["weight"][rows]
+            for at, near in packs.within(a.x[rows], b.x[cols], eps):
+                some = rows[at : at + len(near)]
+                n[some] += near.sum(axis=1) if (w == 1).all() else near @ w
+                if a.number != b.number:
+                    m[cols] += near.sum(axis=0) if (u == 1).all() else u[at : at + len(near)] @ near
+        for number, n in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[number], from_pandas=True), pa.array(n)], names=["pid", "n"])
+
+    return run
+
+
+def _forest_in_packs(eps: float) -> Callable:
+    """Edges that join the points of the task's packs which are connected by steps of at most ``eps`` there."""
+
+    def run(pairs):
+        import numpy as np
+        import pyarrow as pa
+
+        places, ids, root = {}, [], np.empty(0, np.int64)
+        for a, b in pairs:
+            for side in (a, b):
+                if side.number not in places:
+                    places[side.number] = np.arange(len(root), len(root) + len(side.x))
+                    ids.append(side["pid"].copy())
+                    root = np.concatenate([root, places[side.number]])
+            left, right = places[a.number], places[b.number]
+            rows, cols = np.arange(len(left)), np.arange(len(right))
+            if (root[right] == root[right[0]]).all():
+                rows = np.flatnonzero(root[left] != root[right[0]])
+            elif (root[left] == root[left[0]]).all():
+                cols = np.flatnonzero(root[right] != root[left[0]])
+            if not len(rows) or not len(cols):
+                continue
+            for at, near in packs.within(a.x[rows], b.x[cols], eps):
+                r, c = np.nonzero(near)
+                _join_roots(root, root[left[rows[at + r]]], root[right[cols[c]]])
+        if ids:
+            ids = np.concatenate(ids)
+            off = np.flatnonzero(root != np.arange(len(root)))
+            edge = [pa.array(ids[off], from_pandas=True), pa.array(ids[root[off]], from_pandas=True)]
+            yield pa.RecordBatch.from_arrays(edge, names=["a", "b"])
+
+    return run
+
+
+def _join_roots(root, x, y) -> None:
+    """Give joined roots their smallest one, in place; ``root`` leads from every node straight to its root before and after."""
+    import numpy as np
+
+    differ = x != y
+    x, y = x[differ], y[differ]
+    while len(x):
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((up := root[root]) != root).any():
+            root[:] = up
+        x, y = root[x], root[y]
+        differ = x != y
+        x, y = x[differ], y[differ]
+
+
+def _lowest_in_packs(eps: float) -> Callable:
+    def run(pairs):
+        import numpy as np
+        import pyarrow as pa
+
+        none = np.iinfo(np.int64).max
+
+        def results():
+            if asked is not None:
+                hit = best < none
+                found = [pa.array(asked["pid"][hit], from_pandas=True), pa.array(best[hit])]
+                yield pa.RecordBatch.from_arrays(found, names=["pid", "cluster"])
+
+        asked, best = None, None
+        for a, b in pairs:
+            if a is not asked:
+                yield from results()
+                asked, best = a, np.full(len(a.x), none)
+            rows = np.flatnonzero(best > b["cluster"].min())
+            if not len(rows):
+                continue
+            order = np.argsort(b["cluster"], kind="stable")
+            clusters = b["cluster"][order]
+            for at, near in packs.within(a.x[rows], b.x[order], eps):
+                first = np.where(near.any(axis=1), clusters[near.argmax(axis=1)], none)
+                some = rows[at : at + len(near)]
+                best[some] = np.minimum(best[some], first)
+        yield from results()
+
+    return run
+
+
 def connected_components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """Rows (node, component) for edges (a, b); the component is its smallest node.
 
@@ -172,16 +278,21 @@ def dbscan(
     tree, placed = build_tree(distinct_vectors(df, row_id, vector))
     placed = placed.withColumn("reach", F.lit(float(eps)))
     id_type = dict(df.dtypes)[row_id]
-    counted = block_join(tree.visits(placed), placed, _count_within(eps), f"pid {id_type}, n bigint")
+    counts, pairs, lowest = f"pid {id_type}, n bigint", f"a {id_type}, b {id_type}", f"pid {id_type}, cluster bigint"
+    packed = placed.count() <= neighbours.MANY
+    if packed:
+        all_packs = packs.packs(placed, ["pid", "weight"], neighbours.BLOCK, GROUP)
+        counted = packs.meet(all_packs, all_packs, _count_in_packs(eps, min_samples), counts, packs.each_once())
+    else:
+        counted = block_join(tree.visits(placed), placed, _count_within(eps), counts)
     degree = counted.groupBy("pid").agg(F.sum("n").alias("degree"))
     known = cut_lineage(placed.join(degree, "pid"))
     core = known.where(F.col("degree") >= min_samples)
-    edges = block_join(
-        tree.visits(core, later_cells_only=True),
-        core,
-        _spanning_edges(eps),
-        f"a {id_type}, b {id_type}",
-    )
+    if packed:
+        core_packs = packs.packs(core, ["pid"], neighbours.BLOCK, GROUP)
+        edges = packs.meet(core_packs, core_packs, _forest_in_packs(eps), pairs, packs.each_once())
+    else:
+        edges = block_join(tree.visits(core, later_cells_only=True), core, _spanning_edges(eps), pairs)
     component = connected_components(edges)
     rooted = core.join(component, F.col("pid") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "pid")
@@ -194,14 +305,14 @@ def dbscan(
     core_clusters = attach_by_key(rooted, numbered, ["component"], "_rows")
     core_clusters = cut_lineage(core_clusters.drop("component", "_rows"))
     rest = known.where(F.col("degree") < min_samples)
-    border = block_join(
-        tree.visits(rest),
-        core_clusters,
-        _lowest_cluster_within(eps),
-        f"pid {id_type}, cluster bigint",
-    )
+    if packed:
+        left = packs.packs(rest, ["pid"], neighbours.BLOCK, GROUP)
+        right = packs.packs(core_clusters.drop("reach"), ["cluster"], neighbours.BLOCK, GROUP)
+        border = packs.meet(left, right, _lowest_in_packs(eps), lowest)
+    else:
+        border = block_join(tree.visits(rest), core_clusters, _lowest_cluster_within(eps), lowest)
     border = border.groupBy("pid").agg(F.min("cluster").alias("cluster"))
-    settled = core_clusters.select("pid", "cluster").unionByName(border)
+    settled = cut_lineage(core_clusters.select("pid", "cluster").unionByName(border))
     per_vector = known.join(settled, "pid", "left").select(
         F.col("v").alias(vector),
         F.coalesce(F.col("cluster"), F.lit(NOISE)).cast("int").alias(target),

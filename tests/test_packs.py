@@ -111,3 +111,28 @@ def test_ward_micro_needs_few_searches(spark, wide, monkeypatch, merged, many):
     order = sorted(set(member.tolist()), key=lambda g: (-(member == g).sum(), g))
     assert got.tolist() == [order.index(g) for g in member.tolist()]
     assert not merged or len(searches) <= 3
+
+
+def test_dbscan_reads_no_row_per_point_and_leaf(spark, wide, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    visits, join = [], dbscan.block_join
+    monkeypatch.setattr(dbscan, "block_join", lambda visiting, *rest: visits.append(visiting.count()) or join(visiting, *rest))
+    x = wide * 0.5
+    d = distances(x, x)
+    eps = float(np.quantile(d[d > 0], 0.06))
+    near = d <= eps
+    core = near.sum(1) >= 6
+    label, last = np.full(len(x), -1), -1
+    for i in np.flatnonzero(core):
+        if label[i] < 0:
+            last, todo = last + 1, [i]
+            while todo:
+                j = todo.pop()
+                if label[j] < 0:
+                    label[j] = last
+                    todo += np.flatnonzero(near[j] & core & (label < 0)).tolist()
+    touched = [label[near[i] & core] for i in range(len(x))]
+    want = [int(label[i]) if core[i] else min(map(int, touched[i]), default=-1) for i in range(len(x))]
+    got = dbscan.dbscan(frame(spark, x), "id", "v", eps, 6).toPandas().sort_values("n").cluster.tolist()
+    assert got == want and 0 < sum(c >= 0 for c in got) < len(x)
+    assert max(visits, default=0) <= len(x)
