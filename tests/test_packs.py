@@ -136,3 +136,14 @@ def test_dbscan_reads_no_row_per_point_and_leaf(spark, wide, monkeypatch):
     got = dbscan.dbscan(frame(spark, x), "id", "v", eps, 6).toPandas().sort_values("n").cluster.tolist()
     assert got == want and 0 < sum(c >= 0 for c in got) < len(x)
     assert max(visits, default=0) <= len(x)
+
+
+def test_ward_parted_far_from_the_origin(spark, wide, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 30)
+    searches, build = [], cluster.build_tree
+    monkeypatch.setattr(cluster, "build_tree", lambda points: searches.append(1) or build(points))
+    group = np.arange(150) % 3
+    x = wide[:150] + 1e4 + 40.0 * group[:, None]
+    got = cluster.ward(frame(spark, x), "n", "v", 3).toPandas().sort_values("n").cluster.tolist()
+    assert got == group.tolist()  # equal sizes are numbered by smallest row
+    assert len(searches) <= 3
