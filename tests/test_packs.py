@@ -138,6 +138,23 @@ def test_dbscan_reads_no_row_per_point_and_leaf(spark, wide, monkeypatch):
     assert max(visits, default=0) <= len(x)
 
 
+def test_subtractive_judges_few_candidates_where_balls_overlap(spark, wide, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(cluster, "CANDIDATES", 8)
+    asked, exact = [], cluster._densities
+    monkeypatch.setattr(cluster, "_densities", lambda p, v, r: asked.append(len(v)) or exact(p, v, r))
+    x = (wide - wide.min(0)) / (np.ptp(wide, axis=0) + 1e-10)
+    radius = np.quantile(np.sqrt((x**2).sum(1)), 0.75) / 2
+    density = np.exp(-(distances(x, x) ** 2) / radius**2).sum(1)
+    chosen, order = [], np.lexsort((np.arange(len(x)), -np.round(density, 9)))
+    for i in order:
+        if len(chosen) < 3 and (not chosen or density[i] > 0.15 * density[chosen[0]]) and (distances(x[[i]], x[chosen]) >= radius / 2).all():
+            chosen.append(i)
+    got = cluster.subtractive_centres(frame(spark, x), "n", "v", 3)
+    assert np.allclose(got, x[chosen])
+    assert sum(asked) < 100
+
+
 def test_ward_parted_far_from_the_origin(spark, wide, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 30)
     searches, build = [], cluster.build_tree
