@@ -164,3 +164,13 @@ def test_ward_parted_far_from_the_origin(spark, wide, monkeypatch):
     got = cluster.ward(frame(spark, x), "n", "v", 3).toPandas().sort_values("n").cluster.tolist()
     assert got == group.tolist()  # equal sizes are numbered by smallest row
     assert len(searches) <= 3
+
+
+def test_all_clusterings_keep_no_row_per_point_and_leaf(spark, wide, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 24)
+    kept = rows_kept(monkeypatch, neighbours)
+    df = frame(spark, wide[:150] + 30.0 * (np.arange(150) % 3)[:, None])
+    got = cluster.all_clusterings(df, "n", "v", 3, restarts=2)
+    sizes = {tuple(r) for r in got.groupBy("algorithm", "cluster").count().collect()}
+    assert {("Hierarchical", c, 50) for c in range(3)} <= sizes and len({a for a, _, _ in sizes}) == 5
+    assert max(kept) <= 5 * 150
