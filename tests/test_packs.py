@@ -174,3 +174,13 @@ def test_all_clusterings_keep_no_row_per_point_and_leaf(spark, wide, monkeypatch
     sizes = {tuple(r) for r in got.groupBy("algorithm", "cluster").count().collect()}
     assert {("Hierarchical", c, 50) for c in range(3)} <= sizes and len({a for a, _, _ in sizes}) == 5
     assert max(kept) <= 5 * 150
+
+
+@pytest.mark.parametrize("dims", [2, 24])
+def test_knn_self_distance_and_full_vectors(spark, wide, monkeypatch, dims):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    kept = rows_kept(monkeypatch, neighbours)
+    x = wide[:, :dims]
+    got = neighbours.kth_distance(frame(spark, x), "id", "v", 5).toPandas().sort_values("n")
+    assert np.array_equal(got.kth_distance, np.sort(distances(x, x), axis=1)[:, 4])
+    assert max(kept) <= 5 * len(x)
