@@ -184,3 +184,15 @@ def test_knn_self_distance_and_full_vectors(spark, wide, monkeypatch, dims):
     got = neighbours.kth_distance(frame(spark, x), "id", "v", 5).toPandas().sort_values("n")
     assert np.array_equal(got.kth_distance, np.sort(distances(x, x), axis=1)[:, 4])
     assert max(kept) <= 5 * len(x)
+
+
+def test_knn_classify_of_other_rows(spark, wide, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    kept = rows_kept(monkeypatch, neighbours)
+    df = frame(spark, wide).withColumn("y", (F.col("v")[0] > 0).cast("int"))
+    got = neighbours.knn_classify(df.where("n % 4 > 0"), df.where("n % 4 = 0"), "id", "v", "y", 5).toPandas().sort_values("n")
+    train = np.array([i for i in range(len(wide)) if i % 4])
+    d = distances(wide[::4], wide[train])
+    votes = [(wide[train[np.lexsort((train, row))[:5]], 0] > 0).sum() for row in d]
+    assert got.pred.tolist() == [int(v >= 3) for v in votes]
+    assert max(kept) <= 5 * len(wide)
