@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import cluster, dbscan, neighbours, packs
+from ledgerlark.operators import audit, cluster, dbscan, neighbours, packs, profile
 
 
 def frame(spark, x, name="r%04d"):
@@ -196,3 +196,23 @@ def test_knn_classify_of_other_rows(spark, wide, monkeypatch):
     votes = [(wide[train[np.lexsort((train, row))[:5]], 0] > 0).sum() for row in d]
     assert got.pred.tolist() == [int(v >= 3) for v in votes]
     assert max(kept) <= 5 * len(wide)
+
+
+def test_tables_read_from_clusters_search_once(spark, wide, monkeypatch):
+    """Sizes, summary, reassigned noise, parity flags and percentages: no search runs again when its result is read."""
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
+    x = np.vstack([wide[:100] * 0.2, wide[100:140] * 0.2 + 9.0, wide[140:150] * 30.0])
+    df = frame(spark, x).withColumn("y", (F.col("n") % 2).cast("int"))
+    found = dbscan.dbscan(df, "id", "v", 1.6, 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "MapInArrow" not in plan and "FlatMapCoGroups" not in plan
+    near = distances(x, x) <= 1.6
+    assert dbscan.summary(found).first()["clusters"] == 2 and not near[:100, 100:140].any()
+    sizes = {r["cluster"]: r["n"] for r in profile.distinct_counts(found, "cluster", ignore=-1).collect()}
+    noise = found.where("cluster = -1").count()
+    assert sum(sizes.values()) + noise == len(x) and noise >= 10
+    moved = {r["cluster"]: r["count"] for r in dbscan.reassign_noise(found, "v").groupBy("cluster").count().collect()}
+    assert set(moved) == {0, 1} and sum(moved.values()) == len(x)
+    flags = audit.parity_flags(found, "y", "cluster").where("cluster >= 0")
+    assert flags.where("quality <> cast(cluster % 2 = y as double)").count() == 0
+    assert profile.contingency(found, "y", "cluster").agg(F.sum("n")).first()[0] == len(x)
